@@ -98,7 +98,7 @@ class Views:
             "1 + k % 5 AS review_score",
             "CASE WHEN k % 3 = 0 THEN event_type END AS review_comment_title",
             "text AS review_comment_message",
-            "date_trunc('day', ts) AS review_creation_date",
+            "CAST(CAST(ts AS DATE) AS TIMESTAMP_NTZ) AS review_creation_date",
             "ts AS review_answer_timestamp",
             "k",
         )
@@ -113,32 +113,56 @@ class Views:
         return clean_order_reviews(self.staging_reviews)
 
     @cached_property
-    def scored_reviews(self) -> DataFrame:
-        """Cleaned reviews with stand-in answers: every message translated, most rows scored.
+    def review_scores(self) -> DataFrame:
+        """Cleaned reviews without their text, for queries that do not read it.
 
-        Scores are quarters between -1 and 1, so their sums are exact.
+        Deduplication breaks ties by every column it is given, so the text is left out
+        before it, not after.
         """
-        clean = dedup_reviews(self.staging_with_k)
+        return dedup_reviews(self.staging_reviews.drop("review_comment_title", "review_comment_message"))
+
+    def _scored(self, staging: DataFrame) -> DataFrame:
+        """Deduplicated rows with stand-in scores, quarters between -1 and 1 with exact sums."""
         score = {a: (((F.col("k") + 2 * j) % 9) - 4).cast("double") / 4 for j, a in enumerate(ASPECTS)}
         document = F.to_json(F.struct(*[e.alias(a) for a, e in score.items()]))
-        return clean.select(
+        return dedup_reviews(staging).withColumn("review_aspect_scores", F.when(F.col("k") % 4 != 0, document))
+
+    @cached_property
+    def scored_reviews(self) -> DataFrame:
+        """Cleaned reviews with stand-in answers: every message translated, most rows scored."""
+        scored = self._scored(self.staging_with_k)
+        return scored.select(
             *REVIEW_COLUMNS,
             stand_in_translation("review_comment_message").alias("review_comment_message_en"),
-            F.when(F.col("k") % 4 != 0, document).alias("review_aspect_scores"),
+            "review_aspect_scores",
         )
 
+    @cached_property
+    def aspect_scores(self) -> DataFrame:
+        """The scored reviews without any text but their scores."""
+        scored = self._scored(self.staging_with_k.drop("review_comment_title", "review_comment_message"))
+        return scored.withColumn("review_comment_message_en", F.lit(None).cast("string"))
+
     @cached_property
     def translated_reviews(self) -> DataFrame:
         """Cleaned reviews, translated and not scored."""
         reviews = self.scored_reviews.drop("review_aspect_scores")
         return add_typed_nulls(reviews, {"review_aspect_scores": "string"})
 
-    @cached_property
-    def geo(self) -> DataFrame:
+    def _geo(self, reviews: DataFrame) -> DataFrame:
         return review_aspect_geo(
-            self.scored_reviews, self.items, self.products, self.translation, self.orders, self.customers
+            reviews, self.items, self.products, self.translation, self.orders, self.customers
         )
 
+    @cached_property
+    def geo(self) -> DataFrame:
+        """The scored review fact without its text."""
+        return self._geo(self.aspect_scores).drop("review_comment_message_en")
+
+    @cached_property
+    def geo_with_text(self) -> DataFrame:
+        return self._geo(self.scored_reviews)
+
     @cached_property
     def translation_results(self) -> DataFrame:
         """Stand-in result lines for a translation batch: one request per cleaned message."""

@@ -167,6 +167,10 @@ def parse_translations(results: DataFrame, mode: str = "quarantine") -> DataFram
     )
 
 
+def _swap(old: str, new: str) -> Callable[[Column, Column], Column]:
+    return lambda key, _: F.when(key == old, F.lit(new)).otherwise(key)
+
+
 def rename_keys(c: str, renames: Mapping[str, str]) -> Column:
     """JSON text in compact form, with top-level keys renamed unless the new key exists."""
     plain = F.to_json(F.try_parse_json(c))
@@ -176,9 +180,7 @@ def rename_keys(c: str, renames: Mapping[str, str]) -> Column:
     renamed = fields
     for old, new in renames.items():
         present = F.map_contains_key(fields, F.lit(old)) & ~F.map_contains_key(fields, F.lit(new))
-        renamed = F.when(
-            present, F.transform_keys(renamed, lambda k, _, old=old, new=new: F.when(k == old, new).otherwise(k))
-        ).otherwise(renamed)
+        renamed = F.when(present, F.transform_keys(renamed, _swap(old, new))).otherwise(renamed)
     is_object = F.ltrim(c).startswith("{")
     return F.when(is_object & fields.isNotNull(), F.to_json(renamed)).otherwise(plain)
 
