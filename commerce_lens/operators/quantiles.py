@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ACCURACY = 100_000
+SLOTS = 10_000
 
 
 def exact_quantiles(
@@ -15,14 +16,16 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linearly interpolated quantiles per group, as (groups, prob, quantile).
 
-    The first pass sketches each group and takes a value range around every quantile that
-    is sure to hold it: the sketch is off by at most 1/accuracy of the rows and the range
-    reaches 4/accuracy to both sides. The second pass counts the rows below each range and
-    the distinct values inside it, about n * 8/accuracy rows at most, and picks the exact
-    ranks there. A group of up to `accuracy` rows is its own range.
+    1. A sketch of each group gives a value range around every quantile that is sure to hold
+       it: the sketch is off by at most 1/accuracy of the rows and the range reaches
+       4/accuracy to both sides. A group of up to `accuracy` rows is its own range.
+    2. Rows below each range are counted, distinct values inside it get a weight.
+    3. The range is cut into SLOTS even slots; running totals over the slots tell the one or
+       two that hold the wanted ranks, and only their values are ordered.
 
-    Groups must be few (columns of a table, a top-k list): one row per group and quantile
-    is broadcast. A range that misses its rank would fail the job, never shift the result.
+    No task sees more than SLOTS totals or one slot of one range. Groups must be few
+    (columns of a table, a top-k list): one row per group and quantile is broadcast. A range
+    that misses its rank would fail the job, never shift the result.
     """
     groups = list(groups)
     reach = 4 / accuracy
@@ -30,48 +33,56 @@ def exact_quantiles(
     v = v.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     ends = [max(p - reach, 0.0) for p in probs] + [min(p + reach, 1.0) for p in probs]
     sketch = v.groupBy(*groups).agg(
-        F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", ends, accuracy).alias("_ends")
+        F.count(F.lit(1)).alias("_n"),
+        F.min("_v").alias("_min"),
+        F.max("_v").alias("_max"),
+        F.percentile_approx("_v", ends, accuracy).alias("_ends"),
     )
     small = F.col("_n") <= accuracy
-    targets = F.array(
+    goals = F.array(
         *[
             F.struct(
                 F.lit(float(p)).alias("prob"),
                 (F.lit(float(p)) * (F.col("_n") - 1)).alias("pos"),
-                F.when(small, F.lit(float("-inf"))).otherwise(F.col("_ends")[i]).alias("lo"),
-                F.when(small, F.lit(float("inf"))).otherwise(F.col("_ends")[i + len(probs)]).alias("hi"),
+                F.when(small, F.col("_min")).otherwise(F.col("_ends")[i]).alias("lo"),
+                F.when(small, F.col("_max")).otherwise(F.col("_ends")[i + len(probs)]).alias("hi"),
             )
             for i, p in enumerate(probs)
         ]
     )
-    goal = sketch.select(*[F.col(g).alias(f"_g_{g}") for g in groups], "_n", F.explode(targets).alias("_t"))
-    same_group = F.lit(True)
-    for g in groups:
-        same_group = same_group & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-    near = v.join(F.broadcast(goal), same_group).where(F.col("_v") <= F.col("_t.hi"))
-    # Rows below the range fall together under a NULL value, which sorts first.
+    goal = sketch.select(*[F.col(g).alias(f"_g_{g}") for g in groups], "_n", F.inline(goals))
+    near = v.join(F.broadcast(goal), _same(groups)).where(F.col("_v") <= F.col("hi"))
+    share = (F.col("_v") - F.col("lo")) / F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0))
+    slot = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * SLOTS), F.lit(SLOTS - 1)).cast("int")
     keys = [*groups, "prob", "pos", "_n"]
+    inside = F.col("_v") >= F.col("lo")
+    # Rows below the range fall together in slot -1 without a value.
     counted = (
-        near.select(
-            *groups,
-            "_t.prob",
-            "_t.pos",
-            "_n",
-            F.when(F.col("_v") >= F.col("_t.lo"), F.col("_v")).alias("_v"),
-        )
-        .groupBy(*keys, "_v")
+        near.select(*keys, F.when(inside, slot).otherwise(-1).alias("_slot"), F.when(inside, F.col("_v")).alias("_v"))
+        .groupBy(*keys, "_slot", "_v")
         .agg(F.count(F.lit(1)).alias("_w"))
     )
-    running = Window.partitionBy(*keys).orderBy(F.col("_v").asc_nulls_first())
-    placed = counted.withColumn("_upto", F.sum("_w").over(running))
+    totals = counted.groupBy(*keys, "_slot").agg(F.sum("_w").alias("_rows"))
+    over_slots = Window.partitionBy(*keys).orderBy("_slot")
     rank = F.floor("pos")
+    held = (
+        totals.withColumn("_upto", F.sum("_rows").over(over_slots))
+        .withColumn("_before", F.col("_upto") - F.col("_rows"))
+        .where((F.col("_upto") > rank) & (F.col("_before") <= rank + 1))
+        .select(*[F.col(g).alias(f"_g_{g}") for g in groups], F.col("prob").alias("_p"), F.col("_slot").alias("_s"), "_before")
+    )
+    same_slot = _same(groups) & (F.col("prob") == F.col("_p")) & (F.col("_slot") == F.col("_s"))
+    within = Window.partitionBy(*keys, "_slot").orderBy(F.col("_v").asc_nulls_first())
+    placed = counted.join(F.broadcast(held), same_slot).withColumn(
+        "_upto", F.col("_before") + F.sum("_w").over(within)
+    )
     picked = placed.groupBy(*keys).agg(
         F.min(F.when(F.col("_upto") > rank, F.col("_v"))).alias("_a"),
         F.min(F.when(F.col("_upto") > rank + 1, F.col("_v"))).alias("_b"),
-        F.coalesce(F.max(F.when(F.col("_v").isNull(), F.col("_upto"))), F.lit(0)).alias("_below"),
+        F.min("_slot").alias("_lowest"),
     )
     found = (
-        (F.col("_below") <= rank)
+        (F.col("_lowest") >= 0)
         & F.col("_a").isNotNull()
         & (F.col("_b").isNotNull() | (rank + 1 >= F.col("_n")))
     )
@@ -82,6 +93,14 @@ def exact_quantiles(
     )
 
 
+def _same(groups: Sequence[str]) -> Column:
+    """The group columns equal their `_g_` copies; NULL is a group of its own."""
+    same = F.lit(True)
+    for g in groups:
+        same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
+    return same
+
+
 def quantile_columns(
     df: DataFrame, groups: Sequence[str], value: str, probs: dict[str, float], accuracy: int = ACCURACY
 ) -> DataFrame:

@@ -46,6 +46,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+# Temporary folders of local sessions, by application.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can read and write.
 
@@ -55,16 +59,28 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="commerce_lens_")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
-    raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    if context.applicationId not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="commerce_lens_")
+    return _LOCAL_FOLDERS[context.applicationId]
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """Where this application keeps its intermediate files."""
+    return f"{shared_folder(spark)}/scratch/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/scratch/{label}_{uuid.uuid4().hex}"
+    """A fresh path for intermediate files."""
+    return f"{scratch_root(spark)}/{label}_{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate files of this application, once nothing reads them any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
