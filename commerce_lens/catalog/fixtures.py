@@ -13,7 +13,7 @@ from commerce_lens.functions.scalars import clean_text
 from commerce_lens.operators.clean import add_typed_nulls, clean_order_reviews
 from commerce_lens.operators.dedup import dedup_reviews
 from commerce_lens.operators.joins import review_aspect_geo
-from commerce_lens.session import configure
+from commerce_lens.session import configure, cut_lineage
 from commerce_lens.sources.jsonl import expand_results
 from commerce_lens.sources.schemas import REVIEW_COLUMNS
 
@@ -24,9 +24,12 @@ class Views:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = configure(spark)
         self.sf_dir = sf_dir
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._raw:
+            self._raw[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._raw[name]
 
     @cached_property
     def customers(self) -> DataFrame:
@@ -89,18 +92,32 @@ class Views:
         return self.raw("events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
 
     @cached_property
-    def staging_with_k(self) -> DataFrame:
-        """Reviews whose review ids and order ids repeat in chains, with tied creation dates."""
-        documents = self.raw("documents").select("doc_id", "text")
-        return self.events.join(documents, F.expr("doc_id = event_id"), "left").selectExpr(
+    def staging_scores_with_k(self) -> DataFrame:
+        """Reviews without text. Ids repeat in chains and creation dates tie."""
+        return self.events.selectExpr(
             "event_id - CASE WHEN event_id % 10 = 8 OR event_id % 12 = 4 THEN 1 ELSE 0 END AS review_id",
             "event_id - CASE WHEN event_id % 4 = 3 THEN 1 ELSE 0 END AS order_id",
             "1 + k % 5 AS review_score",
-            "CASE WHEN k % 3 = 0 THEN event_type END AS review_comment_title",
-            "text AS review_comment_message",
             "CAST(CAST(ts AS DATE) AS TIMESTAMP_NTZ) AS review_creation_date",
             "ts AS review_answer_timestamp",
             "k",
+            "event_id",
+            "event_type",
+        )
+
+    @cached_property
+    def staging_with_k(self) -> DataFrame:
+        """Reviews with title and message; documents hold at most one text per review."""
+        documents = self.raw("documents").select("doc_id", "text")
+        return self.staging_scores_with_k.join(documents, F.expr("doc_id = event_id"), "left").selectExpr(
+            "review_id",
+            "order_id",
+            "review_score",
+            "CASE WHEN k % 3 = 0 THEN event_type END AS review_comment_title",
+            "text AS review_comment_message",
+            "review_creation_date",
+            "review_answer_timestamp",
+            "k",
         )
 
     @cached_property
@@ -119,7 +136,7 @@ class Views:
         Deduplication breaks ties by every column it is given, so the text is left out
         before it, not after.
         """
-        return dedup_reviews(self.staging_reviews.drop("review_comment_title", "review_comment_message"))
+        return dedup_reviews(self.staging_scores_with_k.drop("k", "event_id", "event_type"))
 
     def _scored(self, staging: DataFrame) -> DataFrame:
         """Deduplicated rows with stand-in scores, quarters between -1 and 1 with exact sums."""
@@ -140,7 +157,7 @@ class Views:
     @cached_property
     def aspect_scores(self) -> DataFrame:
         """The scored reviews without any text but their scores."""
-        scored = self._scored(self.staging_with_k.drop("review_comment_title", "review_comment_message"))
+        scored = self._scored(self.staging_scores_with_k.drop("event_id", "event_type"))
         return scored.withColumn("review_comment_message_en", F.lit(None).cast("string"))
 
     @cached_property
@@ -159,6 +176,11 @@ class Views:
         """The scored review fact without its text."""
         return self._geo(self.aspect_scores).drop("review_comment_message_en")
 
+    @cached_property
+    def geo_table(self) -> DataFrame:
+        """The fact as a stored table, for operators that read it more than once."""
+        return cut_lineage(self.geo, "geo")
+
     @cached_property
     def geo_with_text(self) -> DataFrame:
         return self._geo(self.scored_reviews)
@@ -174,7 +196,7 @@ class Views:
     @cached_property
     def aspect_results(self) -> DataFrame:
         """Stand-in result lines for an aspect batch: one request per scored review."""
-        scored = dedup_reviews(self.staging_with_k).where("k % 4 <> 0")
+        scored = dedup_reviews(self.staging_scores_with_k.drop("event_id", "event_type")).where("k % 4 <> 0")
 
         def document(shift: int):
             keys = ("delivery_speed", *ASPECTS[1:])

@@ -560,8 +560,8 @@ ORACLE["profile_table"] = " UNION ALL ".join(
 )
 ORACLE["profile_top_values"] = " UNION ALL ".join(
     f"""SELECT '{table}' AS table_name, '{c}' AS "column", CAST(rank AS INT) AS rank, value, n AS count, n / total AS share
-    FROM (SELECT *, row_number() OVER (ORDER BY n DESC, value) AS rank
-          FROM (SELECT CAST({c} AS VARCHAR) AS value, count(*) AS n, (SELECT count(*) FROM {view}) AS total
+    FROM (SELECT CAST(v AS VARCHAR) AS value, n, total, row_number() OVER (ORDER BY n DESC, v) AS rank
+          FROM (SELECT {c} AS v, count(*) AS n, (SELECT count(*) FROM {view}) AS total
                 FROM {view} WHERE {c} IS NOT NULL GROUP BY 1)) WHERE rank <= 10"""
     for table, (view, columns) in PROFILED.items()
     for c, _, _ in columns

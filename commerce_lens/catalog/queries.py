@@ -178,7 +178,7 @@ def filter_negative_scores(v: Views) -> DataFrame:
 
 @query
 def filter_isin_top(v: Views) -> DataFrame:
-    return select.keep_top(v.geo, CITY, 10).select("review_id", CITY, QUALITY)
+    return select.keep_top(v.geo_table, CITY, 10).select("review_id", CITY, QUALITY)
 
 
 @query
@@ -506,17 +506,17 @@ def pivot_pair_frequency(v: Views) -> DataFrame:
 
 @query
 def pivot_category_city_mean(v: Views) -> DataFrame:
-    return reshape.category_city_cells(v.geo, QUALITY)
+    return reshape.category_city_cells(v.geo_table, QUALITY)
 
 
 @query
 def pivot_category_city_masked(v: Views) -> DataFrame:
-    return reshape.category_city_cells(v.geo, DELIVERY, min_reviews=5)
+    return reshape.category_city_cells(v.geo_table, DELIVERY, min_reviews=5)
 
 
 @query
 def pivot_top_both(v: Views) -> DataFrame:
-    return reshape.category_city_cells(v.geo, SERVICE, min_reviews=5, top_categories=10)
+    return reshape.category_city_cells(v.geo_table, SERVICE, min_reviews=5, top_categories=10)
 
 
 @query
@@ -529,38 +529,38 @@ def melt_aspects(v: Views) -> DataFrame:
 
 @query
 def describe_numeric(v: Views) -> DataFrame:
-    out = stats.describe(v.geo, ["review_id", *SCORE_COLUMNS])
+    out = stats.describe(v.geo_table, ["review_id", *SCORE_COLUMNS])
     return rounded(out, "mean", "std", "q25", "q50", "q75")
 
 
 @query
 def histogram_20(v: Views) -> DataFrame:
-    return rounded(stats.histogram(v.geo, SCORE_COLUMNS), "bin_start", "bin_end")
+    return rounded(stats.histogram(v.geo_table, SCORE_COLUMNS), "bin_start", "bin_end")
 
 
 @query
 def histogram_negative(v: Views) -> DataFrame:
-    return rounded(stats.histogram(select.negative(v.geo, QUALITY), QUALITY), "bin_start", "bin_end")
+    return rounded(stats.histogram(select.negative(v.geo_table, QUALITY), QUALITY), "bin_start", "bin_end")
 
 
 @query
 def kde_1d(v: Views) -> DataFrame:
-    return rounded(density.kde_1d(v.geo, SCORE_COLUMNS), "x", "density")
+    return rounded(density.kde_1d(v.geo_table, SCORE_COLUMNS), "x", "density")
 
 
 @query
 def kde_2d(v: Views) -> DataFrame:
-    return rounded(density.kde_2d(v.geo, [(QUALITY, SERVICE)]), "x", "y", "density")
+    return rounded(density.kde_2d(v.geo_table, [(QUALITY, SERVICE)]), "x", "y", "density")
 
 
 @query
 def kde_2d_levels(v: Views) -> DataFrame:
-    return rounded(density.kde_levels(density.kde_2d(v.geo, [(QUALITY, SERVICE)])), "proportion", "density")
+    return rounded(density.kde_levels(density.kde_2d(v.geo_table, [(QUALITY, SERVICE)])), "proportion", "density")
 
 
 @query
 def box_stats(v: Views) -> DataFrame:
-    return rounded(stats.box_stats(v.geo, CATEGORY, QUALITY), "q1", "median", "q3")
+    return rounded(stats.box_stats(v.geo_table, CATEGORY, QUALITY), "q1", "median", "q3")
 
 
 @query
@@ -570,12 +570,12 @@ def box_outliers(v: Views) -> DataFrame:
 
 @query
 def pair_grid(v: Views) -> DataFrame:
-    return rounded(density.pair_grid(v.geo, [QUALITY, SERVICE, DELIVERY]), "x", "value")
+    return rounded(density.pair_grid(v.geo_table, [QUALITY, SERVICE, DELIVERY]), "x", "value")
 
 
 @query
 def pair_grid_density(v: Views) -> DataFrame:
-    return rounded(density.pair_grid(v.geo, [QUALITY, SERVICE, DELIVERY], kind="kde"), "x", "y", "value")
+    return rounded(density.pair_grid(v.geo_table, [QUALITY, SERVICE, DELIVERY], kind="kde"), "x", "y", "value")
 
 
 def _profiled(v: Views) -> dict[str, DataFrame]:

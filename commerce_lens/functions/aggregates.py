@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from commerce_lens.functions.scalars import as_col, divide, money
+from commerce_lens.functions.scalars import amount, as_col, divide, money
 
 
 def count_col(c: Column | str) -> Column:
@@ -19,7 +19,7 @@ def count_distinct(c: Column | str) -> Column:
 
 def sum_money(c: Column | str) -> Column:
     """Exact sum, returned as DOUBLE; NULL for an all-NULL group."""
-    return F.sum(money(c)).cast("double")
+    return amount(F.sum(money(c)))
 
 
 def avg_money(c: Column | str) -> Column:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Money is summed exactly: addition of DECIMAL does not depend on partition order.
-MONEY = "decimal(18,4)"
+# Money is summed as a whole number of ten-thousandths, which does not depend on partition
+# order and stays in a machine word. A sum beyond 9e14 overflows, which is an error.
+MONEY_UNITS = 10_000
 
 
 def as_col(c: Column | str) -> Column:
@@ -63,4 +64,10 @@ def divide(a: Column | str, b: Column | str) -> Column:
 
 
 def money(c: Column | str) -> Column:
-    return as_col(c).cast(MONEY)
+    """An amount as whole units."""
+    return F.rint(as_col(c) * F.lit(float(MONEY_UNITS))).cast("long")
+
+
+def amount(units: Column | str) -> Column:
+    """Whole units back to an amount."""
+    return as_col(units) / F.lit(float(MONEY_UNITS))

@@ -2,26 +2,33 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from commerce_lens.operators.quantiles import ACCURACY, quantile_columns
+from commerce_lens.operators.reshape import melt
 from commerce_lens.operators.stats import is_numeric, long_values, numeric_columns, per_column
 
 QUANTILES = {"q05": 0.05, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q95": 0.95}
 
 
-def value_counts(df: DataFrame) -> DataFrame:
-    """(column, value as text, count) of every non-NULL value of every column.
+def value_counts(df: DataFrame, reduce_counts: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Apply reduce_counts to (column, value, count) of all non-NULL values, unioned.
 
-    One shuffle serves all columns, and a value that fills a third of a column is counted
-    down to one row per task before it.
+    Columns of one type are counted together, in that type: one shuffle per type, and a
+    value that fills a third of a column is one row per task in it. reduce_counts brings
+    each type to the same few columns.
     """
-    text = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
-    long = text.unpivot([], list(df.columns), "column", "value").where(F.col("value").isNotNull())
-    return long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
+    parts = []
+    for dtype in dict.fromkeys(t for _, t in df.dtypes):
+        columns = [c for c, t in df.dtypes if t == dtype]
+        long = melt(df.select(*columns), [], columns, "column", "value").where(F.col("value").isNotNull())
+        parts.append(reduce_counts(long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def profile_columns(df: DataFrame, accuracy: int = ACCURACY) -> DataFrame:
@@ -78,8 +85,11 @@ def profile_columns(df: DataFrame, accuracy: int = ACCURACY) -> DataFrame:
             "mean_length": length(F.avg, "double"),
         },
     )
-    distinct = value_counts(df).groupBy("column").agg(
-        F.count(F.lit(1)).alias("distinct"), F.count_if(F.col("count") == 1).alias("unique")
+    distinct = value_counts(
+        df,
+        lambda counts: counts.groupBy("column").agg(
+            F.count(F.lit(1)).alias("distinct"), F.count_if(F.col("count") == 1).alias("unique")
+        ),
     )
     out = measured.join(F.broadcast(distinct), "column", "left")
     if numeric:
@@ -109,8 +119,12 @@ def profile_top_values(df: DataFrame, n: int = 10) -> DataFrame:
     """The n most common values of each column with their share of all rows."""
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     place = F.row_number().over(Window.partitionBy("column").orderBy(F.desc("count"), F.asc("value")))
-    top = value_counts(df).withColumn("rank", place).where(F.col("rank") <= n)
-    return top.select("column", "rank", "value", "count", (F.col("count") / total).alias("share"))
+
+    def most_common(counts: DataFrame) -> DataFrame:
+        top = counts.withColumn("rank", place).where(F.col("rank") <= n)
+        return top.select("column", "rank", F.col("value").cast("string").alias("value"), "count")
+
+    return value_counts(df, most_common).withColumn("share", F.col("count") / total)
 
 
 def profile_correlations(df: DataFrame) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ACCURACY = 100_000
+ACCURACY = 10_000
 SLOTS = 10_000
 
 
@@ -19,15 +21,16 @@ def exact_quantiles(
     1. A sketch of each group gives a value range around every quantile that is sure to hold
        it: the sketch is off by at most 1/accuracy of the rows and the range reaches
        4/accuracy to both sides. A group of up to `accuracy` rows is its own range.
-    2. Rows below each range are counted, distinct values inside it get a weight.
-    3. The range is cut into SLOTS even slots; running totals over the slots tell the one or
+    2. Rows are counted by how many ranges start at or below them, and by value only where
+       they lie inside a range; that is all later steps need of the rows.
+    3. Each range is cut into SLOTS even slots; running totals over the slots tell the one or
        two that hold the wanted ranks, and only their values are ordered.
 
     No task sees more than SLOTS totals or one slot of one range. Groups must be few
     (columns of a table, a top-k list): one row per group and quantile is broadcast. A range
     that misses its rank would fail the job, never shift the result.
     """
-    groups = list(groups)
+    groups, probs = list(groups), sorted(set(probs))
     reach = 4 / accuracy
     v = df.select(*groups, F.col(value).cast("double").alias("_v"))
     v = v.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
@@ -39,28 +42,36 @@ def exact_quantiles(
         F.percentile_approx("_v", ends, accuracy).alias("_ends"),
     )
     small = F.col("_n") <= accuracy
-    goals = F.array(
-        *[
-            F.struct(
-                F.lit(float(p)).alias("prob"),
-                (F.lit(float(p)) * (F.col("_n") - 1)).alias("pos"),
-                F.when(small, F.col("_min")).otherwise(F.col("_ends")[i]).alias("lo"),
-                F.when(small, F.col("_max")).otherwise(F.col("_ends")[i + len(probs)]).alias("hi"),
-            )
-            for i, p in enumerate(probs)
-        ]
+    goals = [
+        F.struct(
+            F.lit(i).alias("_i"),
+            F.lit(float(p)).alias("prob"),
+            (F.lit(float(p)) * (F.col("_n") - 1)).alias("pos"),
+            F.when(small, F.col("_min")).otherwise(F.col("_ends")[i]).alias("lo"),
+            F.when(small, F.col("_max")).otherwise(F.col("_ends")[i + len(probs)]).alias("hi"),
+        )
+        for i, p in enumerate(probs)
+    ]
+    goal = sketch.select(*[F.col(g).alias(f"_g_{g}") for g in groups], "_n", F.array(*goals).alias("_goals"))
+    ranges = [F.col("_goals")[i] for i in range(len(probs))]
+    started = sum((F.when(F.col("_v") >= r["lo"], 1).otherwise(0) for r in ranges), F.lit(0))
+    in_range = reduce(operator.or_, [F.col("_v").between(r["lo"], r["hi"]) for r in ranges])
+    coded = (
+        v.join(F.broadcast(goal), _same(groups))
+        .select(*groups, started.alias("_started"), F.when(in_range, F.col("_v")).alias("_v"))
+        .groupBy(*groups, "_started", "_v")
+        .agg(F.count(F.lit(1)).alias("_w"))
+    )
+    each = coded.join(F.broadcast(goal), _same(groups)).select(
+        *groups, "_n", "_started", "_v", "_w", F.inline("_goals")
     )
-    goal = sketch.select(*[F.col(g).alias(f"_g_{g}") for g in groups], "_n", F.inline(goals))
-    near = v.join(F.broadcast(goal), _same(groups)).where(F.col("_v") <= F.col("hi"))
+    below = F.col("_started") <= F.col("_i")
     share = (F.col("_v") - F.col("lo")) / F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0))
     slot = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * SLOTS), F.lit(SLOTS - 1)).cast("int")
     keys = [*groups, "prob", "pos", "_n"]
-    inside = F.col("_v") >= F.col("lo")
-    # Rows below the range fall together in slot -1 without a value.
-    counted = (
-        near.select(*keys, F.when(inside, slot).otherwise(-1).alias("_slot"), F.when(inside, F.col("_v")).alias("_v"))
-        .groupBy(*keys, "_slot", "_v")
-        .agg(F.count(F.lit(1)).alias("_w"))
+    # Rows below the range are one weight in slot -1, rows above it are not needed.
+    counted = each.where(below | (F.col("_v") <= F.col("hi"))).select(
+        *keys, F.when(below, -1).otherwise(slot).alias("_slot"), F.when(~below, F.col("_v")).alias("_v"), "_w"
     )
     totals = counted.groupBy(*keys, "_slot").agg(F.sum("_w").alias("_rows"))
     over_slots = Window.partitionBy(*keys).orderBy("_slot")

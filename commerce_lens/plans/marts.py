@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from commerce_lens.functions.aggregates import count_distinct, count_where, ratio, weighted_avg
 from commerce_lens.functions.json_text import ASPECTS, json_scores
-from commerce_lens.functions.scalars import money, month_of, month_start, to_day, year_month, year_of
+from commerce_lens.functions.scalars import amount, money, month_of, month_start, to_day, year_month, year_of
 from commerce_lens.operators.joins import categorised_products, inner_join_customer
 from commerce_lens.operators.reshape import group_by
 
@@ -45,11 +45,11 @@ def _sales_measures() -> dict[str, Column]:
     items = F.coalesce(F.sum("items"), F.lit(0))
     return {
         "total_orders": count_distinct("order_id"),
-        "total_revenue": F.sum("revenue").cast("double"),
+        "total_revenue": amount(F.sum("revenue")),
         "total_items_sold": items,
         "avg_items_per_order": ratio(items, count_distinct("order_id")),
         "avg_review_score": weighted_avg("score_sum", "score_rows"),
-        "avg_freight_value": weighted_avg("freight", "freight_items"),
+        "avg_freight_value": F.try_divide(amount(F.sum("freight")), F.sum("freight_items").cast("double")),
     }
 
 
@@ -83,7 +83,7 @@ def agg_sales_by_city(orders: DataFrame, customers: DataFrame, items: DataFrame,
     }
     measures = _sales_measures() | {
         "unique_customers": count_distinct("customer_id"),
-        "total_freight_value": F.sum("freight").cast("double"),
+        "total_freight_value": amount(F.sum("freight")),
     }
     return group_by(rows, keys, measures).select(
         "order_month",
