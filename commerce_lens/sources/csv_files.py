@@ -62,7 +62,7 @@ WRITE_OPTIONS = {
 def write_enrichment_csv(df: DataFrame, path: str) -> None:
     """Key and value columns with every text quoted and quotes doubled.
 
-    A NULL is an empty field without quotes, so that it stays apart from empty text.
+    With every field quoted a NULL comes out as empty text; parsed results hold none.
     """
     df.write.mode("overwrite").options(**WRITE_OPTIONS, quoteAll="true", emptyValue='').csv(path)
 
