@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -247,38 +246,52 @@ def stand_in_translation(message: str):
     return clean_text(F.concat(F.lit("EN: "), F.col(message)))
 
 
-def _lines(batch, answer):
-    """Result lines of a batch: (line, seq) rows with the failures and repeats of the fixture."""
-    import pandas as pd
+def _opener(answer):
+    """A model that answers with result lines: failures and repeats as in _result_lines.
 
-    rows = []
-    for custom_id, text in zip(batch["custom_id"], batch["user_prompt"]):
-        number = int(custom_id)
-        status = 500 if number % 11 == 0 else 200
-        for seq in range(2 if number % 17 == 0 else 1):
-            message = {"message": {"content": answer(number, text, seq)}}
-            body = {"status_code": status, "body": {"choices": [message]}}
-            rows.append((json.dumps({"custom_id": custom_id, "response": body}), seq))
-    return pd.DataFrame(rows, columns=["line", "seq"])
+    answer(number, text, seq) gives the content. The functions refer to nothing outside
+    themselves, so executors need not import this package.
+    """
 
+    def open_model():
+        import json
 
-def open_translator():
-    """A translator that marks the text instead of translating it."""
+        import pandas as pd
+
+        def run(batch):
+            rows = []
+            for custom_id, text in zip(batch["custom_id"], batch["user_prompt"]):
+                number = int(custom_id)
+                for seq in range(2 if number % 17 == 0 else 1):
+                    message = {"message": {"content": answer(number, text, seq)}}
+                    response = {"status_code": 500 if number % 11 == 0 else 200, "body": {"choices": [message]}}
+                    rows.append((json.dumps({"custom_id": custom_id, "response": response}), seq))
+            return pd.DataFrame(rows, columns=["line", "seq"])
+
+        return run
+
+    return open_model
+
+
+def stand_in_translator():
+    """Marks the text instead of translating it."""
 
     def answer(number, text, seq):
         return f"{'EN' if seq == 0 else 'EN2'}: {text}"
 
-    return lambda batch: _lines(batch, answer)
+    return _opener(answer)
 
 
-def open_scorer():
-    """A scorer that derives scores from the length of the prompt."""
+def stand_in_scorer():
+    """Derives scores from the length of the prompt; every 13th first answer is malformed."""
     keys = ("delivery_speed", *ASPECTS[1:])
 
     def answer(number, text, seq):
+        import json
+
         if seq == 0 and number % 13 == 0:
             return '{"delivery_speed": '
         scores = {key: ((len(text) + seq + 2 * j) % 9 - 4) / 4 for j, key in enumerate(keys)}
         return json.dumps(scores | {"correct_items": 0.0})
 
-    return lambda batch: _lines(batch, answer)
+    return _opener(answer)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commerce_lens.catalog.fixtures import Views, open_scorer, open_translator
+from commerce_lens.catalog.fixtures import Views, stand_in_scorer, stand_in_translator
 from commerce_lens.functions import aggregates as agg
 from commerce_lens.functions import scalars as fn
 from commerce_lens.functions.json_text import ASPECTS, json_doc, json_scores, json_valid, result_fields
@@ -657,7 +657,7 @@ def aspect_results(v: Views) -> DataFrame:
 @query
 def apply_model(v: Views) -> DataFrame:
     requests = enrich.translation_requests(enrich.pending_translation(v.reviews))
-    lines = enrich.apply_model(requests, open_translator, "line string, seq long")
+    lines = enrich.apply_model(requests, stand_in_translator(), "line string, seq long")
     return jsonl.expand_results(lines).select("custom_id", "status_code", "content", "seq")
 
 
@@ -676,7 +676,7 @@ def merge_aspects(v: Views) -> DataFrame:
 
 @query
 def enriched_reviews(v: Views) -> DataFrame:
-    out = enrich_reviews(v.reviews, open_translator, open_scorer)
+    out = enrich_reviews(v.reviews, stand_in_translator(), stand_in_scorer())
     scores = out.select("review_id", "review_comment_message_en", json_scores("review_aspect_scores").alias("s"))
     return scores.select("review_id", "review_comment_message_en", *[F.col(f"s.{a}").alias(a) for a in ASPECTS])
 
@@ -689,7 +689,7 @@ def batch_outcome(v: Views) -> DataFrame:
 @query
 def refresh_all_layers(v: Views) -> DataFrame:
     root = scratch_path(v.spark, "refresh")
-    return _row_counts(refresh(v.spark, _write_sources(v), root, open_translator, open_scorer))
+    return _row_counts(refresh(v.spark, _write_sources(v), root, stand_in_translator(), stand_in_scorer()))
 
 
 def named_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -152,7 +152,8 @@ def _ok(results: DataFrame, mode: str) -> DataFrame:
         complete = F.col("status_code").isNotNull() & (
             (F.col("status_code") != OK) | F.col("content").isNotNull()
         )
-        results = results.where(complete | F.raise_error(message).cast("boolean"))
+        # In the column, so that no filter on the status can run before the check.
+        results = results.withColumn("status_code", F.when(complete, F.col("status_code")).otherwise(F.raise_error(message)))
     return results.where((F.col("status_code") == OK) & F.col("content").isNotNull())
 
 
@@ -240,5 +241,6 @@ def merge_translations(reviews: DataFrame, parsed: DataFrame) -> DataFrame:
 
 def merge_aspects(reviews: DataFrame, parsed: DataFrame) -> DataFrame:
     """As merge_translations; the text must be well-formed JSON."""
-    checked = parsed.withColumn("review_aspect_scores", json_checked("review_aspect_scores"))
+    text = F.col("review_aspect_scores")
+    checked = parsed.where(text.isNull() | json_checked(text).isNotNull())
     return update_from(reviews, _like_target(checked, reviews), "review_id", ["review_aspect_scores"])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from commerce_lens.operators.quantiles import ACCURACY, quantile_columns
 from commerce_lens.operators.reshape import melt
-from commerce_lens.operators.stats import is_numeric, long_values, numeric_columns, per_column
+from commerce_lens.operators.stats import is_numeric, long_values, nan_as_null, numeric_columns, per_column
 
 QUANTILES = {"q05": 0.05, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q95": 0.95}
 
@@ -38,6 +38,7 @@ def profile_columns(df: DataFrame, accuracy: int = ACCURACY) -> DataFrame:
     types, text lengths are NULL for anything but text.
     """
     types = dict(df.dtypes)
+    df = nan_as_null(df)
     numeric = numeric_columns(df)
 
     def number(measure):
@@ -103,6 +104,7 @@ def profile_columns(df: DataFrame, accuracy: int = ACCURACY) -> DataFrame:
 
 def profile_table(df: DataFrame) -> DataFrame:
     """Rows, columns, missing cells and duplicate rows of a table, as one row."""
+    df = nan_as_null(df)
     whole_rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
     nulls = sum((F.col(c).isNull().cast("long") for c in df.columns), F.lit(0))
     repeated = F.col("_n") > 1
@@ -124,11 +126,12 @@ def profile_top_values(df: DataFrame, n: int = 10) -> DataFrame:
         top = counts.withColumn("rank", place).where(F.col("rank") <= n)
         return top.select("column", "rank", F.col("value").cast("string").alias("value"), "count")
 
-    return value_counts(df, most_common).withColumn("share", F.col("count") / total)
+    return value_counts(nan_as_null(df), most_common).withColumn("share", F.col("count") / total)
 
 
 def profile_correlations(df: DataFrame) -> DataFrame:
     """Pearson correlation of each pair of numeric columns over rows that have both."""
+    df = nan_as_null(df)
     pairs = list(combinations(numeric_columns(df), 2))
     if not pairs:
         return df.sparkSession.createDataFrame([], "a string, b string, correlation double")

@@ -22,11 +22,16 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [c for c, t in df.dtypes if is_numeric(t)]
 
 
+def nan_as_null(df: DataFrame) -> DataFrame:
+    """Not-a-number counts as missing."""
+    floats = [c for c, t in df.dtypes if t in ("float", "double")]
+    return df.withColumns({c: F.nanvl(c, F.lit(None).cast("double")) for c in floats}) if floats else df
+
+
 def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, value) for every non-NULL value of the columns, as DOUBLE."""
-    wide = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    long = melt(wide, [], columns, "column", "value")
-    return long.where(F.col("value").isNotNull() & ~F.isnan("value"))
+    wide = nan_as_null(df.select(*[F.col(c).cast("double").alias(c) for c in columns]))
+    return melt(wide, [], columns, "column", "value").where(F.col("value").isNotNull())
 
 
 def per_column(df: DataFrame, columns: Sequence[str], stats: dict[str, callable]) -> DataFrame:
@@ -42,21 +47,8 @@ def per_column(df: DataFrame, columns: Sequence[str], stats: dict[str, callable]
 def describe(df: DataFrame, columns: Sequence[str] | None = None, accuracy: int = ACCURACY) -> DataFrame:
     """count, mean, sample deviation, min, quartiles and max of each numeric column."""
     columns = list(columns) if columns is not None else numeric_columns(df)
-
-    def value(c: str) -> Column:
-        return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
-
-    moments = per_column(
-        df,
-        columns,
-        {
-            "count": lambda c: F.count(value(c)),
-            "mean": lambda c: F.avg(value(c)),
-            "std": lambda c: F.stddev_samp(value(c)),
-            "min": lambda c: F.min(value(c)),
-            "max": lambda c: F.max(value(c)),
-        },
-    )
+    df = nan_as_null(df.select(*[F.col(c).cast("double").alias(c) for c in columns]))
+    moments = per_column(df, columns, {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max})
     quartiles = quantile_columns(
         long_values(df, columns), ["column"], "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, accuracy
     )

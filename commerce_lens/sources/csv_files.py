@@ -41,10 +41,14 @@ def read_table_csv(
 
 
 def require(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """Fail on a NULL in any of the columns. A filter cannot be pruned away with its column."""
+    """Fail on a NULL in any of the columns.
+
+    The check is part of the column, so that no filter on the key can run before it, and of
+    a filter, so that it also runs where the key itself is not read.
+    """
     for c in columns:
-        message = F.lit(f"NULL in required column {c}")
-        df = df.where(F.col(c).isNotNull() | F.raise_error(message).cast("boolean"))
+        checked = F.coalesce(F.col(c), F.raise_error(F.lit(f"NULL in required column {c}")))
+        df = df.withColumn(c, checked).where(F.col(c).isNotNull())
     return df
 
 

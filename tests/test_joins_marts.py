@@ -1,0 +1,200 @@
+"""Joins, updates and marts on edge frames, against plain Python."""
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from commerce_lens.operators.joins import inner_join_customer, order_facts, review_aspect_geo, update_from
+from commerce_lens.plans.marts import agg_aspect_score_by_product, agg_sales_by_city, agg_sales_daily
+from tests.conftest import rows
+
+T = datetime(2018, 1, 1, 12)
+ORDERS = "order_id string, customer_id string, order_purchase_timestamp timestamp"
+ITEMS = "order_id string, order_item_id int, product_id string, price double, freight_value double"
+REVIEWS = "review_id string, order_id string, review_score int, review_answer_timestamp timestamp, review_comment_message_en string, review_aspect_scores string"
+CUSTOMERS = "customer_id string, customer_city string, customer_state string"
+
+
+def test_left_joins_keep_every_order(frame):
+    orders = frame("order_id string, customer_id string", ("a", "c"), ("b", "c"), (None, "c"), ("d", "c"), ("a", "dup"))
+    items = frame("order_id string, item int", ("a", 1), ("a", 2), (None, 3), ("x", 4))
+    reviews = frame("order_id string, score int", ("a", 5), ("b", 1), (None, 2))
+    out = order_facts(orders, items, reviews).select("order_id", "customer_id", "item", "score")
+    want = orders.join(items, "order_id", "left").join(reviews, "order_id", "left")
+    assert rows(out) == rows(want.select("order_id", "customer_id", "item", "score"))
+
+
+def test_inner_join_drops_orders_without_customer(frame):
+    orders = frame("order_id string, customer_id string", ("a", "1"), ("b", None), ("c", "9"))
+    assert rows(inner_join_customer(orders, frame(CUSTOMERS, ("1", "x", "y"))), "order_id") == [("a",)]
+
+
+UPDATE = "k string, v string, w int"
+
+
+def test_update_semantics(frame):
+    target = frame(UPDATE, ("match", "old", 1), ("null", "old", 2), ("other", "old", 3), (None, "old", 4), ("match", "twin", 5))
+    source = frame("k string, v string", ("match", "new"), ("null", None), ("nobody", "x"), (None, "y"))
+    assert rows(update_from(target, source, "k", ["v"]), "w", "k", "v") == [
+        (1, "match", "new"),
+        (2, "null", None),
+        (3, "other", "old"),
+        (4, None, "old"),
+        (5, "match", "new"),
+    ]
+
+
+def test_update_from_nothing_is_identity(frame):
+    target = frame(UPDATE, ("a", "b", 1), (None, None, 2))
+    assert rows(update_from(target, frame("k string, v string"), "k", ["v"])) == rows(target)
+
+
+def test_two_updates_for_one_row_are_an_error(frame):
+    target = frame(UPDATE, ("a", "b", 1))
+    twice = frame("k string, v string", ("a", "x"), ("a", "y"))
+    with pytest.raises(Exception, match="more than one update"):
+        update_from(target, twice, "k", ["v"]).select("w").collect()
+    # Two source rows that match no target row are no error.
+    unmatched = frame("k string, v string", ("z", "x"), ("z", "y"))
+    assert rows(update_from(target, unmatched, "k", ["v"])) == rows(target)
+
+
+def random_shop(seed, hot):
+    """Orders (some repeated), items (a third of them in one order) and reviews."""
+    rng = random.Random(seed)
+    orders = [(f"o{i}", f"c{rng.randrange(8)}", T + timedelta(days=rng.randrange(70))) for i in range(40)]
+    orders += [("o1", "c99", T), ("none", "c1", None), (None, "c2", T)]
+    items = []
+    for n in range(200):
+        order = "o3" if hot and rng.random() < 0.34 else f"o{rng.randrange(35)}"
+        price = rng.choice([None, round(rng.random() * 100, 2)])
+        items.append((order, rng.choice([None, n]), f"p{rng.randrange(5)}", price, rng.choice([None, 1.25, 7.1])))
+    reviews = [(f"r{i}", f"o{i}", rng.choice([None, 1, 2, 5]), T, None, None) for i in range(0, 40, 2)]
+    return orders, items, reviews
+
+
+def joined(orders, items, reviews):
+    """orders left join items left join reviews, row by row."""
+    out = []
+    for o in orders:
+        some = [i for i in items if o[0] is not None and i[0] == o[0]] or [(None,) * 5]
+        review = [r for r in reviews if o[0] is not None and r[1] == o[0]] or [(None,) * 6]
+        out += [(o, i, r) for i in some for r in review]
+    return out
+
+
+def measures(group):
+    def mean(values):
+        values = [v for v in values if v is not None]
+        return sum(values) / len(values) if values else None
+
+    def total(values):
+        values = [v for v in values if v is not None]
+        return round(sum(values), 4) if values else None
+
+    distinct = len({o[0] for o, _, _ in group if o[0] is not None})
+    items = sum(i[1] is not None for _, i, _ in group)
+    return {
+        "total_orders": distinct,
+        "total_revenue": total(i[3] for _, i, _ in group),
+        "avg_freight_value": mean([i[4] for _, i, _ in group]),
+        "avg_review_score": mean([r[2] for _, _, r in group]),
+        "total_items_sold": items,
+        "avg_items_per_order": items / distinct,
+    }
+
+
+def check(got, want):
+    for name, value in want.items():
+        assert got[name] == (value if value is None else pytest.approx(value, rel=1e-12)), name
+
+
+@pytest.mark.parametrize("hot", [True, False])
+def test_daily_mart(spark, hot):
+    orders, items, reviews = random_shop(5, hot)
+    orders = [o for o in orders if o[0] is not None]
+    mart = agg_sales_daily(
+        spark.createDataFrame(orders, ORDERS), spark.createDataFrame(items, ITEMS), spark.createDataFrame(reviews, REVIEWS)
+    )
+    groups = {}
+    for row in joined(orders, items, reviews):
+        groups.setdefault(row[0][2] and row[0][2].date(), []).append(row)
+    got = {r["order_date"]: r.asDict() for r in mart.collect()}
+    assert set(got) == set(groups) and None in got
+    for day, group in groups.items():
+        check(got[day], measures(group))
+
+
+def test_city_mart(spark):
+    orders, items, reviews = random_shop(11, True)
+    customers = [(f"c{i}", f"city{i % 3}" if i else None, "S") for i in range(8)]
+    orders = [o for o in orders if o[0] is not None]
+    mart = agg_sales_by_city(
+        spark.createDataFrame(orders, ORDERS),
+        spark.createDataFrame(customers, CUSTOMERS),
+        spark.createDataFrame(items, ITEMS),
+        spark.createDataFrame(reviews, REVIEWS),
+    )
+    place = {c[0]: c[1] for c in customers}
+    groups = {}
+    for row in joined(orders, items, reviews):
+        o = row[0]
+        if o[1] in place:
+            groups.setdefault((o[2] and o[2].strftime("%Y%m"), place[o[1]]), []).append(row)
+    got = {(r["year_month"], r["city"]): r.asDict() for r in mart.collect()}
+    assert set(got) == set(groups)
+    for key, group in groups.items():
+        check(got[key], measures(group))
+        assert got[key]["unique_customers"] == len({o[1] for o, _, _ in group})
+
+
+def test_aspect_mart(frame):
+    scores = '{"delivery": -0.5, "product_quality": "0.25", "customer_service": {"x": 1}, "packaging_condition": null}'
+    reviews = frame(
+        REVIEWS,
+        ("r1", "o1", 5, T, "x", scores),
+        ("r2", "o2", 1, T, "y", '{"delivery": 0.5}'),
+        ("r3", "o3", 3, T, "z", None),
+        ("r4", "o4", None, None, "w", "null"),
+    )
+    items = frame(
+        ITEMS, ("o1", 1, "p", 1.0, 1.0), ("o1", 2, "p", 1.0, 1.0), ("o2", 1, "p", 1.0, 1.0), ("o3", 1, "p", 1.0, 1.0),
+        ("o4", 1, "p", 1.0, 1.0), ("o1", 3, "q", 1.0, 1.0), ("o1", 4, "untranslated", 1.0, 1.0), ("o1", 5, "twice", 1.0, 1.0),
+    )
+    products = frame(
+        "product_id string, product_category_name string",
+        ("p", "a"), ("q", None), ("untranslated", "b"), ("twice", "a"), ("twice", "a"),
+    )
+    translation = frame("product_category_name string, product_category_name_english string", ("a", "A"))
+    out = {(r["product_id"], r["review_year"]): r for r in agg_aspect_score_by_product(reviews, items, products, translation).collect()}
+    assert set(out) == {("p", 2018), ("p", None), ("twice", 2018)}
+    p = out[("p", 2018)]
+    assert (p["total_reviews"], p["num_reviews_with_aspect_scores"]) == (3, 3)
+    assert p["avg_review_score"] == 11 / 3
+    assert p["avg_delivery_score"] == (-0.5 - 0.5 + 0.5) / 3
+    assert (p["avg_product_quality_score"], p["avg_customer_service_score"]) == (0.25, None)
+    assert (p["count_negative_delivery"], p["count_negative_packaging_condition"]) == (2, 0)
+    assert out[("twice", 2018)]["total_reviews"] == 2
+    assert out[("p", None)]["total_reviews"] == 1 and out[("p", None)]["avg_review_score"] is None
+
+
+def test_review_aspect_geo(frame):
+    reviews = frame(REVIEWS, ("r1", "o1", 5, T, "en", '{"delivery": 0.5}'), ("r2", "o2", 5, T, "en", None))
+    items = frame(ITEMS, ("o1", 1, "p", 1.0, 1.0), ("o1", 2, "p", 1.0, 1.0), ("o2", 1, "p", 1.0, 1.0))
+    products = frame("product_id string, product_category_name string", ("p", "a"))
+    translation = frame("product_category_name string, product_category_name_english string", ("a", "A"))
+    orders = frame(ORDERS, ("o1", "c", T), ("o2", "c", T))
+    geo = review_aspect_geo(reviews, items, products, translation, orders, frame(CUSTOMERS, ("c", "city", "S")))
+    assert rows(geo, "review_id", "product_category_name_en", "city", "delivery_score", "refund_process_score") == [
+        ("r1", "A", "city", 0.5, None)
+    ] * 2
+
+
+def test_marts_do_not_depend_on_partitioning(spark):
+    orders, items, reviews = random_shop(2, True)
+    orders = [o for o in orders if o[0] is not None]
+    frames = [spark.createDataFrame(d, s) for d, s in ((orders, ORDERS), (items, ITEMS), (reviews, REVIEWS))]
+    first = rows(agg_sales_daily(*frames))
+    assert rows(agg_sales_daily(*[f.repartition(9, F.rand(1)) for f in frames])) == first

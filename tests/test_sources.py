@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from commerce_lens import session
-from commerce_lens.catalog.fixtures import open_scorer, open_translator
+from commerce_lens.catalog.fixtures import stand_in_scorer, stand_in_translator
 from commerce_lens.plans.refresh import refresh
 from commerce_lens.sources import csv_files, jsonl, tables
 from commerce_lens.sources.ingest import STAGING_TABLES, source_spec
@@ -126,7 +126,7 @@ def refreshed(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("sources")
     specs = [source_spec(n, write(folder / f"{n}.csv", SOURCES[n])) for n in STAGING_TABLES]
     root = str(folder / "tables")
-    return specs, root, refresh(spark, specs, root, open_translator, open_scorer, tasks=2)
+    return specs, root, refresh(spark, specs, root, stand_in_translator(), stand_in_scorer(), tasks=2)
 
 
 def test_refresh_builds_every_layer(refreshed):
