@@ -6,7 +6,7 @@ from collections.abc import Callable
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from commerce_lens.operators.quantiles import ACCURACY, quantile_columns
@@ -41,51 +41,34 @@ def profile_columns(df: DataFrame, accuracy: int = ACCURACY) -> DataFrame:
     df = nan_as_null(df)
     numeric = numeric_columns(df)
 
-    def number(measure):
-        def of(c: str) -> Column:
-            return measure(F.col(c).cast("double")).cast("double") if is_numeric(types[c]) else F.lit(None).cast("double")
-        return of
-
-    def whole(measure):
-        def of(c: str) -> Column:
-            return measure(F.col(c)).cast("long") if is_numeric(types[c]) else F.lit(None).cast("long")
-        return of
-
-    def length(measure, out):
-        def of(c: str) -> Column:
-            return measure(F.length(F.col(c))).cast(out) if types[c] == "string" else F.lit(None).cast(out)
-        return of
-
-    def moment(kind):
-        def of(c: str) -> Column:
-            if not is_numeric(types[c]):
-                return F.lit(None).cast("double")
-            x, n = F.col(c).cast("double"), F.count(c)
-            if kind == "skew":
-                return F.when(n > 2, F.skewness(x) * F.sqrt(n * (n - 1.0)) / (n - 2.0))
-            return F.when(n > 3, (n - 1.0) / ((n - 2.0) * (n - 3.0)) * ((n + 1.0) * F.kurtosis(x) + 6.0))
-        return of
-
-    measured = per_column(
-        df,
-        df.columns,
-        {
-            "type": lambda c: F.first(F.lit(types[c])),
-            "rows": lambda c: F.count(F.lit(1)),
-            "missing": lambda c: F.count_if(F.col(c).isNull()),
-            "min": number(F.min),
-            "max": number(F.max),
-            "mean": number(F.avg),
-            "std": number(F.stddev_samp),
-            "zeros": whole(lambda x: F.count_if(x == 0)),
-            "negatives": whole(lambda x: F.count_if(x < 0)),
-            "skew": moment("skew"),
-            "kurtosis": moment("kurtosis"),
-            "min_length": length(F.min, "int"),
-            "max_length": length(F.max, "int"),
-            "mean_length": length(F.avg, "double"),
-        },
-    )
+    def measures(c: str) -> dict[str, str]:
+        number, text = is_numeric(types[c]), types[c] == "string"
+        x, n = f"CAST(`{c}` AS DOUBLE)", f"count(`{c}`)"
+        numeric_only = {
+            "min": f"min({x})",
+            "max": f"max({x})",
+            "mean": f"avg({x})",
+            "std": f"stddev_samp({x})",
+            "skew": f"CASE WHEN {n} > 2 THEN skewness({x}) * sqrt({n} * ({n} - 1D)) / ({n} - 2D) END",
+            "kurtosis": f"""CASE WHEN {n} > 3 THEN ({n} - 1D) / (({n} - 2D) * ({n} - 3D))
+                            * (({n} + 1D) * kurtosis({x}) + 6D) END""",
+        }
+        text_only = {
+            "min_length": (f"min(length(`{c}`))", "INT"),
+            "max_length": (f"max(length(`{c}`))", "INT"),
+            "mean_length": (f"avg(length(`{c}`))", "DOUBLE"),
+        }
+        return {
+            "rows": "count(1)",
+            "missing": f"count_if(`{c}` IS NULL)",
+            "zeros": f"count_if(`{c}` = 0)" if number else "CAST(any_value(NULL) AS BIGINT)",
+            "negatives": f"count_if(`{c}` < 0)" if number else "CAST(any_value(NULL) AS BIGINT)",
+            **{k: sql if number else "CAST(any_value(NULL) AS DOUBLE)" for k, sql in numeric_only.items()},
+            **{k: sql if text else f"CAST(any_value(NULL) AS {t})" for k, (sql, t) in text_only.items()},
+        }
+
+    named_types = ", ".join(f"'{c}', '{t}'" for c, t in types.items())
+    measured = per_column(df, df.columns, measures).withColumn("type", F.expr(f"map({named_types})[column]"))
     distinct = value_counts(
         df,
         lambda counts: counts.groupBy("column").agg(

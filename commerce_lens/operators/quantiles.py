@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import operator
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,78 +30,67 @@ def exact_quantiles(
     """
     groups, probs = list(groups), sorted(set(probs))
     reach = 4 / accuracy
-    v = df.select(*groups, F.col(value).cast("double").alias("_v"))
-    v = v.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     ends = [max(p - reach, 0.0) for p in probs] + [min(p + reach, 1.0) for p in probs]
+    v = df.select(*groups, F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL AND NOT isnan(_v)")
     sketch = v.groupBy(*groups).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
+        F.expr("count(1)").alias("_n"),
+        F.expr("min(_v)").alias("_min"),
+        F.expr("max(_v)").alias("_max"),
         F.percentile_approx("_v", ends, accuracy).alias("_ends"),
     )
-    small = F.col("_n") <= accuracy
-    goals = [
-        F.struct(
-            F.lit(i).alias("_i"),
-            F.lit(float(p)).alias("prob"),
-            (F.lit(float(p)) * (F.col("_n") - 1)).alias("pos"),
-            F.when(small, F.col("_min")).otherwise(F.col("_ends")[i]).alias("lo"),
-            F.when(small, F.col("_max")).otherwise(F.col("_ends")[i + len(probs)]).alias("hi"),
-        )
+    goals = ", ".join(
+        f"""struct({i} AS _i, {p!r}D AS prob, {p!r}D * (_n - 1) AS pos,
+                   IF(_n <= {accuracy}, _min, _ends[{i}]) AS lo,
+                   IF(_n <= {accuracy}, _max, _ends[{i + len(probs)}]) AS hi)"""
         for i, p in enumerate(probs)
-    ]
-    goal = sketch.select(*[F.col(g).alias(f"_g_{g}") for g in groups], "_n", F.array(*goals).alias("_goals"))
-    ranges = [F.col("_goals")[i] for i in range(len(probs))]
-    started = sum((F.when(F.col("_v") >= r["lo"], 1).otherwise(0) for r in ranges), F.lit(0))
-    in_range = reduce(operator.or_, [F.col("_v").between(r["lo"], r["hi"]) for r in ranges])
+    )
+    copies = [f"`{g}` AS `_g_{g}`" for g in groups]
+    goal = sketch.selectExpr(*copies, "_n", f"array({goals}) AS _goals")
+    started = " + ".join(f"IF(_v >= _goals[{i}].lo, 1, 0)" for i in range(len(probs)))
+    in_range = " OR ".join(f"_v BETWEEN _goals[{i}].lo AND _goals[{i}].hi" for i in range(len(probs)))
     coded = (
         v.join(F.broadcast(goal), _same(groups))
-        .select(*groups, started.alias("_started"), F.when(in_range, F.col("_v")).alias("_v"))
+        .selectExpr(*_quoted(groups), f"{started} AS _started", f"IF({in_range}, _v, NULL) AS _v")
         .groupBy(*groups, "_started", "_v")
-        .agg(F.count(F.lit(1)).alias("_w"))
+        .agg(F.expr("count(1)").alias("_w"))
     )
-    each = coded.join(F.broadcast(goal), _same(groups)).select(
-        *groups, "_n", "_started", "_v", "_w", F.inline("_goals")
+    each = coded.join(F.broadcast(goal), _same(groups)).selectExpr(
+        *_quoted(groups), "_n", "_started", "_v", "_w", "inline(_goals)"
     )
-    below = F.col("_started") <= F.col("_i")
-    share = (F.col("_v") - F.col("lo")) / F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0))
-    slot = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * SLOTS), F.lit(SLOTS - 1)).cast("int")
     keys = [*groups, "prob", "pos", "_n"]
     # Rows below the range are one weight in slot -1, rows above it are not needed.
-    counted = each.where(below | (F.col("_v") <= F.col("hi"))).select(
-        *keys, F.when(below, -1).otherwise(slot).alias("_slot"), F.when(~below, F.col("_v")).alias("_v"), "_w"
+    counted = each.where("_started <= _i OR _v <= hi").selectExpr(
+        *_quoted(keys),
+        f"""IF(_started <= _i, -1,
+               CAST(least(floor(coalesce((_v - lo) / nullif(hi - lo, 0D), 0D) * {SLOTS}), {SLOTS - 1}) AS INT)) AS _slot""",
+        "IF(_started <= _i, NULL, _v) AS _v",
+        "_w",
     )
-    totals = counted.groupBy(*keys, "_slot").agg(F.sum("_w").alias("_rows"))
     over_slots = Window.partitionBy(*keys).orderBy("_slot")
-    rank = F.floor("pos")
+    totals = counted.groupBy(*keys, "_slot").agg(F.sum("_w").alias("_rows"))
     held = (
         totals.withColumn("_upto", F.sum("_rows").over(over_slots))
-        .withColumn("_before", F.col("_upto") - F.col("_rows"))
-        .where((F.col("_upto") > rank) & (F.col("_before") <= rank + 1))
-        .select(*[F.col(g).alias(f"_g_{g}") for g in groups], F.col("prob").alias("_p"), F.col("_slot").alias("_s"), "_before")
+        .where("_upto > floor(pos) AND _upto - _rows <= floor(pos) + 1")
+        .selectExpr(*copies, "prob AS _p", "_slot AS _s", "_upto - _rows AS _before")
     )
-    same_slot = _same(groups) & (F.col("prob") == F.col("_p")) & (F.col("_slot") == F.col("_s"))
+    same_slot = _same(groups) & F.expr("prob = _p AND _slot = _s")
     within = Window.partitionBy(*keys, "_slot").orderBy(F.col("_v").asc_nulls_first())
-    placed = counted.join(F.broadcast(held), same_slot).withColumn(
-        "_upto", F.col("_before") + F.sum("_w").over(within)
-    )
+    placed = counted.join(F.broadcast(held), same_slot).withColumn("_upto", F.col("_before") + F.sum("_w").over(within))
     picked = placed.groupBy(*keys).agg(
-        F.min(F.when(F.col("_upto") > rank, F.col("_v"))).alias("_a"),
-        F.min(F.when(F.col("_upto") > rank + 1, F.col("_v"))).alias("_b"),
-        F.min("_slot").alias("_lowest"),
+        F.expr("min(IF(_upto > floor(pos), _v, NULL))").alias("_a"),
+        F.expr("min(IF(_upto > floor(pos) + 1, _v, NULL))").alias("_b"),
+        F.expr("min(_slot)").alias("_lowest"),
     )
-    found = (
-        (F.col("_lowest") >= 0)
-        & F.col("_a").isNotNull()
-        & (F.col("_b").isNotNull() | (rank + 1 >= F.col("_n")))
-    )
-    part = F.col("pos") - rank
-    quantile = F.col("_a") + (F.coalesce("_b", "_a") - F.col("_a")) * part
-    return picked.where(found | F.raise_error(F.lit("quantile outside its sketched range")).cast("boolean")).select(
-        *groups, "prob", quantile.alias("quantile")
+    found = "_lowest >= 0 AND _a IS NOT NULL AND (_b IS NOT NULL OR floor(pos) + 1 >= _n)"
+    return picked.where(f"({found}) OR CAST(raise_error('quantile outside its sketched range') AS BOOLEAN)").selectExpr(
+        *_quoted(groups), "prob", "_a + (coalesce(_b, _a) - _a) * (pos - floor(pos)) AS quantile"
     )
 
 
+def _quoted(names: Sequence[str]) -> list[str]:
+    return [f"`{n}`" for n in names]
+
+
 def _same(groups: Sequence[str]) -> Column:
     """The group columns equal their `_g_` copies; NULL is a group of its own."""
     same = F.lit(True)

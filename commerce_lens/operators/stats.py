@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,21 +34,22 @@ def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return melt(wide, [], columns, "column", "value").where(F.col("value").isNotNull())
 
 
-def per_column(df: DataFrame, columns: Sequence[str], stats: dict[str, callable]) -> DataFrame:
-    """One row per column with the given aggregates, all from a single pass over df."""
-    cells = [stat(c).alias(f"{name}@{c}") for c in columns for name, stat in stats.items()]
-    row = df.agg(*cells)
-    rows = [
-        F.struct(F.lit(c).alias("column"), *[F.col(f"`{name}@{c}`").alias(name) for name in stats]) for c in columns
+def per_column(df: DataFrame, columns: Sequence[str], measures: Callable[[str], dict[str, str]]) -> DataFrame:
+    """One row per column with SQL aggregates by name, all from a single pass over df."""
+    named = {c: measures(c) for c in columns}
+    row = df.selectExpr(*[f"{sql} AS `{name}@{c}`" for c in columns for name, sql in named[c].items()])
+    structs = [
+        f"struct('{c}' AS column, {', '.join(f'`{name}@{c}` AS `{name}`' for name in named[c])})" for c in columns
     ]
-    return row.select(F.inline(F.array(*rows)))
+    return row.selectExpr(f"inline(array({', '.join(structs)}))")
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None, accuracy: int = ACCURACY) -> DataFrame:
     """count, mean, sample deviation, min, quartiles and max of each numeric column."""
     columns = list(columns) if columns is not None else numeric_columns(df)
     df = nan_as_null(df.select(*[F.col(c).cast("double").alias(c) for c in columns]))
-    moments = per_column(df, columns, {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max})
+    measures = {"count": "count", "mean": "avg", "std": "stddev_samp", "min": "min", "max": "max"}
+    moments = per_column(df, columns, lambda c: {name: f"{f}(`{c}`)" for name, f in measures.items()})
     quartiles = quantile_columns(
         long_values(df, columns), ["column"], "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, accuracy
     )
