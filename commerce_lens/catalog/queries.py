@@ -16,7 +16,7 @@ from commerce_lens.operators.reshape import CATEGORY, CITY, SCORE_COLUMNS, group
 from commerce_lens.plans import marts
 from commerce_lens.plans.enrichment import enrich_reviews
 from commerce_lens.plans.refresh import refresh
-from commerce_lens.session import scratch_path
+from commerce_lens.session import cut_lineage, scratch_path
 from commerce_lens.sources import csv_files, jsonl, tables
 from commerce_lens.sources.ingest import ingest, source_spec
 from commerce_lens.sources.schemas import ENRICHMENT_COLUMNS, REVIEW_COLUMNS, TRANSLATIONS
@@ -346,10 +346,13 @@ def agg_aspect_score_by_product(v: Views) -> DataFrame:
 
 @query
 def row_number_rank(v: Views) -> DataFrame:
-    rows = v.staging_reviews.select("review_id", "order_id", *dedup.REVIEW_ORDER)
+    rows = v.staging_scores_with_k.select("review_id", "order_id", *dedup.REVIEW_ORDER)
     coarse = [F.col("review_creation_date"), F.date_trunc("hour", "review_answer_timestamp")]
-    ranked = dedup.rank_in(rows, "review_id", [*dedup.REVIEW_ORDER, "order_id"], coarse, "review_id_rank")
-    ranked = dedup.rank_in(ranked, "order_id", [*dedup.REVIEW_ORDER, "review_id"], coarse, "order_id_rank")
+    ranks = {
+        "review_id_rank": ("review_id", [*dedup.REVIEW_ORDER, "order_id"]),
+        "order_id_rank": ("order_id", [*dedup.REVIEW_ORDER, "review_id"]),
+    }
+    ranked = dedup.rank_in(rows, ranks, coarse)
     return ranked.select(
         "review_id", "order_id", stamp("review_answer_timestamp").alias("answered"), "review_id_rank", "order_id_rank"
     )
@@ -565,7 +568,8 @@ def box_stats(v: Views) -> DataFrame:
 
 @query
 def box_outliers(v: Views) -> DataFrame:
-    return stats.box_outliers(v.items.join(v.products, "product_id"), "product_category_name", "price")
+    sold = v.items.join(v.products, "product_id").select("product_category_name", "price")
+    return stats.box_outliers(cut_lineage(sold, "sold"), "product_category_name", "price")
 
 
 @query

@@ -6,7 +6,7 @@ its shuffle, so a key that holds a third of all rows costs no more than any othe
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,35 +33,32 @@ def last_per_key(df: DataFrame, key: str | Sequence[str], seq: Column | str) ->
 
 
 def rank_in(
-    df: DataFrame,
-    key: str,
-    order: Sequence[str],
-    coarse: Sequence[Column],
-    name: str = "rank",
+    df: DataFrame, ranks: Mapping[str, tuple[str, Sequence[str]]], coarse: Sequence[Column]
 ) -> DataFrame:
-    """ROW_NUMBER of every row within its key, ascending, NULLs first.
+    """ROW_NUMBER of every row within a key, ascending, NULLs first: {name: (key, order)}.
 
     `coarse` holds expressions that rise with the order (a day, an hour). A key is ranked in
     pieces, one per coarse value, and each piece starts after the row count of the pieces
     before it. The largest task is then one piece of one key, not the whole of a hot key.
+
+    A piece is one struct column, in which NULLs are equal, so that counting, joining and
+    ranking all use the same partitioning.
     """
-    parts = [f"_part{i}" for i in range(len(coarse))]
-    pieces = df.withColumns(dict(zip(parts, coarse)))
-    counts = pieces.groupBy(key, *parts).agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.partitionBy(key).orderBy(*nulls_first(parts)).rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(
-        F.col(key).alias("_key"),
-        *[F.col(p).alias(f"{p}_s") for p in parts],
-        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"),
-    )
-    same_piece = F.col(key).eqNullSafe(F.col("_key"))
-    for p in parts:
-        same_piece = same_piece & F.col(p).eqNullSafe(F.col(f"{p}_s"))
-    within = Window.partitionBy(key, *parts).orderBy(*nulls_first(order))
-    ranked = pieces.join(starts, same_piece).withColumn(
-        name, (F.col("_start") + F.row_number().over(within)).cast("long")
-    )
-    return ranked.select(*df.columns, name)
+    out = df
+    for name, (key, order) in ranks.items():
+        piece = F.struct(F.col(key).alias("key"), *[c.alias(f"part{i}") for i, c in enumerate(coarse)])
+        parts = [f"_piece.part{i}" for i in range(len(coarse))]
+        counts = df.groupBy(piece.alias("_piece")).agg(F.count(F.lit(1)).alias("_rows"))
+        earlier = Window.partitionBy("_piece.key").orderBy(*nulls_first(parts)).rowsBetween(Window.unboundedPreceding, -1)
+        starts = counts.select("_piece", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
+        within = Window.partitionBy("_piece").orderBy(*nulls_first(order))
+        out = (
+            out.withColumn("_piece", piece)
+            .join(starts, "_piece")
+            .withColumn(name, F.col("_start") + F.row_number().over(within))
+            .drop("_piece", "_start")
+        )
+    return out
 
 
 def dedup_reviews(df: DataFrame) -> DataFrame:

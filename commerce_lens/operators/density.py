@@ -9,12 +9,10 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from commerce_lens.operators.reshape import pair_frequency
 from commerce_lens.operators.select import dropna_subset
 from commerce_lens.operators.stats import long_values
 
@@ -54,6 +52,16 @@ def kde_1d(
     )
 
 
+def _pair_rows(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """(x_column, y_column, px, py) of the rows that have both values, from one read of df."""
+    panels = ", ".join(
+        f"""struct('{x}' AS x_column, '{y}' AS y_column,
+                   CAST(`{x}` AS DOUBLE) AS px, CAST(`{y}` AS DOUBLE) AS py)"""
+        for x, y in pairs
+    )
+    return df.selectExpr(f"inline(array({panels}))").where("px IS NOT NULL AND py IS NOT NULL")
+
+
 def kde_2d(
     df: DataFrame, pairs: Sequence[tuple[str, str]], grid: int = 200, bw_adjust: float = 0.5, cut: float = 3.0
 ) -> DataFrame:
@@ -62,18 +70,7 @@ def kde_2d(
     The kernel has the full sample covariance, scaled by n^(-1/6) * bw_adjust on each axis.
     A pair whose covariance is singular has no density and no rows.
     """
-    def panel(x: str, y: str) -> DataFrame:
-        return dropna_subset(
-            df.select(
-                F.lit(x).alias("x_column"),
-                F.lit(y).alias("y_column"),
-                F.col(x).cast("double").alias("px"),
-                F.col(y).cast("double").alias("py"),
-            ),
-            ["px", "py"],
-        )
-
-    rows = reduce(DataFrame.unionAll, [panel(x, y) for x, y in pairs])
+    rows = _pair_rows(df, pairs)
     points = rows.groupBy("x_column", "y_column", "px", "py").agg(F.count(F.lit(1)).alias("w"))
     spread = rows.groupBy("x_column", "y_column").agg(
         F.count(F.lit(1)).cast("double").alias("n"),
@@ -170,18 +167,8 @@ def pair_grid(df: DataFrame, columns: Sequence[str], kind: str = "scatter", grid
             "y_column", "x_column", F.lit("kde").alias("panel"), "x", "y", F.col("density").alias("value")
         )
     else:
-        off = reduce(
-            DataFrame.unionAll,
-            [
-                pair_frequency(rows, x, y).select(
-                    F.lit(y).alias("y_column"),
-                    F.lit(x).alias("x_column"),
-                    F.lit("scatter").alias("panel"),
-                    F.col(x).cast("double").alias("x"),
-                    F.col(y).cast("double").alias("y"),
-                    F.col("count").cast("double").alias("value"),
-                )
-                for x, y in below
-            ],
+        points = _pair_rows(rows, below).groupBy("y_column", "x_column", "px", "py").agg(F.count(F.lit(1)).alias("n"))
+        off = points.selectExpr(
+            "y_column", "x_column", "'scatter' AS panel", "px AS x", "py AS y", "CAST(n AS DOUBLE) AS value"
         )
     return diagonal.unionByName(off)

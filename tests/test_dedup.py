@@ -100,7 +100,8 @@ def test_rank_in_pieces_equals_row_number(spark, hot):
     want = expected_ranks(data, at, 1 - at)
     df = spark.createDataFrame(data, SCHEMA).repartition(6)
     coarse = [F.col("review_creation_date"), F.date_trunc("minute", "review_answer_timestamp")]
-    ranked = rank_in(df, key, ["review_creation_date", "review_answer_timestamp", other], coarse)
+    order = ["review_creation_date", "review_answer_timestamp", other]
+    ranked = rank_in(df, {"rank": (key, order)}, coarse)
     got = {r["review_answer_timestamp"]: r["rank"] for r in ranked.collect()}
     assert got == {data[i][3]: rank for i, rank in want.items()}
 
