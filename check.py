@@ -34,6 +34,18 @@ def bag(columns: list[str], rows) -> Counter:
     return Counter(tuple(cell(r[i]) for i in order) for r in rows)
 
 
+# DuckDB type for each Spark type.
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def compare(spark, con, sf_dir: str, name: str, sql: str) -> tuple[bool, str]:
     """Same column names, compatible types, same rows in any order."""
     df = named_queries()[name](spark, sf_dir)
@@ -43,6 +55,10 @@ def compare(spark, con, sf_dir: str, name: str, sql: str) -> tuple[bool, str]:
     want = bag(columns, cur.fetchall())
     if sorted(columns) != sorted(df.columns):
         return False, f"columns {sorted(df.columns)} <> {sorted(columns)}"
+    types = {d[0]: str(d[1]) for d in cur.description}
+    other = [(c, t, types[c]) for c, t in df.dtypes if TYPES.get(t) != types[c]]
+    if other:
+        return False, f"types {other}"
     if got != want:
         more, less = got - want, want - got
         return False, f"{sum(more.values())} extra e.g. {list(more)[:2]}, {sum(less.values())} missing e.g. {list(less)[:2]}"

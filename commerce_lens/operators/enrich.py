@@ -132,9 +132,9 @@ def apply_model(df: DataFrame, open_model: Callable[[], Callable[[Any], Any]], s
 
     open_model() is called once per task and returns a function from one pandas batch to
     another. A pending batch comes out of its limit as one partition, so rows are spread
-    by id first; `tasks` caps how many calls run at a time.
+    by id first; `tasks` caps how many calls run at a time (by default one per core).
     """
-    tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = tasks or df.sparkSession.sparkContext.defaultParallelism
 
     def run(batches):
         model = open_model()
