@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from commerce_lens.operators.quantiles import ACCURACY, quantile_columns
 from commerce_lens.operators.reshape import melt
-from commerce_lens.operators.stats import is_numeric, long_values, nan_as_null, numeric_columns, per_column
+from commerce_lens.operators.stats import long_values, nan_as_null, numeric_columns, per_column
 
 QUANTILES = {"q05": 0.05, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q95": 0.95}
 
@@ -31,58 +31,71 @@ def value_counts(df: DataFrame, reduce_counts: Callable[[DataFrame], DataFrame])
     return reduce(DataFrame.unionByName, parts)
 
 
+NUMERIC_MEASURES = {
+    "min": "min(value)",
+    "max": "max(value)",
+    "mean": "avg(value)",
+    "std": "stddev_samp(value)",
+    "zeros": "count_if(value = 0)",
+    "negatives": "count_if(value < 0)",
+    "skew": "IF(count(1) > 2, skewness(value) * sqrt(count(1) * (count(1) - 1D)) / (count(1) - 2D), NULL)",
+    "kurtosis": """IF(count(1) > 3, (count(1) - 1D) / ((count(1) - 2D) * (count(1) - 3D))
+                     * ((count(1) + 1D) * kurtosis(value) + 6D), NULL)""",
+}
+TEXT_MEASURES = {"min_length": "min(value)", "max_length": "max(value)", "mean_length": "avg(value)"}
+
+
 def profile_columns(df: DataFrame, accuracy: int = ACCURACY) -> DataFrame:
     """One row per column: type, counts, distinct values, moments, quantiles, text lengths.
 
     Skew and kurtosis carry the small-sample correction. Numeric measures are NULL for other
     types, text lengths are NULL for anything but text.
     """
-    types = dict(df.dtypes)
     df = nan_as_null(df)
+    types = dict(df.dtypes)
     numeric = numeric_columns(df)
-
-    def measures(c: str) -> dict[str, str]:
-        number, text = is_numeric(types[c]), types[c] == "string"
-        x, n = f"CAST(`{c}` AS DOUBLE)", f"count(`{c}`)"
-        numeric_only = {
-            "min": f"min({x})",
-            "max": f"max({x})",
-            "mean": f"avg({x})",
-            "std": f"stddev_samp({x})",
-            "skew": f"CASE WHEN {n} > 2 THEN skewness({x}) * sqrt({n} * ({n} - 1D)) / ({n} - 2D) END",
-            "kurtosis": f"""CASE WHEN {n} > 3 THEN ({n} - 1D) / (({n} - 2D) * ({n} - 3D))
-                            * (({n} + 1D) * kurtosis({x}) + 6D) END""",
-        }
-        text_only = {
-            "min_length": (f"min(length(`{c}`))", "INT"),
-            "max_length": (f"max(length(`{c}`))", "INT"),
-            "mean_length": (f"avg(length(`{c}`))", "DOUBLE"),
-        }
-        return {
-            "rows": "count(1)",
-            "missing": f"count_if(`{c}` IS NULL)",
-            "zeros": f"count_if(`{c}` = 0)" if number else "CAST(any_value(NULL) AS BIGINT)",
-            "negatives": f"count_if(`{c}` < 0)" if number else "CAST(any_value(NULL) AS BIGINT)",
-            **{k: sql if number else "CAST(any_value(NULL) AS DOUBLE)" for k, sql in numeric_only.items()},
-            **{k: sql if text else f"CAST(any_value(NULL) AS {t})" for k, (sql, t) in text_only.items()},
-        }
-
+    texts = [c for c, t in df.dtypes if t == "string"]
     named_types = ", ".join(f"'{c}', '{t}'" for c, t in types.items())
-    measured = per_column(df, df.columns, measures).withColumn("type", F.expr(f"map({named_types})[column]"))
+    out = per_column(df, df.columns, lambda c: {"rows": "count(1)", "missing": f"count_if(`{c}` IS NULL)"}).withColumn(
+        "type", F.expr(f"map({named_types})[column]")
+    )
     distinct = value_counts(
         df,
         lambda counts: counts.groupBy("column").agg(
             F.count(F.lit(1)).alias("distinct"), F.count_if(F.col("count") == 1).alias("unique")
         ),
     )
-    out = measured.join(F.broadcast(distinct), "column", "left")
+    # Columns are measured in long form: a few aggregates over (column, value), instead of
+    # one aggregation with a dozen of them per column.
+    parts = [distinct]
     if numeric:
-        quantiles = quantile_columns(long_values(df, numeric), ["column"], "value", QUANTILES, accuracy)
-        # All three sides have one row per column.
-        out = out.join(F.broadcast(quantiles), "column", "left")
-    else:
-        out = out.withColumns({q: F.lit(None).cast("double") for q in QUANTILES})
-    return out.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("distinct", "unique")})
+        values = long_values(df, numeric)
+        parts.append(values.groupBy("column").agg(*[F.expr(sql).alias(name) for name, sql in NUMERIC_MEASURES.items()]))
+        parts.append(quantile_columns(values, ["column"], "value", QUANTILES, accuracy))
+    if texts:
+        lengths = melt(df.select(*[F.length(c).alias(c) for c in texts]), [], texts, "column", "value")
+        parts.append(lengths.groupBy("column").agg(*[F.expr(sql).alias(name) for name, sql in TEXT_MEASURES.items()]))
+    for part in parts:
+        # Every side has one row per column.
+        out = out.join(F.broadcast(part), "column", "left")
+    result_types = {
+        "distinct": "long",
+        "unique": "long",
+        **dict.fromkeys([*NUMERIC_MEASURES, *QUANTILES], "double"),
+        "zeros": "long",
+        "negatives": "long",
+        **dict.fromkeys(TEXT_MEASURES, "int"),
+        "mean_length": "double",
+    }
+    missing = {c: t for c, t in result_types.items() if c not in out.columns}
+    out = out.withColumns({c: F.lit(None).cast(t) for c, t in missing.items()})
+    is_number = F.col("column").isin(numeric)
+    return out.withColumns(
+        {
+            **{c: F.coalesce(c, F.lit(0)) for c in ("distinct", "unique")},
+            **{c: F.when(is_number, F.coalesce(c, F.lit(0))) for c in ("zeros", "negatives")},
+        }
+    ).select("column", "type", "rows", "missing", *result_types)
 
 
 def profile_table(df: DataFrame) -> DataFrame:

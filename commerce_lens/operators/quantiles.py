@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 ACCURACY = 10_000
 SLOTS = 10_000
+SKETCHES = 32
 
 
 def exact_quantiles(
@@ -16,9 +17,11 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linearly interpolated quantiles per group, as (groups, prob, quantile).
 
-    1. A sketch of each group gives a value range around every quantile that is sure to hold
-       it: the sketch is off by at most 1/accuracy of the rows and the range reaches
-       4/accuracy to both sides. A group of up to `accuracy` rows is its own range.
+    1. Each group is sketched in up to SKETCHES shares, so that no task merges the sketches of
+       all input partitions. A quantile of a whole lies between the lowest and the highest of
+       its shares' quantiles. A sketch is off by at most 1/accuracy of its rows, and the range
+       taken reaches 8/accuracy to both sides, which also covers the rounding of ranks in
+       every share. A group of up to 8 * accuracy rows is its own range.
     2. Rows are counted by how many ranges start at or below them, and by value only where
        they lie inside a range; that is all later steps need of the rows.
     3. Each range is cut into SLOTS even slots; running totals over the slots tell the one or
@@ -29,19 +32,26 @@ def exact_quantiles(
     that misses its rank would fail the job, never shift the result.
     """
     groups, probs = list(groups), sorted(set(probs))
-    reach = 4 / accuracy
+    reach = 8 / accuracy
     ends = [max(p - reach, 0.0) for p in probs] + [min(p + reach, 1.0) for p in probs]
     v = df.select(*groups, F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL AND NOT isnan(_v)")
-    sketch = v.groupBy(*groups).agg(
-        F.expr("count(1)").alias("_n"),
-        F.expr("min(_v)").alias("_min"),
-        F.expr("max(_v)").alias("_max"),
-        F.percentile_approx("_v", ends, accuracy).alias("_ends"),
+    shares = (
+        v.withColumn("_share", F.pmod(F.spark_partition_id(), F.lit(SKETCHES)))
+        .groupBy(*groups, "_share")
+        .agg(
+            F.expr("count(1)").alias("_n"),
+            F.expr("min(_v)").alias("_min"),
+            F.expr("max(_v)").alias("_max"),
+            F.percentile_approx("_v", ends, accuracy).alias("_ends"),
+        )
     )
+    whole = ["sum(_n) AS _n", "min(_min) AS _min", "max(_max) AS _max"]
+    whole += [f"min(_ends[{i}]) AS _lo{i}" for i in range(len(probs))]
+    whole += [f"max(_ends[{i + len(probs)}]) AS _hi{i}" for i in range(len(probs))]
+    sketch = shares.groupBy(*groups).agg(*[F.expr(e) for e in whole])
     goals = ", ".join(
         f"""struct({i} AS _i, {p!r}D AS prob, {p!r}D * (_n - 1) AS pos,
-                   IF(_n <= {accuracy}, _min, _ends[{i}]) AS lo,
-                   IF(_n <= {accuracy}, _max, _ends[{i + len(probs)}]) AS hi)"""
+                   IF(_n <= {8 * accuracy}, _min, _lo{i}) AS lo, IF(_n <= {8 * accuracy}, _max, _hi{i}) AS hi)"""
         for i, p in enumerate(probs)
     )
     copies = [f"`{g}` AS `_g_{g}`" for g in groups]

@@ -48,9 +48,14 @@ def enrich_reviews(
     n: int | None = BATCH_ROWS,
     tasks: int | None = None,
     mode: str = "quarantine",
+    stored: bool = False,
 ) -> DataFrame:
-    """Translate what is untranslated, then score what is translated and unscored."""
-    base = cut_lineage(reviews, "reviews")
+    """Translate what is untranslated, then score what is translated and unscored.
+
+    The reviews are read more than once, so they are written out first unless they come
+    from a stored table.
+    """
+    base = reviews if stored else cut_lineage(reviews, "reviews")
     answers = run_model(translation_requests(pending_translation(base, n)), open_translator, tasks, "translations")
     translated = cut_lineage(merge_translations(base, parse_translations(answers, mode)), "translated")
     scores = run_model(aspect_requests(pending_scoring(translated, n)), open_scorer, tasks, "aspects")

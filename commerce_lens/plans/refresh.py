@@ -40,7 +40,7 @@ def refresh(
         reviews = carry_over(reviews, previous)
     reviews = replace_table(reviews, root, "clean", "order_reviews")
     reviews = replace_table(
-        enrich_reviews(reviews, open_translator, open_scorer, n, tasks), root, "clean", "order_reviews"
+        enrich_reviews(reviews, open_translator, open_scorer, n, tasks, stored=True), root, "clean", "order_reviews"
     )
     orders, items, customers = clean["orders"], clean["order_items"], clean["customers"]
     products, translation = clean["products"], clean["product_category_name_translation"]

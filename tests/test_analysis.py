@@ -36,8 +36,10 @@ DISTRIBUTIONS = {
 @pytest.mark.parametrize("name", DISTRIBUTIONS)
 @pytest.mark.parametrize("accuracy", [100, 10_000])
 def test_quantiles_beyond_and_within_the_sketch(spark, name, accuracy):
-    data = DISTRIBUTIONS[name](np.random.default_rng(1), 6000)
-    df = spark.createDataFrame(pd.DataFrame({"g": "x", "v": data})).repartition(7)
+    data = DISTRIBUTIONS[name](np.random.default_rng(1), 20_000)
+    frame = spark.createDataFrame(pd.DataFrame({"g": "x", "v": data}))
+    # 40 input partitions fill every share; sorted input makes the shares differ.
+    df = frame.repartitionByRange(40, "v") if accuracy == 100 else frame.repartition(40)
     got = quantiles_of(df, accuracy=accuracy)
     for p in PROBS:
         want = np.quantile(data, p)
