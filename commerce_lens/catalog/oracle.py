@@ -454,9 +454,10 @@ ORACLE["box_stats"] = f"""{_box("v_geo", CATEGORY, "product_quality_score").stri
     SELECT {CATEGORY}, round(q1, 6) + 0.0 AS q1, round(median, 6) + 0.0 AS median, round(q3, 6) + 0.0 AS q3,
            count(*) AS count, min(v) FILTER (WHERE inside) AS whisker_low, max(v) FILTER (WHERE inside) AS whisker_high,
            count(*) FILTER (WHERE NOT inside) AS outliers FROM placed GROUP BY 1, 2, 3, 4"""
-SOLD = "(SELECT p.product_category_name, i.price FROM v_items i JOIN v_products p USING (product_id))"
-ORACLE["box_outliers"] = f"""{_box(SOLD, "product_category_name", "price").strip()}
-    SELECT product_category_name, v AS value, count(*) AS count FROM placed WHERE NOT inside GROUP BY 1, 2"""
+SOLD = """(SELECT o.order_status, CAST(sum(CAST(i.price AS DECIMAL(18, 4))) AS DOUBLE) AS revenue
+    FROM v_orders o JOIN v_items i ON o.order_id = i.order_id GROUP BY o.order_id, o.order_status)"""
+ORACLE["box_outliers"] = f"""{_box(SOLD, "order_status", "revenue").strip()}
+    SELECT order_status, v AS value, count(*) AS count FROM placed WHERE NOT inside GROUP BY 1, 2"""
 
 GRID = ["product_quality_score", "customer_service_score", "delivery_score"]
 BELOW = [(x, y) for k, y in enumerate(GRID) for x in GRID[:k]]

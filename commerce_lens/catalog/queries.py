@@ -568,8 +568,9 @@ def box_stats(v: Views) -> DataFrame:
 
 @query
 def box_outliers(v: Views) -> DataFrame:
-    sold = v.items.join(v.products, "product_id").select("product_category_name", "price")
-    return stats.box_outliers(cut_lineage(sold, "sold"), "product_category_name", "price")
+    totals = marts.order_totals(v.items).select("order_id", fn.amount("revenue").alias("revenue"))
+    orders = v.orders.select("order_id", "order_status").join(totals, "order_id")
+    return stats.box_outliers(cut_lineage(orders, "orders"), "order_status", "revenue")
 
 
 @query
