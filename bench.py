@@ -32,7 +32,7 @@ HEADLINE = (
     "kde_2d",
     "profile_columns",
     "profile_top_values",
-    "enriched_reviews",
+    "enrich_reviews",
 )
 
 

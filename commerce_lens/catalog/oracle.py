@@ -612,7 +612,7 @@ ENRICHED = f"""
     scored AS (
       SELECT review_id, length(concat('Customer Review: "', en, '"')) + CASE WHEN review_id % 17 = 0 THEN 1 ELSE 0 END AS size
       FROM translated WHERE review_id % 13 <> 0 OR review_id % 17 = 0)"""
-ORACLE["enriched_reviews"] = f"""{ENRICHED.strip()}
+ORACLE["enrich_reviews"] = f"""{ENRICHED.strip()}
     SELECT c.review_id, t.en AS review_comment_message_en,
            {", ".join(f"(((s.size + 2 * {j}) % 9) - 4) / CAST(4 AS DOUBLE) AS {a}" for j, a in enumerate(ASPECTS))}
     FROM v_clean c LEFT JOIN translated t ON c.review_id = t.review_id LEFT JOIN scored s ON c.review_id = s.review_id"""

@@ -13,8 +13,7 @@ from commerce_lens.functions import scalars as fn
 from commerce_lens.functions.json_text import ASPECTS, json_doc, json_scores, json_valid, result_fields
 from commerce_lens.operators import clean, dedup, density, enrich, joins, profiling, reshape, select, stats
 from commerce_lens.operators.reshape import CATEGORY, CITY, SCORE_COLUMNS, group_by
-from commerce_lens.plans import marts
-from commerce_lens.plans.enrichment import enrich_reviews
+from commerce_lens.plans import enrichment, marts
 from commerce_lens.plans.refresh import refresh
 from commerce_lens.session import cut_lineage, scratch_path
 from commerce_lens.sources import csv_files, jsonl, tables
@@ -680,8 +679,8 @@ def merge_aspects(v: Views) -> DataFrame:
 
 
 @query
-def enriched_reviews(v: Views) -> DataFrame:
-    out = enrich_reviews(v.reviews, stand_in_translator(), stand_in_scorer())
+def enrich_reviews(v: Views) -> DataFrame:
+    out = enrichment.enrich_reviews(v.reviews, stand_in_translator(), stand_in_scorer())
     scores = out.select("review_id", "review_comment_message_en", json_scores("review_aspect_scores").alias("s"))
     return scores.select("review_id", "review_comment_message_en", *[F.col(f"s.{a}").alias(a) for a in ASPECTS])
 
