@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commerce_lens.llm import bpe_tree, exact_dedup, quality, simhash
+from commerce_lens.llm import bpe_tree, decontaminate, exact_dedup, quality, simhash
 from commerce_lens.llm.ship import ship
 from commerce_lens.session import cut_lineage
 
@@ -73,3 +73,8 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = quality.scores(docs, table(spark, sf_dir, "labels"))
     return found.select("row.doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
