@@ -8,9 +8,9 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commerce_lens.llm import bpe_tree, decontaminate, exact_dedup, quality, simhash
+from commerce_lens.llm import bpe_tree, decontaminate, exact_dedup, quality, simhash, token_files
 from commerce_lens.llm.ship import ship
-from commerce_lens.session import cut_lineage
+from commerce_lens.session import cut_lineage, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -78,3 +78,12 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path)
+    slim = token_files.read_tokens(spark, path).select("part", "block", "id", "at", "n", F.crc32("ids").alias("crc"))
+    found = slim.join(token_files.offsets(spark, path), ["part", "block"])
+    return found.select(F.col("id").alias("doc_id"), (F.col("before") + F.col("at")).alias("start"), F.col("n").alias("n_tokens"), F.col("crc").alias("ids_crc32"))
