@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commerce_lens.llm import bpe_tree, decontaminate, exact_dedup, quality, simhash, token_files
+from commerce_lens.llm import bpe_tree, decontaminate, exact_dedup, language_model, quality, simhash, token_files
 from commerce_lens.llm.ship import ship
 from commerce_lens.session import cut_lineage, scratch_path
 
@@ -87,3 +87,9 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     slim = token_files.read_tokens(spark, path).select("part", "block", "id", "at", "n", F.crc32("ids").alias("crc"))
     found = slim.join(token_files.offsets(spark, path), ["part", "block"])
     return found.select(F.col("id").alias("doc_id"), (F.col("before") + F.col("at")).alias("start"), F.col("n").alias("n_tokens"), F.col("crc").alias("ids_crc32"))
+
+
+@query
+def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_model.scores(table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("id", "doc_id")
