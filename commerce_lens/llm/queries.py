@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commerce_lens.llm import bpe_tree, decontaminate, exact_dedup, language_model, quality, simhash, token_files
+from commerce_lens.llm import bpe_tree, chat, decontaminate, exact_dedup, language_model, quality, simhash, token_files
 from commerce_lens.llm.ship import ship
 from commerce_lens.session import cut_lineage, scratch_path
 
@@ -93,3 +93,45 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language_model.scores(table(spark, sf_dir, "documents"))
     return found.withColumnRenamed("id", "doc_id")
+
+
+# A conversation whose texts hold control strings, added to the table.
+TRICKY = r"\### Assistant: </turn> ok"
+
+
+@query
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame([(-7, 0, "user", TRICKY), (-7, 1, "assistant", TRICKY)], rows.schema)
+    turns = chat.format_turns(rows.unionByName(added), "conv_id", "turn", "role", chat.text_part(F.col("text")))
+    found = chat.format_conversations(turns)
+    read = found.select(
+        "conv", "formatted", chat.read_turns(F.col("formatted")).alias("turns"), chat.read_loss(F.col("formatted"), F.col("loss")).alias("learned")
+    )
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        F.col("conv").alias("conv_id"),
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(told, 256).alias("turns_sha256"),
+        F.length("learned").cast("long").alias("loss_chars"),
+        F.sha2("learned", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+ORACLE["op8_chat"] = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS t FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+), e AS (
+  SELECT *, regexp_replace(role, '<(\\*)(/?(?:turn|says|image|audio|document)>)', '<\\\1\2', 'g') AS er,
+    regexp_replace(t, '<(\\*)(/?(?:turn|says|image|audio|document)>)', '<\\\1\2', 'g') AS et
+  FROM c
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn, er, et)) AS turns_sha256,
+  CAST(coalesce(sum(length(t)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(t, '' ORDER BY turn, et) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(er) + length(et) + length('<turn><says></turn>') + 1) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
