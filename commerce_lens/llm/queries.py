@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commerce_lens.llm import bpe_tree, chat, decontaminate, exact_dedup, language_model, quality, simhash, token_files
+from commerce_lens.llm import bpe_tree, chat, decontaminate, exact_dedup, language_model, pseudonyms, quality, simhash, token_files
 from commerce_lens.llm.ship import ship
 from commerce_lens.session import cut_lineage, scratch_path
 
@@ -135,3 +135,13 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(length(er) + length(et) + length('<turn><says></turn>') + 1) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id
 """
+
+
+# Stands for the secret that a caller keeps.
+PSEUDONYM_KEY = "corpus"
+
+
+@query
+def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pseudonyms.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PSEUDONYM_KEY)
+    return found.select("row.doc_id", "text", F.size("kinds").cast("long").alias("n_replaced"), "kinds")
