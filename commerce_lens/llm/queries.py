@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commerce_lens.llm import bpe_tree, chat, decontaminate, exact_dedup, language_model, pseudonyms, quality, simhash, token_files
+from commerce_lens.llm import bpe_tree, chat, decontaminate, exact_dedup, language_model, pseudonyms, quality, simhash, span_dedup, token_files
 from commerce_lens.llm.ship import ship
 from commerce_lens.session import cut_lineage, scratch_path
 
@@ -145,3 +145,9 @@ PSEUDONYM_KEY = "corpus"
 def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pseudonyms.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PSEUDONYM_KEY)
     return found.select("row.doc_id", "text", F.size("kinds").cast("long").alias("n_replaced"), "kinds")
+
+
+@query
+def op2_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = span_dedup.dedup_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("row.doc_id", "text", F.size("removed").cast("long").alias("n_removed"), "removed", F.col("from_ids").alias("first_doc_ids"))
