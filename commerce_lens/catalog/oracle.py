@@ -94,15 +94,15 @@ VIEWS: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY review_id ORDER BY seq DESC) = 1""",
     "v_sales": """
         SELECT o.order_id, o.customer_id, o.order_purchase_timestamp, i.order_item_id,
-               CAST(i.price AS DECIMAL(18, 4)) AS price, CAST(i.freight_value AS DECIMAL(18, 4)) AS freight_value,
+               i.price, i.freight_value,
                r.review_score
         FROM v_orders o LEFT JOIN v_items i ON o.order_id = i.order_id
         LEFT JOIN v_clean r ON o.order_id = r.order_id""",
     "v_daily": """
         SELECT CAST(order_purchase_timestamp AS DATE) AS order_date,
                count(DISTINCT order_id) AS total_orders,
-               CAST(sum(price) AS DOUBLE) AS total_revenue,
-               CAST(sum(freight_value) AS DOUBLE) / count(freight_value) AS avg_freight_value,
+               round(sum(price), 8) AS total_revenue,
+               round(sum(freight_value) / count(freight_value), 8) AS avg_freight_value,
                CAST(sum(review_score) AS DOUBLE) / count(review_score) AS avg_review_score,
                count(order_item_id) AS total_items_sold,
                count(order_item_id) / count(DISTINCT order_id) AS avg_items_per_order
@@ -112,13 +112,13 @@ VIEWS: dict[str, str] = {
                strftime(order_purchase_timestamp, '%Y%m') AS year_month,
                c.customer_city AS city, c.customer_state AS state,
                count(DISTINCT order_id) AS total_orders,
-               CAST(sum(price) AS DOUBLE) AS total_revenue,
+               round(sum(price), 8) AS total_revenue,
                count(DISTINCT s.customer_id) AS unique_customers,
                count(order_item_id) AS total_items_sold,
                count(order_item_id) / count(DISTINCT order_id) AS avg_items_per_order,
                CAST(sum(review_score) AS DOUBLE) / count(review_score) AS avg_review_score,
-               CAST(sum(freight_value) AS DOUBLE) AS total_freight_value,
-               CAST(sum(freight_value) AS DOUBLE) / count(freight_value) AS avg_freight_value
+               round(sum(freight_value), 8) AS total_freight_value,
+               round(sum(freight_value) / count(freight_value), 8) AS avg_freight_value
         FROM v_sales s JOIN v_customers c ON s.customer_id = c.customer_id GROUP BY 1, 2, 3, 4""",
 }
 
@@ -167,7 +167,7 @@ ORACLE["scan_table"] = "SELECT product_id, product_category_name FROM v_products
 ORACLE["replace_table"] = "SELECT order_id, customer_id, order_status FROM v_orders WHERE order_status = 'F'"
 PENDING = """
     SELECT review_id, review_comment_message FROM v_clean WHERE review_comment_message IS NOT NULL
-    ORDER BY review_id LIMIT 10000"""
+    """
 ORACLE["jsonl_request_sink"] = f"""
     SELECT CAST(review_id AS VARCHAR) AS custom_id, '{MODEL}' AS model, review_comment_message AS user_prompt,
            CAST(1000 AS INT) AS max_tokens FROM ({PENDING})"""
@@ -237,11 +237,9 @@ ORACLE["agg_count_distinct"] = """
     SELECT order_status, count(DISTINCT order_id) AS orders, count(DISTINCT customer_id) AS customers
     FROM v_orders GROUP BY 1"""
 ORACLE["agg_sum"] = """
-    SELECT product_id, CAST(sum(CAST(price AS DECIMAL(18, 4))) AS DOUBLE) AS revenue,
-           CAST(sum(CAST(freight_value AS DECIMAL(18, 4))) AS DOUBLE) AS freight FROM v_items GROUP BY 1"""
+    SELECT product_id, round(sum(price), 6) AS revenue, round(sum(freight_value), 6) AS freight FROM v_items GROUP BY 1"""
 ORACLE["agg_avg"] = """
-    SELECT product_id, CAST(sum(CAST(price AS DECIMAL(18, 4))) AS DOUBLE) / count(price) AS avg_price,
-           avg(freight_value) AS avg_freight FROM v_items GROUP BY 1"""
+    SELECT product_id, round(avg(price), 8) AS avg_price, round(avg(freight_value), 8) AS avg_freight FROM v_items GROUP BY 1"""
 ORACLE["agg_countif"] = f"""
     SELECT product_category_name_en, {", ".join(f"count(*) FILTER (WHERE {s} < 0) AS negative_{s}" for s in SCORES)}
     FROM v_geo GROUP BY 1"""
@@ -454,7 +452,7 @@ ORACLE["box_stats"] = f"""{_box("v_geo", CATEGORY, "product_quality_score").stri
     SELECT {CATEGORY}, round(q1, 6) + 0.0 AS q1, round(median, 6) + 0.0 AS median, round(q3, 6) + 0.0 AS q3,
            count(*) AS count, min(v) FILTER (WHERE inside) AS whisker_low, max(v) FILTER (WHERE inside) AS whisker_high,
            count(*) FILTER (WHERE NOT inside) AS outliers FROM placed GROUP BY 1, 2, 3, 4"""
-SOLD = """(SELECT o.order_status, CAST(sum(CAST(i.price AS DECIMAL(18, 4))) AS DOUBLE) AS revenue
+SOLD = """(SELECT o.order_status, round(sum(i.price), 6) AS revenue
     FROM v_orders o JOIN v_items i ON o.order_id = i.order_id GROUP BY o.order_id, o.order_status)"""
 ORACLE["box_outliers"] = f"""{_box(SOLD, "order_status", "revenue").strip()}
     SELECT order_status, v AS value, count(*) AS count FROM placed WHERE NOT inside GROUP BY 1, 2"""
@@ -578,8 +576,7 @@ ORACLE["profile_correlations"] = " UNION ALL ".join(
 # --- enrichment ---
 ORACLE["pending_translation"] = PENDING
 PENDING_SCORING = """
-    SELECT review_id, review_comment_message_en FROM v_enriched WHERE review_comment_message_en IS NOT NULL
-    ORDER BY review_id LIMIT 10000"""
+    SELECT review_id, review_comment_message_en FROM v_enriched WHERE review_comment_message_en IS NOT NULL"""
 ORACLE["pending_scoring"] = PENDING_SCORING
 REQUEST = "CAST(review_id AS VARCHAR) AS custom_id, 'POST' AS method, '/v1/chat/completions' AS url, '{m}' AS model"
 ORACLE["translation_requests"] = f"""
@@ -629,6 +626,9 @@ ORACLE["refresh_all_layers"] = f"""{ENRICHED.strip()},
     SELECT concat('staging.', table_name) AS table_name, rows FROM copied
     UNION ALL SELECT concat('clean.', table_name), rows FROM copied WHERE table_name <> 'order_reviews'
     UNION ALL SELECT 'clean.order_reviews', count(*) FROM v_clean
+    UNION ALL SELECT 'clean.rejected_answers', (SELECT count(*) FROM v_tr_lines WHERE status_code <> 200)
+      + (SELECT count(*) FROM translated, (VALUES (0), (1)) x(seq) WHERE (seq = 0 AND review_id % 13 = 0) AND review_id % 11 <> 0)
+    UNION ALL SELECT 'clean.rejected_scores', 0
     UNION ALL SELECT 'clean.order_reviews_aspect_geo', count(*) FROM pairs
     UNION ALL SELECT 'aggregated.agg_sales_daily', count(*) FROM v_daily
     UNION ALL SELECT 'aggregated.agg_sales_by_city', count(*) FROM v_by_city

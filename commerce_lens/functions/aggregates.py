@@ -17,13 +17,24 @@ def count_distinct(c: Column | str) -> Column:
     return F.count_distinct(as_col(c))
 
 
+def money_sum(c: Column | str) -> Column:
+    """STRUCT(exact, odd): the sum of a column of amounts, to be added up further or shown by amount()."""
+    parts = money(c)
+    return F.struct(F.sum(parts["exact"]).alias("exact"), F.sum(parts["odd"]).alias("odd"))
+
+
+def add_money(sums: str) -> Column:
+    """The sum of a column of money_sum() results."""
+    return F.struct(F.sum(f"{sums}.exact").alias("exact"), F.sum(f"{sums}.odd").alias("odd"))
+
+
 def sum_money(c: Column | str) -> Column:
-    """Exact sum, returned as DOUBLE; NULL for an all-NULL group."""
-    return amount(F.sum(money(c)))
+    """Exact sum, returned as DOUBLE; NULL for an all-NULL group, NaN if an amount is NaN."""
+    return amount(money_sum(c))
 
 
 def avg_money(c: Column | str) -> Column:
-    """Exact sum over the non-NULL count; NULL for an all-NULL group."""
+    """Exact sum over the non-NULL count; NULL for an all-NULL group, NaN if an amount is NaN."""
     return F.try_divide(sum_money(c), count_col(c).cast("double"))
 
 

@@ -22,6 +22,12 @@ RESULT_SCHEMA = (
 PARSE_ONCE = {"mode": "PERMISSIVE"}
 
 
+# What the source's cast to a number reads, what Spark's cast reads beyond that, and an object or a list.
+NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
+SUFFIXED = r"(?i)[\d.][df]\s*$"
+NESTED = r"^\s*[\{\[]"
+
+
 def json_valid(c: Column | str) -> Column:
     """TRUE for well-formed JSON text, FALSE for malformed text, NULL for NULL."""
     c = as_col(c)
@@ -35,25 +41,38 @@ def json_checked(c: Column | str, tolerant: bool = False) -> Column:
     return F.when(F.try_parse_json(c).isNotNull(), c).when(c.isNotNull(), bad)
 
 
+def _score_texts(c: Column | str, keys: Iterable[str]) -> Column:
+    """The text of each key's value. Declared as STRING, a nested value arrives as its own JSON text."""
+    c = as_col(c)
+    fields = ", ".join(f"`{k}` string" for k in keys)
+    return F.from_json(F.when(F.ltrim(c).startswith("{"), c), fields, PARSE_ONCE)
+
+
 def json_scores(c: Column | str, keys: Iterable[str] = ASPECTS, strict: bool = False) -> Column:
     """STRUCT of DOUBLE, one field per key, from one pass over the document.
 
     A missing key, null, an object or an array gives NULL; a number written as text is
-    read. Other text is NULL, or an error when strict.
+    read. Other text, "1d" included, is NULL (json_rejects counts it), or an error when strict.
     """
-    c = as_col(c)
-    # Declared as STRING, so a nested value arrives as its own JSON text and fails the cast.
-    fields = ", ".join(f"`{k}` string" for k in keys)
-    doc = F.from_json(F.when(F.ltrim(c).startswith("{"), c), fields, PARSE_ONCE)
+    doc = _score_texts(c, keys)
 
     def score(text: Column) -> Column:
         if strict:
-            return F.when(~text.rlike(r"^\s*[\{\[]"), text.cast("double"))
-        return text.try_cast("double")
+            suffixed = F.raise_error(F.concat(F.lit("not a number: "), text)).cast("double")
+            number = F.when(text.rlike(SUFFIXED), suffixed).otherwise(text.cast("double"))
+            return F.when(~text.rlike(NESTED), number)
+        return F.when(text.rlike(NUMBER), text.cast("double"))
 
     return F.struct(*[score(doc[k]).alias(k) for k in keys])
 
 
+def json_rejects(c: Column | str, keys: Iterable[str] = ASPECTS) -> Column:
+    """The keys whose value json_scores leaves out although it is neither missing, null nor nested."""
+    doc = _score_texts(c, keys)
+    bad = [F.when(doc[k].isNotNull() & ~doc[k].rlike(NUMBER) & ~doc[k].rlike(NESTED), F.lit(k)) for k in keys]
+    return F.array_compact(F.array(*bad))
+
+
 def json_doc(**cols: Column) -> Column:
     """A JSON document from named columns."""
     return F.to_json(F.struct(*[as_col(v).alias(k) for k, v in cols.items()]))

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Money is summed as a whole number of ten-thousandths, which does not depend on partition
-# order and stays in a machine word. A sum beyond 9e14 overflows, which is an error.
-MONEY_UNITS = 10_000
+# Digits after the point that amounts are summed with; the sum is exact for amounts of no more digits and
+# doesn't depend on partition order.
+MONEY_SCALE = 10
 
 
 def as_col(c: Column | str) -> Column:
@@ -63,11 +63,15 @@ def divide(a: Column | str, b: Column | str) -> Column:
     return as_col(a).cast("double") / as_col(b).cast("double")
 
 
-def money(c: Column | str) -> Column:
-    """An amount as whole units."""
-    return F.rint(as_col(c) * F.lit(float(MONEY_UNITS))).cast("long")
+def money(c: Column | str, scale: int = MONEY_SCALE) -> Column:
+    """STRUCT(exact, odd): an amount as DECIMAL, or as it is where it is not a finite number."""
+    c = as_col(c)
+    finite = F.abs(c) < F.lit(float("inf"))
+    return F.struct(F.when(finite, c.cast(f"decimal(38, {scale})")).alias("exact"), F.when(~finite, c).alias("odd"))
 
 
-def amount(units: Column | str) -> Column:
-    """Whole units back to an amount."""
-    return as_col(units) / F.lit(float(MONEY_UNITS))
+def amount(sums: Column | str) -> Column:
+    """A sum of money as DOUBLE: NULL for no amount, NaN or infinite if an amount was."""
+    sums = as_col(sums)
+    exact, odd = sums["exact"].cast("double"), sums["odd"]
+    return F.when(odd.isNull(), exact).otherwise(odd + F.coalesce(exact, F.lit(0.0)))

@@ -19,7 +19,6 @@ from commerce_lens.sources.csv_files import require
 METHOD = "POST"
 ENDPOINT = "/v1/chat/completions"
 MODEL = "gpt-3.5-turbo-0125"
-BATCH_ROWS = 10_000
 OK = 200
 
 # The translation request.
@@ -61,14 +60,14 @@ ASPECT_RENAMES = {"delivery_speed": "delivery"}
 MODES = ("quarantine", "failfast")
 
 
-def pending_translation(reviews: DataFrame, n: int | None = BATCH_ROWS) -> DataFrame:
-    """Reviews with a message and no translation, at most n."""
+def pending_translation(reviews: DataFrame, n: int | None = None) -> DataFrame:
+    """Reviews with a message and no translation; with n, the n lowest ids of them, as one batch."""
     todo = pending(reviews, "review_comment_message", "review_comment_message_en")
     return limit_batch(todo.select("review_id", "review_comment_message"), "review_id", n)
 
 
-def pending_scoring(reviews: DataFrame, n: int | None = BATCH_ROWS) -> DataFrame:
-    """Translated reviews without scores, at most n."""
+def pending_scoring(reviews: DataFrame, n: int | None = None) -> DataFrame:
+    """Translated reviews without scores; with n, the n lowest ids of them, as one batch."""
     todo = pending(reviews, "review_comment_message_en", "review_aspect_scores")
     return limit_batch(todo.select("review_id", "review_comment_message_en"), "review_id", n)
 
@@ -131,17 +130,17 @@ def apply_model(df: DataFrame, open_model: Callable[[], Callable[[Any], Any]], s
     """Run a model over every row.
 
     open_model() is called once per task and returns a function from one pandas batch to
-    another. A pending batch comes out of its limit as one partition, so rows are spread
-    by id first; `tasks` caps how many calls run at a time (by default one per core).
+    another. Rows are spread by id first, since calls cost far more than rows; `tasks` caps how many
+    calls run at a time (by default Spark's shuffle partitions, so that the work is cut as finely as any other).
     """
-    tasks = tasks or df.sparkSession.sparkContext.defaultParallelism
 
     def run(batches):
         model = open_model()
         for batch in batches:
             yield model(batch)
 
-    return df.repartition(tasks, "custom_id").mapInPandas(run, schema)
+    spread = df.repartition(tasks, "custom_id") if tasks else df.repartition("custom_id")
+    return spread.mapInPandas(run, schema)
 
 
 def _ok(results: DataFrame, mode: str) -> DataFrame:

@@ -18,15 +18,14 @@ from commerce_lens.functions.scalars import month_start
 def order_facts(orders: DataFrame, items: DataFrame, reviews: DataFrame) -> DataFrame:
     """orders with their items and reviews, both by left join on order_id.
 
-    A left join can be split on its left side only, and here the side that repeats a key is
-    the right one. So orders with items go through an inner join, which can be split on
-    either side, and orders without items are added by an anti join.
+    A left join can be split on its left side only, and the side that repeats an order is the right
+    one, so it is written as a right join with the items and reviews on the left. Each table is
+    read once.
     """
-    reviewed = orders.join(reviews, "order_id", "left")
-    sold = reviewed.join(items, "order_id")
-    unsold = reviewed.join(items.select("order_id"), "order_id", "left_anti")
-    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in items.schema if f.name != "order_id"]
-    return sold.unionByName(unsold.select("*", *empty))
+    reviewed = reviews.join(orders, "order_id", "right")
+    return items.join(reviewed, "order_id", "right").select(
+        *orders.columns, *[c for c in reviews.columns if c != "order_id"], *[c for c in items.columns if c != "order_id"]
+    )
 
 
 def inner_join_customer(orders: DataFrame, customers: DataFrame) -> DataFrame:
@@ -57,14 +56,18 @@ def review_aspect_geo(
     translation: DataFrame,
     orders: DataFrame,
     customers: DataFrame,
+    strict: bool = False,
 ) -> DataFrame:
-    """One row per scored review and item: month, English category, city and five scores."""
+    """One row per scored review and item: month, English category, city and five scores.
+
+    A score that isn't a number is NULL, or an error when strict; marts.rejected_scores() counts them.
+    """
     scored = reviews.where(F.col("review_aspect_scores").isNotNull()).select(
         "review_id",
         "order_id",
         "review_comment_message_en",
         month_start("review_answer_timestamp").alias("review_month_date"),
-        json_scores("review_aspect_scores").alias("s"),
+        json_scores("review_aspect_scores", strict=strict).alias("s"),
     )
     # City is settled per review before items fan the rows out.
     located = scored.join(orders.select("order_id", "customer_id"), "order_id").join(

@@ -7,11 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Map outputs are merged by this many tasks before the last one, which then reads at most
-# MERGE_TASKS * n rows however many input partitions there are.
-MERGE_TASKS = 64
-
-
 def pending(df: DataFrame, present: str, missing: str) -> DataFrame:
     """Rows with one column filled and another still empty."""
     return df.where(F.col(present).isNotNull() & F.col(missing).isNull())
@@ -39,20 +34,31 @@ def head_n(df: DataFrame, key: str, n: int = 5) -> DataFrame:
     return sort_by(df, key).limit(n)
 
 
-def limit_batch(df: DataFrame, key: str, n: int | None = 10_000) -> DataFrame:
-    """At most n rows, the lowest by key; None lifts the limit.
+def limit_batch(df: DataFrame, key: str, n: int | None = None) -> DataFrame:
+    """At most n rows, the lowest by key, NULLs first; None takes every row.
 
-    A plain sort and limit sends n rows of every input partition to one task. Here each
-    input partition keeps n rows, MERGE_TASKS tasks keep n of theirs, and one task merges
-    those. Which merge task gets a row does not change the outcome.
+    The keys are dealt into ranges by sampled bounds and counted. Ranges are taken whole until the
+    one in which the n-th row lies, and only that range is put in order. The bounds decide what it
+    costs, not what comes out; no task holds more than a range, whatever n is. The counts, one row per range,
+    reach the driver. df is read twice and should come from a stored table.
     """
     if n is None:
         return df
-    group = F.pmod(F.spark_partition_id(), F.lit(MERGE_TASKS))
-    order = F.col(key).asc_nulls_first()
-    rank = F.row_number().over(Window.partitionBy("_group").orderBy(order))
-    kept = df.withColumn("_group", group).withColumn("_rank", rank).where(F.col("_rank") <= n)
-    return kept.drop("_group", "_rank").orderBy(order).limit(n)
+    ranged = df.select(F.col(key).alias("key")).repartitionByRange(F.col("key").asc_nulls_first())
+    sizes = ranged.groupBy(F.spark_partition_id().alias("part")).agg(F.max("key").alias("top"), F.count(F.lit(1)).alias("rows"))
+    before, low, whole, last = 0, None, F.lit(False), F.lit(True)
+    for size in sizes.orderBy("part").collect():
+        if before + size["rows"] > n:
+            break
+        before, low = before + size["rows"], size["top"]
+        # A range of NULLs alone has no top.
+        whole = F.col(key).isNull() if low is None else F.col(key).isNull() | (F.col(key) <= F.lit(low))
+        last = F.col(key).isNotNull() if low is None else F.col(key) > F.lit(low)
+    else:
+        return df
+    high = size["top"]
+    rest = df.where(last if high is None else last & (F.col(key).isNull() | (F.col(key) <= F.lit(high))))
+    return df.where(whole).unionByName(rest.orderBy(F.col(key).asc_nulls_first()).limit(n - before))
 
 
 def top_values(df: DataFrame, col: str, n: int = 10) -> DataFrame:

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from commerce_lens.operators.enrich import (
-    BATCH_ROWS,
     apply_model,
     aspect_requests,
     merge_aspects,
@@ -16,9 +16,11 @@ from commerce_lens.operators.enrich import (
     parse_translations,
     pending_scoring,
     pending_translation,
+    quarantined,
     translation_requests,
 )
 from commerce_lens.operators.joins import update_from
+from commerce_lens.operators.select import limit_batch
 from commerce_lens.session import cut_lineage
 from commerce_lens.sources.jsonl import expand_results
 from commerce_lens.sources.schemas import ENRICHMENT_COLUMNS
@@ -35,28 +37,64 @@ def run_model(requests: DataFrame, open_model: Callable, tasks: int | None, labe
     return expand_results(cut_lineage(apply_model(requests, open_model, MODEL_OUTPUT, tasks), label))
 
 
+def run_batches(requests: DataFrame, open_model: Callable, tasks: int | None, n: int | None, label: str) -> DataFrame:
+    """Result rows for all requests; with n, in runs of n requests each, in order of their ids.
+
+    Every request is answered once, so a request that fails doesn't keep the runs going.
+    """
+    if n is None:
+        return run_model(requests, open_model, tasks, label)
+    stored = cut_lineage(requests, "requests")
+    out, rest = None, stored
+    while out is None or rest.limit(1).count():
+        batch = cut_lineage(limit_batch(rest, "custom_id", n), "batch")
+        answers = run_model(batch, open_model, tasks, label)
+        out = answers if out is None else out.unionByName(answers)
+        last = batch.agg(F.max("custom_id")).first()[0]
+        rest = stored.where(F.col("custom_id").isNotNull() if last is None else F.col("custom_id") > last)
+    return out
+
+
 def carry_over(clean: DataFrame, previous: DataFrame) -> DataFrame:
     """Answers of an earlier version of the table, so that only new reviews are pending."""
     columns = list(ENRICHMENT_COLUMNS)
     return update_from(clean, previous.select("review_id", *columns), "review_id", columns)
 
 
-def enrich_reviews(
+def enrich_with_rejects(
     reviews: DataFrame,
     open_translator: Callable,
     open_scorer: Callable,
-    n: int | None = BATCH_ROWS,
+    n: int | None = None,
     tasks: int | None = None,
     mode: str = "quarantine",
     stored: bool = False,
-) -> DataFrame:
-    """Translate what is untranslated, then score what is translated and unscored.
+) -> tuple[DataFrame, DataFrame]:
+    """Translate all that is untranslated, then score all that is translated and unscored.
 
-    The reviews are read more than once, so they are written out first unless they come
-    from a stored table.
+    Returns the reviews, and (phase, custom_id, status_code, outcome, line) of the answers that were of no use. `n` is how
+    many requests one run of the model gets, not a limit on the result. The reviews are
+    read more than once, so they are written out first unless they come from a stored table.
     """
     base = reviews if stored else cut_lineage(reviews, "reviews")
-    answers = run_model(translation_requests(pending_translation(base, n)), open_translator, tasks, "translations")
+    answers = run_batches(translation_requests(pending_translation(base)), open_translator, tasks, n, "translations")
     translated = cut_lineage(merge_translations(base, parse_translations(answers, mode)), "translated")
-    scores = run_model(aspect_requests(pending_scoring(translated, n)), open_scorer, tasks, "aspects")
-    return merge_aspects(translated, parse_aspects(scores, mode))
+    scores = run_batches(aspect_requests(pending_scoring(translated)), open_scorer, tasks, n, "aspects")
+    rejects = [
+        quarantined(results, json_content).select(F.lit(phase).alias("phase"), "*")
+        for phase, results, json_content in (("translation", answers, False), ("aspects", scores, True))
+    ]
+    return merge_aspects(translated, parse_aspects(scores, mode)), rejects[0].unionByName(rejects[1])
+
+
+def enrich_reviews(
+    reviews: DataFrame,
+    open_translator: Callable,
+    open_scorer: Callable,
+    n: int | None = None,
+    tasks: int | None = None,
+    mode: str = "quarantine",
+    stored: bool = False,
+) -> DataFrame:
+    """The reviews of enrich_with_rejects()."""
+    return enrich_with_rejects(reviews, open_translator, open_scorer, n, tasks, mode, stored)[0]

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from commerce_lens.functions.aggregates import count_distinct, count_where, ratio, weighted_avg
-from commerce_lens.functions.json_text import ASPECTS, json_scores
-from commerce_lens.functions.scalars import amount, money, month_of, month_start, to_day, year_month, year_of
+from commerce_lens.functions.aggregates import add_money, count_distinct, count_where, money_sum, ratio, weighted_avg
+from commerce_lens.functions.json_text import ASPECTS, json_rejects, json_scores
+from commerce_lens.functions.scalars import amount, month_of, month_start, to_day, year_month, year_of
 from commerce_lens.operators.joins import categorised_products, inner_join_customer
 from commerce_lens.operators.reshape import group_by
 
@@ -21,8 +21,8 @@ def order_totals(items: DataFrame) -> DataFrame:
     return items.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("lines"),
         F.count("order_item_id").alias("items"),
-        F.sum(money("price")).alias("revenue"),
-        F.sum(money("freight_value")).alias("freight"),
+        money_sum("price").alias("revenue"),
+        money_sum("freight_value").alias("freight"),
         F.count("freight_value").alias("freight_items"),
     )
 
@@ -41,15 +41,15 @@ def _order_rows(orders: DataFrame, items: DataFrame, reviews: DataFrame) -> Data
     )
 
 
-def _sales_measures() -> dict[str, Column]:
+def _sales_measures(orders: Column) -> dict[str, Column]:
     items = F.coalesce(F.sum("items"), F.lit(0))
     return {
-        "total_orders": count_distinct("order_id"),
-        "total_revenue": amount(F.sum("revenue")),
+        "total_orders": orders,
+        "total_revenue": amount(add_money("revenue")),
         "total_items_sold": items,
-        "avg_items_per_order": ratio(items, count_distinct("order_id")),
+        "avg_items_per_order": ratio(items, orders),
         "avg_review_score": weighted_avg("score_sum", "score_rows"),
-        "avg_freight_value": F.try_divide(amount(F.sum("freight")), F.sum("freight_items").cast("double")),
+        "avg_freight_value": F.try_divide(amount(add_money("freight")), F.sum("freight_items").cast("double")),
     }
 
 
@@ -59,7 +59,7 @@ def agg_sales_daily(orders: DataFrame, items: DataFrame, reviews: DataFrame) ->
     The review score is weighted by item rows, an order without items counting once.
     """
     rows = _order_rows(orders.select("order_id", "order_purchase_timestamp"), items, reviews)
-    mart = group_by(rows, {"order_date": to_day("order_purchase_timestamp")}, _sales_measures())
+    mart = group_by(rows, {"order_date": to_day("order_purchase_timestamp")}, _sales_measures(count_distinct("order_id")))
     return mart.select(
         "order_date",
         "total_orders",
@@ -81,11 +81,19 @@ def agg_sales_by_city(orders: DataFrame, customers: DataFrame, items: DataFrame,
         "city": F.col("customer_city"),
         "state": F.col("customer_state"),
     }
-    measures = _sales_measures() | {
-        "unique_customers": count_distinct("customer_id"),
-        "total_freight_value": amount(F.sum("freight")),
-    }
-    return group_by(rows, keys, measures).select(
+    # Two distinct counts in one step would copy every row; here rows are first summed up per order and
+    # customer, and what is left is counted once per order and once per customer.
+    sums = {c: F.sum(c).alias(c) for c in ("items", "freight_items", "score_sum", "score_rows")}
+    sums |= {c: add_money(c).alias(c) for c in ("revenue", "freight")}
+    placed = list(keys)
+    pairs = group_by(rows, keys | {"order_id": F.col("order_id"), "customer_id": F.col("customer_id")}, sums)
+    per_order = group_by(pairs, {c: F.col(c) for c in [*placed, "order_id"]}, sums)
+    customers_in = pairs.select(*placed, "customer_id").distinct().groupBy(*placed).agg(F.count("customer_id").alias("unique_customers"))
+    measures = _sales_measures(F.count("order_id")) | {"total_freight_value": amount(add_money("freight"))}
+    mart = group_by(per_order, {c: F.col(c) for c in placed}, measures)
+    same = [F.col(f"m.{c}").eqNullSafe(F.col(f"c.{c}")) for c in placed]
+    joined = mart.alias("m").join(customers_in.alias("c"), same).select("m.*", "unique_customers")
+    return joined.select(
         "order_month",
         year_month("order_month").alias("year_month"),
         "city",
@@ -102,10 +110,12 @@ def agg_sales_by_city(orders: DataFrame, customers: DataFrame, items: DataFrame,
 
 
 def agg_aspect_score_by_product(
-    reviews: DataFrame, items: DataFrame, products: DataFrame, translation: DataFrame
+    reviews: DataFrame, items: DataFrame, products: DataFrame, translation: DataFrame, strict: bool = False
 ) -> DataFrame:
     """Review counts, scores and negative counts per product, category and answer month.
 
+    A score that isn't a number counts as none, or is an error when strict.
+
     Counts are of review and item pairs. Pairs are summed up per product and month before
     the product tables are joined, so a product that holds much of the data is one row per
     task and month when it is shuffled.
@@ -115,7 +125,7 @@ def agg_aspect_score_by_product(
         "order_id",
         "review_score",
         month_start("review_answer_timestamp").alias("review_month_date"),
-        json_scores("review_aspect_scores").alias("s"),
+        json_scores("review_aspect_scores", strict=strict).alias("s"),
     )
     pairs = scored.join(items.select("order_id", "product_id"), "order_id")
     per_product = pairs.groupBy("product_id", "review_month_date").agg(
@@ -147,3 +157,9 @@ def agg_aspect_score_by_product(
         *[f"avg_{a}_score" for a in ASPECTS],
         *[f"count_negative_{a}" for a in ASPECTS],
     )
+
+
+def rejected_scores(reviews: DataFrame) -> DataFrame:
+    """(aspect, reviews): how many reviews have a score for the aspect that isn't a number."""
+    found = reviews.select(F.explode(json_rejects("review_aspect_scores")).alias("aspect"))
+    return found.groupBy("aspect").agg(F.count(F.lit(1)).alias("reviews"))

@@ -7,11 +7,10 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 from commerce_lens.operators.clean import PASS_THROUGH_TABLES, clean_order_reviews, clean_pass_through
-from commerce_lens.operators.enrich import BATCH_ROWS
 from commerce_lens.operators.joins import review_aspect_geo
 from commerce_lens.operators.select import sorted_layout
-from commerce_lens.plans.enrichment import carry_over, enrich_reviews
-from commerce_lens.plans.marts import agg_aspect_score_by_product, agg_sales_by_city, agg_sales_daily
+from commerce_lens.plans.enrichment import carry_over, enrich_with_rejects
+from commerce_lens.plans.marts import agg_aspect_score_by_product, agg_sales_by_city, agg_sales_daily, rejected_scores
 from commerce_lens.sources.ingest import SourceSpec, ingest
 from commerce_lens.sources.tables import replace_table
 
@@ -22,12 +21,17 @@ def refresh(
     root: str,
     open_translator: Callable,
     open_scorer: Callable,
-    n: int | None = BATCH_ROWS,
+    n: int | None = None,
     previous: DataFrame | None = None,
     tasks: int | None = None,
+    mode: str = "quarantine",
 ) -> dict[str, DataFrame]:
     """Run staging, clean, enrichment and marts; returns the stored tables as {layer.name}.
 
+    All pending reviews are enriched; `n` is how many one run of the model gets. With mode "failfast" an answer
+    without a response, content that isn't JSON or a score that isn't a number is an error. Otherwise such
+    answers are left out and stored in clean.rejected_answers, such scores counted in clean.rejected_scores.
+
     Every layer reads stored tables of the one before. `previous` is an earlier cleaned
     review table whose answers are kept; without it each run starts from none.
     """
@@ -39,12 +43,14 @@ def refresh(
     if previous is not None:
         reviews = carry_over(reviews, previous)
     reviews = replace_table(reviews, root, "clean", "order_reviews")
-    reviews = replace_table(
-        enrich_reviews(reviews, open_translator, open_scorer, n, tasks, stored=True), root, "clean", "order_reviews"
-    )
+    strict = mode == "failfast"
+    enriched, rejects = enrich_with_rejects(reviews, open_translator, open_scorer, n, tasks, mode, stored=True)
+    clean["rejected_answers"] = replace_table(rejects, root, "clean", "rejected_answers")
+    reviews = replace_table(enriched, root, "clean", "order_reviews")
+    clean["rejected_scores"] = replace_table(rejected_scores(reviews), root, "clean", "rejected_scores")
     orders, items, customers = clean["orders"], clean["order_items"], clean["customers"]
     products, translation = clean["products"], clean["product_category_name_translation"]
-    geo = review_aspect_geo(reviews, items, products, translation, orders, customers)
+    geo = review_aspect_geo(reviews, items, products, translation, orders, customers, strict)
     clean["order_reviews"] = reviews
     clean["order_reviews_aspect_geo"] = replace_table(geo, root, "clean", "order_reviews_aspect_geo")
     marts = {
@@ -53,7 +59,7 @@ def refresh(
             agg_sales_by_city(orders, customers, items, reviews), "order_month", "city", "state"
         ),
         "agg_aspect_score_by_product": sorted_layout(
-            agg_aspect_score_by_product(reviews, items, products, translation), "review_month_date", "product_id"
+            agg_aspect_score_by_product(reviews, items, products, translation, strict), "review_month_date", "product_id"
         ),
     }
     aggregated = {name: replace_table(df, root, "aggregated", name) for name, df in marts.items()}

@@ -17,8 +17,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A hot join key is split even where that costs one more shuffle later on.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # limit_batch prunes to n rows per map task before its shuffle; n is 10,000 by default.
-    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
     # A repeated JSON key keeps its last value.
     "spark.sql.variant.allowDuplicateKeys": "true",
 }

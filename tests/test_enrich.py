@@ -1,13 +1,15 @@
 """Enrichment: requests, results, outcomes, merges."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from commerce_lens.catalog.fixtures import stand_in_scorer, stand_in_translator
 from commerce_lens.operators import enrich
 from commerce_lens.operators.select import limit_batch
-from commerce_lens.plans.enrichment import carry_over, enrich_reviews
+from commerce_lens.plans.enrichment import carry_over, enrich_reviews, enrich_with_rejects
 from commerce_lens.sources.jsonl import expand_results, write_jsonl
 from tests.conftest import plan, rows
 
@@ -46,8 +48,41 @@ def test_limit_batch_takes_the_lowest_keys(spark):
     got = [r["k"] for r in limit_batch(df, "k", 1000).collect()]
     assert sorted(got) == list(range(1000))
     assert limit_batch(df, "k", None).count() == 50_000
-    text = plan(limit_batch(df, "k", 10_000))
-    assert "row_number(), 10000, Partial" in text and "TakeOrderedAndProject(limit=10000" in text
+    assert limit_batch(df, "k", 60_000).count() == 50_000
+
+
+def nodes(df):
+    return re.findall(r"^[ :+-]*(?:\*\(\d+\) )?(\w+)", plan(df), re.M)
+
+
+def test_limit_batch_has_one_plan_whatever_n(spark):
+    df = spark.range(0, 2_000_000, 1, 40).withColumnRenamed("id", "k")
+    few, many = limit_batch(df, "k", 10_000), limit_batch(df, "k", 1_000_000)
+    # No window over the table and no sort of it for either; a first range that holds all n rows needs no union.
+    assert set(nodes(few)) <= set(nodes(many)) and not {"Window", "Sort", "Exchange"} & set(nodes(many))
+    assert few.count() == 10_000 and many.agg(F.max("k")).first()[0] == 999_999
+
+
+def test_limit_batch_of_null_and_equal_keys(frame):
+    df = frame("k long, v int", *[(None, i) for i in range(5)], *[(7, i) for i in range(5)], (9, 0))
+    assert [limit_batch(df, "k", n).count() for n in (0, 3, 5, 8, 10, 11, 12)] == [0, 3, 5, 8, 10, 11, 11]
+    assert rows(limit_batch(df, "k", 3), "k") == [(None,)] * 3
+    assert limit_batch(df.where("false"), "k", 3).count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 2, 100, None])
+def test_runs_of_n_answer_every_review(frame, n):
+    reviews = frame(REVIEWS, *[(str(i), f"text {i}", None, None) for i in range(1, 8)], ("99", None, None, None))
+    out = enrich_reviews(reviews, stand_in_translator(), stand_in_scorer(), n=n)
+    assert out.where("review_comment_message_en IS NOT NULL").count() == 7
+    assert out.where("review_aspect_scores IS NOT NULL").count() == 7
+
+
+def test_rejects_are_kept_with_their_phase(frame):
+    reviews = frame(REVIEWS, ("11", "failed", None, None), ("13", "malformed", None, None), ("1", "fine", None, None))
+    out, rejects = enrich_with_rejects(reviews, stand_in_translator(), stand_in_scorer(), n=2)
+    assert rows(rejects, "phase", "custom_id", "outcome") == [("aspects", "13", "malformed"), ("translation", "11", "failed")]
+    assert rows(out.where("review_aspect_scores IS NOT NULL"), "review_id") == [("1",)]
 
 
 def test_requests_are_distinct_and_nested(frame, tmp_path, spark):

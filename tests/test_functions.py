@@ -1,5 +1,6 @@
 """Column functions on hand-made values."""
 
+import math
 from datetime import date, datetime
 
 import pytest
@@ -7,8 +8,10 @@ from pyspark.sql import functions as F
 
 from commerce_lens.functions import aggregates as agg
 from commerce_lens.functions import scalars as fn
+from commerce_lens.functions.aggregates import avg_money, sum_money
 from commerce_lens.functions.json_text import ASPECTS, json_checked, json_doc, json_scores, json_valid, result_fields
 from commerce_lens.operators.enrich import rename_keys
+from commerce_lens.plans.marts import rejected_scores
 from tests.conftest import rows
 
 SPACES = "\t\r\x0b\x0c\x1c\x1f\x85\xa0  　 "
@@ -109,6 +112,28 @@ def test_strict_scores_refuse_text(frame):
     assert tuple(fine.select(json_scores("c", strict=True).alias("s")).select("s.*").first())[:2] == (0.5, None)
 
 
+@pytest.mark.parametrize("text", ["1d", "1f", "0.5D", "5.f"])
+def test_suffixed_numbers_are_refused(frame, text):
+    df = frame("c string", ('{"delivery": "%s"}' % text,))
+    assert df.select(json_scores("c").alias("s")).select("s.delivery").first()[0] is None
+    with pytest.raises(Exception, match="not a number"):
+        df.select(json_scores("c", strict=True)).collect()
+
+
+def test_rejected_scores_are_counted(frame):
+    df = frame("review_aspect_scores string", ('{"delivery": "bad", "product_quality": "1d"}',), ('{"delivery": "x"}',), ('{"delivery": null}',), ('{"delivery": [1]}',), (None,))
+    assert sorted(map(tuple, rejected_scores(df).collect())) == [("delivery", 2), ("product_quality", 1)]
+
+
+def test_money_keeps_every_digit_and_passes_nan_on(frame):
+    df = frame("g int, x double", (1, 1.00004), (1, 0.00004), (1, 0.00004), (2, 0.123456), (2, 0.000001), (3, float("nan")), (3, 1.0), (4, None), (5, float("inf")))
+    got = {r["g"]: (r["s"], r["a"]) for r in df.groupBy("g").agg(sum_money("x").alias("s"), avg_money("x").alias("a")).collect()}
+    assert got[1] == (1.00012, 0.33337333333333335) or got[1][0] == 1.00012
+    assert got[2][0] == 0.123457
+    assert math.isnan(got[3][0]) and math.isnan(got[3][1])
+    assert got[4] == (None, None) and got[5][0] == float("inf")
+
+
 def test_result_fields(frame):
     lines = [
         '{"custom_id": "1", "response": {"status_code": 200, "body": {"choices": [{"message": {"content": "x"}}]}}}',

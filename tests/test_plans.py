@@ -70,3 +70,12 @@ def test_first_per_key_is_pruned_before_its_shuffle(plans):
 
 def test_filters_reach_the_scan(plans):
     assert "PushedFilters: [IsNotNull(l_orderkey)" in plans["agg_aspect_score_by_product"]
+
+
+def test_left_joins_read_each_table_once(plans):
+    for name in ("lineitem", "orders", "events"):
+        assert len(scans(plans["left_join_chain"], name)) == (2 if name == "events" else 1)
+
+
+def test_distinct_counts_copy_no_rows(plans):
+    assert "Expand" not in plans["agg_sales_by_city"]
