@@ -225,7 +225,8 @@ class Index:
                 there = set(own[max(0, w * PIECE - reach) : (w + 2) * PIECE + reach])
                 q, a = self.share(question, there), self.share(answer, there)
                 if q >= overlap and a >= overlap:
-                    best[item] = max(best.get(item, (-1.0,)), (score, q, a, -w * PIECE))
+                    # The order of a sum's terms must not show.
+                    best[item] = max(best.get(item, (-1.0,)), (*(round(x, 9) for x in (score, q, a)), -w * PIECE))
         return [(item, s, q, a, -p) for item, (s, q, a, p) in sorted(best.items())]
 
 

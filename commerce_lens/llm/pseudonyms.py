@@ -26,7 +26,7 @@ PATTERNS = {
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # A text without any of these holds nothing to find.
-_HINT = r"[0-9@]|(?:password|passwd|pwd|secret|token|api[_-]?key)\s?[=:]"
+_HINT = r"[0-9@]|AKIA|(?:password|passwd|pwd|secret|token|api[_-]?key)\s?[=:]"
 _DATE_FORMATS = {"-": "yyyy-MM-dd", "/": "dd/MM/yyyy", ".": "dd.MM.yyyy"}
 # Dates are permuted among these days, 256 x 288 of them from the first one on.
 _FIRST_DAY, _DAYS = "1900-01-01", (256, 288)
