@@ -130,10 +130,11 @@ def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row of each component, with df's columns: that of the smallest id, null ids last, ties by row order.
 
     df is read twice and should come from a stored table. Only ids and fingerprints are
-    shuffled to find the rows that stay; the rows themselves then meet a list of numbers.
+    shuffled to find the rows that stay; the rows themselves then meet a list of numbers. That list grows with
+    the rows, so it is merged with them and never broadcast, at any size.
     """
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "no")).alias("first")
     kept = near_groups(df, id_col, text_col, carry=[id_col]).groupBy("root").agg(first)
     kept = cut_lineage(kept.select(F.col("first.no").alias("kept_no")), "kept")
     rows = df.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("no"))
-    return rows.join(kept, F.col("no") == F.col("kept_no"), "left_semi").select("row.*")
+    return rows.join(kept.hint("merge"), F.col("no") == F.col("kept_no"), "left_semi").select("row.*")
