@@ -42,7 +42,7 @@ SHARD_WORDS = 2_000_000
 COMMON = 0.05
 _NOT_WORD = re.compile(r"[\W_]+")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
-_MEMO_SIZE = 500_000
+_MEMO_SIZE = 150_000
 
 
 def words(text: str | None) -> list[str]:

@@ -35,6 +35,8 @@ ROUNDS = 3
 STREAMS = 128
 STEPS = 16
 SIDE_BY_SIDE = 512
+# Documents scored together at least, so that those of like length stand side by side.
+TOGETHER = 4000
 # Of a training step: its rate, the memories of slope and size, and what keeps rare weights from large steps.
 RATE, DECAY, SLOW_DECAY, CAUTION = 0.02, 0.9, 0.99, 1e-4
 STRETCH = 256
@@ -329,8 +331,13 @@ def _scorer(known, weights):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         v = known.value
         net = Network(v.size, weights.value)
+        ids, parts, keys = [], [], []
+
+        def scored() -> pd.DataFrame:
+            out = pd.DataFrame(parts, columns=["n_tokens", "n_inside", "log_inside", "log_outside", "n_other", "rare"])
+            return pd.concat([pd.concat(keys, ignore_index=True), out.assign(model=net.log10(ids))], axis=1)
+
         for batch in batches:
-            ids, parts = [], []
             for text in batch["text"]:
                 words = tokens(text)
                 places = v.look_up(words)
@@ -338,11 +345,15 @@ def _scorer(known, weights):
                 logs = v.log_counts[places[inside]]
                 outside = places[inside] >= v.size - 2
                 own = v.model_ids(places)
-                ids.append(own)
+                ids.append(own.astype(np.int32))
                 rare = [words[i] for i in np.flatnonzero(~inside)]
                 parts.append((len(own), int(inside.sum()), float(logs.sum()), float(logs[outside].sum()), int((own == OTHER).sum()), rare))
-            out = pd.DataFrame(parts, columns=["n_tokens", "n_inside", "log_inside", "log_outside", "n_other", "rare"])
-            yield pd.concat([batch[["no", "id", "held_out"]], out.assign(model=net.log10(ids))], axis=1)
+            keys.append(batch[["no", "id", "held_out"]])
+            if len(ids) >= TOGETHER:
+                yield scored()
+                ids, parts, keys = [], [], []
+        if keys:
+            yield scored()
 
     return run
 

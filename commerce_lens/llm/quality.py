@@ -37,7 +37,7 @@ STEEPNESS = 4.0
 
 _TOKENS = re.compile(r"\w+|[^\w\s]+")
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
-_MEMO_SIZE = 500_000
+_MEMO_SIZE = 150_000
 
 
 class _Hashes(dict):

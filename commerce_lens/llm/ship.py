@@ -1,4 +1,4 @@
-"""Gives executors this package where it isn't installed on them."""
+"""Prepares a session: gives executors this package where it isn't installed on them, and bounds Arrow batches."""
 
 from __future__ import annotations
 
@@ -11,11 +11,16 @@ from pyspark.sql import SparkSession
 
 import commerce_lens
 
+# Texts are long rows: a batch of the usual 10,000 of them, held several times over, is a large part of a worker.
+BATCH_ROWS = 1000
 _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> SparkSession:
     """Add the package's source to the application, once; Spark hands it to every Python worker."""
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(size)) <= BATCH_ROWS:
+        spark.conf.set(size, str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     if app not in _SHIPPED:
         root = Path(commerce_lens.__file__).parent

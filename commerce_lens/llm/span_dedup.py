@@ -32,7 +32,7 @@ LONG, CUT = 10, 6
 _END = re.compile(r"(?<=[.!?])\s+|\n+")
 _WORD = re.compile(r"\S+")
 _CUTS: dict[str, bool] = {}
-_MEMO_SIZE = 500_000
+_MEMO_SIZE = 150_000
 
 
 def _cuts(word: str) -> bool:

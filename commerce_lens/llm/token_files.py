@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 # Ids of a block, at least, unless the part ends; a document is never cut.
 BLOCK_IDS = 1 << 18
-_MEMO_SIZE = 600_000
+_MEMO_SIZE = 400_000
 _ROWS = 256
 # White space other than space and newline: pieces that end in it can't be told apart from what follows.
 _OTHER_SPACE = tuple(c for c in map(chr, (*range(9, 14), *range(28, 32), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)) if c != "\n")
