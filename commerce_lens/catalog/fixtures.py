@@ -62,13 +62,13 @@ class Views:
 
     @cached_property
     def products(self) -> DataFrame:
-        return self.raw("part").selectExpr("p_partkey AS product_id", "p_type AS product_category_name")
+        return self.raw("part").selectExpr("p_partkey AS product_id", "concat(p_type, '_', p_size % 4) AS product_category_name")
 
     @cached_property
     def translation(self) -> DataFrame:
-        """English names per category. PROMO has none, so inner joins drop it."""
+        """English names per category. The PROMO ones have none, so inner joins drop them."""
         return (
-            self.products.where("product_category_name <> 'PROMO'")
+            self.products.where("product_category_name NOT LIKE 'PROMO%'")
             .select("product_category_name")
             .distinct()
             .withColumn("product_category_name_english", F.concat(F.lit("en_"), F.lower("product_category_name")))
@@ -98,7 +98,7 @@ class Views:
             "event_id - CASE WHEN event_id % 4 = 3 THEN 1 ELSE 0 END AS order_id",
             "1 + k % 5 AS review_score",
             "CAST(CAST(ts AS DATE) AS TIMESTAMP_NTZ) AS review_creation_date",
-            "ts AS review_answer_timestamp",
+            "ts + make_dt_interval(cast(event_id % 24 * 30 AS int)) AS review_answer_timestamp",
             "k",
             "event_id",
             "event_type",
@@ -138,8 +138,8 @@ class Views:
         return dedup_reviews(self.staging_scores_with_k.drop("k", "event_id", "event_type"))
 
     def _scored(self, staging: DataFrame) -> DataFrame:
-        """Deduplicated rows with stand-in scores, quarters between -1 and 1 with exact sums."""
-        score = {a: (((F.col("k") + 2 * j) % 9) - 4).cast("double") / 4 for j, a in enumerate(ASPECTS)}
+        """Deduplicated rows with stand-in scores, quarters between -1 and 1 with exact sums; no score settles another."""
+        score = {a: (((F.col("k") + j * F.col("review_id")) % 9) - 4).cast("double") / 4 for j, a in enumerate(ASPECTS)}
         document = F.to_json(F.struct(*[e.alias(a) for a, e in score.items()]))
         return dedup_reviews(staging).withColumn("review_aspect_scores", F.when(F.col("k") % 4 != 0, document))
 

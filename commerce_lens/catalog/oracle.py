@@ -31,11 +31,11 @@ VIEWS: dict[str, str] = {
         SELECT l_orderkey AS order_id, l_linenumber AS order_item_id, l_partkey AS product_id,
                l_suppkey AS seller_id, l_shipdate AS shipping_limit_date, l_extendedprice AS price,
                l_quantity AS freight_value FROM lineitem""",
-    "v_products": "SELECT p_partkey AS product_id, p_type AS product_category_name FROM part",
+    "v_products": "SELECT p_partkey AS product_id, concat(p_type, '_', p_size % 4) AS product_category_name FROM part",
     "v_translation": """
-        SELECT DISTINCT p_type AS product_category_name,
-               concat('en_', lower(p_type)) AS product_category_name_english
-        FROM part WHERE p_type <> 'PROMO'""",
+        SELECT DISTINCT product_category_name,
+               concat('en_', lower(product_category_name)) AS product_category_name_english
+        FROM v_products WHERE product_category_name NOT LIKE 'PROMO%'""",
     "v_events": "SELECT *, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events",
     "v_staging": """
         SELECT event_id - CASE WHEN event_id % 10 = 8 OR event_id % 12 = 4 THEN 1 ELSE 0 END AS review_id,
@@ -44,7 +44,7 @@ VIEWS: dict[str, str] = {
                CASE WHEN k % 3 = 0 THEN event_type END AS review_comment_title,
                d.text AS review_comment_message,
                CAST(CAST(ts AS DATE) AS TIMESTAMP) AS review_creation_date,
-               ts AS review_answer_timestamp, k
+               ts + to_days(CAST(event_id % 24 * 30 AS INTEGER)) AS review_answer_timestamp, k
         FROM v_events e LEFT JOIN documents d ON d.doc_id = e.event_id""",
     "v_ranked": f"""
         SELECT *, row_number() OVER (PARTITION BY review_id ORDER BY {DEDUP_ORDER}, order_id NULLS FIRST) AS rr,
@@ -54,7 +54,7 @@ VIEWS: dict[str, str] = {
     "v_scored": f"""
         SELECT *, {_clean_text("concat('EN: ', review_comment_message)")} AS en_raw,
                k % 4 <> 0 AS has_scores,
-               {", ".join(f"CASE WHEN k % 4 <> 0 THEN (((k + 2 * {j}) % 9) - 4) / CAST(4 AS DOUBLE) END AS {s}"
+               {", ".join(f"CASE WHEN k % 4 <> 0 THEN (((k + {j} * review_id) % 9) - 4) / CAST(4 AS DOUBLE) END AS {s}"
                           for j, s in enumerate(SCORES))}
         FROM v_clean""",
     "v_enriched": """
@@ -197,7 +197,7 @@ DRILL = (
     "customer_service_score, city, product_category_name_en"
 )
 ORACLE["filter_compound_eq"] = f"""
-    SELECT {DRILL} FROM v_geo WHERE product_category_name_en = 'en_economy' AND city = 'NATION_3'
+    SELECT {DRILL} FROM v_geo WHERE product_category_name_en = 'en_economy_1' AND city = 'NATION_3'
     ORDER BY {", ".join(c + " NULLS FIRST" for c in DRILL.split(", "))} LIMIT 20"""
 ORACLE["dropna_subset"] = """
     SELECT review_id, order_id, review_comment_title, review_comment_message FROM v_staging

@@ -182,7 +182,7 @@ def filter_isin_top(v: Views) -> DataFrame:
 
 @query
 def filter_compound_eq(v: Views) -> DataFrame:
-    return select.drill_down(v.geo_with_text, "en_economy", "NATION_3", DRILL_COLUMNS)
+    return select.drill_down(v.geo_with_text, "en_economy_1", "NATION_3", DRILL_COLUMNS)
 
 
 @query

@@ -1,8 +1,9 @@
 """Gaussian kernel densities and pair grids.
 
-Rows are first collapsed to distinct values with a weight, so the work is distinct points
-times grid points whatever the number of rows, and each task adds its points up per grid
-point before the shuffle.
+Rows are first collapsed to distinct values with a weight. A point then visits only the grid cells
+within REACH bandwidths, beyond which its kernel is below the precision of a double, and each task adds
+its points up per cell before the shuffle. The bandwidth shrinks as rows are added, and the cells of a
+point with it. Cells that no point visits have density 0.
 """
 
 from __future__ import annotations
@@ -17,6 +18,17 @@ from commerce_lens.operators.select import dropna_subset
 from commerce_lens.operators.stats import long_values
 
 
+REACH = 9.0
+
+
+def _cells(lo: Column, hi: Column, centre: Column, half: Column, size: int) -> Column:
+    """The numbers of the grid cells within `half` of a centre; an empty list if there are none."""
+    step = (hi - lo) / F.lit(float(size - 1))
+    first = F.greatest(F.lit(0), F.ceil((centre - half - lo) / step)).cast("int")
+    last = F.least(F.lit(size - 1), F.floor((centre + half - lo) / step)).cast("int")
+    return F.when(first <= last, F.sequence(first, F.greatest(first, last)))
+
+
 def _grid(lo: Column, hi: Column, i: Column, size: int) -> Column:
     return lo + i * ((hi - lo) / F.lit(float(size - 1)))
 
@@ -41,15 +53,14 @@ def kde_1d(
     spread = spread.where(F.col("sd") > 0).withColumn("h", F.col("sd") * F.pow("n", F.lit(-0.2)) * bw_adjust)
     spread = spread.select("column", "n", "h", (F.col("lo") - cut * F.col("h")).alias("lo"), (F.col("hi") + cut * F.col("h")).alias("hi"))
     # The spread has one row per column.
-    at = points.join(F.broadcast(spread), "column").withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
+    near = _cells(F.col("lo"), F.col("hi"), F.col("value"), REACH * F.col("h"), grid)
+    at = points.join(F.broadcast(spread), "column").withColumn("i", F.explode(near))
     x = _grid(F.col("lo"), F.col("hi"), F.col("i"), grid)
     z = (x - F.col("value")) / F.col("h")
-    return (
-        at.select("column", "i", "n", "h", x.alias("x"), (F.col("w") * F.exp(-0.5 * z * z)).alias("k"))
-        .groupBy("column", "i", "x", "n", "h")
-        .agg(F.sum("k").alias("k"))
-        .select("column", "i", "x", (F.col("k") / (F.col("n") * F.col("h") * math.sqrt(2 * math.pi))).alias("density"))
-    )
+    sums = at.select("column", "i", (F.col("w") * F.exp(-0.5 * z * z)).alias("k")).groupBy("column", "i").agg(F.sum("k").alias("k"))
+    frame = spread.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
+    scale = F.col("n") * F.col("h") * math.sqrt(2 * math.pi)
+    return frame.join(sums, ["column", "i"], "left").select("column", "i", x.alias("x"), (F.coalesce("k", F.lit(0.0)) / scale).alias("density"))
 
 
 def _pair_rows(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
@@ -62,16 +73,24 @@ def _pair_rows(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     return df.selectExpr(f"inline(array({panels}))").where("px IS NOT NULL AND py IS NOT NULL")
 
 
-def kde_2d(
-    df: DataFrame, pairs: Sequence[tuple[str, str]], grid: int = 200, bw_adjust: float = 0.5, cut: float = 3.0
-) -> DataFrame:
-    """Density of (x, y) column pairs on an even grid: (x_column, y_column, i, j, x, y, density).
+def pair_visits(points: DataFrame, spread: DataFrame, grid: int) -> DataFrame:
+    """The points with the grid cells (i, j) that they visit.
 
-    The kernel has the full sample covariance, scaled by n^(-1/6) * bw_adjust on each axis.
-    A pair whose covariance is singular has no density and no rows.
+    Within REACH, the second coordinate keeps to a band around its mean for the first. The spread
+    has one row per pair of columns.
     """
-    rows = _pair_rows(df, pairs)
-    points = rows.groupBy("x_column", "y_column", "px", "py").agg(F.count(F.lit(1)).alias("w"))
+    dx = _grid(F.col("lox"), F.col("hix"), F.col("i"), grid) - F.col("px")
+    across = _cells(F.col("lox"), F.col("hix"), F.col("px"), REACH * F.sqrt("vx"), grid)
+    middle, half = F.col("py") + F.col("vxy") / F.col("vx") * dx, REACH * F.sqrt(F.col("det") / F.col("vx"))
+    return (
+        points.join(F.broadcast(spread), ["x_column", "y_column"])
+        .withColumn("i", F.explode(across))
+        .withColumn("j", F.explode(_cells(F.col("loy"), F.col("hiy"), middle, half, grid)))
+    )
+
+
+def pair_spread(rows: DataFrame, bw_adjust: float, cut: float) -> DataFrame:
+    """Count, kernel covariance and grid bounds of each pair of columns; none for a singular covariance."""
     spread = rows.groupBy("x_column", "y_column").agg(
         F.count(F.lit(1)).cast("double").alias("n"),
         F.var_samp("px").alias("vx"),
@@ -85,38 +104,45 @@ def kde_2d(
     )
     # Rounding leaves a determinant near zero for columns that determine each other.
     spread = spread.where(F.col("det") > 1e-12 * F.col("vx") * F.col("vy"))
-    spread = spread.select(
-        "x_column", "y_column", "n", "vx", "vy", "vxy", "det",
-        *[
-            e.alias(name)
-            for c in ("x", "y")
-            for name, e in (
-                (f"lo{c}", F.col(f"lo{c}") - cut * F.sqrt(f"v{c}")),
-                (f"hi{c}", F.col(f"hi{c}") + cut * F.sqrt(f"v{c}")),
-            )
-        ],
-    )
-    steps = F.sequence(F.lit(0), F.lit(grid - 1))
-    # The spread has one row per pair of columns.
-    at = (
-        points.join(F.broadcast(spread), ["x_column", "y_column"])
-        .withColumn("i", F.explode(steps))
-        .withColumn("j", F.explode(steps))
-    )
+    edges = [
+        e.alias(name)
+        for c in ("x", "y")
+        for name, e in (
+            (f"lo{c}", F.col(f"lo{c}") - cut * F.sqrt(f"v{c}")),
+            (f"hi{c}", F.col(f"hi{c}") + cut * F.sqrt(f"v{c}")),
+        )
+    ]
+    return spread.select("x_column", "y_column", "n", "vx", "vy", "vxy", "det", *edges)
+
+
+def kde_2d(
+    df: DataFrame, pairs: Sequence[tuple[str, str]], grid: int = 200, bw_adjust: float = 0.5, cut: float = 3.0
+) -> DataFrame:
+    """Density of (x, y) column pairs on an even grid: (x_column, y_column, i, j, x, y, density).
+
+    The kernel has the full sample covariance, scaled by n^(-1/6) * bw_adjust on each axis.
+    A pair whose covariance is singular has no density and no rows.
+    """
+    rows = _pair_rows(df, pairs)
+    points = rows.groupBy("x_column", "y_column", "px", "py").agg(F.count(F.lit(1)).alias("w"))
+    spread = pair_spread(rows, bw_adjust, cut)
     dx = _grid(F.col("lox"), F.col("hix"), F.col("i"), grid) - F.col("px")
+    at = pair_visits(points, spread, grid)
     dy = _grid(F.col("loy"), F.col("hiy"), F.col("j"), grid) - F.col("py")
     form = (F.col("vy") * dx * dx - 2 * F.col("vxy") * dx * dy + F.col("vx") * dy * dy) / F.col("det")
     sums = at.select("x_column", "y_column", "i", "j", (F.col("w") * F.exp(-0.5 * form)).alias("k")).groupBy(
         "x_column", "y_column", "i", "j"
     ).agg(F.sum("k").alias("k"))
-    return sums.join(F.broadcast(spread), ["x_column", "y_column"]).select(
+    steps = F.sequence(F.lit(0), F.lit(grid - 1))
+    frame = spread.withColumn("i", F.explode(steps)).withColumn("j", F.explode(steps))
+    return frame.join(sums, ["x_column", "y_column", "i", "j"], "left").select(
         "x_column",
         "y_column",
         "i",
         "j",
         _grid(F.col("lox"), F.col("hix"), F.col("i"), grid).alias("x"),
         _grid(F.col("loy"), F.col("hiy"), F.col("j"), grid).alias("y"),
-        (F.col("k") / (F.col("n") * 2 * math.pi * F.sqrt("det"))).alias("density"),
+        (F.coalesce("k", F.lit(0.0)) / (F.col("n") * 2 * math.pi * F.sqrt("det"))).alias("density"),
     )
 
 

@@ -265,3 +265,15 @@ def test_profile_correlations(spark):
 def test_quantile_columns_names(frame):
     df = frame("g string, v double", ("x", 1.0), ("x", 3.0))
     assert rows(quantile_columns(df, ["g"], "v", {"mid": 0.5, "top": 1.0})) == [("x", 2.0, 3.0)]
+
+
+def test_a_point_visits_only_the_cells_near_it(spark):
+    """100,000 distinct pairs and a grid of 40,000 cells: far from 4e9 rows."""
+    rng = np.random.default_rng(5)
+    data = rng.multivariate_normal([0, 0], [[1, 0.6], [0.6, 2]], 100_000)
+    rows = spark.createDataFrame(pd.DataFrame({"px": data[:, 0], "py": data[:, 1]})).selectExpr("'a' AS x_column", "'b' AS y_column", "px", "py")
+    spread = density.pair_spread(rows, 0.5, 3.0)
+    points = rows.withColumn("w", F.lit(1))
+    assert density.pair_visits(points, spread, 200).count() < 100_000 * 2_000
+    grid = density.kde_2d(rows.selectExpr("px AS a", "py AS b").limit(2_000), [("a", "b")], grid=60)
+    assert grid.count() == 3_600 and grid.where("density IS NULL OR density < 0").count() == 0
