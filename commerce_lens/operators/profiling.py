@@ -9,9 +9,10 @@ from itertools import combinations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from commerce_lens.operators.quantiles import ACCURACY, quantile_columns
+from commerce_lens.operators.quantiles import in_columns, weighted_quantiles
 from commerce_lens.operators.reshape import melt
-from commerce_lens.operators.stats import long_values, nan_as_null, numeric_columns, per_column
+from commerce_lens.operators.stats import is_numeric, nan_as_null, numeric_columns
+from commerce_lens.session import cut_lineage
 
 QUANTILES = {"q05": 0.05, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q95": 0.95}
 
@@ -32,70 +33,63 @@ def value_counts(df: DataFrame, reduce_counts: Callable[[DataFrame], DataFrame])
 
 
 NUMERIC_MEASURES = {
-    "min": "min(value)",
-    "max": "max(value)",
-    "mean": "avg(value)",
-    "std": "stddev_samp(value)",
-    "zeros": "count_if(value = 0)",
-    "negatives": "count_if(value < 0)",
-    "skew": "IF(count(1) > 2, skewness(value) * sqrt(count(1) * (count(1) - 1D)) / (count(1) - 2D), NULL)",
-    "kurtosis": """IF(count(1) > 3, (count(1) - 1D) / ((count(1) - 2D) * (count(1) - 3D))
-                     * ((count(1) + 1D) * kurtosis(value) + 6D), NULL)""",
+    "min": "min(number)",
+    "max": "max(number)",
+    "mean": "avg(number)",
+    "std": "stddev_samp(number)",
+    "zeros": "count_if(number = 0)",
+    "negatives": "count_if(number < 0)",
+    "skew": "IF(count(number) > 2, skewness(number) * sqrt(count(number) * (count(number) - 1D)) / (count(number) - 2D), NULL)",
+    "kurtosis": """IF(count(number) > 3, (count(number) - 1D) / ((count(number) - 2D) * (count(number) - 3D))
+                     * ((count(number) + 1D) * kurtosis(number) + 6D), NULL)""",
 }
-TEXT_MEASURES = {"min_length": "min(value)", "max_length": "max(value)", "mean_length": "avg(value)"}
+TEXT_MEASURES = {"min_length": "min(size)", "max_length": "max(size)", "mean_length": "avg(size)"}
 
 
-def profile_columns(df: DataFrame, accuracy: int = ACCURACY) -> DataFrame:
+def _cells(df: DataFrame, make: Callable[[str, str], str]) -> DataFrame:
+    """One row per cell, made by an SQL struct per column and type, from one read of df."""
+    return df.selectExpr(f"inline(array({', '.join(make(c, t) for c, t in df.dtypes)}))")
+
+
+def profile_columns(df: DataFrame) -> DataFrame:
     """One row per column: type, counts, distinct values, moments, quantiles, text lengths.
 
     Skew and kurtosis carry the small-sample correction. Numeric measures are NULL for other
-    types, text lengths are NULL for anything but text.
+    types, text lengths are NULL for anything but text. df is read twice: once for all that a running
+    sum can tell, once for how often each value stands in each column, from which quantiles are taken, too.
     """
     df = nan_as_null(df)
-    types = dict(df.dtypes)
     numeric = numeric_columns(df)
-    texts = [c for c, t in df.dtypes if t == "string"]
-    named_types = ", ".join(f"'{c}', '{t}'" for c, t in types.items())
-    out = per_column(df, df.columns, lambda c: {"rows": "count(1)", "missing": f"count_if(`{c}` IS NULL)"}).withColumn(
-        "type", F.expr(f"map({named_types})[column]")
-    )
-    distinct = value_counts(
-        df,
-        lambda counts: counts.groupBy("column").agg(
-            F.count(F.lit(1)).alias("distinct"), F.count_if(F.col("count") == 1).alias("unique")
-        ),
-    )
-    # Columns are measured in long form: a few aggregates over (column, value), instead of
-    # one aggregation with a dozen of them per column.
-    parts = [distinct]
-    if numeric:
-        values = long_values(df, numeric)
-        parts.append(values.groupBy("column").agg(*[F.expr(sql).alias(name) for name, sql in NUMERIC_MEASURES.items()]))
-        parts.append(quantile_columns(values, ["column"], "value", QUANTILES, accuracy))
-    if texts:
-        lengths = melt(df.select(*[F.length(c).alias(c) for c in texts]), [], texts, "column", "value")
-        parts.append(lengths.groupBy("column").agg(*[F.expr(sql).alias(name) for name, sql in TEXT_MEASURES.items()]))
-    for part in parts:
+    kinds = list(dict.fromkeys(t for _, t in df.dtypes))
+
+    def measured(c: str, t: str) -> str:
+        number = f"CAST(`{c}` AS DOUBLE)" if c in numeric else "CAST(NULL AS DOUBLE)"
+        size = f"length(`{c}`)" if t == "string" else "CAST(NULL AS INT)"
+        return f"struct('{c}' AS column, `{c}` IS NULL AS empty, {number} AS number, {size} AS size)"
+
+    def typed(c: str, t: str) -> str:
+        values = [f"`{c}` AS v{i}" if k == t else f"CAST(NULL AS {k}) AS v{i}" for i, k in enumerate(kinds)]
+        return f"struct('{c}' AS column, `{c}` IS NULL AS empty, {', '.join(values)})"
+
+    measures = {"rows": "count(1)", "missing": "count_if(empty)", **NUMERIC_MEASURES, **TEXT_MEASURES}
+    out = _cells(df, measured).groupBy("column").agg(*[F.expr(sql).alias(name) for name, sql in measures.items()])
+    number = F.coalesce(*[F.col(f"v{i}").cast("double") for i, k in enumerate(kinds) if is_numeric(k)], F.lit(None).cast("double"))
+    counts = _cells(df, typed).where("NOT empty").groupBy("column", *[f"v{i}" for i in range(len(kinds))]).agg(F.count(F.lit(1)).alias("w"))
+    counts = cut_lineage(counts.select("column", number.alias("value"), "w"), "values")
+    distinct = counts.groupBy("column").agg(F.count(F.lit(1)).alias("distinct"), F.count_if(F.col("w") == 1).alias("unique"))
+    quantiles = weighted_quantiles(counts.where("value IS NOT NULL"), ["column"], list(QUANTILES.values()))
+    named_types = df.sparkSession.createDataFrame(df.dtypes, "column string, type string")
+    out = named_types.join(F.broadcast(out), "column", "left")
+    for part in (distinct, in_columns(quantiles, ["column"], QUANTILES)):
         # Every side has one row per column.
         out = out.join(F.broadcast(part), "column", "left")
-    result_types = {
-        "distinct": "long",
-        "unique": "long",
-        **dict.fromkeys([*NUMERIC_MEASURES, *QUANTILES], "double"),
-        "zeros": "long",
-        "negatives": "long",
-        **dict.fromkeys(TEXT_MEASURES, "int"),
-        "mean_length": "double",
-    }
-    missing = {c: t for c, t in result_types.items() if c not in out.columns}
-    out = out.withColumns({c: F.lit(None).cast(t) for c, t in missing.items()})
     is_number = F.col("column").isin(numeric)
     return out.withColumns(
         {
-            **{c: F.coalesce(c, F.lit(0)) for c in ("distinct", "unique")},
+            **{c: F.coalesce(c, F.lit(0)).cast("long") for c in ("rows", "missing", "distinct", "unique")},
             **{c: F.when(is_number, F.coalesce(c, F.lit(0))) for c in ("zeros", "negatives")},
         }
-    ).select("column", "type", "rows", "missing", *result_types)
+    ).select("column", "type", "rows", "missing", "distinct", "unique", *NUMERIC_MEASURES, *QUANTILES, *TEXT_MEASURES)
 
 
 def profile_table(df: DataFrame) -> DataFrame:

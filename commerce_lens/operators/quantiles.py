@@ -4,115 +4,61 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-ACCURACY = 10_000
-SLOTS = 10_000
-SKETCHES = 32
-
-
-def exact_quantiles(
-    df: DataFrame, groups: Sequence[str], value: str, probs: Sequence[float], accuracy: int = ACCURACY
-) -> DataFrame:
-    """Linearly interpolated quantiles per group, as (groups, prob, quantile).
-
-    1. Each group is sketched in up to SKETCHES shares, so that no task merges the sketches of
-       all input partitions. A quantile of a whole lies between the lowest and the highest of
-       its shares' quantiles. A sketch is off by at most 1/accuracy of its rows, and the range
-       taken reaches 8/accuracy to both sides, which also covers the rounding of ranks in
-       every share. A group of up to 8 * accuracy rows is its own range.
-    2. Rows are counted by how many ranges start at or below them, and by value only where
-       they lie inside a range; that is all later steps need of the rows.
-    3. Each range is cut into SLOTS even slots; running totals over the slots tell the one or
-       two that hold the wanted ranks, and only their values are ordered.
-
-    No task sees more than SLOTS totals or one slot of one range. Groups must be few
-    (columns of a table, a top-k list): one row per group and quantile is broadcast. A range
-    that misses its rank would fail the job, never shift the result.
+from commerce_lens.session import cut_lineage
+
+
+def counted(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
+    """(groups, value, w): how often each number stands in each group; NULL and not-a-number are left out."""
+    v = df.select(*groups, F.col(value).cast("double").alias("value")).where("value IS NOT NULL AND NOT isnan(value)")
+    return v.groupBy(*groups, "value").agg(F.count(F.lit(1)).alias("w"))
+
+
+def weighted_quantiles(counts: DataFrame, groups: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Linearly interpolated quantiles per group of counted() values, as (groups, prob, quantile).
+
+    The counts are dealt into ranges of (group, value) by sampled bounds and written once with the number
+    of their range, since the bounds of a second sample could differ. Running totals over the ranges of a group tell
+    the one or two that hold the wanted ranks, and only these are put in order. No task holds more than a
+    range, however many rows, values or groups there are; one method serves every size.
     """
     groups, probs = list(groups), sorted(set(probs))
-    reach = 8 / accuracy
-    ends = [max(p - reach, 0.0) for p in probs] + [min(p + reach, 1.0) for p in probs]
-    v = df.select(*groups, F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL AND NOT isnan(_v)")
-    shares = (
-        v.withColumn("_share", F.pmod(F.spark_partition_id(), F.lit(SKETCHES)))
-        .groupBy(*groups, "_share")
-        .agg(
-            F.expr("count(1)").alias("_n"),
-            F.expr("min(_v)").alias("_min"),
-            F.expr("max(_v)").alias("_max"),
-            F.percentile_approx("_v", ends, accuracy).alias("_ends"),
-        )
-    )
-    whole = ["sum(_n) AS _n", "min(_min) AS _min", "max(_max) AS _max"]
-    whole += [f"min(_ends[{i}]) AS _lo{i}" for i in range(len(probs))]
-    whole += [f"max(_ends[{i + len(probs)}]) AS _hi{i}" for i in range(len(probs))]
-    sketch = shares.groupBy(*groups).agg(*[F.expr(e) for e in whole])
-    goals = ", ".join(
-        f"""struct({i} AS _i, {p!r}D AS prob, {p!r}D * (_n - 1) AS pos,
-                   IF(_n <= {8 * accuracy}, _min, _lo{i}) AS lo, IF(_n <= {8 * accuracy}, _max, _hi{i}) AS hi)"""
-        for i, p in enumerate(probs)
-    )
-    copies = [f"`{g}` AS `_g_{g}`" for g in groups]
-    goal = sketch.selectExpr(*copies, "_n", f"array({goals}) AS _goals")
-    started = " + ".join(f"IF(_v >= _goals[{i}].lo, 1, 0)" for i in range(len(probs)))
-    in_range = " OR ".join(f"_v BETWEEN _goals[{i}].lo AND _goals[{i}].hi" for i in range(len(probs)))
-    coded = (
-        v.join(F.broadcast(goal), _same(groups))
-        .selectExpr(*_quoted(groups), f"{started} AS _started", f"IF({in_range}, _v, NULL) AS _v")
-        .groupBy(*groups, "_started", "_v")
-        .agg(F.expr("count(1)").alias("_w"))
+    ranged = counts.repartitionByRange(*groups, "value").withColumn("part", F.spark_partition_id())
+    stored = cut_lineage(ranged.select(F.struct(*groups).alias("g"), "value", "w", "part"), "counts")
+    sizes = stored.groupBy("g", "part").agg(F.sum("w").alias("rows"))
+    of_group = Window.partitionBy("g")
+    upto = F.sum("rows").over(of_group.orderBy("part"))
+    sizes = sizes.select("g", "part", "rows", upto.alias("upto"), F.sum("rows").over(of_group).alias("n"))
+    places = F.array(*[F.struct(F.lit(p).alias("prob"), (p * (F.col("n") - 1)).alias("pos")) for p in probs])
+    wanted = (
+        sizes.select("g", "part", "n", "upto", (F.col("upto") - F.col("rows")).alias("before"), F.inline(places))
+        # The values at the two ranks around the position, counted from 0.
+        .where("upto > floor(pos) AND before <= floor(pos) + 1")
+        .drop("upto")
     )
-    each = coded.join(F.broadcast(goal), _same(groups)).selectExpr(
-        *_quoted(groups), "_n", "_started", "_v", "_w", "inline(_goals)"
-    )
-    keys = [*groups, "prob", "pos", "_n"]
-    # Rows below the range are one weight in slot -1, rows above it are not needed.
-    counted = each.where("_started <= _i OR _v <= hi").selectExpr(
-        *_quoted(keys),
-        f"""IF(_started <= _i, -1,
-               CAST(least(floor(coalesce((_v - lo) / nullif(hi - lo, 0D), 0D) * {SLOTS}), {SLOTS - 1}) AS INT)) AS _slot""",
-        "IF(_started <= _i, NULL, _v) AS _v",
-        "_w",
-    )
-    over_slots = Window.partitionBy(*keys).orderBy("_slot")
-    totals = counted.groupBy(*keys, "_slot").agg(F.sum("_w").alias("_rows"))
-    held = (
-        totals.withColumn("_upto", F.sum("_rows").over(over_slots))
-        .where("_upto > floor(pos) AND _upto - _rows <= floor(pos) + 1")
-        .selectExpr(*copies, "prob AS _p", "_slot AS _s", "_upto - _rows AS _before")
-    )
-    same_slot = _same(groups) & F.expr("prob = _p AND _slot = _s")
-    within = Window.partitionBy(*keys, "_slot").orderBy(F.col("_v").asc_nulls_first())
-    placed = counted.join(F.broadcast(held), same_slot).withColumn("_upto", F.col("_before") + F.sum("_w").over(within))
-    picked = placed.groupBy(*keys).agg(
-        F.expr("min(IF(_upto > floor(pos), _v, NULL))").alias("_a"),
-        F.expr("min(IF(_upto > floor(pos) + 1, _v, NULL))").alias("_b"),
-        F.expr("min(_slot)").alias("_lowest"),
-    )
-    found = "_lowest >= 0 AND _a IS NOT NULL AND (_b IS NOT NULL OR floor(pos) + 1 >= _n)"
-    return picked.where(f"({found}) OR CAST(raise_error('quantile outside its sketched range') AS BOOLEAN)").selectExpr(
-        *_quoted(groups), "prob", "_a + (coalesce(_b, _a) - _a) * (pos - floor(pos)) AS quantile"
+    within = Window.partitionBy("g", "part", "prob").orderBy("value")
+    placed = stored.join(wanted, ["g", "part"]).withColumn("upto", F.col("before") + F.sum("w").over(within))
+    picked = placed.groupBy("g", "prob", "pos").agg(
+        F.min(F.when(F.expr("upto > floor(pos)"), F.col("value"))).alias("a"),
+        F.min(F.when(F.expr("upto > floor(pos) + 1"), F.col("value"))).alias("b"),
     )
+    return picked.select("g.*", "prob", F.expr("a + (coalesce(b, a) - a) * (pos - floor(pos)) AS quantile"))
 
 
-def _quoted(names: Sequence[str]) -> list[str]:
-    return [f"`{n}`" for n in names]
+def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
+    """weighted_quantiles of a column of df, which is read once."""
+    return weighted_quantiles(counted(df, groups, value), groups, probs)
 
 
-def _same(groups: Sequence[str]) -> Column:
-    """The group columns equal their `_g_` copies; NULL is a group of its own."""
-    same = F.lit(True)
-    for g in groups:
-        same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-    return same
+def in_columns(quantiles: DataFrame, groups: Sequence[str], probs: dict[str, float]) -> DataFrame:
+    """One row per group with one named column per quantile."""
+    picks = [F.max(F.when(F.col("prob") == float(p), F.col("quantile"))).alias(n) for n, p in probs.items()]
+    return quantiles.groupBy(*groups).agg(*picks)
 
 
-def quantile_columns(
-    df: DataFrame, groups: Sequence[str], value: str, probs: dict[str, float], accuracy: int = ACCURACY
-) -> DataFrame:
+def quantile_columns(df: DataFrame, groups: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
     """exact_quantiles with one named column per quantile."""
-    long = exact_quantiles(df, groups, value, list(probs.values()), accuracy)
-    picks = [F.max(F.when(F.col("prob") == float(p), F.col("quantile"))).alias(n) for n, p in probs.items()]
-    return long.groupBy(*groups).agg(*picks)
+    return in_columns(exact_quantiles(df, groups, value, list(probs.values())), groups, probs)
+

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from commerce_lens.operators.quantiles import ACCURACY, quantile_columns
+from commerce_lens.operators.quantiles import counted, in_columns, weighted_quantiles
 from commerce_lens.operators.reshape import melt
 from commerce_lens.operators.select import keep_top
+from commerce_lens.session import cut_lineage
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
@@ -34,28 +35,32 @@ def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return melt(wide, [], columns, "column", "value").where(F.col("value").isNotNull())
 
 
-def per_column(df: DataFrame, columns: Sequence[str], measures: Callable[[str], dict[str, str]]) -> DataFrame:
-    """One row per column with SQL aggregates by name, all from a single pass over df."""
-    named = {c: measures(c) for c in columns}
-    row = df.selectExpr(*[f"{sql} AS `{name}@{c}`" for c in columns for name, sql in named[c].items()])
-    structs = [
-        f"struct('{c}' AS column, {', '.join(f'`{name}@{c}` AS `{name}`' for name in named[c])})" for c in columns
-    ]
-    return row.selectExpr(f"inline(array({', '.join(structs)}))")
+def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """count, mean, sample deviation, min, quartiles and max of each numeric column.
 
-
-def describe(df: DataFrame, columns: Sequence[str] | None = None, accuracy: int = ACCURACY) -> DataFrame:
-    """count, mean, sample deviation, min, quartiles and max of each numeric column."""
+    df is read once: everything is taken from how often each value stands in each column.
+    """
     columns = list(columns) if columns is not None else numeric_columns(df)
-    df = nan_as_null(df.select(*[F.col(c).cast("double").alias(c) for c in columns]))
-    measures = {"count": "count", "mean": "avg", "std": "stddev_samp", "min": "min", "max": "max"}
-    moments = per_column(df, columns, lambda c: {name: f"{f}(`{c}`)" for name, f in measures.items()})
-    quartiles = quantile_columns(
-        long_values(df, columns), ["column"], "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, accuracy
+    counts = cut_lineage(counted(long_values(df, columns), ["column"], "value"), "values")
+    plain = counts.groupBy("column").agg(
+        F.sum("w").alias("count"),
+        (F.sum(F.col("value") * F.col("w")) / F.sum("w")).alias("mean"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+    )
+    away = F.col("value") - F.col("mean")
+    # All further sides have one row per column.
+    spread = counts.join(F.broadcast(plain.select("column", "mean")), "column").groupBy("column").agg(
+        F.try_divide(F.sum(away * away * F.col("w")), F.sum("w") - 1).alias("variance")
     )
-    # Both sides have one row per column.
-    return moments.join(F.broadcast(quartiles), "column", "left").select(
-        "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"
+    probs = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    quartiles = in_columns(weighted_quantiles(counts, ["column"], list(probs.values())), ["column"], probs)
+    frame = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    out = frame
+    for part in (plain, spread, quartiles):
+        out = out.join(F.broadcast(part), "column", "left")
+    return out.select(
+        "column", F.coalesce("count", F.lit(0)).alias("count"), "mean", F.sqrt("variance").alias("std"), "min", "q25", "q50", "q75", "max"
     )
 
 
@@ -102,41 +107,37 @@ def histogram(df: DataFrame, columns: str | Sequence[str], bins: int = 20) -> Da
     )
 
 
-def _with_fences(df: DataFrame, group: str, value: str, top: int, accuracy: int) -> tuple[DataFrame, DataFrame]:
-    rows = keep_top(df, group, top).where(F.col(value).isNotNull()).select(group, F.col(value).cast("double").alias("_v"))
-    box = quantile_columns(rows, [group], "_v", {"q1": 0.25, "median": 0.5, "q3": 0.75}, accuracy)
+def _with_fences(df: DataFrame, group: str, value: str, top: int) -> tuple[DataFrame, DataFrame]:
+    """Counted values of the most frequent groups, and the box and fences of each."""
+    counts = cut_lineage(counted(keep_top(df, group, top), [group], value), "values")
+    probs = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    box = in_columns(weighted_quantiles(counts, [group], list(probs.values())), [group], probs)
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    fences = box.withColumns({"_low": F.col("q1") - reach, "_high": F.col("q3") + reach})
-    return rows, fences
+    return counts, box.withColumns({"_low": F.col("q1") - reach, "_high": F.col("q3") + reach})
 
 
-def box_stats(df: DataFrame, group: str, value: str, top: int = 10, accuracy: int = ACCURACY) -> DataFrame:
+def box_stats(df: DataFrame, group: str, value: str, top: int = 10) -> DataFrame:
     """Quartiles, whiskers and outlier count for the most frequent groups.
 
     A whisker ends at the furthest value within 1.5 interquartile ranges of the box.
     """
-    rows, fences = _with_fences(df, group, value, top, accuracy)
-    inside = F.col("_v").between(F.col("_low"), F.col("_high"))
+    counts, fences = _with_fences(df, group, value, top)
+    inside = F.col("value").between(F.col("_low"), F.col("_high"))
     # The fences have one row per kept group.
     return (
-        rows.join(F.broadcast(fences), group)
+        counts.join(F.broadcast(fences), group)
         .groupBy(group, "q1", "median", "q3")
         .agg(
-            F.count(F.lit(1)).alias("count"),
-            F.least(F.col("q1"), F.coalesce(F.min(F.when(inside, F.col("_v"))), F.col("q1"))).alias("whisker_low"),
-            F.greatest(F.col("q3"), F.coalesce(F.max(F.when(inside, F.col("_v"))), F.col("q3"))).alias("whisker_high"),
-            F.count_if(~inside).alias("outliers"),
+            F.sum("w").alias("count"),
+            F.least(F.col("q1"), F.coalesce(F.min(F.when(inside, F.col("value"))), F.col("q1"))).alias("whisker_low"),
+            F.greatest(F.col("q3"), F.coalesce(F.max(F.when(inside, F.col("value"))), F.col("q3"))).alias("whisker_high"),
+            F.sum(F.when(inside, 0).otherwise(F.col("w"))).alias("outliers"),
         )
     )
 
 
-def box_outliers(df: DataFrame, group: str, value: str, top: int = 10, accuracy: int = ACCURACY) -> DataFrame:
+def box_outliers(df: DataFrame, group: str, value: str, top: int = 10) -> DataFrame:
     """Values beyond the whiskers with their frequency."""
-    rows, fences = _with_fences(df, group, value, top, accuracy)
-    beyond = ~F.col("_v").between(F.col("_low"), F.col("_high"))
-    return (
-        rows.join(F.broadcast(fences), group)
-        .where(beyond)
-        .groupBy(group, F.col("_v").alias("value"))
-        .agg(F.count(F.lit(1)).alias("count"))
-    )
+    counts, fences = _with_fences(df, group, value, top)
+    beyond = ~F.col("value").between(F.col("_low"), F.col("_high"))
+    return counts.join(F.broadcast(fences), group).where(beyond).select(group, "value", F.col("w").alias("count"))

@@ -1,6 +1,7 @@
 """Top-k, pivots, statistics, densities and profiles against numpy and pandas."""
 
 import math
+import re
 
 import numpy as np
 import pandas as pd
@@ -12,13 +13,13 @@ from pyspark.sql import functions as F
 from commerce_lens.operators import density, profiling, reshape, select, stats
 from commerce_lens.operators.quantiles import exact_quantiles, quantile_columns
 from commerce_lens.operators.reshape import CATEGORY, CITY
-from tests.conftest import rows
+from tests.conftest import plan, rows
 
 PROBS = [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]
 
 
-def quantiles_of(df, probs=PROBS, accuracy=10_000):
-    got = exact_quantiles(df, ["g"], "v", probs, accuracy).collect()
+def quantiles_of(df, probs=PROBS):
+    got = exact_quantiles(df, ["g"], "v", probs).collect()
     return {(r["g"], r["prob"]): r["quantile"] for r in got}
 
 
@@ -34,13 +35,12 @@ DISTRIBUTIONS = {
 
 
 @pytest.mark.parametrize("name", DISTRIBUTIONS)
-@pytest.mark.parametrize("accuracy", [100, 10_000])
-def test_quantiles_beyond_and_within_the_sketch(spark, name, accuracy):
+@pytest.mark.parametrize("in_order", [True, False])
+def test_quantiles_of_distributions(spark, name, in_order):
     data = DISTRIBUTIONS[name](np.random.default_rng(1), 20_000)
     frame = spark.createDataFrame(pd.DataFrame({"g": "x", "v": data}))
-    # 40 input partitions fill every share; sorted input makes the shares differ.
-    df = frame.repartitionByRange(40, "v") if accuracy == 100 else frame.repartition(40)
-    got = quantiles_of(df, accuracy=accuracy)
+    df = frame.repartitionByRange(40, "v") if in_order else frame.repartition(40)
+    got = quantiles_of(df)
     for p in PROBS:
         want = np.quantile(data, p)
         assert got[("x", p)] == pytest.approx(want, rel=1e-9, abs=1e-300), p
@@ -277,3 +277,16 @@ def test_a_point_visits_only_the_cells_near_it(spark):
     assert density.pair_visits(points, spread, 200).count() < 100_000 * 2_000
     grid = density.kde_2d(rows.selectExpr("px AS a", "py AS b").limit(2_000), [("a", "b")], grid=60)
     assert grid.count() == 3_600 and grid.where("density IS NULL OR density < 0").count() == 0
+
+
+def test_quantiles_of_many_groups_broadcast_no_group(spark):
+    df = spark.range(60_000).selectExpr("id % 6000 AS g", "cast(id div 6000 AS double) AS v")
+    out = exact_quantiles(df, ["g"], "v", [0.5])
+    assert "hint" not in plan(out).lower() and out.count() == 6000 and out.where("quantile <> 4.5").count() == 0
+
+
+def test_profiles_read_a_table_twice(spark, tmp_path):
+    spark.range(1000).selectExpr("id", "cast(id % 7 AS int) AS i", "cast(id AS string) AS s", "id / 3 AS d").write.parquet(str(tmp_path / "t"))
+    text = plan(profiling.profile_columns(spark.read.parquet(str(tmp_path / "t"))))
+    # The counts were written while the plan was built; what is left reads them and, once, the table.
+    assert len(re.findall(rf"FileScan parquet[^\n]*{tmp_path.name}", text)) == 1
