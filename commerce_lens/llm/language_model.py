@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -27,18 +28,18 @@ from commerce_lens.session import cut_lineage
 
 # Words whose counts are broadcast, words of the model, words of a class, size of the state.
 KNOWN = 1 << 17
-WORDS = 1022
+WORDS = 510
 CLASS = 32
-STATE = 16
+STATE = 12
 ROUNDS = 3
 # Documents side by side in training, steps of a window, documents side by side in scoring.
-STREAMS = 128
+STREAMS = 256
 STEPS = 16
 SIDE_BY_SIDE = 512
 # Documents scored together at least, so that those of like length stand side by side.
 TOGETHER = 4000
 # Of a training step: its rate, the memories of slope and size, and what keeps rare weights from large steps.
-RATE, DECAY, SLOW_DECAY, CAUTION = 0.02, 0.9, 0.99, 1e-4
+RATE, DECAY, SLOW_DECAY, CAUTION = 0.03, 0.9, 0.99, 1e-4
 STRETCH = 256
 # Distinct words that a counting task holds before it hands them on.
 _HELD = 400_000
@@ -84,6 +85,7 @@ class Vocabulary:
         self.counts = np.array(counts, dtype=np.int64)
         self.ends = ends
         self.size = 2 + min(len(words), WORDS)
+        self.few = {w: i + 2 for i, w in enumerate(words[:WORDS])}
         inside = int(self.counts[: self.size - 2].sum()) + ends
         self.outside = total - inside
         self.outside_whole = self.outside + distinct - (self.size - 2) - (1 if ends else 0) + 1
@@ -93,14 +95,18 @@ class Vocabulary:
 
     def look_up(self, words: list[bytes]) -> np.ndarray:
         """Places among the most frequent words; -1 for the others."""
-        get = self.ids.get
-        return np.fromiter((get(w, -1) for w in words), dtype=np.int64, count=len(words))
+        return np.fromiter(map(self.ids.get, words, repeat(-1)), dtype=np.int64, count=len(words))
 
     def model_ids(self, places: np.ndarray) -> np.ndarray:
-        """The model's ids of a document: its words, then the end."""
+        """The model's ids of a document from the places of its words: these, then the end."""
         ids = np.where((places >= 0) & (places < self.size - 2), places + 2, OTHER)
         return np.append(ids, END)
 
+    def training_ids(self, words: list[bytes]) -> np.ndarray:
+        """The same from the words themselves, by the model's few words alone."""
+        ids = np.fromiter(map(self.few.get, words, repeat(OTHER)), dtype=np.int64, count=len(words))
+        return np.append(ids, END)
+
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
     total = counts.agg(F.count(F.lit(1)).alias("v"), F.sum("n").alias("n"), F.sum(F.when(F.octet_length("word") == 0, F.col("n"))).alias("ends")).first()
@@ -305,7 +311,7 @@ def _trainer(known, start):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         v = known.value
         net = Network(v.size, start.value)
-        docs = (v.model_ids(v.look_up(tokens(text))) for batch in batches for text in batch["text"])
+        docs = (v.training_ids(tokens(text)) for batch in batches for text in batch["text"])
         seen = net.train(docs)
         if seen:
             yield pd.DataFrame({"at": np.arange(len(net.flat)), "value": net.flat.astype(np.float64) * seen, "seen": seen})
