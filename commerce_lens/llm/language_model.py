@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from commerce_lens.session import cut_lineage
 
-# Words whose counts are broadcast, words of the model, words of a class, size of the state.
+# Words whose counts are broadcast at most, words of the model, words of a class, size of the state.
 KNOWN = 1 << 17
 WORDS = 510
 CLASS = 32
@@ -110,8 +110,18 @@ class Vocabulary:
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
     total = counts.agg(F.count(F.lit(1)).alias("v"), F.sum("n").alias("n"), F.sum(F.when(F.octet_length("word") == 0, F.col("n"))).alias("ends")).first()
-    top = counts.where(F.octet_length("word") > 0).orderBy(F.desc("n"), "word").limit(KNOWN).toPandas()
-    words = [bytes(w) for w in top["word"]]
+    # Words of one count are known together or not at all, so that only the known ones are ever collected.
+    named = counts.where(F.octet_length("word") > 0)
+    sizes = named.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).limit(KNOWN).collect()
+    room, least = KNOWN, None
+    for size in sizes:
+        if size["words"] > room:
+            break
+        room, least = room - size["words"], size["n"]
+    top = named.where(F.lit(False) if least is None else F.col("n") >= least).toPandas()
+    top["word"] = top["word"].map(bytes)
+    top = top.sort_values(["n", "word"], ascending=[False, True])
+    words = top["word"].tolist()
     return Vocabulary(words, top["n"].tolist(), int(total["n"] or 0), int(total["v"]), int(total["ends"] or 0))
 
 
