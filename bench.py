@@ -33,6 +33,8 @@ HEADLINE = (
     "profile_columns",
     "profile_top_values",
     "enrich_reviews",
+    "csv_infer_load",
+    "refresh_all_layers",
 )
 
 

@@ -153,16 +153,25 @@ ORACLE: dict[str, str] = {}
 ORACLE["csv_infer_load"] = "SELECT doc_id, text, lang, source, n_chars FROM documents"
 ORACLE["csv_declared_load"] = """
     SELECT CAST(review_id AS VARCHAR) AS review_id, review_comment_message AS review_comment_message_en FROM v_staging"""
-ORACLE["ingest_all"] = """
-    SELECT 'customers' AS table_name, count(*) AS rows FROM customer
-    UNION ALL SELECT 'geolocation', count(*) FROM nation
-    UNION ALL SELECT 'order_items', count(*) FROM lineitem
-    UNION ALL SELECT 'order_payments', count(*) FROM orders
-    UNION ALL SELECT 'order_reviews', count(*) FROM v_staging
-    UNION ALL SELECT 'orders', count(*) FROM orders
-    UNION ALL SELECT 'products', count(*) FROM part
-    UNION ALL SELECT 'sellers', count(*) FROM supplier
-    UNION ALL SELECT 'product_category_name_translation', count(*) FROM v_translation"""
+SOURCES = {
+    "customers": ("v_customers", "customer_id, customer_city, customer_state"),
+    "geolocation": ("nation", "n_nationkey, n_name"),
+    "order_items": (
+        "v_items",
+        "order_id, order_item_id, product_id, seller_id, CAST(round(price * 100) AS BIGINT), CAST(round(freight_value * 100) AS BIGINT)",
+    ),
+    "order_payments": ("orders", "o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT)"),
+    "order_reviews": ("v_staging", "review_id, order_id, review_score, review_comment_title, review_comment_message"),
+    "orders": ("v_orders", "order_id, customer_id, order_status"),
+    "products": ("v_products", "product_id, product_category_name"),
+    "sellers": ("supplier", "s_suppkey, s_name"),
+    "product_category_name_translation": ("v_translation", "product_category_name, product_category_name_english"),
+}
+ORACLE["ingest_all"] = " UNION ALL ".join(
+    f"""SELECT '{name}' AS table_name, count(*) AS rows,
+        CAST(sum(CAST(concat('0x', substr(md5(concat_ws('|', {texts})), 1, 8)) AS BIGINT)) AS BIGINT) AS digest FROM {view}"""
+    for name, (view, texts) in SOURCES.items()
+)
 ORACLE["scan_table"] = "SELECT product_id, product_category_name FROM v_products"
 ORACLE["replace_table"] = "SELECT order_id, customer_id, order_status FROM v_orders WHERE order_status = 'F'"
 PENDING = """
@@ -623,16 +632,16 @@ ORACLE["refresh_all_layers"] = f"""{ENRICHED.strip()},
       JOIN v_products p ON i.product_id = p.product_id
       JOIN v_translation t ON p.product_category_name = t.product_category_name),
     copied AS ({ORACLE["ingest_all"]})
-    SELECT concat('staging.', table_name) AS table_name, rows FROM copied
-    UNION ALL SELECT concat('clean.', table_name), rows FROM copied WHERE table_name <> 'order_reviews'
-    UNION ALL SELECT 'clean.order_reviews', count(*) FROM v_clean
+    SELECT concat('staging.', table_name) AS table_name, rows, digest FROM copied
+    UNION ALL SELECT concat('clean.', table_name), rows, NULL FROM copied WHERE table_name <> 'order_reviews'
+    UNION ALL SELECT 'clean.order_reviews', count(*), NULL FROM v_clean
     UNION ALL SELECT 'clean.rejected_answers', (SELECT count(*) FROM v_tr_lines WHERE status_code <> 200)
-      + (SELECT count(*) FROM translated, (VALUES (0), (1)) x(seq) WHERE (seq = 0 AND review_id % 13 = 0) AND review_id % 11 <> 0)
-    UNION ALL SELECT 'clean.rejected_scores', 0
-    UNION ALL SELECT 'clean.order_reviews_aspect_geo', count(*) FROM pairs
-    UNION ALL SELECT 'aggregated.agg_sales_daily', count(*) FROM v_daily
-    UNION ALL SELECT 'aggregated.agg_sales_by_city', count(*) FROM v_by_city
-    UNION ALL SELECT 'aggregated.agg_aspect_score_by_product', count(*)
+      + (SELECT count(*) FROM translated, (VALUES (0), (1)) x(seq) WHERE (seq = 0 AND review_id % 13 = 0) AND review_id % 11 <> 0), NULL
+    UNION ALL SELECT 'clean.rejected_scores', 0, NULL
+    UNION ALL SELECT 'clean.order_reviews_aspect_geo', count(*), NULL FROM pairs
+    UNION ALL SELECT 'aggregated.agg_sales_daily', count(*), NULL FROM v_daily
+    UNION ALL SELECT 'aggregated.agg_sales_by_city', count(*), NULL FROM v_by_city
+    UNION ALL SELECT 'aggregated.agg_aspect_score_by_product', count(*), NULL
       FROM (SELECT DISTINCT product_id, category, date_trunc('month', review_answer_timestamp) FROM pairs)"""
 
 

@@ -60,7 +60,7 @@ def stamp(c: str) -> Column:
 def csv_infer_load(v: Views) -> DataFrame:
     path = scratch_path(v.spark, "csv_infer")
     csv_files.write_table_csv(v.raw("documents"), path)
-    df = csv_files.read_table_csv(v.spark, path)
+    df = csv_files.read_table_csv(v.spark, path, quoted_newlines=True)
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", "source", F.col("n_chars").cast("long").alias("n_chars"))
 
 
@@ -72,7 +72,7 @@ def csv_declared_load(v: Views) -> DataFrame:
         F.col("review_comment_message").alias("review_comment_message_en"),
     )
     csv_files.write_table_csv(rows, path)
-    return csv_files.read_table_csv(v.spark, path, TRANSLATIONS, required=["review_id"])
+    return csv_files.read_table_csv(v.spark, path, TRANSLATIONS, required=["review_id"], quoted_newlines=True)
 
 
 def _write_sources(v: Views) -> list:
@@ -80,16 +80,33 @@ def _write_sources(v: Views) -> list:
     specs = []
     for name, df in v.sources().items():
         csv_files.write_table_csv(df, f"{root}/{name}")
-        # Only review text holds newlines; the other files stay splittable.
-        specs.append(source_spec(name, f"{root}/{name}", quoted_newlines=name == "order_reviews"))
+        # The translation keeps its own declared schema.
+        declared = {} if name == "product_category_name_translation" else {"schema": df.schema}
+        specs.append(source_spec(name, f"{root}/{name}", **declared))
     return specs
 
 
+# What a row of a source table is checked by, in SQL that both engines read alike.
+ROW_TEXTS = {
+    "customers": "customer_id, customer_city, customer_state",
+    "geolocation": "geolocation_id, geolocation_city",
+    "order_items": "order_id, order_item_id, product_id, seller_id, CAST(round(price * 100) AS BIGINT), CAST(round(freight_value * 100) AS BIGINT)",
+    "order_payments": "order_id, CAST(round(payment_value * 100) AS BIGINT)",
+    "order_reviews": "review_id, order_id, review_score, review_comment_title, review_comment_message",
+    "orders": "order_id, customer_id, order_status",
+    "products": "product_id, product_category_name",
+    "sellers": "seller_id, seller_name",
+    "product_category_name_translation": "product_category_name, product_category_name_english",
+}
+
+
 def _row_counts(named: dict[str, DataFrame]) -> DataFrame:
-    counts = [
-        df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
-        for name, df in named.items()
-    ]
+    """Rows of each table, and for source tables a sum over the digests of their rows, which no order changes."""
+    counts = []
+    for name, df in named.items():
+        texts = ROW_TEXTS.get(name.split(".")[-1]) if name.split(".")[0] in (name, "staging") else None
+        digest = f"sum(CAST(conv(substr(md5(concat_ws('|', {texts})), 1, 8), 16, 10) AS BIGINT))" if texts else "CAST(NULL AS BIGINT)"
+        counts.append(df.agg(F.count(F.lit(1)).alias("rows"), F.expr(digest).alias("digest")).select(F.lit(name).alias("table_name"), "rows", "digest"))
     out = counts[0]
     for c in counts[1:]:
         out = out.unionAll(c)
@@ -142,7 +159,7 @@ def jsonl_result_source(v: Views) -> DataFrame:
 def enrichment_csv_sink(v: Views) -> DataFrame:
     path = scratch_path(v.spark, "enrichment")
     csv_files.write_enrichment_csv(enrich.parse_translations(v.translation_results), path)
-    return csv_files.read_table_csv(v.spark, path, TRANSLATIONS, required=["review_id"])
+    return csv_files.read_table_csv(v.spark, path, TRANSLATIONS, required=["review_id"], quoted_newlines=True)
 
 
 # --- projections and filters ---------------------------------------------------------
@@ -533,7 +550,7 @@ def melt_aspects(v: Views) -> DataFrame:
 
 @query
 def describe_numeric(v: Views) -> DataFrame:
-    out = stats.describe(v.geo_table, ["review_id", *SCORE_COLUMNS])
+    out = stats.describe(v.geo, ["review_id", *SCORE_COLUMNS])
     return rounded(out, "mean", "std", "q25", "q50", "q75")
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,25 +43,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-# Temporary folders of local sessions, by application.
-_LOCAL_FOLDERS: dict[str, str] = {}
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can read and write.
-
-    A cluster names it in spark.checkpoint.dir. Only a local session may fall back to a
-    temporary folder, because there the driver and the executors are one process.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    if context.applicationId not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="commerce_lens_")
-    return _LOCAL_FOLDERS[context.applicationId]
+    """The folder every executor can read and write: spark.checkpoint.dir, else the warehouse, which is shared as well."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return folder.rstrip("/")
 
 
 def scratch_root(spark: SparkSession) -> str:

@@ -29,8 +29,8 @@ def read_table_csv(
     Without a schema the types are inferred, at the price of one more pass over the files.
     Columns in `required` must not be NULL: such a row fails the job.
 
-    Quoted newlines make a file unsplittable (one task per file), so large tables should
-    come as many files, or be read with quoted_newlines=False where no text holds one.
+    Quoted newlines make a file unsplittable (one task per file); with quoted_newlines=False it is cut into many
+    tasks, which is what ingest.source_spec() asks for wherever no free text is.
     """
     reader = spark.read.options(**CSV_OPTIONS).option("multiLine", str(quoted_newlines).lower())
     if schema is None:

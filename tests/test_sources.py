@@ -165,3 +165,23 @@ def test_refresh_can_keep_earlier_answers(spark, refreshed):
 
     again = refresh(spark, specs, root, no_model, no_model, previous=out["clean.order_reviews"], tasks=2)
     assert rows(again["clean.order_reviews"]) == rows(out["clean.order_reviews"])
+
+
+def test_a_large_file_is_read_by_many_tasks(spark, tmp_path):
+    path = tmp_path / "big.csv"
+    path.write_text("a,b\n" + "".join(f"{i},text {i}\n" for i in range(200_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        spec = source_spec("orders", str(path), schema="a long, b string")
+        split = csv_files.read_table_csv(spark, spec.path, spec.schema, spec.required, spec.quoted_newlines)
+        whole = csv_files.read_table_csv(spark, str(path), "a long, b string", quoted_newlines=True)
+        assert split.select(F.spark_partition_id()).distinct().count() > 8
+        assert whole.select(F.spark_partition_id()).distinct().count() == 1
+        assert split.count() == whole.count() == 200_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_only_free_text_is_read_as_whole_files():
+    assert [n for n in STAGING_TABLES if source_spec(n, "x").quoted_newlines] == ["order_reviews"]
