@@ -131,7 +131,7 @@ def refreshed(spark, tmp_path_factory):
 
 def test_refresh_builds_every_layer(refreshed):
     _, root, out = refreshed
-    assert len(out) == 9 + 10 + 3
+    assert len(out) == 9 + 12 + 3  # with what was rejected: answers and scores
     daily = {str(r["order_date"]): r for r in out["aggregated.agg_sales_daily"].collect()}
     first = daily["2018-01-01"]
     assert (first["total_orders"], first["total_revenue"], first["total_items_sold"]) == (2, 25.5, 3)
