@@ -14,28 +14,53 @@ encoding costs less than a copy of all ids. Within a process, words are encoded
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Ids of a block, at least, unless the part ends; a document is never cut.
 BLOCK_IDS = 1 << 18
-_MEMO_SIZE = 400_000
+_MEMO_SIZE = 800_000
 _ROWS = 256
 # White space other than space and newline: pieces that end in it can't be told apart from what follows.
 _OTHER_SPACE = tuple(c for c in map(chr, (*range(9, 14), *range(28, 32), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)) if c != "\n")
 
 
+# The byte alphabet of byte-level tokenizers: printable bytes stand for themselves, the others follow from 256 on.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_ALPHABET = {b: 256 + n for n, b in enumerate(sorted(set(range(256)) - _PRINTABLE))}
+
+
+class _Memory(dict):
+    """Remembers what `work` makes of a key, until it is full: frequent keys come early."""
+
+    def __init__(self, work):
+        super().__init__()
+        self._work = work
+
+    def __missing__(self, key: str) -> bytes:
+        value = self._work(key)
+        if len(self) < _MEMO_SIZE:
+            self[key] = value
+        return value
+
+
 class WordEncoder:
     """Encodes texts with a tokenizer file, word by word.
 
     The split pattern never runs from a character that isn't white space into a space or newline, so
-    a text falls there into parts that are encoded alone. Texts with doubled or unusual white space
-    are encoded whole.
+    a text falls there into words that are encoded alone, each once as long as it is remembered: a word is split
+    by the pattern, and the library's model encodes the pieces. Texts with doubled or unusual white
+    space, and single words in front, are encoded whole.
+
+    Splitting is done here, by the published pattern and byte alphabet of such tokenizers, since the library's
+    call for it costs more than encoding.
     """
 
     def __init__(self, name: str):
@@ -44,35 +69,53 @@ class WordEncoder:
 
         self._tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
         self._tokenizer.encode_special_tokens = True  # control strings in a text are ordinary text
-        self._memo: dict[str, bytes] = {}
+        self._tokenize = self._tokenizer.model.tokenize
+        self._split = regex.compile(public_tokenizers.PATTERN).findall
+        self._pieces = _Memory(self._piece)
+        self._words = _Memory(self._word)
         self.size = self._tokenizer.get_vocab_size()
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _whole(self, text: str) -> bytes:
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _packed(self, piece: str) -> bytes:
+        """The ids of one piece, written in the byte alphabet."""
+        ids = [t.id for t in self._tokenize(piece)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _piece(self, piece: str) -> bytes:
+        return self._packed(piece.encode().decode("latin-1").translate(_ALPHABET))
+
+    def _word(self, word: str) -> bytes:
+        """A word as it stands between spaces: a space goes before it, unless a newline begins it."""
+        if word.isalpha():
+            return self._packed("\u0120" + word) if word.isascii() else self._piece(" " + word)  # U+0120: the space
+        if word[-1:] in ".,!" and word[:-1].isalpha():
+            return self._words[word[:-1]] + self._pieces[word[-1]]
+        return b"".join(map(self._pieces.__getitem__, self._split(word if word[:1] == "\n" else " " + word)))
 
     @staticmethod
-    def parts(text: str) -> list[str] | None:
-        """The text in parts that can be encoded alone; None if it can't be cut at every space and newline."""
-        if "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[:1] in (" ", "\n"):
+    def words(text: str) -> list[str] | None:
+        """The first word and the words behind each space and newline; None if the text can't be cut at all of them."""
+        if "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[:1] in (" ", "\n") or text[-1:] in (" ", "\n"):
             return None
         if any(c in text for c in _OTHER_SPACE):
             return None
-        first, *rest = text.replace("\n", " \n").split(" ")
-        return [first, *[p if p[:1] == "\n" else " " + p for p in rest]]
+        return text.replace("\n", " \n").split(" ")
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text; null and empty texts have none."""
-        cut = [self.parts(t) if t else [] for t in texts]
-        missing = list({p for parts in cut if parts for p in parts}.difference(self._memo))
-        if len(self._memo) + len(missing) > _MEMO_SIZE:
-            self._memo.clear()
-            missing = list({p for parts in cut if parts for p in parts})
-        self._memo.update(zip(missing, self._encode(missing)))
-        known = self._memo.__getitem__
-        return [
-            np.frombuffer(b"".join(map(known, parts)) if parts is not None else self._encode([text])[0], dtype="<u4")
-            for text, parts in zip(texts, cut)
-        ]
+        out = []
+        for text in texts:
+            words = self.words(text) if text else []
+            if words is None:
+                packed = self._whole(text)
+            elif words:
+                packed = self._whole(words[0]) + b"".join(map(self._words.__getitem__, words[1:]))
+            else:
+                packed = b""
+            out.append(np.frombuffer(packed, dtype="<u4"))
+        return out
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
