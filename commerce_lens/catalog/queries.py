@@ -365,12 +365,11 @@ def agg_aspect_score_by_product(v: Views) -> DataFrame:
 @query
 def row_number_rank(v: Views) -> DataFrame:
     rows = v.staging_scores_with_k.select("review_id", "order_id", *dedup.REVIEW_ORDER)
-    coarse = [F.col("review_creation_date"), F.date_trunc("hour", "review_answer_timestamp")]
     ranks = {
         "review_id_rank": ("review_id", [*dedup.REVIEW_ORDER, "order_id"]),
         "order_id_rank": ("order_id", [*dedup.REVIEW_ORDER, "review_id"]),
     }
-    ranked = dedup.rank_in(rows, ranks, coarse)
+    ranked = dedup.rank_in(rows, ranks)
     return ranked.select(
         "review_id", "order_id", stamp("review_answer_timestamp").alias("answered"), "review_id_rank", "order_id_rank"
     )

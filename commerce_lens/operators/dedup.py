@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from commerce_lens.session import cut_lineage
+
 REVIEW_ORDER = ("review_creation_date", "review_answer_timestamp")
 
 
@@ -32,32 +34,39 @@ def last_per_key(df: DataFrame, key: str | Sequence[str], seq: Column | str) ->
     return first_per_key(df, key, [seq.desc_nulls_last()])
 
 
-def rank_in(
-    df: DataFrame, ranks: Mapping[str, tuple[str, Sequence[str]]], coarse: Sequence[Column]
-) -> DataFrame:
+def _range_starts(stored: DataFrame) -> DataFrame:
+    """(_part, _first, _start): the first key of every range, and how many of its rows are in earlier ranges.
+
+    One row per range. Only the last key of a range can go on in the next, so the counts of the
+    ranges' last keys are all that is needed.
+    """
+    ends = stored.groupBy("_part").agg(F.min("_key").alias("_first"), F.max("_key").alias("_last"))
+    tails = stored.join(F.broadcast(ends), "_part").where("_key = _last").groupBy("_part", "_last").agg(F.count(F.lit(1)).alias("_rows"))
+    asked = ends.select(F.col("_first").alias("_key"), "_part", F.lit(0).cast("long").alias("_rows"), F.lit(0).alias("_turn"))
+    given = tails.select(F.col("_last").alias("_key"), "_part", "_rows", F.lit(1).alias("_turn"))
+    earlier = Window.partitionBy("_key").orderBy("_part", "_turn")
+    summed = asked.unionByName(given).withColumn("_start", F.sum("_rows").over(earlier))
+    return summed.where("_turn = 0").select("_part", F.col("_key").alias("_first"), "_start")
+
+
+def rank_in(df: DataFrame, ranks: Mapping[str, tuple[str, Sequence[str]]]) -> DataFrame:
     """ROW_NUMBER of every row within a key, ascending, NULLs first: {name: (key, order)}.
 
-    `coarse` holds expressions that rise with the order (a day, an hour). A key is ranked in
-    pieces, one per coarse value, and each piece starts after the row count of the pieces
-    before it. The largest task is then one piece of one key, not the whole of a hot key.
+    Rows are dealt into ranges of (key, order) by sampled bounds and written once with the number of their
+    range. A row's rank is its place within key and range, plus, for the first key of a range, the rows of
+    that key in the ranges before. A hot key thus spreads over as many ranges as it fills.
 
-    A piece is one struct column, in which NULLs are equal, so that counting, joining and
-    ranking all use the same partitioning.
+    A key is one struct column, in which NULLs are equal.
     """
     out = df
     for name, (key, order) in ranks.items():
-        piece = F.struct(F.col(key).alias("key"), *[c.alias(f"part{i}") for i, c in enumerate(coarse)])
-        parts = [f"_piece.part{i}" for i in range(len(coarse))]
-        counts = df.groupBy(piece.alias("_piece")).agg(F.count(F.lit(1)).alias("_rows"))
-        earlier = Window.partitionBy("_piece.key").orderBy(*nulls_first(parts)).rowsBetween(Window.unboundedPreceding, -1)
-        starts = counts.select("_piece", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
-        within = Window.partitionBy("_piece").orderBy(*nulls_first(order))
-        out = (
-            out.withColumn("_piece", piece)
-            .join(starts, "_piece")
-            .withColumn(name, F.col("_start") + F.row_number().over(within))
-            .drop("_piece", "_start")
-        )
+        ranged = out.repartitionByRange(*nulls_first([key, *order])).withColumn("_part", F.spark_partition_id())
+        stored = cut_lineage(ranged.withColumn("_key", F.struct(F.col(key).alias("key"))), "ranges")
+        place = F.row_number().over(Window.partitionBy("_part", "_key").orderBy(*nulls_first(order)))
+        # One row per range.
+        joined = stored.join(F.broadcast(_range_starts(stored)), "_part")
+        start = F.when(F.col("_key") == F.col("_first"), F.col("_start")).otherwise(0)
+        out = joined.withColumn(name, start + place).drop("_part", "_key", "_first", "_start")
     return out
 
 

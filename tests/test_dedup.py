@@ -4,6 +4,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from commerce_lens.operators.clean import clean_order_reviews
@@ -94,14 +95,13 @@ def test_clean_adds_empty_enrichment(frame):
 
 
 @pytest.mark.parametrize("hot", ["review", "order"])
-def test_rank_in_pieces_equals_row_number(spark, hot):
+def test_rank_in_ranges_equals_row_number(spark, hot):
     data = random_reviews(3, 400, hot)
     key, other, at = ("review_id", "order_id", 0) if hot == "review" else ("order_id", "review_id", 1)
     want = expected_ranks(data, at, 1 - at)
     df = spark.createDataFrame(data, SCHEMA).repartition(6)
-    coarse = [F.col("review_creation_date"), F.date_trunc("minute", "review_answer_timestamp")]
     order = ["review_creation_date", "review_answer_timestamp", other]
-    ranked = rank_in(df, {"rank": (key, order)}, coarse)
+    ranked = rank_in(df, {"rank": (key, order)})
     got = {r["review_answer_timestamp"]: r["rank"] for r in ranked.collect()}
     assert got == {data[i][3]: rank for i, rank in want.items()}
 
@@ -110,3 +110,12 @@ def test_first_and_last_per_key(frame):
     df = frame("k string, seq int, v string", ("a", 1, "x"), ("a", 2, "y"), (None, 1, "z"), (None, 3, "w"))
     assert rows(first_per_key(df, "k", ["seq"]), "k", "v") == [(None, "z"), ("a", "x")]
     assert rows(last_per_key(df, "k", "seq"), "k", "v") == [(None, "w"), ("a", "y")]
+
+
+def test_a_hot_key_spreads_over_ranges(spark):
+    df = spark.range(40_000).selectExpr("IF(id % 10 < 9, 0, id) AS k", "id * 7919 % 40000 AS v")
+    ranked = rank_in(df, {"rank": ("k", ["v"])}).cache()
+    assert ranked.where("k = 0").agg(F.max("rank"), F.count_distinct("rank")).first() == (36_001 - 1, 36_000)
+    wrong = ranked.withColumn("want", F.row_number().over(Window.partitionBy("k").orderBy("v"))).where("rank <> want")
+    assert wrong.count() == 0
+    ranked.unpersist()
