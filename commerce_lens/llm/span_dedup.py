@@ -94,7 +94,8 @@ def repeated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     found = cut_lineage(found, "runs")
     place = F.struct(F.col("id").isNull().alias("none"), "id", "no", "first", "last")
     firsts = found.groupBy("hash").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    later = found.join(firsts.select("hash", "place"), "hash")
+    # Written, so that the join below has a plain shuffle on either side and can split the runs of a hot passage.
+    later = found.join(cut_lineage(firsts.select("hash", "place"), "firsts"), "hash")
     here = F.struct(F.col("id").isNull(), "id", "no", "first", "last")
     return later.where(here != F.col("place")).select("no", "id", "first", "last", F.col("place.id").alias("from_id"))
 
