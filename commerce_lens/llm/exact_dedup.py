@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from commerce_lens.session import cut_lineage
+
 # Bits of one filter block, and bits set by each row.
 BLOCK_BITS = 4096
 BITS_PER_KEY = 3
@@ -82,7 +84,8 @@ def mark_copies(hashed: DataFrame, rows: int) -> DataFrame:
     maybe = looked.where("hit").drop("hit")
     first = F.struct(F.col("id").isNull().alias("none"), "id", "no")
     groups = maybe.groupBy("sha").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("group_size"))
-    decided = maybe.join(groups, "sha").select(
+    # Written, so that the join has a plain shuffle on either side and can split the rows of a hot text.
+    decided = maybe.join(cut_lineage(groups, "texts"), "sha").select(
         "row", "sha", F.col("first.id").alias("keep_id"), "group_size", (F.col("no") == F.col("first.no")).alias("kept")
     )
     return alone.unionByName(decided)
