@@ -71,7 +71,7 @@ def mark_copies(hashed: DataFrame, rows: int) -> DataFrame:
     """
     bits = min(MAX_BITS, max(BLOCK_BITS, rows * BITS_PER_ROW))
     blocks = -(-bits // BLOCK_BITS)
-    known = F.broadcast(repeat_filter(hashed, blocks))
+    known = F.broadcast(cut_lineage(repeat_filter(hashed, blocks), "filter"))
     looked = hashed.withColumn("block", _block(blocks)).join(known, "block", "left")
     hit = F.lit(True)
     for p in _positions():
