@@ -28,18 +28,18 @@ from commerce_lens.session import cut_lineage
 
 # Words whose counts are broadcast at most, words of the model, words of a class, size of the state.
 KNOWN = 1 << 17
-WORDS = 510
+WORDS = 1022
 CLASS = 32
-STATE = 12
+STATE = 16
 ROUNDS = 3
 # Documents side by side in training, steps of a window, documents side by side in scoring.
-STREAMS = 256
+STREAMS = 128
 STEPS = 16
 SIDE_BY_SIDE = 512
 # Documents scored together at least, so that those of like length stand side by side.
 TOGETHER = 4000
 # Of a training step: its rate, the memories of slope and size, and what keeps rare weights from large steps.
-RATE, DECAY, SLOW_DECAY, CAUTION = 0.03, 0.9, 0.99, 1e-4
+RATE, DECAY, SLOW_DECAY, CAUTION = 0.02, 0.9, 0.99, 1e-4
 STRETCH = 256
 # Distinct words that a counting task holds before it hands them on.
 _HELD = 400_000

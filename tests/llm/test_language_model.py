@@ -113,3 +113,12 @@ def test_training_lowers_the_loss():
     net = lm.Network.first(v)
     before = net.log10(docs[:3])
     assert net.train(iter(docs)) == 6000 * 29 and (net.log10(docs[:3]) > 0.7 * before).all()
+
+
+def test_a_thousand_words_have_their_own_input_and_sixteen_states():
+    words = [b"w%d" % i for i in range(3000)]
+    v = lm.Vocabulary(words, [3000 - i for i in range(3000)], 10**7, 3001, 40)
+    own = v.training_ids(words)
+    assert (own[:1022] == np.arange(2, 1024)).all() and (own[1022:-1] == lm.OTHER).all()
+    assert (own == v.model_ids(v.look_up(words))).all()
+    assert lm.Network.first(v).un.shape == (16, 16)
