@@ -1,11 +1,12 @@
 """Removal of passages that repeat anywhere in the corpus, by sliding spans of sentences.
 
 A text falls into sentences; long sentences are cut further after words that a hash picks, so that a
-passage is cut alike wherever it stands. From every sentence on, the shortest run is hashed that has at
-least SENTENCES sentences and WORDS words. All runs meet by hash: the first place, by document id and
-position, keeps its run, and the sentences that any later one covers go.
+passage is cut alike wherever it stands. From every sentence the shortest run on from it, and the shortest run
+up to it, is hashed that has at least SENTENCES sentences and WORDS words. All runs meet by hash: the first
+place, by document id and position, keeps its run, and the sentences that any later one covers go.
 
-Hashes are pre-aggregated to one first place each before the runs are joined with it, so a passage that a third of all
+Hashes alone are counted first, and places are compared only of those that repeat. These are pre-aggregated to one first
+place each before the runs are joined with it, so a passage that a third of all
 documents share has one row on the other side, and adaptive execution can split its runs. Texts stay where they
 are until a document's own list of covered sentences is known.
 """
@@ -63,15 +64,16 @@ def sentences(text: str | None) -> list[tuple[int, int, int]]:
 
 
 def runs(text: str | None) -> list[tuple[int, int, int]]:
-    """(hash, first, last) of the run from every sentence on; white space counts as one space."""
+    """(hash, first, last) of every run of sentences, each pair of ends once; white space counts as one space."""
     units = sentences(text)
     if len(units) < SENTENCES:
         return []
     sizes = np.cumsum([0] + [n for _, _, n in units])
     last = np.maximum(np.searchsorted(sizes, sizes[:-1] + WORDS), np.arange(len(units)) + SENTENCES) - 1
-    ends = [(i, int(j)) for i, j in enumerate(last) if j < len(units)]
+    first = np.minimum(np.searchsorted(sizes, sizes[1:] - WORDS, side="right") - 1, np.arange(len(units)) + 1 - SENTENCES)
+    ends = {(i, int(j)) for i, j in enumerate(last) if j < len(units)} | {(int(i), j) for j, i in enumerate(first) if i >= 0}
     own = [" ".join(text[s:e].split()) for s, e, _ in units]
-    return [(xxhash.xxh64_intdigest(" ".join(own[i : j + 1])) - (1 << 63), i, j) for i, j in ends]
+    return [(xxhash.xxh64_intdigest(" ".join(own[i : j + 1])) - (1 << 63), i, j) for i, j in sorted(ends)]
 
 
 def _spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -92,10 +94,12 @@ def repeated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     rows = df.select(F.monotonically_increasing_id().alias("no"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     found = rows.mapInPandas(_spread, "no long, id long, hash long, first int, last int")
     found = cut_lineage(found, "runs")
+    # Both sides are written, so that the joins below have a plain shuffle on either side and can split the runs of a hot passage.
+    twice = cut_lineage(found.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash"), "twice")
+    found = cut_lineage(found.join(twice, "hash"), "shared")
     place = F.struct(F.col("id").isNull().alias("none"), "id", "no", "first", "last")
-    firsts = found.groupBy("hash").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    # Written, so that the join below has a plain shuffle on either side and can split the runs of a hot passage.
-    later = found.join(cut_lineage(firsts.select("hash", "place"), "firsts"), "hash")
+    firsts = found.groupBy("hash").agg(F.min(place).alias("place"))
+    later = found.join(cut_lineage(firsts, "firsts"), "hash")
     here = F.struct(F.col("id").isNull(), "id", "no", "first", "last")
     return later.where(here != F.col("place")).select("no", "id", "first", "last", F.col("place.id").alias("from_id"))
 

@@ -69,3 +69,10 @@ def test_edges(spark, tmp_path):
     assert texts[2] == [(None, None)] and texts[3] == [("", "")] and texts[7] == [("x", "x")]
     assert all(len(new) < 200 for _, new in texts[5])  # it repeats itself, and its copy
     assert sd.dedup_spans(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_the_end_of_a_passage_goes_with_it(spark, tmp_path):
+    passage = "A b c d e f g h i j. K. L. M. N."
+    docs = stored(spark, documents(spark, [(1, f"One. {passage} Two."), (2, f"Three. {passage} Four.")]), tmp_path / "d")
+    got = {r["row"]["doc_id"]: r["text"].split() for r in sd.dedup_spans(docs).collect()}
+    assert got == {1: f"One. {passage} Two.".split(), 2: ["Three.", "Four."]}
