@@ -1,7 +1,9 @@
 """Removal of passages that repeat anywhere in the corpus, by sliding spans of sentences.
 
-A text falls into sentences; long sentences are cut further after words that a hash picks, so that a
-passage is cut alike wherever it stands. From every sentence the shortest run on from it, and the shortest run
+A text falls into sentences; long sentences are cut further after words that have the least hash of WINDOW words
+in a row, so that a passage is cut alike wherever it stands, but for its first and last WINDOW - 1 words, and no part
+is longer than WINDOW. A passage of 50 words thus holds a run of SENTENCES parts and WORDS words in any surroundings.
+From every sentence the shortest run on from it, and the shortest run
 up to it, is hashed that has at least SENTENCES sentences and WORDS words. All runs meet by hash: the first
 place, by document id and position, keeps its run, and the sentences that any later one covers go.
 
@@ -28,39 +30,47 @@ from commerce_lens.session import cut_lineage
 
 SENTENCES = 3
 WORDS = 12
-# Sentences of more words than this are cut after words whose hash is divisible by CUT.
-LONG, CUT = 10, 6
-_END = re.compile(r"(?<=[.!?])\s+|\n+")
+# Sentences of more words than this are cut after the word of least hash, the last of equals, of every WINDOW words.
+LONG, WINDOW = 10, 8
 _WORD = re.compile(r"\S+")
-_CUTS: dict[str, bool] = {}
 _MEMO_SIZE = 150_000
 
 
-def _cuts(word: str) -> bool:
-    found = _CUTS.get(word)
-    if found is None:
-        if len(_CUTS) > _MEMO_SIZE:
-            _CUTS.clear()
-        _CUTS[word] = found = zlib.crc32(word.encode()) % CUT == 0
-    return found
+class _Hashes(dict):
+    """The hash of a word."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > _MEMO_SIZE:
+            self.clear()
+        self[word] = found = zlib.crc32(word.encode())
+        return found
+
+
+_HASHES = _Hashes()
 
 
 def sentences(text: str | None) -> list[tuple[int, int, int]]:
     """(start, end, words) of every sentence of a text, by its code points, white space at the edges left out."""
-    out, at = [], 0
-    for end, after in [*((m.start(), m.end()) for m in _END.finditer(text or "")), (len(text or ""),) * 2]:
-        words = [m.span() for m in _WORD.finditer(text or "", at, end)]
-        at = after
-        if len(words) <= LONG:
-            if words:
-                out.append((words[0][0], words[-1][1], len(words)))
-            continue
-        first = 0
-        for i, (s, e) in enumerate(words):
-            if _cuts(text[s:e]) or i == len(words) - 1:
-                out.append((words[first][0], e, i + 1 - first))
-                first = i + 1
-    return out
+    text = text or ""
+    spans = [m.span() for m in _WORD.finditer(text)]
+    if not spans:
+        return []
+    # A sentence ends at white space after a mark, and at white space with a line break in it.
+    ends = np.array([text[a[1] - 1] in ".!?" or "\n" in text[a[1] : b[0]] for a, b in zip(spans, spans[1:])] + [True])
+    sizes = np.diff(np.flatnonzero(ends), prepend=-1)
+    if sizes.max() > LONG:
+        place = np.arange(len(spans))
+        least = np.fromiter((_HASHES[text[s:e]] for s, e in spans), dtype=np.int64, count=len(spans))
+        # The lower half makes a later word the lesser of equals.
+        least = (least >> 1 << 32) - place
+        for step in (1, 2, 4):
+            least = np.minimum(least[:-step], least[step:])
+        of = np.repeat(np.arange(len(sizes)), sizes)
+        whole = (of[: len(least)] == of[WINDOW - 1 :]) & (sizes[of[: len(least)]] > LONG)
+        ends[-least[whole] & 0xFFFFFFFF] = True
+    last = np.flatnonzero(ends)
+    first = np.append(0, last[:-1] + 1)
+    return [(spans[i][0], spans[j][1], j + 1 - i) for i, j in zip(first.tolist(), last.tolist())]
 
 
 def runs(text: str | None) -> list[tuple[int, int, int]]:

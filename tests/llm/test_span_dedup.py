@@ -76,3 +76,24 @@ def test_the_end_of_a_passage_goes_with_it(spark, tmp_path):
     docs = stored(spark, documents(spark, [(1, f"One. {passage} Two."), (2, f"Three. {passage} Four.")]), tmp_path / "d")
     got = {r["row"]["doc_id"]: r["text"].split() for r in sd.dedup_spans(docs).collect()}
     assert got == {1: f"One. {passage} Two.".split(), 2: ["Three.", "Four."]}
+
+
+def test_every_passage_of_fifty_words_shares_a_run():
+    """In the middle of sentences, with end marks and without, of many words and of few."""
+    rng = random.Random(8)
+    for k in range(3000):
+        names = [f"{rng.getrandbits(30):x}" for _ in range(rng.choice([1, 2, 4, 5000]))]
+        marks = rng.choice([0, 0, 0.03, 0.1, 0.3])
+        passage = " ".join(rng.choice(names) + "." * (rng.random() < marks) for _ in range(50 + k % 2))
+        around = [" ".join(f"{rng.getrandbits(30):x}" for _ in range(rng.randint(0, 30))) for _ in range(4)]
+        texts = [f"{a} {passage} {b}" for a, b in zip(around[:2], around[2:])]
+        one, two = ({h for h, _, _ in sd.runs(t)} for t in texts)
+        assert one & two, texts
+
+
+def test_no_part_of_a_long_sentence_is_longer_than_a_window():
+    rng = random.Random(9)
+    for n in (11, 12, 100, 1000):
+        text = " ".join(f"{rng.getrandbits(30):x}" for _ in range(n))
+        parts = sd.sentences(text)
+        assert max(w for _, _, w in parts) <= 8 and " ".join(text[s:e] for s, e, _ in parts) == text
