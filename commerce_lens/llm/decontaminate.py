@@ -82,6 +82,8 @@ class Index:
     parts: dict[int, tuple[list[str], list[str]]]
     weights: dict[str, float]
     mean_length: float
+    # The item's id by its number, where these differ; None for an item without id.
+    ids: dict[int, int | None] | None = None
     vocabulary: dict[str, int] = field(init=False)
     postings: list[tuple[list[int], list[float]]] = field(init=False)
 
@@ -122,7 +124,7 @@ class Index:
         self._memo = _Terms(self.vocabulary)
 
     def __reduce__(self):
-        return Index, (self.entries, self.parts, self.weights, self.mean_length)
+        return Index, (self.entries, self.parts, self.weights, self.mean_length, self.ids)
 
     def terms(self, text: str | None) -> np.ndarray:
         """The term numbers of a text's words, -1 for words of no item."""
@@ -230,13 +232,25 @@ class Index:
         return [(item, s, q, a, -p) for item, (s, q, a, p) in sorted(best.items())]
 
 
+    def named(self, hits: list[tuple]) -> list[tuple]:
+        """Hits with the items' ids for their numbers: those of one id are one hit, the best, those without id one each."""
+        if self.ids is None:
+            return hits
+        best: dict = {}
+        for item, score, q, a, place in hits:
+            key = (self.ids[item], item if self.ids[item] is None else None)
+            best[key] = max(best.get(key, (-1.0,)), (score, q, a, -place))
+        return [(i, s, q, a, -p) for (i, _), (s, q, a, p) in sorted(best.items(), key=lambda x: (x[0][0] is None, x[0][0] or 0, x[0][1] or 0))]
+
+
 def build(items: DataFrame, id_col: str = "item_id", text_col: str = "text", shard_words: int = SHARD_WORDS) -> Iterator[Index]:
     """The index of all items, in shards; an item without words has no entry.
 
-    Items are dealt to shards by a hash of their id, about `shard_words` words to each; the driver holds
+    Every distinct row of id and text is an item of its own, also without id. Items are dealt to shards by a hash of their
+    id, or of their text where they have none, so that the texts of one id stay together, about `shard_words` words to each; the driver holds
     the items of one shard at a time. The weights of words come from all items.
     """
-    kept = items.select(F.col(id_col).alias("item"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).where("item IS NOT NULL")
+    kept = items.select(F.col(id_col).alias("item"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).distinct()
     sized = kept.withColumn("words", F.size(F.split(F.trim("text"), r"\s+")))
     total = sized.agg(F.count(F.lit(1)).alias("n"), F.sum("words").alias("words")).first()
     if not total["n"]:
@@ -252,23 +266,20 @@ def build(items: DataFrame, id_col: str = "item_id", text_col: str = "text", sha
     frequency = per_item.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
 
     for s in range(shards):
-        mine = kept.where(F.pmod(F.xxhash64("item"), F.lit(shards)) == s)
+        mine = kept.where(F.pmod(F.when(F.col("item").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("item")), F.lit(shards)) == s)
         rows = mine.orderBy("item", "text").collect()
-        texts: dict[int, list[str]] = defaultdict(list)
-        for r in rows:
-            texts[r["item"]].append(r["text"])
         needed = mine.select("text").mapInPandas(listed, "word array<string>").select(F.explode("word").alias("word")).distinct()
         weights = {
             r["word"]: math.log(1 + (total["n"] - r["df"] + 0.5) / (r["df"] + 0.5)) for r in frequency.join(needed, "word", "left_semi").collect()
         }
         entries, parts = [], {}
-        for item, own in texts.items():
-            question, answer = question_and_answer("\n".join(own))
+        for item, r in enumerate(rows):
+            question, answer = question_and_answer(r["text"])
             parts[item] = (question, answer)
             both = question + answer
             n = -(-len(both) // PIECE)
             entries += [(item, both[len(both) * i // n : len(both) * (i + 1) // n]) for i in range(n)]
-        yield Index(entries, parts, weights, mean)
+        yield Index(entries, parts, weights, mean, {item: r["item"] for item, r in enumerate(rows)})
 
 
 # Texts looked at together.
@@ -289,7 +300,7 @@ def _searcher(shared, names: list[str], theta: float, overlap: float):
     def looked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             ids = batch["doc_id"].tolist()
-            rows = [(ids[i], *hit) for i, hits in _found(shared.value, batch, theta, overlap) for hit in hits]
+            rows = [(ids[i], *hit) for i, hits in _found(shared.value, batch, theta, overlap) for hit in shared.value.named(hits)]
             yield pd.DataFrame(rows, columns=names)
 
     return looked
@@ -310,8 +321,9 @@ def contaminated(
 ) -> DataFrame:
     """(doc_id, item_id, score, question_overlap, answer_overlap, first_word): every document and item it holds.
 
-    Null and empty texts hold nothing, items without words are held by nothing, and items with the
-    same id are one item. Repeated documents give repeated rows. Empty tables give no rows.
+    Null and empty texts hold nothing, and items without words are held by nothing. Each text of an item_id
+    is looked for by itself, and a document that holds any has one row, of the best. Every text without
+    item_id is an item of its own, whose rows have a null item_id. Repeated documents give repeated rows. Empty tables give no rows.
     """
     spark = docs.sparkSession
     schema = StructType().add("doc_id", docs.schema[id_col].dataType).add("item_id", "long").add("score", "double")

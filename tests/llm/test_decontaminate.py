@@ -88,3 +88,13 @@ def test_edges(spark):
 def test_questions_and_answers():
     assert dc.question_and_answer("One two. Three four? Five!") == (["one", "two", "three", "four"], ["five"])
     assert dc.question_and_answer("one two three") == (["one"], ["two", "three"]) and dc.question_and_answer(None) == ([], [])
+
+
+def test_texts_without_id_and_several_texts_of_an_id(spark):
+    a = "Which of the seven rivers runs north past the old copper mill? The seventh river does, in spring."
+    b = "Who first drew the harbour map of the western isles? A blind pilot named Orlando drew it."
+    c = "When do grey herons leave their winter marshes? Herons depart after two warm nights."
+    docs = documents(spark, [(1, f"Before. {a} After."), (2, f"Before. {b} After."), (3, f"Before. {c} After."), (4, f"{a} {b} {c}"), (5, "None of these.")])
+    items = spark.createDataFrame([(7, a), (7, b), (7, b), (None, c), (None, c), (None, None)], "item_id long, text string")
+    assert rows(dc.contaminated(docs, items), "doc_id", "item_id") == [(1, 7), (2, 7), (3, None), (4, None), (4, 7)]
+    assert rows(dc.drop_contaminated(docs, items), "doc_id") == [(5,)]
