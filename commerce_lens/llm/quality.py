@@ -120,6 +120,13 @@ def descend(rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray) -> t
     return np.where(w != 0, INTERPOLATION * w + (1 - INTERPOLATION) * mean, 0.0), INTERPOLATION * bias
 
 
+def sampled(texts: DataFrame, known: DataFrame) -> DataFrame:
+    """(id, label, text) of at most SAMPLE_ROWS ids of `known` (id, label), one row each: of several texts that of the least digest."""
+    chosen = known.select("id", "label").orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS)
+    one = F.min(F.struct(F.col("text").isNull().alias("none"), F.sha2(F.col("text").cast("binary"), 256).alias("sha"), "text")).alias("one")
+    return texts.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(one).select("id", "label", "one.text")
+
+
 def fit(texts: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
     """A model of the labels' rows, found in `texts` by their id.
 
@@ -159,8 +166,7 @@ def fit(texts: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: s
     def packed(texts: pd.Series) -> pd.Series:
         return pd.Series([features(t).astype("<i4").tobytes() for t in texts])
 
-    chosen = known.select("id", "label").orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS)
-    sample = texts.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
+    sample = sampled(texts.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), known)
     sample = sample.select(F.xxhash64("id").alias("place"), "label", packed("text").alias("bins"))
     got = sample.repartition(1).sortWithinPartitions("place", "bins").mapInPandas(fitted, "weights binary, bias double").collect()
     if not got:

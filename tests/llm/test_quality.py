@@ -68,3 +68,13 @@ def test_many_labels_are_joined_without_broadcast(spark, monkeypatch):
     monkeypatch.setattr(quality, "BROADCAST_LABELS", 0)
     b = quality.fit(docs, labels)
     assert np.allclose(a.weights, b.weights) and a.bias == b.bias
+
+
+def test_a_repeated_id_is_one_row_of_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(quality, "SAMPLE_ROWS", 3)
+    known = spark.createDataFrame([(i, i % 2) for i in range(6)], "id long, label int")
+    texts = [(i % 6, f"text {i % 12}" if i % 5 else None) for i in range(600)]
+    got = [tuple(r) for r in quality.sampled(spark.createDataFrame(texts, "id long, text string"), known).collect()]
+    assert len(got) == len({i for i, _, _ in got}) == 3
+    again = quality.sampled(spark.createDataFrame(texts[::-1], "id long, text string").repartition(5), known).collect()
+    assert sorted(got) == sorted(map(tuple, again)) and all(t for _, _, t in got)
