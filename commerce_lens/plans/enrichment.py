@@ -19,9 +19,9 @@ from commerce_lens.operators.enrich import (
     quarantined,
     translation_requests,
 )
+from commerce_lens.operators.dedup import rank_in
 from commerce_lens.operators.joins import update_from
-from commerce_lens.operators.select import limit_batch
-from commerce_lens.session import cut_lineage
+from commerce_lens.session import cut_lineage, is_complete, scratch_path
 from commerce_lens.sources.jsonl import expand_results
 from commerce_lens.sources.schemas import ENRICHMENT_COLUMNS
 
@@ -29,30 +29,43 @@ from commerce_lens.sources.schemas import ENRICHMENT_COLUMNS
 MODEL_OUTPUT = "line string, seq long"
 
 
-def run_model(requests: DataFrame, open_model: Callable, tasks: int | None, label: str) -> DataFrame:
-    """Result rows of one model run, written to the shared folder before they are read.
+def deal_runs(requests: DataFrame, n: int | None, folder: str) -> int:
+    """Store the requests under folder by the number of their run; returns how many runs there are.
 
-    A lost executor then costs a re-read, not a second call of the model.
+    One ranking by id, over ranges, tells every request its run, and a run is a folder of its own: it is read alone, whatever the
+    number of runs. Without n all requests are one run. Requests that are there already stay as they are.
     """
-    return expand_results(cut_lineage(apply_model(requests, open_model, MODEL_OUTPUT, tasks), label))
-
-
-def run_batches(requests: DataFrame, open_model: Callable, tasks: int | None, n: int | None, label: str) -> DataFrame:
+    spark, path = requests.sparkSession, f"{folder}/requests"
+    schema = requests.schema
+    if not is_complete(spark, path):
+        stored = cut_lineage(requests.withColumn("_all", F.lit(0)), "requests")
+        placed = rank_in(stored, {"_place": ("_all", ["custom_id", "user_prompt"])}) if n else stored.withColumn("_place", F.lit(1))
+        run = F.expr(f"CAST((_place - 1) div {n or 1} AS int)")
+        placed.select(*schema.names, run.alias("run")).write.mode("overwrite").partitionBy("run").parquet(path)
+    # Folders are named by their run, so this reads no request.
+    dealt = spark.read.schema(schema.add("run", "integer")).parquet(path)
+    return (dealt.agg(F.max("run")).first()[0] if dealt.limit(1).count() else -1) + 1
+
+
+def run_batches(
+    requests: DataFrame, open_model: Callable, tasks: int | None, n: int | None, label: str, folder: str | None = None
+) -> DataFrame:
     """Result rows for all requests; with n, in runs of n requests each, in order of their ids.
 
-    Every request is answered once, so a request that fails doesn't keep the runs going.
+    Answers are written before they are read, so a lost executor costs a re-read, not a second call of the model. Every request is answered once, so a request that fails doesn't keep the runs going. The answers of all runs land in one
+    folder. With `folder`, requests and answers are kept there: after a lost driver the same call goes on with the first run
+    that has no complete answer, and no finished run is paid for again.
     """
-    if n is None:
-        return run_model(requests, open_model, tasks, label)
-    stored = cut_lineage(requests, "requests")
-    out, rest = None, stored
-    while out is None or rest.limit(1).count():
-        batch = cut_lineage(limit_batch(rest, "custom_id", n), "batch")
-        answers = run_model(batch, open_model, tasks, label)
-        out = answers if out is None else out.unionByName(answers)
-        last = batch.agg(F.max("custom_id")).first()[0]
-        rest = stored.where(F.col("custom_id").isNotNull() if last is None else F.col("custom_id") > last)
-    return out
+    spark, schema = requests.sparkSession, requests.schema
+    folder = folder or scratch_path(spark, label)
+    for run in range(deal_runs(requests, n, folder)):
+        answers = f"{folder}/answers/run={run}"
+        if not is_complete(spark, answers):
+            own = spark.read.schema(schema).parquet(f"{folder}/requests/run={run}")
+            apply_model(own, open_model, MODEL_OUTPUT, tasks).write.mode("overwrite").parquet(answers)
+    if not is_complete(spark, f"{folder}/answers/run=0"):
+        return expand_results(spark.createDataFrame([], MODEL_OUTPUT))
+    return expand_results(spark.read.schema(MODEL_OUTPUT).parquet(f"{folder}/answers").drop("run"))
 
 
 def carry_over(clean: DataFrame, previous: DataFrame) -> DataFrame:
@@ -69,17 +82,21 @@ def enrich_with_rejects(
     tasks: int | None = None,
     mode: str = "quarantine",
     stored: bool = False,
+    folder: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Translate all that is untranslated, then score all that is translated and unscored.
 
     Returns the reviews, and (phase, custom_id, status_code, outcome, line) of the answers that were of no use. `n` is how
-    many requests one run of the model gets, not a limit on the result. The reviews are
-    read more than once, so they are written out first unless they come from a stored table.
+    many requests one run of the model gets, not a limit on the result. With `folder`, a call that was cut off goes on
+    where it was, see run_batches(). The reviews are read more than once, so they are written out first unless they come
+    from a stored table.
     """
     base = reviews if stored else cut_lineage(reviews, "reviews")
-    answers = run_batches(translation_requests(pending_translation(base)), open_translator, tasks, n, "translations")
+    kept = {phase: f"{folder}/{phase}" if folder else None for phase in ("translations", "aspects")}
+    requests = translation_requests(pending_translation(base))
+    answers = run_batches(requests, open_translator, tasks, n, "translations", kept["translations"])
     translated = cut_lineage(merge_translations(base, parse_translations(answers, mode)), "translated")
-    scores = run_batches(aspect_requests(pending_scoring(translated)), open_scorer, tasks, n, "aspects")
+    scores = run_batches(aspect_requests(pending_scoring(translated)), open_scorer, tasks, n, "aspects", kept["aspects"])
     rejects = [
         quarantined(results, json_content).select(F.lit(phase).alias("phase"), "*")
         for phase, results, json_content in (("translation", answers, False), ("aspects", scores, True))
@@ -95,6 +112,7 @@ def enrich_reviews(
     tasks: int | None = None,
     mode: str = "quarantine",
     stored: bool = False,
+    folder: str | None = None,
 ) -> DataFrame:
     """The reviews of enrich_with_rejects()."""
-    return enrich_with_rejects(reviews, open_translator, open_scorer, n, tasks, mode, stored)[0]
+    return enrich_with_rejects(reviews, open_translator, open_scorer, n, tasks, mode, stored, folder)[0]

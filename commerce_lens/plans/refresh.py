@@ -25,6 +25,7 @@ def refresh(
     previous: DataFrame | None = None,
     tasks: int | None = None,
     mode: str = "quarantine",
+    answers: str | None = None,
 ) -> dict[str, DataFrame]:
     """Run staging, clean, enrichment and marts; returns the stored tables as {layer.name}.
 
@@ -33,7 +34,8 @@ def refresh(
     answers are left out and stored in clean.rejected_answers, such scores counted in clean.rejected_scores.
 
     Every layer reads stored tables of the one before. `previous` is an earlier cleaned
-    review table whose answers are kept; without it each run starts from none.
+    review table whose answers are kept; without it each run starts from none. `answers` is a folder for the model's
+    answers: a refresh that was cut off goes on from the runs that are complete there.
     """
     staging = ingest(spark, specs, root)
     clean = {
@@ -44,7 +46,7 @@ def refresh(
         reviews = carry_over(reviews, previous)
     reviews = replace_table(reviews, root, "clean", "order_reviews")
     strict = mode == "failfast"
-    enriched, rejects = enrich_with_rejects(reviews, open_translator, open_scorer, n, tasks, mode, stored=True)
+    enriched, rejects = enrich_with_rejects(reviews, open_translator, open_scorer, n, tasks, mode, stored=True, folder=answers)
     clean["rejected_answers"] = replace_table(rejects, root, "clean", "rejected_answers")
     reviews = replace_table(enriched, root, "clean", "order_reviews")
     clean["rejected_scores"] = replace_table(rejected_scores(reviews), root, "clean", "rejected_scores")

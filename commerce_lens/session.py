@@ -65,6 +65,12 @@ def clear_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write to path has ended well."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
 def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
     """Write df once to the shared folder and read it back.
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from commerce_lens.catalog.fixtures import stand_in_scorer, stand_in_translator
 from commerce_lens.operators import enrich
 from commerce_lens.operators.select import limit_batch
+from commerce_lens.plans import enrichment
 from commerce_lens.plans.enrichment import carry_over, enrich_reviews, enrich_with_rejects
 from commerce_lens.sources.jsonl import expand_results, write_jsonl
 from tests.conftest import plan, rows
@@ -215,3 +216,63 @@ def test_carry_over(frame):
     clean = frame(REVIEWS, ("1", "a", None, None), ("2", "b", None, None))
     previous = frame(REVIEWS, ("1", "a", "A", "{}"), ("9", "z", "Z", "{}"))
     assert rows(carry_over(clean, previous)) == [("1", "a", "A", "{}"), ("2", "b", None, None)]
+
+
+def counting_model(log, fail_at=None):
+    """Writes the ids of each batch it sees to a file of its own."""
+
+    def open_model():
+        import json
+        import os
+        import uuid
+
+        import pandas as pd
+
+        def run(batch):
+            if fail_at in set(batch["custom_id"]):
+                raise RuntimeError("cut off")
+            with open(os.path.join(log, uuid.uuid4().hex), "w") as f:
+                json.dump(batch["custom_id"].tolist(), f)
+            doc = lambda i: json.dumps({"custom_id": i, "response": {"status_code": 200, "body": {"choices": [{"message": {"content": "E" + i}}]}}})
+            return pd.DataFrame([(doc(i), 0) for i in batch["custom_id"]], columns=["line", "seq"])
+
+        return run
+
+    return open_model
+
+
+def requests(spark, n):
+    made = spark.range(n).select(F.format_string("%03d", "id").alias("review_id"), F.lit("texto").alias("review_comment_message"))
+    return enrich.translation_requests(made)
+
+
+@pytest.mark.parametrize("n", [1, 7, 50, 1000, None])
+def test_runs_hold_n_requests_in_order_of_ids(spark, tmp_path, n):
+    folder = str(tmp_path / "runs")
+    k = enrichment.deal_runs(requests(spark, 50), n, folder)
+    size = n or 50
+    assert k == -(-50 // size)
+    for run in range(k):
+        own = spark.read.parquet(f"{folder}/requests/run={run}")
+        assert [r[0] for r in rows(own, "custom_id")] == [f"{i:03}" for i in range(run * size, min(50, (run + 1) * size))]
+
+
+def test_a_cut_off_call_goes_on_and_pays_no_run_twice(spark, tmp_path):
+    log, folder = tmp_path / "log", str(tmp_path / "runs")
+    log.mkdir()
+    with pytest.raises(Exception, match="cut off"):
+        enrichment.run_batches(requests(spark, 30), counting_model(str(log), "021"), 2, 10, "x", folder)
+    seen = sorted(i for f in log.iterdir() for i in json.loads(f.read_text()))
+    assert [i for i in seen if i < "020"] == [f"{i:03}" for i in range(20)]
+    out = enrichment.run_batches(requests(spark, 30), counting_model(str(log)), 2, 10, "x", folder)
+    assert rows(out, "custom_id", "content") == [(f"{i:03}", f"E{i:03}") for i in range(30)]
+    seen = [i for f in log.iterdir() for i in json.loads(f.read_text())]
+    assert all(seen.count(f"{i:03}") == 1 for i in range(20))
+    # One read of one folder, however many runs there were.
+    assert plan(out).count("FileScan") == 1 and "Union" not in plan(out)
+
+
+def test_no_requests_are_no_runs(spark, tmp_path):
+    folder = str(tmp_path / "runs")
+    assert enrichment.run_batches(requests(spark, 0), model(str), 2, 10, "x", folder).count() == 0
+    assert enrichment.deal_runs(requests(spark, 0), 10, folder) == 0
