@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +28,8 @@ from commerce_lens.sources.schemas import ENRICHMENT_COLUMNS
 
 # What a model returns per request: a result document, and its place among the results.
 MODEL_OUTPUT = "line string, seq long"
+# Runs of the model in flight: one alone leaves cores idle while its last requests are answered.
+RUNS_AT_ONCE = 4
 
 
 def deal_runs(requests: DataFrame, n: int | None, folder: str) -> int:
@@ -42,9 +45,8 @@ def deal_runs(requests: DataFrame, n: int | None, folder: str) -> int:
         placed = rank_in(stored, {"_place": ("_all", ["custom_id", "user_prompt"])}) if n else stored.withColumn("_place", F.lit(1))
         run = F.expr(f"CAST((_place - 1) div {n or 1} AS int)")
         placed.select(*schema.names, run.alias("run")).write.mode("overwrite").partitionBy("run").parquet(path)
-    # Folders are named by their run, so this reads no request.
-    dealt = spark.read.schema(schema.add("run", "integer")).parquet(path)
-    return (dealt.agg(F.max("run")).first()[0] if dealt.limit(1).count() else -1) + 1
+    dealt = spark.read.schema(schema).parquet(path).count()  # known to the files' footers
+    return -(-dealt // n) if n else min(dealt, 1)
 
 
 def run_batches(
@@ -58,11 +60,16 @@ def run_batches(
     """
     spark, schema = requests.sparkSession, requests.schema
     folder = folder or scratch_path(spark, label)
-    for run in range(deal_runs(requests, n, folder)):
+
+    def answer(run: int) -> None:
         answers = f"{folder}/answers/run={run}"
         if not is_complete(spark, answers):
             own = spark.read.schema(schema).parquet(f"{folder}/requests/run={run}")
             apply_model(own, open_model, MODEL_OUTPUT, tasks).write.mode("overwrite").parquet(answers)
+
+    runs = deal_runs(requests, n, folder)
+    with ThreadPoolExecutor(RUNS_AT_ONCE) as pool:
+        list(pool.map(answer, range(runs)))
     if not is_complete(spark, f"{folder}/answers/run=0"):
         return expand_results(spark.createDataFrame([], MODEL_OUTPUT))
     return expand_results(spark.read.schema(MODEL_OUTPUT).parquet(f"{folder}/answers").drop("run"))

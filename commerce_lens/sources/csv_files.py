@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from commerce_lens.sources.csv_records import read_records
+
 CSV_OPTIONS = {
     "header": "true",
     "quote": '"',
@@ -29,10 +31,13 @@ def read_table_csv(
     Without a schema the types are inferred, at the price of one more pass over the files.
     Columns in `required` must not be NULL: such a row fails the job.
 
-    Quoted newlines make a file unsplittable (one task per file); with quoted_newlines=False it is cut into many
-    tasks, which is what ingest.source_spec() asks for wherever no free text is.
+    Records may span lines: csv_records finds where, and many tasks read a file all the same, at the price of one more
+    pass over the lines and of a shuffle of those splits that hold such records. quoted_newlines=False spares that pass where
+    a file is known to have none.
     """
-    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", str(quoted_newlines).lower())
+    if quoted_newlines and (df := read_records(spark, path, schema, CSV_OPTIONS)) is not None:
+        return require(df, required)
+    reader = spark.read.options(**CSV_OPTIONS)
     if schema is None:
         df = reader.option("inferSchema", "true").csv(path)
     else:

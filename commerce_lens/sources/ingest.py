@@ -34,20 +34,15 @@ class SourceSpec:
     path: str | list[str]
     schema: StructType | str | None = None
     required: tuple[str, ...] = field(default=())
-    quoted_newlines: bool = False
-
-
-# The one table with free text, whose fields may hold newlines.
-FREE_TEXT = ("order_reviews",)
+    quoted_newlines: bool = True
 
 
 def source_spec(name: str, path: str | list[str], **options) -> SourceSpec:
     """A spec with the declared schema where the header of the file cannot be detected.
 
-    Give `schema` for any table whose columns are known: it saves the pass that infers types. Only tables
-    with free text are read as whole files.
+    Give `schema` for any table whose columns are known: it saves the pass that infers types. Quoted fields of
+    every table may hold newlines.
     """
-    options.setdefault("quoted_newlines", name in FREE_TEXT)
     if name == "product_category_name_translation":
         options.setdefault("schema", CATEGORY_TRANSLATION)
     return SourceSpec(name, path, **options)

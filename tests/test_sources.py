@@ -1,6 +1,8 @@
 """CSV, JSON lines and versioned tables."""
 
-import os
+import csv
+import io
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,10 +10,10 @@ from pyspark.sql import functions as F
 from commerce_lens import session
 from commerce_lens.catalog.fixtures import stand_in_scorer, stand_in_translator
 from commerce_lens.plans.refresh import refresh
-from commerce_lens.sources import csv_files, jsonl, tables
-from commerce_lens.sources.ingest import STAGING_TABLES, source_spec
+from commerce_lens.sources import csv_files, csv_records, jsonl, tables
+from commerce_lens.sources.ingest import STAGING_TABLES, ingest, source_spec
 from commerce_lens.sources.schemas import TRANSLATIONS
-from tests.conftest import rows
+from tests.conftest import plan, rows
 
 REVIEWS_CSV = (
     "review_id,order_id,review_score,review_comment_title,review_comment_message,"
@@ -167,21 +169,91 @@ def test_refresh_can_keep_earlier_answers(spark, refreshed):
     assert rows(again["clean.order_reviews"]) == rows(out["clean.order_reviews"])
 
 
-def test_a_large_file_is_read_by_many_tasks(spark, tmp_path):
-    path = tmp_path / "big.csv"
-    path.write_text("a,b\n" + "".join(f"{i},text {i}\n" for i in range(200_000)))
+@pytest.fixture
+def small_splits(spark):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
-    try:
-        spec = source_spec("orders", str(path), schema="a long, b string")
-        split = csv_files.read_table_csv(spark, spec.path, spec.schema, spec.required, spec.quoted_newlines)
-        whole = csv_files.read_table_csv(spark, str(path), "a long, b string", quoted_newlines=True)
-        assert split.select(F.spark_partition_id()).distinct().count() > 8
-        assert whole.select(F.spark_partition_id()).distinct().count() == 1
-        assert split.count() == whole.count() == 200_000
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
-
-
-def test_only_free_text_is_read_as_whole_files():
-    assert [n for n in STAGING_TABLES if source_spec(n, "x").quoted_newlines] == ["order_reviews"]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def as_csv(rows, newline="\n"):
+    out = io.StringIO()
+    writer = csv.writer(out, lineterminator=newline)
+    writer.writerows(rows)
+    return out.getvalue()
+
+
+@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+@pytest.mark.parametrize("share", [0.0, 0.02, 0.7])
+def test_records_that_span_lines_and_splits(spark, tmp_path, small_splits, share, newline):
+    """Against the standard library, over several files of many splits."""
+    rng, expected = random.Random(7), []
+    for f in range(3):
+        own = []
+        for i in range(1500):
+            text = " ".join(rng.choice(["a", 'say ""', "b,c", "é"]) for _ in range(rng.randrange(6)))
+            if rng.random() < share:
+                text += "\n" * rng.randrange(1, 4) + "x\n\ny" * rng.choice([1, 1, 1, 3000 if i == 700 else 2]) + ' "z"'
+            own.append([f"{f}-{i}", text or "-", str(i)])
+        expected += own
+        write_bytes(tmp_path / f"f{f}.csv", as_csv([["id", "text", "n"], *own], newline))
+    df = csv_files.read_table_csv(spark, str(tmp_path / "*.csv"), "id string, text string, n int", ["id"])
+    assert rows(df) == sorted((a, b, int(c)) for a, b, c in expected)
+    assert csv_records.splits(spark, str(tmp_path / "*.csv")).count() > 6
+    inferred = csv_files.read_table_csv(spark, str(tmp_path / "*.csv"))
+    assert dict(inferred.dtypes) == {"id": "string", "text": "string", "n": "int"}
+    assert rows(inferred) == rows(df)
+
+
+def write_bytes(path, text):
+    path.write_bytes(text.encode())
+    return str(path)
+
+
+def test_headers_over_lines_blank_lines_and_marks(spark, tmp_path):
+    text = '\ufeff"id","two\nlines"\n\n1,"a\nb"\n2,\n\n3,""\n'
+    df = csv_files.read_table_csv(spark, write_bytes(tmp_path / "t.csv", text))
+    assert df.columns == ["id", "two lines"]
+    assert rows(df) == [(1, "a\nb"), (2, None), (3, "")]
+
+
+def test_a_header_alone_with_a_newline(spark, tmp_path):
+    df = csv_files.read_table_csv(spark, write_bytes(tmp_path / "t.csv", '"a\nb",c\n'))
+    assert df.count() == 0 and df.columns == ["a b", "c"]
+
+
+def test_unpaired_quotes_and_broken_rows_are_refused(spark, tmp_path):
+    bad = write_bytes(tmp_path / "bad.csv", 'a,b\n1,"x\n2,y\n')
+    with pytest.raises(Exception, match="unpaired quotes in .*bad.csv"):
+        csv_files.read_table_csv(spark, bad, "a int, b string").collect()
+    worse = write_bytes(tmp_path / "worse.csv", 'a,b\n1,"x\ny"\nz,y\n')
+    with pytest.raises(Exception, match="FAILFAST|[Mm]alformed"):
+        csv_files.read_table_csv(spark, worse, "a int, b string").collect()
+
+
+def test_text_of_splits_without_such_records_is_not_shuffled(spark, tmp_path, small_splits):
+    plain = "id,text\n" + "".join(f"{i},text {i}\n" for i in range(20_000))
+    write_bytes(tmp_path / "a.csv", plain)
+    assert "Exchange" not in plan(csv_files.read_table_csv(spark, str(tmp_path), "id int, text string"))
+    write_bytes(tmp_path / "b.csv", plain + '-1,"two\nlines"\n')
+    known = csv_records.splits(spark, str(tmp_path))
+    assert known.where("odds > 0").count() == 1 and known.count() > 20
+    df = csv_files.read_table_csv(spark, str(tmp_path), "id int, text string")
+    assert df.count() == 40_001 and rows(df.where("id = -1")) == [(-1, "two\nlines")]
+
+
+def test_a_large_file_is_read_by_many_tasks(spark, tmp_path, small_splits):
+    path = tmp_path / "big.csv"
+    path.write_text("a,b\n" + "".join(f'{i},"text\n{i}"\n' for i in range(20_000)))
+    spec = source_spec("orders", str(path), schema="a long, b string")
+    df = csv_files.read_table_csv(spark, spec.path, spec.schema, spec.required, spec.quoted_newlines)
+    assert csv_records.splits(spark, str(path)).count() > 8
+    assert df.count() == 20_000 and df.where(F.col("b") == F.concat(F.lit("text\n"), F.col("a"))).count() == 20_000
+
+
+def test_every_table_may_hold_quoted_newlines(spark, tmp_path):
+    assert all(source_spec(n, "x").quoted_newlines for n in STAGING_TABLES)
+    spec = source_spec("sellers", write_bytes(tmp_path / "s.csv", 'seller_id,seller_city\n1,"sao\npaulo"\n'))
+    stored = ingest(spark, [spec], str(tmp_path / "t"))["sellers"]
+    assert rows(stored) == [(1, "sao\npaulo")]
