@@ -71,8 +71,15 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
 
 
-def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
-    """Write df once to the shared folder and read it back.
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete copies that nothing reads any more."""
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def cut_lineage(df: DataFrame, label: str = "cut", paths: list[str] | None = None) -> DataFrame:
+    """Write df once to the shared folder and read it back; the path is added to `paths`, for discard().
 
     Lost executors then re-read files instead of repeating the work above the cut, which
     matters where that work is a paid model call or feeds several consumers.
@@ -80,4 +87,6 @@ def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
+    if paths is not None:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
