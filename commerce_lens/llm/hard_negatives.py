@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from commerce_lens.operators.dedup import rank_in
 from commerce_lens.session import cut_lineage, scratch_path
 
 SCALE = 256
@@ -205,11 +206,11 @@ def shift_labels(rows: DataFrame) -> DataFrame:
 
 
 def _shards(anchors: DataFrame) -> DataFrame:
-    """The anchors with the number of their shard: ranges by the signs of the first components, cut at SHARD rows."""
+    """The anchors with the number of their shard: SHARD each in order of the signs of the first components, the last with the rest."""
     signs = F.array_join(F.transform(F.slice("vec", 1, 16), lambda x: F.when(x >= 0, "1").otherwise("0")), "")
-    ranged = anchors.withColumn("signs", signs).repartitionByRange("signs", "id", F.xxhash64("vec", "label")).sortWithinPartitions("signs", "id")
-    # A range's rows are numbered from a multiple of 2^33, so no shard goes over the end of a range.
-    return ranged.select("id", "label", "vec", F.floor(F.monotonically_increasing_id() / SHARD).cast("long").alias("shard"))
+    ordered = anchors.withColumn("signs", signs).withColumn("all", F.lit(0)).withColumn("digest", F.xxhash64("vec", "label"))
+    placed = rank_in(ordered, {"place": ("all", ["signs", "id", "digest"])})
+    return placed.select("id", "label", "vec", F.expr(f"(place - 1) div {SHARD}").alias("shard"))
 
 
 def _load(rows: list) -> Shard:
@@ -232,9 +233,9 @@ def mine(rows: DataFrame, anchors: DataFrame) -> DataFrame:
     spark = rows.sparkSession
     # Dealt evenly, whatever files they come from: a task's work is its rows times the anchors.
     stored = cut_lineage(rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))), "vectors")
-    dealt = cut_lineage(_shards(anchors), "anchors")
+    dealt = cut_lineage(_shards(cut_lineage(anchors, "rows")), "anchors")
     path = scratch_path(spark, "negatives")
-    numbers = sorted(r["shard"] for r in dealt.select("shard").distinct().collect())  # one number per SHARD anchors, or per range
+    numbers = sorted(r["shard"] for r in dealt.select("shard").distinct().collect())  # one number per SHARD anchors
     for number in numbers:
         shard = _load(dealt.where(F.col("shard") == number).orderBy("id").collect())
         everywhere = [(a, -_FAR, _FAR) for a in range(len(shard.ids))]
