@@ -3,35 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from commerce_lens.operators.frequent import WIDE, most_common
 from commerce_lens.operators.quantiles import in_columns, weighted_quantiles
-from commerce_lens.operators.reshape import melt
 from commerce_lens.operators.stats import is_numeric, nan_as_null, numeric_columns
 from commerce_lens.session import cut_lineage
 
+# Repeated digests that are broadcast at most.
+FEW = 100_000
 QUANTILES = {"q05": 0.05, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q95": 0.95}
 
 
-def value_counts(df: DataFrame, reduce_counts: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Apply reduce_counts to (column, value, count) of all non-NULL values, unioned.
-
-    Columns of one type are counted together, in that type: one shuffle per type, and a
-    value that fills a third of a column is one row per task in it. reduce_counts brings
-    each type to the same few columns.
-    """
-    parts = []
-    for dtype in dict.fromkeys(t for _, t in df.dtypes):
-        columns = [c for c, t in df.dtypes if t == dtype]
-        long = melt(df.select(*columns), [], columns, "column", "value").where(F.col("value").isNotNull())
-        parts.append(reduce_counts(long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))))
-    return reduce(DataFrame.unionByName, parts)
-
-
 NUMERIC_MEASURES = {
     "min": "min(number)",
     "max": "max(number)",
@@ -56,11 +42,12 @@ def profile_columns(df: DataFrame) -> DataFrame:
 
     Skew and kurtosis carry the small-sample correction. Numeric measures are NULL for other
     types, text lengths are NULL for anything but text. df is read twice: once for all that a running
-    sum can tell, once for how often each value stands in each column, from which quantiles are taken, too.
+    sum can tell, once for how often each value stands in each column, from which quantiles are taken, too. Values
+    of fixed width are counted as they are, texts by a digest of 128 bits, so that no text leaves its task.
     """
     df = nan_as_null(df)
     numeric = numeric_columns(df)
-    kinds = list(dict.fromkeys(t for _, t in df.dtypes))
+    kinds = list(dict.fromkeys(t for _, t in df.dtypes if t not in WIDE))
 
     def measured(c: str, t: str) -> str:
         number = f"CAST(`{c}` AS DOUBLE)" if c in numeric else "CAST(NULL AS DOUBLE)"
@@ -69,12 +56,14 @@ def profile_columns(df: DataFrame) -> DataFrame:
 
     def typed(c: str, t: str) -> str:
         values = [f"`{c}` AS v{i}" if k == t else f"CAST(NULL AS {k}) AS v{i}" for i, k in enumerate(kinds)]
-        return f"struct('{c}' AS column, `{c}` IS NULL AS empty, {', '.join(values)})"
+        digest = f"unhex(md5(CAST(`{c}` AS BINARY)))" if t in WIDE else "CAST(NULL AS BINARY)"
+        return f"struct('{c}' AS column, `{c}` IS NULL AS empty, {', '.join([*values, f'{digest} AS digest'])})"
 
     measures = {"rows": "count(1)", "missing": "count_if(empty)", **NUMERIC_MEASURES, **TEXT_MEASURES}
     out = _cells(df, measured).groupBy("column").agg(*[F.expr(sql).alias(name) for name, sql in measures.items()])
     number = F.coalesce(*[F.col(f"v{i}").cast("double") for i, k in enumerate(kinds) if is_numeric(k)], F.lit(None).cast("double"))
-    counts = _cells(df, typed).where("NOT empty").groupBy("column", *[f"v{i}" for i in range(len(kinds))]).agg(F.count(F.lit(1)).alias("w"))
+    keys = [*[f"v{i}" for i in range(len(kinds))], "digest"]
+    counts = _cells(df, typed).where("NOT empty").groupBy("column", *keys).agg(F.count(F.lit(1)).alias("w"))
     counts = cut_lineage(counts.select("column", number.alias("value"), "w"), "values")
     distinct = counts.groupBy("column").agg(F.count(F.lit(1)).alias("distinct"), F.count_if(F.col("w") == 1).alias("unique"))
     quantiles = weighted_quantiles(counts.where("value IS NOT NULL"), ["column"], list(QUANTILES.values()))
@@ -92,31 +81,43 @@ def profile_columns(df: DataFrame) -> DataFrame:
     ).select("column", "type", "rows", "missing", "distinct", "unique", *NUMERIC_MEASURES, *QUANTILES, *TEXT_MEASURES)
 
 
+def _digest(df: DataFrame) -> list[Column]:
+    """128 bits of a whole row, NULLs told apart by their place; equal rows agree."""
+    empty = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in df.columns])
+    there, back = [F.col(c) for c in df.columns], [F.col(c) for c in reversed(df.columns)]
+    return [F.xxhash64(empty, *there).alias("_one"), F.xxhash64(F.lit(len(back)), *back, empty).alias("_two")]
+
+
 def profile_table(df: DataFrame) -> DataFrame:
-    """Rows, columns, missing cells and duplicate rows of a table, as one row."""
+    """Rows, columns, missing cells and duplicate rows of a table, as one row.
+
+    Rows are counted by a digest of 128 bits, and only rows whose digest repeats are compared as a whole. Up to FEW repeated
+    digests are broadcast, and what a row holds leaves its task only where its digest is one of them; with more, the rows
+    are shuffled to them. df is read three times.
+    """
     df = nan_as_null(df)
-    whole_rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
     nulls = sum((F.col(c).isNull().cast("long") for c in df.columns), F.lit(0))
-    repeated = F.col("_n") > 1
-    return whole_rows.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
+    sums = df.agg(
+        F.count(F.lit(1)).alias("rows"),
         F.lit(len(df.columns)).cast("long").alias("columns"),
-        F.coalesce(F.sum(nulls * F.col("_n")), F.lit(0)).alias("missing_cells"),
-        F.count_if(repeated).alias("duplicate_groups"),
-        F.coalesce(F.sum(F.when(repeated, F.col("_n"))), F.lit(0)).alias("duplicate_rows"),
+        F.coalesce(F.sum(nulls), F.lit(0)).alias("missing_cells"),
     )
+    twice = df.select(*_digest(df)).groupBy("_one", "_two").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    twice = cut_lineage(twice, "twice")
+    if twice.count() <= FEW:
+        twice = F.broadcast(twice)  # rows are held against it where they are
+    compared = df.select("*", *_digest(df)).join(twice, ["_one", "_two"], "left_semi")
+    whole_rows = compared.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    repeated = whole_rows.agg(F.count(F.lit(1)).alias("duplicate_groups"), F.coalesce(F.sum("_n"), F.lit(0)).alias("duplicate_rows"))
+    # One row and one row.
+    return sums.withColumn("_on", F.lit(1)).join(F.broadcast(repeated.withColumn("_on", F.lit(1))), "_on").drop("_on")
 
 
 def profile_top_values(df: DataFrame, n: int = 10) -> DataFrame:
     """The n most common values of each column with their share of all rows."""
+    df = nan_as_null(df)
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    place = F.row_number().over(Window.partitionBy("column").orderBy(F.desc("count"), F.asc("value")))
-
-    def most_common(counts: DataFrame) -> DataFrame:
-        top = counts.withColumn("rank", place).where(F.col("rank") <= n)
-        return top.select("column", "rank", F.col("value").cast("string").alias("value"), "count")
-
-    return value_counts(nan_as_null(df), most_common).withColumn("share", F.col("count") / total)
+    return most_common(df, df.columns, n).withColumn("share", F.col("count") / total)
 
 
 def profile_correlations(df: DataFrame) -> DataFrame:

@@ -1,5 +1,7 @@
 """Top-k, pivots, statistics, densities and profiles against numpy and pandas."""
 
+import random
+from collections import Counter
 import math
 import re
 
@@ -10,7 +12,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from commerce_lens.operators import density, profiling, reshape, select, stats
+from commerce_lens.operators import density, frequent, profiling, reshape, select, stats
 from commerce_lens.operators.quantiles import exact_quantiles, quantile_columns
 from commerce_lens.operators.reshape import CATEGORY, CITY
 from tests.conftest import plan, rows
@@ -290,3 +292,43 @@ def test_profiles_read_a_table_twice(spark, tmp_path):
     text = plan(profiling.profile_columns(spark.read.parquet(str(tmp_path / "t"))))
     # The counts were written while the plan was built; what is left reads them and, once, the table.
     assert len(re.findall(rf"FileScan parquet[^\n]*{tmp_path.name}", text)) == 1
+
+
+def most_common_brute(values, n):
+    counts = Counter(v for v in values if v is not None)
+    return [(v, k) for v, k in sorted(counts.items(), key=lambda x: (-x[1], x[0].encode()))[:n]]
+
+
+@pytest.mark.parametrize("shape", ["few", "zipf", "unique", "twice", "almost unique", "empty", "null"])
+def test_most_common_texts(spark, monkeypatch, shape):
+    """Small sketches, so that every way is taken: proven, by digest, the lowest of those that stand once, too many equals."""
+    monkeypatch.setattr(frequent, "COUNTERS", 64)
+    monkeypatch.setattr(frequent, "LISTED", 16)
+    monkeypatch.setattr(frequent, "MOST", 20)
+    rng = random.Random(shape)
+    values = {
+        "few": [rng.choice("abcd") for _ in range(500)],
+        "zipf": [f"w{int(rng.paretovariate(0.7))}" for _ in range(3000)],
+        "unique": [f"{i:05}" for i in rng.sample(range(99999), 400)],
+        "twice": [f"{i % 300:05}" for i in range(600)],
+        "almost unique": [f"{i:05}" for i in range(300)] + ["hot"] * 3 + ["00007", "é"] * 2,
+        "empty": [],
+        "null": [None] * 5,
+    }[shape]
+    df = spark.createDataFrame([(v, k % 3) for k, v in enumerate(values)], "t string, k int")
+    got = frequent.most_common(df, ["t", "k"], 5).collect()
+    for c, own in (("t", values), ("k", [str(k % 3) for k in range(len(values))])):
+        assert [(r["value"], r["count"]) for r in sorted(got, key=lambda r: r["rank"]) if r["column"] == c] == most_common_brute(own, 5)
+
+
+def test_table_profiles_tell_nulls_in_different_columns_apart(frame):
+    df = frame("a string, b string", ("x", None), (None, "x"), ("x", None), (None, None), ("x", "x"), ("", None))
+    row = profiling.profile_table(df).first()
+    assert (row["rows"], row["missing_cells"], row["duplicate_groups"], row["duplicate_rows"]) == (6, 6, 1, 2)
+
+
+def test_many_repeated_rows_are_shuffled_to_their_digests(spark, monkeypatch):
+    monkeypatch.setattr(profiling, "FEW", 3)
+    df = spark.range(100).select((F.col("id") % 40).alias("a"), F.lit(None).cast("string").alias("b"))
+    row = profiling.profile_table(df).first()
+    assert tuple(row) == (100, 2, 100, 40, 100)
