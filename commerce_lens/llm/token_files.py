@@ -8,8 +8,8 @@ A folder holds `ranks` (rank, id, count) and `blocks`, both as Parquet. A block
 number that order it, the documents in it with their lengths, the control bytes and the data. Parts are
 ranges of ids in ascending order, so `part` and `block` give the order of the whole corpus.
 
-Texts are read twice, once to count and once to write, rather than kept as ids in between: the second
-encoding costs less than a copy of all ids. Within a process, words are encoded once.
+Texts are read and encoded once: their ids, packed in the same coding, are stored, counted and put in order, and no text is
+shuffled. Only their names change at the end. Within a process, words are encoded once.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from commerce_lens.session import discard, scratch_path
+
 # Ids of a block, at least, unless the part ends; a document is never cut.
 BLOCK_IDS = 1 << 18
 _MEMO_SIZE = 800_000
@@ -68,7 +70,8 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-        self._tokenizer.encode_special_tokens = True  # control strings in a text are ordinary text
+        # Control strings become their own ids, as in the library; a text that holds one is encoded whole.
+        self._control = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._tokenize = self._tokenizer.model.tokenize
         self._split = regex.compile(public_tokenizers.PATTERN).findall
         self._pieces = _Memory(self._piece)
@@ -94,12 +97,11 @@ class WordEncoder:
             return self._words[word[:-1]] + self._pieces[word[-1]]
         return b"".join(map(self._pieces.__getitem__, self._split(word if word[:1] == "\n" else " " + word)))
 
-    @staticmethod
-    def words(text: str) -> list[str] | None:
+    def words(self, text: str) -> list[str] | None:
         """The first word and the words behind each space and newline; None if the text can't be cut at all of them."""
         if "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[:1] in (" ", "\n") or text[-1:] in (" ", "\n"):
             return None
-        if any(c in text for c in _OTHER_SPACE):
+        if any(c in text for c in _OTHER_SPACE) or any(c in text for c in self._control):
             return None
         return text.replace("\n", " \n").split(" ")
 
@@ -156,49 +158,54 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
 # -- writing -----------------------------------------------------------------------------
 
 
-def _counter(name: str, end: int):
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = encoder(name)
+# A document's ids, packed. A task's counts follow its documents as rows of n = -1: ids and counts, as plain integers.
+_ENCODED = "id long, n int, control binary, data binary"
+
+
+def _encode(name: str, end: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own, stop = encoder(name), np.array([end], dtype="<u4")
         sums = np.zeros(max(own.size, end + 1), dtype=np.int64)
         for batch in batches:
-            texts = batch["text"].tolist()
-            for i in range(0, len(texts), _ROWS):
-                ids = np.concatenate(own.encode(texts[i : i + _ROWS]))
-                sums += np.bincount(ids, minlength=len(sums))
-            sums[end] += len(texts)
-        yield pd.DataFrame({"id": np.arange(len(sums)), "n": sums})
+            for i in range(0, len(batch), _ROWS):
+                part = batch.iloc[i : i + _ROWS]
+                ids = [np.concatenate([x, stop]) for x in own.encode(part["text"].tolist())]
+                sums += np.bincount(np.concatenate(ids), minlength=len(sums))
+                packed = [pack(x) for x in ids]
+                yield pd.DataFrame(
+                    {"id": part["id"].astype("Int64").to_numpy(), "n": [len(x) for x in ids], "control": [c for c, _ in packed], "data": [d for _, d in packed]}
+                )
+        used = np.flatnonzero(sums)
+        yield pd.DataFrame({"id": pd.array([None], dtype="Int64"), "n": -1, "control": [used.tobytes()], "data": [sums[used].tobytes()]})
 
-    return count
+    return run
 
 
-def count_ids(docs: DataFrame, name: str, end: int) -> DataFrame:
-    """(id, n) for every id of the vocabulary, over all texts (`text`) and their end ids."""
-    counts = docs.select("text").mapInPandas(_counter(name, end), "id long, n long")
-    return counts.groupBy("id").agg(F.sum("n").alias("n"))
+def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for ids, sums in zip(batch["control"], batch["data"]):
+            yield pd.DataFrame({"id": np.frombuffer(ids, np.int64), "n": np.frombuffer(sums, np.int64)})
 
 
-def _writer(name: str, end: int, rank_of):
+def _writer(rank_of):
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, part, number = encoder(name), TaskContext.get().partitionId(), 0
+        part, number, held = TaskContext.get().partitionId(), 0, 0
         ids: list[np.ndarray] = []
         docs: list[int | None] = []
-        stop = np.array([end], dtype="<u4")
 
         def block() -> pd.DataFrame:
-            lengths = [len(x) for x in ids]
             control, data = pack(rank_of.value[np.concatenate(ids)])
-            row = {"part": part, "block": number, "n_ids": sum(lengths), "docs": docs, "lengths": lengths, "control": control, "data": data}
+            row = {"part": part, "block": number, "n_ids": held, "docs": docs, "lengths": [len(x) for x in ids], "control": control, "data": data}
             return pd.DataFrame([row])
 
         for batch in batches:
-            texts, keys = batch["text"].tolist(), [None if k != k or k is None else int(k) for k in batch["id"].astype(object)]
-            for i in range(0, len(texts), _ROWS):
-                for key, own_ids in zip(keys[i:], own.encode(texts[i : i + _ROWS])):
-                    ids.append(np.concatenate([own_ids, stop]))
-                    docs.append(key)
-                if sum(map(len, ids)) >= BLOCK_IDS:
+            for key, n, control, data in zip(batch["id"].astype("Int64"), batch["n"], batch["control"], batch["data"]):
+                ids.append(unpack(control, data, n))
+                docs.append(None if key is pd.NA else int(key))
+                held += int(n)
+                if held >= BLOCK_IDS:
                     yield block()
-                    ids, docs, number = [], [], number + 1
+                    ids, docs, number, held = [], [], number + 1, 0
         if ids:
             yield block()
 
@@ -213,20 +220,30 @@ def write_tokens(
 ) -> None:
     """Write the ids of all texts, each followed by `end`, in ascending order of an integer id.
 
-    Null ids come first, rows with the same id in order of their texts; null and empty texts are
-    their end id alone. Other columns don't matter. An empty table gives no blocks.
+    Null ids come first, rows with the same id in an order that their ids alone decide; null and empty texts are
+    their end id alone. A document, however long, is one row and one block. Other columns don't matter. An empty table gives
+    no blocks.
     """
     spark = df.sparkSession
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    counts = np.array(sorted(map(tuple, count_ids(docs, name, end).collect())), dtype=np.int64).reshape(-1, 2)
-    order = np.lexsort((counts[:, 0], -counts[:, 1]))
+    copy = scratch_path(spark, "encoded")
+    docs.mapInPandas(_encode(name, end), _ENCODED).write.option("compression", "zstd").parquet(copy)
+    encoded = spark.read.schema(_ENCODED).parquet(copy)
+    tallied = encoded.where("n < 0").select("control", "data").mapInPandas(_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    # No more rows than the vocabulary has; what no text uses comes last.
+    counts = np.zeros(max(encoder(name).size, end + 1), dtype=np.int64)
+    found = np.array(sorted(map(tuple, tallied.collect())), dtype=np.int64).reshape(-1, 2)
+    counts[found[:, 0]] = found[:, 1]
+    order = np.lexsort((np.arange(len(counts)), -counts))
     rank_of = np.zeros(len(counts), dtype="<u4")
     rank_of[order] = np.arange(len(counts))
-    ranks = pd.DataFrame({"rank": np.arange(len(counts)), "id": counts[order, 0], "n": counts[order, 1]})
+    ranks = pd.DataFrame({"rank": np.arange(len(counts)), "id": order, "n": counts[order]})
     spark.createDataFrame(ranks, "rank long, id long, n long").coalesce(1).write.parquet(f"{path}/ranks")
     shared = spark.sparkContext.broadcast(rank_of)
-    ordered = docs.repartitionByRange("id", F.xxhash64("text")).sortWithinPartitions("id", "text")
-    ordered.mapInPandas(_writer(name, end, shared), _BLOCKS).write.parquet(f"{path}/blocks")
+    # The bounds of the ranges are sampled without reading the data.
+    ordered = encoded.where("n >= 0").repartitionByRange("id", F.xxhash64("control")).sortWithinPartitions("id", F.xxhash64("control"), "control", "data")
+    ordered.mapInPandas(_writer(shared), _BLOCKS).write.parquet(f"{path}/blocks")
+    discard(spark, [copy])
 
 
 # -- reading -----------------------------------------------------------------------------

@@ -14,7 +14,6 @@ from commerce_lens.llm import token_files as tf
 from tests.llm.edge import SCHEMA, documents, stored
 
 LIBRARY = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-LIBRARY.encode_special_tokens = True
 PIECES = st.sampled_from([" ", "  ", "\n", "a", "The", "thnt", "'s", ".", "1", "é", "漢", "\t", "\x1c", "\xa0", " \n", "<|endoftext|>", "😀"])
 
 
