@@ -95,6 +95,8 @@ def mix(
         F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("id").cast("string"), F.lit(""))).cast("binary")).alias("_hash"),
         F.monotonically_increasing_id().alias("_no"),
     )
+    # Written first: dealing into ranges reads its rows twice, and their sizes are dear.
+    own = cut_lineage(own, "sized")
     placed = cut_lineage(running_sums(own, "source", ["_hash", "id", "size", "_no"], {"_upto": "size"}), "placed")
     sizes = cut_lineage(placed.groupBy("source").agg(F.sum("size").alias("source_size")), "sizes")
     wanted = targets(sizes, weights, share, most).withColumnRenamed("source", "_source")
