@@ -59,7 +59,8 @@ def failing(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     bits = sum((F.when(f, 1 << k).otherwise(0) for k, f in enumerate(text_failures(F.col("text"), F.col("words")))), F.lit(0))
     slim = cut_lineage(rows.select("id", "part", bits.alias("bits"), F.unhex(F.sha2("text", 256)).alias("sha")), "failing")
     firsts = slim.groupBy("sha").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("last > first").drop("last")
-    copies = slim.join(firsts, "sha", "left")
+    # Written, so that the join has a plain shuffle on either side and can split the rows of a hot text.
+    copies = slim.join(cut_lineage(firsts, "firsts"), "sha", "left")
     all_bits = F.col("bits") + F.when(F.col("id") > F.col("first"), 1 << (len(FILTERS) - 1)).otherwise(0)
     known = labels.groupBy(F.col("doc_id").cast("long").alias("id")).agg(
         F.max((F.col("quality") == 1).cast("int")).alias("good"), F.max((F.col("toxic") == 1).cast("int")).alias("toxic")
