@@ -48,12 +48,19 @@ _TOKENS = {
 }
 
 
-def _visited(p: Column) -> Column:
-    """A part's piece of the content."""
-    out = escape(p["text"])
-    for kind in ATTACHMENTS:
-        out = F.when(p["kind"] == kind, F.lit(f"<{kind}>")).otherwise(out)
-    return out
+def _visited(parts: Column) -> Column:
+    """The content of a turn. Texts side by side are joined before they are escaped, so that no two build a control string."""
+
+    def visit(seen: Column, p: Column) -> Column:
+        kind = p["kind"]
+        attached = F.coalesce(kind.isin(*ATTACHMENTS), F.lit(False))
+        return F.struct(
+            F.when(attached, F.concat(seen["done"], escape(seen["text"]), F.lit("<"), kind, F.lit(">"))).otherwise(seen["done"]).alias("done"),
+            F.when(attached, F.lit("")).otherwise(F.concat(seen["text"], F.coalesce(p["text"], F.lit("")))).alias("text"),
+        )
+
+    start = F.struct(F.lit("").alias("done"), F.lit("").alias("text"))
+    return F.aggregate(parts, start, visit, lambda seen: F.concat(seen["done"], escape(seen["text"])))
 
 
 def _attachment(p: Column) -> Column:
@@ -67,9 +74,9 @@ def format_turns(df: DataFrame, conv_col: str, turn_col: str, role_col: str, par
     """(conv, turn, role, segment, head, body, attachments) of every row of df.
 
     segment is the formatted turn; of it, `body` code points after the first `head` are under the loss mask
-    (0 for roles other than `learn`). Null roles, texts and lists are empty.
+    (0 for roles other than `learn`). Null roles, texts, parts and lists are empty; a very long text is one value like any other.
     """
-    content = F.array_join(F.transform(F.col("parts"), _visited), "")
+    content = _visited(F.col("parts"))
     turns = df.select(
         F.col(conv_col).alias("conv"),
         F.col(turn_col).alias("turn"),

@@ -51,3 +51,17 @@ def test_parts_become_placeholders_in_order(spark):
     assert got["formatted"] == "<turn>user<says>see <\\image>: <image> and <audio><document><image>?</turn>\n<turn>assistant<says></turn>\n"
     assert [tuple(a) for a in got["attachments"]] == [("image", "a.png", 3), ("audio", "b.wav", 25), ("document", "c.pdf", 768), ("image", None, 1)]
     assert got["loss"] == []
+
+
+PIECES = st.lists(st.sampled_from(["<tu", "rn>", "</", "turn>", "<", "says>", "<image>", "\\", "a", "", None, "image>"]), max_size=10)
+
+
+@given(st.lists(PIECES, min_size=1, max_size=4))
+@settings(max_examples=25, deadline=None)
+def test_parts_side_by_side_build_no_control_strings(spark, turns):
+    schema = f"conv_id long, turn long, role string, parts array<{chat.PART}>"
+    rows = [(1, i, "assistant", [(None if k % 2 else "text", t, None, None, None, None, None) for k, t in enumerate(own)]) for i, own in enumerate(turns)]
+    got = read(formatted(spark.createDataFrame(rows, schema), F.col("parts"))).first()
+    texts = ["".join(t or "" for t in own) for own in turns]
+    assert [tuple(t) for t in got["turns"]] == [("assistant", t) for t in texts]
+    assert got["learned"] == "".join(texts) and got["formatted"].count("<turn>") == len(turns)
