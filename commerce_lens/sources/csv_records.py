@@ -77,7 +77,7 @@ def records(spark: SparkSession, path: str | list[str], known: DataFrame) -> Dat
     rest = lines.select("file", F.lit(False).alias("header"), F.when(plain, F.col("value")).alias("value"))
     found = rest.unionByName(single).unionByName(long)
     # The end of a line is no part of the record, nor is a byte order mark.
-    value = F.regexp_replace(F.regexp_replace("value", "\r$", ""), "^﻿", "")
+    value = F.regexp_replace(F.regexp_replace("value", "\r$", ""), "^\ufeff", "")
     return found.select("file", "header", _those(F.trim(value) != "", value))
 
 
