@@ -1,9 +1,14 @@
 """Gaussian kernel densities and pair grids.
 
-Rows are first collapsed to distinct values with a weight. A point then visits only the grid cells
-within REACH bandwidths, beyond which its kernel is below the precision of a double, and each task adds
-its points up per cell before the shuffle. The bandwidth shrinks as rows are added, and the cells of a
-point with it. Cells that no point visits have density 0.
+Fast Gauss transform: with the kernel scaled to a unit circle, rows are summed up per small box, in one aggregate
+that merges in the map stage, and each box visits the grid cells within REACH bandwidths once, beyond which its kernel
+is below the precision of a double. A box keeps moments of total degree below ORDER, the Taylor
+expansion of its rows' kernels around its centre in Hermite polynomials: by Cramer's inequality the rest of the expansion is
+below 1e-9 of the kernel's peak for boxes of side BOX. A box whose rows are one point is expanded around that point, without error.
+
+So what is shuffled and what visits cells is bounded by boxes and cells, not by distinct points; both grow with
+the inverse of the bandwidth, n^(1/5) or n^(1/3), only. Where some FEW distinct points make up all rows, each is a
+box of its own, of which the count alone matters. Cells that no box visits have density 0.
 """
 
 from __future__ import annotations
@@ -16,9 +21,49 @@ from pyspark.sql import functions as F
 
 from commerce_lens.operators.select import dropna_subset
 from commerce_lens.operators.stats import long_values
+from commerce_lens.session import cut_lineage
+
+# In bandwidths: how far a box's centre reaches, and a box's side.
+REACH = 9.2
+BOX = 0.4
+ORDER = 11
+# Distinct points of a column or pair, by estimate, that are boxes of their own.
+FEW = 100_000
+
+
+def _powers(prefix: str, c: str) -> dict[str, Column]:
+    """c^k / k! for k below ORDER, each named by prefix and k."""
+    out, term = {}, F.lit(1.0)
+    for k in range(ORDER):
+        out[f"{prefix}{k}"] = term
+        term = term * F.col(c) / F.lit(float(k + 1))
+    return out
+
+
+def _hermite(prefix: str, c: str, order: int) -> dict[str, Column]:
+    """The probabilists' Hermite polynomials of c below an order, by Horner's rule, each named by prefix and degree."""
+    out, square = {}, F.col(c) * F.col(c)
+    for k in range(order):
+        value = F.lit(0.0)
+        for m in range(k // 2 + 1):
+            factor = (-1) ** m * math.factorial(k) // (math.factorial(m) * math.factorial(k - 2 * m) * 2**m)
+            value = (value * square if m else value) + F.lit(float(factor))
+        out[f"{prefix}{k}"] = value * F.col(c) if k % 2 else value
+    return out
+
+
+def _order(spread: DataFrame) -> int:
+    """Below which degree moments are kept: 1, the counts, where all distinct points are boxes, else ORDER."""
+    most = spread.agg(F.max("distinct")).first()[0]
+    return 1 if most is not None and most <= FEW else ORDER
 
 
-REACH = 9.0
+def _box(u: Column) -> Column:
+    return F.floor(u / BOX)
+
+
+def _middle(b: str) -> Column:
+    return (F.col(b) + 0.5) * BOX
 
 
 def _cells(lo: Column, hi: Column, centre: Column, half: Column, size: int) -> Column:
@@ -33,6 +78,21 @@ def _grid(lo: Column, hi: Column, i: Column, size: int) -> Column:
     return lo + i * ((hi - lo) / F.lit(float(size - 1)))
 
 
+def line_boxes(values: DataFrame, spread: DataFrame) -> DataFrame:
+    """(column, centre, m): the boxes of each column with their moments."""
+    known = F.broadcast(spread.select("column", "lo", "h"))
+    placed = values.join(known, "column").withColumn("u", (F.col("value") - F.col("lo")) / F.col("h"))
+    placed = placed.withColumn("bu", _box(F.col("u"))).withColumn("d", F.col("u") - _middle("bu")).withColumns(_powers("p", "d"))
+    ends = [F.min("value").alias("least"), F.max("value").alias("most")]
+    boxes = placed.groupBy("column", "bu").agg(*ends, *[F.sum(f"p{k}").alias(f"m{k}") for k in range(ORDER)])
+    single = F.col("least") == F.col("most")
+    return boxes.join(known, "column").select(
+        "column",
+        F.when(single, F.col("least")).otherwise(F.col("lo") + _middle("bu") * F.col("h")).alias("centre"),
+        *[(F.when(single, F.lit(0.0)).otherwise(F.col(f"m{k}")) if k else F.col("m0")).alias(f"m{k}") for k in range(ORDER)],
+    )
+
+
 def kde_1d(
     df: DataFrame, columns: str | Sequence[str], grid: int = 200, bw_adjust: float = 1.0, cut: float = 0.0
 ) -> DataFrame:
@@ -42,22 +102,29 @@ def kde_1d(
     bandwidths to both sides. A column without spread has no density and no rows.
     """
     columns = [columns] if isinstance(columns, str) else list(columns)
-    points = long_values(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("w"))
     values = long_values(df, columns)
     spread = values.groupBy("column").agg(
         F.count(F.lit(1)).cast("double").alias("n"),
         F.stddev_samp("value").alias("sd"),
         F.min("value").alias("lo"),
         F.max("value").alias("hi"),
+        F.approx_count_distinct("value").alias("distinct"),
     )
     spread = spread.where(F.col("sd") > 0).withColumn("h", F.col("sd") * F.pow("n", F.lit(-0.2)) * bw_adjust)
-    spread = spread.select("column", "n", "h", (F.col("lo") - cut * F.col("h")).alias("lo"), (F.col("hi") + cut * F.col("h")).alias("hi"))
-    # The spread has one row per column.
-    near = _cells(F.col("lo"), F.col("hi"), F.col("value"), REACH * F.col("h"), grid)
-    at = points.join(F.broadcast(spread), "column").withColumn("i", F.explode(near))
+    spread = spread.select("column", "n", "h", "distinct", (F.col("lo") - cut * F.col("h")).alias("lo"), (F.col("hi") + cut * F.col("h")).alias("hi"))
+    # The spread has one row per column; written, it is not computed anew from all rows for each use.
+    spread = cut_lineage(spread, "spread")
+    order = _order(spread)
+    if order == 1:
+        boxes = values.groupBy("column", F.col("value").alias("centre")).agg(F.count(F.lit(1)).cast("double").alias("m0"))
+    else:
+        boxes = line_boxes(values, spread)
+    at = boxes.join(F.broadcast(spread), "column")
+    at = at.withColumn("i", F.explode(_cells(F.col("lo"), F.col("hi"), F.col("centre"), REACH * F.col("h"), grid)))
     x = _grid(F.col("lo"), F.col("hi"), F.col("i"), grid)
-    z = (x - F.col("value")) / F.col("h")
-    sums = at.select("column", "i", (F.col("w") * F.exp(-0.5 * z * z)).alias("k")).groupBy("column", "i").agg(F.sum("k").alias("k"))
+    at = at.withColumn("z", (x - F.col("centre")) / F.col("h")).withColumns(_hermite("g", "z", order))
+    k = sum((F.col(f"m{k}") * F.col(f"g{k}") for k in range(1, order)), F.col("m0")) * F.exp(-0.5 * F.col("z") * F.col("z"))
+    sums = at.select("column", "i", k.alias("k")).groupBy("column", "i").agg(F.sum("k").alias("k"))
     frame = spread.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
     scale = F.col("n") * F.col("h") * math.sqrt(2 * math.pi)
     return frame.join(sums, ["column", "i"], "left").select("column", "i", x.alias("x"), (F.coalesce("k", F.lit(0.0)) / scale).alias("density"))
@@ -73,19 +140,51 @@ def _pair_rows(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     return df.selectExpr(f"inline(array({panels}))").where("px IS NOT NULL AND py IS NOT NULL")
 
 
-def pair_visits(points: DataFrame, spread: DataFrame, grid: int) -> DataFrame:
-    """The points with the grid cells (i, j) that they visit.
+def _across(points: DataFrame, spread: DataFrame, grid: int) -> DataFrame:
+    """The points with the columns i of grid cells that they visit. The spread has one row per pair of columns."""
+    reach = _cells(F.col("lox"), F.col("hix"), F.col("px"), REACH * F.sqrt("vx"), grid)
+    return points.join(F.broadcast(spread), ["x_column", "y_column"]).withColumn("i", F.explode(reach))
 
-    Within REACH, the second coordinate keeps to a band around its mean for the first. The spread
-    has one row per pair of columns.
-    """
+
+def _along(columns: DataFrame, grid: int) -> DataFrame:
+    """Points and columns i with the cells j in them: within REACH, y keeps to a band around its mean for x."""
     dx = _grid(F.col("lox"), F.col("hix"), F.col("i"), grid) - F.col("px")
-    across = _cells(F.col("lox"), F.col("hix"), F.col("px"), REACH * F.sqrt("vx"), grid)
     middle, half = F.col("py") + F.col("vxy") / F.col("vx") * dx, REACH * F.sqrt(F.col("det") / F.col("vx"))
-    return (
-        points.join(F.broadcast(spread), ["x_column", "y_column"])
-        .withColumn("i", F.explode(across))
-        .withColumn("j", F.explode(_cells(F.col("loy"), F.col("hiy"), middle, half, grid)))
+    return columns.withColumn("j", F.explode(_cells(F.col("loy"), F.col("hiy"), middle, half, grid)))
+
+
+def pair_visits(points: DataFrame, spread: DataFrame, grid: int) -> DataFrame:
+    """The points with the grid cells (i, j) that they visit."""
+    return _along(_across(points, spread, grid), grid)
+
+
+def pair_boxes(rows: DataFrame, spread: DataFrame) -> DataFrame:
+    """(x_column, y_column, px, py, m_a_b): the boxes of each pair of columns, their centres and their moments.
+    x is measured in its bandwidth, and y, less its mean for x, in the bandwidth that is left, so that the kernel is round.
+    """
+    slope, left = F.col("vxy") / F.col("vx"), F.sqrt(F.col("det") / F.col("vx"))
+    known = F.broadcast(spread.select("x_column", "y_column", "lox", "loy", "vx", "vxy", "det"))
+    right = F.col("px") - F.col("lox")
+    placed = rows.join(known, ["x_column", "y_column"]).withColumns(
+        {"u": right / F.sqrt("vx"), "v": (F.col("py") - F.col("loy") - slope * right) / left}
+    )
+    placed = placed.withColumns({"bu": _box(F.col("u")), "bv": _box(F.col("v"))})
+    placed = placed.withColumns({"du": F.col("u") - _middle("bu"), "dv": F.col("v") - _middle("bv")})
+    placed = placed.withColumns(_powers("p", "du") | _powers("q", "dv"))
+    degrees = [(a, b) for a in range(ORDER) for b in range(ORDER - a)]
+    ends = [f(c).alias(f"{n}_{c}") for c in ("px", "py") for n, f in (("least", F.min), ("most", F.max))]
+    boxes = placed.groupBy("x_column", "y_column", "bu", "bv").agg(
+        *ends, *[F.sum(F.col(f"p{a}") * F.col(f"q{b}")).alias(f"m_{a}_{b}") for a, b in degrees]
+    )
+    single = (F.col("least_px") == F.col("most_px")) & (F.col("least_py") == F.col("most_py"))
+    px = F.col("lox") + _middle("bu") * F.sqrt("vx")
+    py = F.col("loy") + slope * _middle("bu") * F.sqrt("vx") + _middle("bv") * left
+    return boxes.join(known, ["x_column", "y_column"]).select(
+        "x_column",
+        "y_column",
+        F.when(single, F.col("least_px")).otherwise(px).alias("px"),
+        F.when(single, F.col("least_py")).otherwise(py).alias("py"),
+        *[(F.when(single, F.lit(0.0)).otherwise(F.col(f"m_{a}_{b}")) if a + b else F.col("m_0_0")).alias(f"m_{a}_{b}") for a, b in degrees],
     )
 
 
@@ -96,6 +195,7 @@ def pair_spread(rows: DataFrame, bw_adjust: float, cut: float) -> DataFrame:
         F.var_samp("px").alias("vx"),
         F.var_samp("py").alias("vy"),
         F.covar_samp("px", "py").alias("vxy"),
+        F.approx_count_distinct(F.struct("px", "py")).alias("distinct"),
         *[f(c).alias(f"{n}{c[-1]}") for c in ("px", "py") for n, f in (("lo", F.min), ("hi", F.max))],
     )
     factor = F.pow("n", F.lit(-1 / 6)) * bw_adjust
@@ -112,7 +212,7 @@ def pair_spread(rows: DataFrame, bw_adjust: float, cut: float) -> DataFrame:
             (f"hi{c}", F.col(f"hi{c}") + cut * F.sqrt(f"v{c}")),
         )
     ]
-    return spread.select("x_column", "y_column", "n", "vx", "vy", "vxy", "det", *edges)
+    return spread.select("x_column", "y_column", "n", "distinct", "vx", "vy", "vxy", "det", *edges)
 
 
 def kde_2d(
@@ -124,15 +224,24 @@ def kde_2d(
     A pair whose covariance is singular has no density and no rows.
     """
     rows = _pair_rows(df, pairs)
-    points = rows.groupBy("x_column", "y_column", "px", "py").agg(F.count(F.lit(1)).alias("w"))
-    spread = pair_spread(rows, bw_adjust, cut)
+    spread = cut_lineage(pair_spread(rows, bw_adjust, cut), "spread")
+    order = _order(spread)
+    if order == 1:
+        boxes = rows.groupBy("x_column", "y_column", "px", "py").agg(F.count(F.lit(1)).cast("double").alias("m_0_0"))
+    else:
+        boxes = pair_boxes(rows, spread)
+    at = _across(boxes, spread, grid)
     dx = _grid(F.col("lox"), F.col("hix"), F.col("i"), grid) - F.col("px")
-    at = pair_visits(points, spread, grid)
+    at = at.withColumn("z", dx / F.sqrt("vx")).withColumns(_hermite("g", "z", order))
+    # Moments in x are summed up once a column of cells, those in y once a cell.
+    kernel = F.exp(-0.5 * F.col("z") * F.col("z"))
+    inner = {f"c{b}": kernel * sum((F.col(f"m_{a}_{b}") * F.col(f"g{a}") for a in range(1, order - b)), F.col(f"m_0_{b}")) for b in range(order)}
+    bounds = ["x_column", "y_column", "px", "py", "lox", "hix", "loy", "hiy", "vx", "vxy", "det", "i"]
+    at = _along(at.select(*bounds, *[c.alias(n) for n, c in inner.items()]), grid)
     dy = _grid(F.col("loy"), F.col("hiy"), F.col("j"), grid) - F.col("py")
-    form = (F.col("vy") * dx * dx - 2 * F.col("vxy") * dx * dy + F.col("vx") * dy * dy) / F.col("det")
-    sums = at.select("x_column", "y_column", "i", "j", (F.col("w") * F.exp(-0.5 * form)).alias("k")).groupBy(
-        "x_column", "y_column", "i", "j"
-    ).agg(F.sum("k").alias("k"))
+    at = at.withColumn("z", (dy - F.col("vxy") / F.col("vx") * dx) / F.sqrt(F.col("det") / F.col("vx"))).withColumns(_hermite("g", "z", order))
+    k = F.exp(-0.5 * F.col("z") * F.col("z")) * sum((F.col(f"c{b}") * F.col(f"g{b}") for b in range(1, order)), F.col("c0"))
+    sums = at.select("x_column", "y_column", "i", "j", k.alias("k")).groupBy("x_column", "y_column", "i", "j").agg(F.sum("k").alias("k"))
     steps = F.sequence(F.lit(0), F.lit(grid - 1))
     frame = spread.withColumn("i", F.explode(steps)).withColumn("j", F.explode(steps))
     return frame.join(sums, ["x_column", "y_column", "i", "j"], "left").select(

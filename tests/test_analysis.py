@@ -332,3 +332,33 @@ def test_many_repeated_rows_are_shuffled_to_their_digests(spark, monkeypatch):
     df = spark.range(100).select((F.col("id") % 40).alias("a"), F.lit(None).cast("string").alias("b"))
     row = profiling.profile_table(df).first()
     assert tuple(row) == (100, 2, 100, 40, 100)
+
+
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_boxes_stand_for_points_within_the_error_bound(spark, monkeypatch, few):
+    monkeypatch.setattr(density, "FEW", few)
+    rng = np.random.default_rng(12)
+    px = np.concatenate([rng.normal(size=1500), np.full(300, 0.25)])
+    py = 0.6 * px + np.concatenate([rng.normal(size=1500) * 0.7, np.full(300, 0.5)])
+    df = spark.createDataFrame(pd.DataFrame({"a": px, "b": py}))
+    for adjust in (0.5, 2.0):
+        got = np.zeros((50, 50))
+        for r in density.kde_2d(df, [("a", "b")], grid=50, bw_adjust=adjust).collect():
+            got[r["i"], r["j"]] = r["density"]
+        _, _, want = gaussian_2d(px, py, 50, adjust)
+        cov = np.cov(px, py) * (len(px) ** (-1 / 6) * adjust) ** 2
+        assert np.abs(got - want).max() < 1e-9 / (2 * math.pi * math.sqrt(np.linalg.det(cov)))
+    line = [r["density"] for r in density.kde_1d(df, "a", cut=3.0).orderBy("i").collect()]
+    _, want = gaussian_1d(px, 200, 3.0)
+    h = px.std(ddof=1) * len(px) ** -0.2
+    assert np.abs(np.array(line) - want).max() < 1e-9 / (h * math.sqrt(2 * math.pi))
+
+
+def test_boxes_are_bounded_by_the_range_in_bandwidths(spark):
+    df = spark.range(100_000).selectExpr("'a' AS x_column", "'b' AS y_column", "rand(1) AS px", "rand(2) AS py")
+    spread = density.pair_spread(df, 0.5, 3.0)
+    s = spread.first()
+    most = math.prod((s[f"hi{c}"] - s[f"lo{c}"]) / math.sqrt(s[f"v{c}"]) / density.BOX + 2 for c in "xy")
+    boxes = density.pair_boxes(df, spread)
+    total = boxes.agg(F.count(F.lit(1)), F.sum("m_0_0")).first()
+    assert total[0] < most < 100_000 and total[1] == 100_000
