@@ -12,12 +12,14 @@ at once: a window goes on to the search only with a block whose bound reaches th
 that could score is lost. Hits are then verified against the document's own words around the window: enough of
 the item's question and enough of its answer must stand there.
 
-The index is broadcast in shards of at most SHARD_WORDS words of items; each shard is one pass over the documents.
+The index is broadcast in shards of about SHARD_WORDS words of items; each shard is one pass over the documents. Items are dealt to
+shards by a hash of id and text, so that an id which holds many texts is spread; its hits of all shards are brought together afterwards.
 """
 
 from __future__ import annotations
 
 import bisect
+import hashlib
 import math
 import re
 from collections import Counter, defaultdict
@@ -30,6 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from commerce_lens.session import cut_lineage, discard
+
 PIECE = 64
 # Share of an entry's own score that a window must reach.
 THRESHOLD = 0.7
@@ -43,6 +47,8 @@ COMMON = 0.05
 _NOT_WORD = re.compile(r"[\W_]+")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 _MEMO_SIZE = 150_000
+# Postings of blocks that are expanded together; stretches of PIECE words are not divided.
+_EXPANDED = 1 << 19
 
 
 def words(text: str | None) -> list[str]:
@@ -143,9 +149,30 @@ class Index:
         known = terms >= 0
         pairs = np.unique(place[known] * len(self.vocabulary) + terms[known])
         place, terms = pairs // len(self.vocabulary), pairs % len(self.vocabulary)
+        # Stretches are taken in slices of bounded size; the last one of a slice is the next slice's first, so that neighbours meet.
+        begins = np.append(np.flatnonzero(np.diff(place, prepend=-1)), len(place))
+        sizes = np.concatenate([[0], np.cumsum(self._starts[terms + 1] - self._starts[terms])])[begins]
+        i, good = 0, []
+        while i < len(begins) - 1:
+            j = min(len(begins) - 1, max(i + 2, int(np.searchsorted(sizes, sizes[i] + _EXPANDED, "right")) - 1))
+            good.append(self._good_windows(place[begins[i] : begins[j]], terms[begins[i] : begins[j]], theta))
+            i = j if j == len(begins) - 1 else j - 1
+        windows = np.unique(np.concatenate(good)) if good else np.zeros(0, dtype=np.int64)
+        everywhere = bool((self._constant >= theta - 1e-9).any())
+        for i in range(len(texts)):
+            low, high = offsets[i], offsets[i + 1]
+            if everywhere:
+                found[i] = list(range(counts[i]))
+            else:
+                a, b = np.searchsorted(windows, [low, high])
+                found[i] = (windows[a:b] - low).tolist()
+        return found
+
+    def _good_windows(self, place: np.ndarray, terms: np.ndarray, theta: float) -> np.ndarray:
+        """The first stretches of windows with a block whose bound reaches theta, of all distinct (stretch, term) of some stretches in order."""
         lengths = self._starts[terms + 1] - self._starts[terms]
         ends = np.cumsum(lengths)
-        at = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - lengths, lengths) + np.repeat(self._starts[terms], lengths)
+        at = np.arange(ends[-1]) - np.repeat(ends - lengths - self._starts[terms], lengths)
         keys, back = np.unique(np.repeat(place, lengths) * self.blocks + self._flat_blocks[at], return_inverse=True)
         sums = np.bincount(back, weights=self._flat_bounds[at], minlength=len(keys))
         place, block = keys // self.blocks, keys % self.blocks
@@ -154,20 +181,11 @@ class Index:
         inside = nxt < len(keys)
         same = np.zeros(len(keys), dtype=bool)
         same[inside] = keys[nxt[inside]] == keys[inside] + self.blocks
-        both = sums + self._constant[block]
+        alone = sums + self._constant[block]
+        both = alone.copy()
         both[same] += sums[nxt[same]]
         # A window is named by its first stretch; a stretch alone bounds the window before it, too.
-        good = both >= theta - 1e-9
-        windows = np.unique(np.concatenate([place[good], place[(sums + self._constant[block]) >= theta - 1e-9] - 1]))
-        everywhere = bool((self._constant >= theta - 1e-9).any())
-        for i in range(len(texts)):
-            low, high = offsets[i], offsets[i + 1]
-            if everywhere:
-                found[i] = list(range(counts[i]))
-            else:
-                a, b = np.searchsorted(windows, [low, high])
-                found[i] = (windows[a:b] - low).tolist()
-        return found
+        return np.unique(np.concatenate([place[both >= theta - 1e-9], place[alone >= theta - 1e-9] - 1]))
 
     def search(self, query: set[int], theta: float) -> list[tuple[int, float]]:
         """Every entry that scores theta or more against the query's terms, by block-max WAND."""
@@ -231,7 +249,6 @@ class Index:
                     best[item] = max(best.get(item, (-1.0,)), (*(round(x, 9) for x in (score, q, a)), -w * PIECE))
         return [(item, s, q, a, -p) for item, (s, q, a, p) in sorted(best.items())]
 
-
     def named(self, hits: list[tuple]) -> list[tuple]:
         """Hits with the items' ids for their numbers: those of one id are one hit, the best, those without id one each."""
         if self.ids is None:
@@ -246,9 +263,9 @@ class Index:
 def build(items: DataFrame, id_col: str = "item_id", text_col: str = "text", shard_words: int = SHARD_WORDS) -> Iterator[Index]:
     """The index of all items, in shards; an item without words has no entry.
 
-    Every distinct row of id and text is an item of its own, also without id. Items are dealt to shards by a hash of their
-    id, or of their text where they have none, so that the texts of one id stay together, about `shard_words` words to each; the driver holds
-    the items of one shard at a time. The weights of words come from all items.
+    Every distinct row of id and text is an item of its own, also without id. Items are dealt to shards by a hash of id and
+    text, about `shard_words` words to each, however many texts an id has; the driver holds
+    the items of one shard at a time. The weights of words come from all items, and are counted once.
     """
     kept = items.select(F.col(id_col).alias("item"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).distinct()
     sized = kept.withColumn("words", F.size(F.split(F.trim("text"), r"\s+")))
@@ -264,9 +281,12 @@ def build(items: DataFrame, id_col: str = "item_id", text_col: str = "text", sha
 
     per_item = kept.select("text").mapInPandas(listed, "word array<string>").select(F.explode("word").alias("word"))
     frequency = per_item.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    copies: list[str] = []
+    if shards > 1:
+        kept, frequency = cut_lineage(kept, "items", copies), cut_lineage(frequency, "frequency", copies)
 
     for s in range(shards):
-        mine = kept.where(F.pmod(F.when(F.col("item").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("item")), F.lit(shards)) == s)
+        mine = kept.where(F.pmod(F.xxhash64("item", "text"), F.lit(shards)) == s)
         rows = mine.orderBy("item", "text").collect()
         needed = mine.select("text").mapInPandas(listed, "word array<string>").select(F.explode("word").alias("word")).distinct()
         weights = {
@@ -280,6 +300,7 @@ def build(items: DataFrame, id_col: str = "item_id", text_col: str = "text", sha
             n = -(-len(both) // PIECE)
             entries += [(item, both[len(both) * i // n : len(both) * (i + 1) // n]) for i in range(n)]
         yield Index(entries, parts, weights, mean, {item: r["item"] for item, r in enumerate(rows)})
+    discard(items.sparkSession, copies)
 
 
 # Texts looked at together.
@@ -299,8 +320,12 @@ def _found(index, batch: pd.DataFrame, theta: float, overlap: float) -> Iterator
 def _searcher(shared, names: list[str], theta: float, overlap: float):
     def looked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ids = batch["doc_id"].tolist()
-            rows = [(ids[i], *hit) for i, hits in _found(shared.value, batch, theta, overlap) for hit in shared.value.named(hits)]
+            ids, texts = batch["doc_id"].tolist(), batch["text"].tolist()
+            rows = [
+                (ids[i], *hit, hashlib.sha256(texts[i].encode("utf-8", "surrogatepass")).digest())
+                for i, hits in _found(shared.value, batch, theta, overlap)
+                for hit in shared.value.named(hits)
+            ]
             yield pd.DataFrame(rows, columns=names)
 
     return looked
@@ -316,6 +341,19 @@ def _judge(shared, theta: float, overlap: float):
     return F.pandas_udf(clean, "boolean")
 
 
+def _best_of_shards(found: DataFrame) -> DataFrame:
+    """One row, the best, of each document and item_id that several shards have hits of; repeated documents stay repeated."""
+    values = ["score", "question_overlap", "answer_overlap"]
+    ranked = F.struct(*values, (-F.col("first_word")).alias("back"))
+    named = found.where(F.col("item_id").isNotNull())
+    per_shard = named.groupBy("doc_id", "text_digest", "item_id", "shard").agg(F.max(ranked).alias("best"), F.count(F.lit(1)).alias("copies"))
+    best = per_shard.groupBy("doc_id", "text_digest", "item_id").agg(F.max("best").alias("best"), F.max("copies").alias("copies"))
+    rows = best.select("doc_id", "item_id", "best", F.explode(F.sequence(F.lit(1), "copies")))
+    return rows.select("doc_id", "item_id", *[f"best.{c}" for c in values], (-F.col("best.back")).alias("first_word")).unionByName(
+        found.where(F.col("item_id").isNull()).drop("text_digest", "shard")
+    )
+
+
 def contaminated(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, overlap: float = OVERLAP
 ) -> DataFrame:
@@ -328,13 +366,16 @@ def contaminated(
     spark = docs.sparkSession
     schema = StructType().add("doc_id", docs.schema[id_col].dataType).add("item_id", "long").add("score", "double")
     schema = schema.add("question_overlap", "double").add("answer_overlap", "double").add("first_word", "long")
+    hits = StructType([*schema.fields]).add("text_digest", "binary")
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    out = None
+    out, shards = None, 0
     for index in build(items):
         shared = spark.sparkContext.broadcast(index)
-        found = slim.mapInPandas(_searcher(shared, schema.names, threshold, overlap), schema)
-        out = found if out is None else out.unionByName(found)
-    return spark.createDataFrame([], schema) if out is None else out
+        found = slim.mapInPandas(_searcher(shared, hits.names, threshold, overlap), hits).withColumn("shard", F.lit(shards))
+        out, shards = found if out is None else out.unionByName(found), shards + 1
+    if out is None:
+        return spark.createDataFrame([], schema)
+    return _best_of_shards(cut_lineage(out, "hits")) if shards > 1 else out.drop("text_digest", "shard")
 
 
 def drop_contaminated(

@@ -1,6 +1,7 @@
 """Decontamination: the search against scoring every entry, and whole documents."""
 
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -57,6 +58,31 @@ def test_no_window_that_holds_an_entry_is_passed_over(theta):
                 assert w in windows
 
 
+@pytest.mark.parametrize("expanded", [1, 50, 1000])
+def test_slices_find_the_same_windows(monkeypatch, expanded):
+    ix = index()
+    terms = [ix.terms(" ".join(RNG.choices([*WORDS, "unknown"], k=RNG.randint(0, 900)) + ix.entries[i][1])) for i in range(30)]
+    whole = ix.possible(terms, 0.4)
+    assert any(whole)
+    monkeypatch.setattr(dc, "_EXPANDED", expanded)
+    assert ix.possible(terms, 0.4) == whole
+
+
+def test_a_full_shard_is_searched_in_bounded_memory():
+    rng = np.random.default_rng(5)
+    n = dc.SHARD_WORDS // dc.PIECE
+    own = [[f"w{x}" for x in row] for row in (50_000 * rng.random((n, dc.PIECE)) ** 3).astype(int).tolist()]
+    df = Counter(w for row in own for w in set(row))
+    ix = dc.Index([(i, row) for i, row in enumerate(own)], {}, {w: np.log(1 + (n - d + 0.5) / (d + 0.5)) for w, d in df.items()}, float(dc.PIECE))
+    texts = [ix.terms(" ".join(f"w{x}" for x in (50_000 * rng.random(400) ** 3).astype(int))) for _ in range(64)]
+    texts.append(ix.terms(" ".join(own[17])))
+    tracemalloc.start()
+    windows = ix.possible(texts, dc.THRESHOLD)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert windows[-1] == [0] and peak < 100e6
+
+
 def test_every_leak_of_the_table_is_found_and_nothing_else(spark):
     docs, items = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
     item_words = [(r["item_id"], " ".join(dc.words(r["text"]))) for r in items.collect()]
@@ -98,3 +124,17 @@ def test_texts_without_id_and_several_texts_of_an_id(spark):
     items = spark.createDataFrame([(7, a), (7, b), (7, b), (None, c), (None, c), (None, None)], "item_id long, text string")
     assert rows(dc.contaminated(docs, items), "doc_id", "item_id") == [(1, 7), (2, 7), (3, None), (4, None), (4, 7)]
     assert rows(dc.drop_contaminated(docs, items), "doc_id") == [(5,)]
+
+
+def test_an_id_of_many_texts_is_spread_over_shards(spark, monkeypatch):
+    said = [f"Question {i} asks which of the {i} rivers past mill {i} turns copper green in year {i}? Answer {i} is river {i} of valley {i}." for i in range(40)]
+    docs = documents(spark, [(1, said[3] + " " + said[31]), (1, said[3] + " " + said[31]), (1, said[5]), (2, said[7]), (None, said[8]), (3, "Nothing."), (4, None)])
+    items = spark.createDataFrame([(9, t) for t in said] + [(None, said[7]), (None, said[31])], "item_id long, text string")
+    whole = rows(dc.contaminated(docs, items))
+    assert [r[:2] for r in whole] == [(None, 9), (1, None), (1, None), (1, 9), (1, 9), (1, 9), (2, None), (2, 9)]
+    real = dc.build
+    monkeypatch.setattr(dc, "build", lambda items: real(items, shard_words=100))
+    shards = list(dc.build(items))
+    assert len(shards) > 5 and max(len(s.entries) for s in shards) < 20
+    assert rows(dc.contaminated(docs, items)) == whole
+    assert rows(dc.drop_contaminated(docs, items), "doc_id") == [(3,), (4,)]
