@@ -282,9 +282,7 @@ def agg_count_column(v: Views) -> DataFrame:
 
 @query
 def agg_count_distinct(v: Views) -> DataFrame:
-    return v.orders.groupBy("order_status").agg(
-        agg.count_distinct("order_id").alias("orders"), agg.count_distinct("customer_id").alias("customers")
-    )
+    return reshape.distinct_counts(v.orders, ["order_status"], {"orders": "order_id", "customers": "customer_id"})
 
 
 @query

@@ -1,14 +1,16 @@
-"""Grouped scores, pair counts, trends, pivots and melts.
+"""Grouped scores, distinct and pair counts, trends, pivots and melts.
 
 NULL keys are dropped here, as a data frame group-by drops them; the marts keep them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from commerce_lens.functions.json_text import ASPECTS
 from commerce_lens.operators.select import top_values
@@ -22,6 +24,29 @@ def group_by(df: DataFrame, keys: dict[str, Column], aggs: dict[str, Column]) ->
     return df.groupBy(*[e.alias(n) for n, e in keys.items()]).agg(*[a.alias(n) for n, a in aggs.items()])
 
 
+def distinct_counts(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str]) -> DataFrame:
+    """Per key, exactly how many different values each column has: {result name: column}. A NULL key forms one group, NULL values count as none.
+
+    Whole numbers are bits of 64-bit words, (value >> 6, value & 63), which tasks merge before the shuffle: of dense ids it moves a word for
+    64, of scattered ones as many rows as there are values. Other types are grouped as they are. Each column is a
+    narrow read of its own in place of a copy of every row, so df should come from a stored table.
+    """
+
+    def counted(place: int, column: str) -> DataFrame:
+        slim = df.select(*keys, F.col(column).alias("_value"))
+        if isinstance(df.schema[column].dataType, IntegralType):
+            value = F.col("_value").cast("long")
+            bit = F.call_function("shiftleft", F.lit(1).cast("long"), value.bitwiseAND(F.lit(63)).cast("int"))
+            words = slim.groupBy(*keys, F.shiftright(value, 6).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+            n = F.coalesce(F.sum(F.bit_count("_bits")), F.lit(0))
+        else:
+            words, n = slim.groupBy(*keys, "_value").agg(F.lit(1)), F.count("_value")
+        return words.groupBy(*keys).agg(n.cast("long").alias("_n")).select(*keys, F.lit(place).alias("_place"), "_n")
+
+    parts = reduce(DataFrame.unionByName, [counted(i, c) for i, c in enumerate(columns.values())])
+    return parts.groupBy(*keys).agg(*[F.max(F.when(F.col("_place") == i, F.col("_n"))).alias(name) for i, name in enumerate(columns)])
+
+
 def score_by(df: DataFrame, keys: Sequence[str], score: str) -> DataFrame:
     """Per key: how many scores there are and their mean."""
     return (

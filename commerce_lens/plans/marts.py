@@ -10,6 +10,7 @@ from commerce_lens.functions.json_text import ASPECTS, json_rejects, json_scores
 from commerce_lens.functions.scalars import amount, month_of, month_start, to_day, year_month, year_of
 from commerce_lens.operators.joins import categorised_products, inner_join_customer
 from commerce_lens.operators.reshape import group_by
+from commerce_lens.session import cut_lineage
 
 
 def order_totals(items: DataFrame) -> DataFrame:
@@ -72,7 +73,10 @@ def agg_sales_daily(orders: DataFrame, items: DataFrame, reviews: DataFrame) ->
 
 
 def agg_sales_by_city(orders: DataFrame, customers: DataFrame, items: DataFrame, reviews: DataFrame) -> DataFrame:
-    """The daily measures per month, city and state, with customers and total freight."""
+    """The daily measures per month, city and state, with customers and total freight.
+
+    Each table is read once, in a write of one row per order, place and customer.
+    """
     placed = orders.select("order_id", "customer_id", "order_purchase_timestamp")
     places = customers.select("customer_id", "customer_city", "customer_state")
     rows = inner_join_customer(_order_rows(placed, items, reviews), places)
@@ -82,11 +86,12 @@ def agg_sales_by_city(orders: DataFrame, customers: DataFrame, items: DataFrame,
         "state": F.col("customer_state"),
     }
     # Two distinct counts in one step would copy every row; here rows are first summed up per order and
-    # customer, and what is left is counted once per order and once per customer.
+    # customer, and what is left is written, then counted once per order and once per customer.
     sums = {c: F.sum(c).alias(c) for c in ("items", "freight_items", "score_sum", "score_rows")}
     sums |= {c: add_money(c).alias(c) for c in ("revenue", "freight")}
     placed = list(keys)
     pairs = group_by(rows, keys | {"order_id": F.col("order_id"), "customer_id": F.col("customer_id")}, sums)
+    pairs = cut_lineage(pairs, "order_customers")
     per_order = group_by(pairs, {c: F.col(c) for c in [*placed, "order_id"]}, sums)
     customers_in = pairs.select(*placed, "customer_id").distinct().groupBy(*placed).agg(F.count("customer_id").alias("unique_customers"))
     measures = _sales_measures(F.count("order_id")) | {"total_freight_value": amount(add_money("freight"))}

@@ -362,3 +362,26 @@ def test_boxes_are_bounded_by_the_range_in_bandwidths(spark):
     boxes = density.pair_boxes(df, spread)
     total = boxes.agg(F.count(F.lit(1)), F.sum("m_0_0")).first()
     assert total[0] < most < 100_000 and total[1] == 100_000
+
+
+def test_distinct_counts_of_every_kind_of_value(spark):
+    rng = random.Random(3)
+    edges = [None, 0, -1, 63, 64, -64, -65, 2**31, 2**63 - 1, -(2**63)]
+    data = [
+        (rng.choice([None, "a", "b"]), rng.choice([*edges, *range(200)]), rng.choice([None, -128, 0, 127]), rng.choice([None, "", "x", "y"]), rng.choice([0.0, -0.0, math.nan, 1.5, None]))
+        for _ in range(3000)
+    ] + [("none", None, None, None, None)]
+    df = spark.createDataFrame(data, "k string, n long, t byte, s string, d double").repartition(5)
+
+    def different(rows, i):
+        values = {"nan" if isinstance(r[i], float) and math.isnan(r[i]) else r[i] for r in rows}
+        return len(values - {None})
+
+    want = sorted(
+        ((k, *[different([r for r in data if r[0] == k], i) for i in (1, 2, 3, 4)]) for k in (None, "a", "b", "none")), key=str
+    )
+    names = {"ns": "n", "ts": "t", "ss": "s", "ds": "d"}
+    assert sorted((tuple(r) for r in reshape.distinct_counts(df, ["k"], names).collect()), key=str) == want
+    assert tuple(reshape.distinct_counts(df, [], names).first()) == tuple(different(data, i) for i in (1, 2, 3, 4))
+    empty = df.where("k = 'no such key'")
+    assert reshape.distinct_counts(empty, ["k"], names).count() == 0 and tuple(reshape.distinct_counts(empty, [], names).first()) == (0, 0, 0, 0)

@@ -10,6 +10,7 @@ from tests.conftest import SMALL, plan
 NO_ACTION = (
     "agg_sales_daily",
     "agg_sales_by_city",
+    "agg_count_distinct",
     "agg_aspect_score_by_product",
     "review_aspect_geo",
     "left_join_chain",
@@ -78,4 +79,11 @@ def test_left_joins_read_each_table_once(plans):
 
 
 def test_distinct_counts_copy_no_rows(plans):
-    assert "Expand" not in plans["agg_sales_by_city"]
+    assert "Expand" not in plans["agg_sales_by_city"] and "Expand" not in plans["agg_count_distinct"]
+    # A row is merged into its word before the first shuffle.
+    assert plans["agg_count_distinct"].count("partial_bit_or") == 2
+
+
+def test_the_city_mart_reads_what_it_wrote_and_no_table_again(plans):
+    assert not scans(plans["agg_sales_by_city"], "orders") and plans["agg_sales_by_city"].count("FileScan") == 2
+    assert plans["agg_sales_by_city"].count("order_customers_") == 2
