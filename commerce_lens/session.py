@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A hot join key is split even where that costs one more shuffle later on.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Stored tables and copies hold much text.
+    "spark.sql.parquet.compression.codec": "zstd",
     # A repeated JSON key keeps its last value.
     "spark.sql.variant.allowDuplicateKeys": "true",
 }

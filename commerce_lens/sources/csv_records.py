@@ -1,16 +1,21 @@
 """CSV records that span lines, read by many tasks.
 
 A file is read as lines, in splits of any size. A line break is within a quoted field exactly where the number of quotes before it is
-odd. So a first read counts the quotes of each split; summed over the splits before it, they tell how a split begins. In splits
-that hold such breaks, a running sum over lines then tells for each line whether it starts a record, and the lines of the
-few records that have several are put together. Splits without any are read as they are: their text is never shuffled.
+odd. So a first read counts the quotes of each split; summed over the splits before it, they tell how a split begins. A task
+then puts the lines of its splits together as it reads them, so the text of records within a split is never shuffled or copied;
+only the records that go on in another split are, in at most two parts a split.
 
-Each window is one split, and a sum over splits has a row per split; nothing grows with a file. A file whose quotes don't
-pair up is refused, as its last record would have no end.
+A task holds one batch of lines and the record that is open, and a sum over splits has a row per split; nothing grows with a file.
+A file whose quotes don't pair up is refused, as its last record would have no end.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -41,41 +46,108 @@ def splits(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return counted.select(*_SPLIT, "odds", F.coalesce(F.sum("odds").over(earlier), F.lit(0)).alias("before"), F.sum("odds").over(of_file).alias("whole"))
 
 
-def _last(c: Column, rows) -> Column:
-    return F.last(c, ignorenulls=True).over(rows)
+def _record_maker(ends: bool):
+    """Puts the lines of splits together: their records as a whole, or, with `ends`, what reaches over the ends of a split.
+
+    Lines come in order, those of a split side by side. Only the record that is open is held from one batch to the next.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, inside, header, opened, open_lines = None, 0, False, False, []
+        out: list[tuple] = []
+
+        def put(part: int | None) -> None:
+            """What is held: a whole record (no part), or a part of one that begins or ends in another split."""
+            nonlocal open_lines, header, opened
+            if ends == (part is not None):
+                out.append((split, header, part, opened, "\n".join(open_lines)))
+            open_lines, header, opened = [], False, False
+
+        def batch(records: pa.Array | None = None) -> pa.RecordBatch:
+            """The parts at hand, and records that are the first of no file."""
+            nonlocal out
+            n = len(records) if records is not None else 0
+            columns = [pa.array([r[i] for r in out], f.type) for i, f in enumerate(_MADE)]
+            more = [pa.nulls(n, f.type) for f in _MADE][:-1] + [records if n else pa.nulls(0, pa.string())]
+            out = []
+            return pa.RecordBatch.from_arrays([pa.concat_arrays([a, b]) for a, b in zip(columns, more)], schema=_MADE)
+
+        for b in batches:
+            numbers, odd = b["split"].to_numpy(), b["odd"].to_numpy()
+            bounds = [0, *(np.flatnonzero(numbers[1:] != numbers[:-1]) + 1), len(numbers)]
+            for lo, hi in zip(bounds, bounds[1:]):
+                if lo == hi:
+                    continue
+                if numbers[lo] != split:
+                    if inside:
+                        put(1 if opened else 0)
+                    split, inside = int(numbers[lo]), int(b["before"][lo].as_py()) % 2
+                    # Before the first line of a file its header is looked for.
+                    first, opened = bool(b["first"][lo].as_py()), False
+                state = inside + np.cumsum(odd[lo:hi])
+                starts = lo + np.flatnonzero((state - odd[lo:hi]) % 2 == 0)
+                upto = int(starts[0]) if len(starts) else hi
+                if inside:
+                    open_lines += b["value"].slice(lo, upto - lo).to_pylist()
+                    if len(starts) or state[-1] % 2 == 0:
+                        put(None if opened else 0)
+                inside = int(state[-1] % 2)
+                if first and len(starts):
+                    # The header by itself; the rest goes on without.
+                    until = int(starts[1]) if len(starts) > 1 else hi
+                    open_lines, header, opened, first = b["value"].slice(upto, until - upto).to_pylist(), True, True, False
+                    starts = starts[1:]
+                    if len(starts) or not inside:
+                        put(None)
+                if len(starts):
+                    stops = [*starts[1:], hi]
+                    if inside:
+                        open_lines, opened = b["value"].slice(int(starts[-1]), hi - int(starts[-1])).to_pylist(), True
+                        starts, stops = starts[:-1], stops[:-1]
+                    if len(starts) and not ends:
+                        offsets = pa.array(np.array([starts[0], *stops], dtype=np.int32))
+                        lists = pa.ListArray.from_arrays(offsets, b["value"])
+                        yield batch(pc.binary_join(lists, "\n"))
+            if out:
+                yield batch()
+        if inside:
+            put(1 if opened else 0)
+        if out:
+            yield batch()
+
+    return run
+
+
+_MADE = pa.schema([("split", pa.int64()), ("header", pa.bool_()), ("part", pa.int32()), ("opens", pa.bool_()), ("value", pa.string())])
+_MADE_DDL = "split long, header boolean, part int, opens boolean, value string"
 
 
 def records(spark: SparkSession, path: str | list[str], known: DataFrame) -> DataFrame:
-    """(file, header, value): every record of the files as text, blank ones left out; `known` are the stored splits() of path."""
+    """(file, header, value): every record of the files as text, blank ones left out; `known` are the stored splits() of path.
+
+    The file is known of headers and of records that go on in another split. Text is read twice, once for whole records and once
+    for those; only those are shuffled.
+    """
     unpaired = F.raise_error(F.concat(F.lit("unpaired quotes in "), F.col("file")))
     known = known.withColumn("before", F.when(F.col("whole") % 2 == 0, F.col("before")).otherwise(unpaired.cast("long")))
-    lines = _lines(spark, path).join(known.drop("whole"), list(_SPLIT))
-    # The first split of a file holds its header.
-    plain = (F.col("odds") == 0) & (F.col("before") % 2 == 0) & (F.col("block") > 0)
-    earlier = Window.partitionBy(*_SPLIT).orderBy("no").rowsBetween(Window.unboundedPreceding, -1)
-    upto = Window.partitionBy(*_SPLIT).orderBy("no").rowsBetween(Window.unboundedPreceding, 0)
-    within = (F.col("before") + F.coalesce(F.sum("odd").over(earlier), F.lit(0))) % 2 == 1
-    mixed = lines.where(~plain).withColumn("within", within)
-    # A line that starts a record is its name; lines before the first one of a split belong to a record of an earlier split.
-    mixed = mixed.withColumn("start", _last(F.when(~F.col("within"), F.col("no")), upto))
-    first = F.min("no").over(Window.partitionBy(*_SPLIT))
-    mixed = mixed.withColumn("header", (F.col("block") == 0) & F.coalesce(F.col("start") == first, F.lit(False)))
-    mixed = cut_lineage(mixed.select(*_SPLIT, "no", "value", "odd", "within", "start", "header"), "lines")
-    ends = mixed.groupBy(*_SPLIT).agg(F.max(F.struct("start", "header")).alias("open"))
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select(*_SPLIT, _last(F.when(F.col("open.start").isNotNull(), F.col("open")), before).alias("carried"))
-    alone = ~F.col("within") & (F.col("odd") == 0)
-    parts = mixed.where(~alone).join(carried, list(_SPLIT)).select(
-        "file",
-        F.coalesce("start", "carried.start").alias("start"),
-        F.when(F.col("start").isNull(), F.col("carried.header")).otherwise(F.col("header")).alias("header"),
-        F.struct("block", "no", "value").alias("part"),
+    # One row per split.
+    known = known.withColumn("split", F.row_number().over(Window.orderBy(*_SPLIT)).cast("long"))
+    numbered = F.broadcast(known.select(*_SPLIT, "split", "before", "odds"))
+    lines = _lines(spark, path).join(numbered, list(_SPLIT))
+    inputs = [F.col("split"), F.col("before"), (F.col("block") == 0).alias("first"), F.col("odd").cast("long").alias("odd"), F.col("value")]
+    names = F.broadcast(known.select("split", *_SPLIT))
+    whole = lines.select(*inputs).mapInArrow(_record_maker(ends=False), _MADE_DDL)
+    whole = whole.join(names, "split", "left").select("file", F.coalesce("header", F.lit(False)).alias("header"), "value")
+    crossed = lines.where((F.col("before") % 2 == 1) | ((F.col("before") + F.col("odds")) % 2 == 1))
+    parts = crossed.select(*inputs).mapInArrow(_record_maker(ends=True), _MADE_DDL).join(names, "split")
+    # At most two parts a split: each belongs to the record that the last opening part before it began.
+    in_order = Window.partitionBy("file").orderBy("block", "part")
+    of_record = parts.withColumn("no", F.sum(F.col("opens").cast("long")).over(in_order))
+    joined = of_record.groupBy("file", "no").agg(
+        F.bool_or("header").alias("header"), F.array_sort(F.collect_list(F.struct("block", "part", "value"))).alias("parts")
     )
-    joined = parts.groupBy("file", "start", "header").agg(F.array_sort(F.collect_list("part")).alias("parts"))
     long = joined.select("file", "header", F.array_join("parts.value", "\n").alias("value"))
-    single = mixed.select("file", "header", F.when(alone, F.col("value")).alias("value"))
-    rest = lines.select("file", F.lit(False).alias("header"), F.when(plain, F.col("value")).alias("value"))
-    found = rest.unionByName(single).unionByName(long)
+    found = whole.unionByName(long)
     # The end of a line is no part of the record, nor is a byte order mark.
     value = F.regexp_replace(F.regexp_replace("value", "\r$", ""), "^\ufeff", "")
     return found.select("file", "header", _those(F.trim(value) != "", value))
@@ -107,8 +179,7 @@ def read_records(spark: SparkSession, path: str | list[str], schema: StructType
         found = cut_lineage(found, "records")
         first = found.where("header").orderBy("file").limit(1).collect()
         names = _names(first[0]["value"], options, spark)
-        flat = scratch_path(spark, "inferred")
-        found.where("NOT header").select(F.translate("value", "\n\r", "  ")).write.text(flat)
+        flat = found.where("NOT header").select(F.translate("value", "\n\r", "  ")).rdd.map(lambda r: r[0])
         texts = StructType([StructField(n, StringType()) for n in names])
         inferred = spark.read.options(**{**options, "header": "false"}).option("inferSchema", "true").csv(flat).schema
         # A header alone tells names, not types.

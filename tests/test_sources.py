@@ -257,3 +257,25 @@ def test_every_table_may_hold_quoted_newlines(spark, tmp_path):
     spec = source_spec("sellers", write_bytes(tmp_path / "s.csv", 'seller_id,seller_city\n1,"sao\npaulo"\n'))
     stored = ingest(spark, [spec], str(tmp_path / "t"))["sellers"]
     assert rows(stored) == [(1, "sao\npaulo")]
+
+
+def test_records_within_a_split_are_neither_copied_nor_shuffled(spark, tmp_path, small_splits, monkeypatch):
+    """Also where batches of a few lines end within records and headers."""
+    expected = [[str(i), f"a {i}" + "\n\nb,\"c\"" * (i % 5) + ("\nx" * 9_000 if i == 321 else "")] for i in range(2_000)]
+    for f in range(2):
+        write_bytes(tmp_path / f"f{f}.csv", as_csv([["id", "two\nlines"], *expected[f::2]]))
+    copies = []
+    monkeypatch.setattr(csv_records, "cut_lineage", lambda df, label="cut", paths=None: copies.append(label) or session.cut_lineage(df, label, paths))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        df = csv_files.read_table_csv(spark, str(tmp_path / "*.csv"), "id string, text string")
+        assert rows(df) == sorted(map(tuple, expected))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert copies == ["splits"]
+    # Only records that go on in another split meet in an exchange.
+    known = csv_records.splits(spark, str(tmp_path)).localCheckpoint()
+    text = plan(csv_records.records(spark, str(tmp_path), known))
+    whole = text[: text.index("ObjectHashAggregate")]
+    assert "MapInArrow" in whole and "Exchange hash" not in whole
