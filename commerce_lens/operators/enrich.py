@@ -143,6 +143,23 @@ def apply_model(df: DataFrame, open_model: Callable[[], Callable[[Any], Any]], s
     return spread.mapInPandas(run, schema)
 
 
+def apply_model_by(
+    df: DataFrame, key: str, open_model: Callable[[], Callable[[Any], Any]], schema: str, tasks: int | None = None
+) -> DataFrame:
+    """apply_model over groups that a model must not mix: open_model() is called once per value of key, which no batch goes beyond."""
+
+    def run(batches):
+        model, now = None, None
+        for batch in batches:
+            for value, part in batch.groupby(key, sort=True):
+                if model is None or value != now:
+                    model, now = open_model(), value
+                yield model(part.drop(columns=key).reset_index(drop=True))
+
+    spread = df.repartition(tasks, key) if tasks else df.repartition(key)
+    return spread.sortWithinPartitions(key, "custom_id").mapInPandas(run, schema)
+
+
 def _ok(results: DataFrame, mode: str) -> DataFrame:
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")

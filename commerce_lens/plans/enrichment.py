@@ -7,9 +7,11 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from commerce_lens.operators.enrich import (
     apply_model,
+    apply_model_by,
     aspect_requests,
     merge_aspects,
     merge_translations,
@@ -30,6 +32,8 @@ from commerce_lens.sources.schemas import ENRICHMENT_COLUMNS
 MODEL_OUTPUT = "line string, seq long"
 # Runs of the model in flight: one alone leaves cores idle while its last requests are answered.
 RUNS_AT_ONCE = 4
+# Jobs that answer all runs, at most: with more runs than that, a job answers several of them, each by itself.
+MOST_JOBS = 100
 
 
 def deal_runs(requests: DataFrame, n: int | None, folder: str) -> int:
@@ -41,8 +45,10 @@ def deal_runs(requests: DataFrame, n: int | None, folder: str) -> int:
     spark, path = requests.sparkSession, f"{folder}/requests"
     schema = requests.schema
     if not is_complete(spark, path):
-        stored = cut_lineage(requests.withColumn("_all", F.lit(0)), "requests")
-        placed = rank_in(stored, {"_place": ("_all", ["custom_id", "user_prompt"])}) if n else stored.withColumn("_place", F.lit(1))
+        placed = requests.withColumn("_place", F.lit(1))
+        if n:
+            stored = cut_lineage(requests.withColumn("_all", F.lit(0)), "requests")
+            placed = rank_in(stored, {"_place": ("_all", ["custom_id", "user_prompt"])})
         run = F.expr(f"CAST((_place - 1) div {n or 1} AS int)")
         placed.select(*schema.names, run.alias("run")).write.mode("overwrite").partitionBy("run").parquet(path)
     dealt = spark.read.schema(schema).parquet(path).count()  # known to the files' footers
@@ -55,26 +61,38 @@ def run_batches(
     """Result rows for all requests; with n, in runs of n requests each, in order of their ids.
 
     Answers are written before they are read, so a lost executor costs a re-read, not a second call of the model. Every request is answered once, so a request that fails doesn't keep the runs going. The answers of all runs land in one
-    folder. With `folder`, requests and answers are kept there: after a lost driver the same call goes on with the first run
-    that has no complete answer, and no finished run is paid for again.
+    folder. With `folder`, requests and answers are kept there: after a lost driver the same call goes on with the first job
+    that has no complete answers, and what finished jobs answered is not paid for again. A job is one run; with more than
+    MOST_JOBS runs it is several in a row, dealt over its tasks, and the model is opened for each of them.
     """
     spark, schema = requests.sparkSession, requests.schema
     folder = folder or scratch_path(spark, label)
 
-    def answer(run: int) -> None:
-        answers = f"{folder}/answers/run={run}"
+    def answer(runs: range) -> None:
+        # Named by its first run.
+        answers = f"{folder}/answers/run={runs[0]}"
         if not is_complete(spark, answers):
-            own = spark.read.schema(schema).parquet(f"{folder}/requests/run={run}")
-            apply_model(own, open_model, MODEL_OUTPUT, tasks).write.mode("overwrite").parquet(answers)
+            own = [f"{folder}/requests/run={run}" for run in runs]
+            if len(runs) == 1:
+                answered = apply_model(spark.read.schema(schema).parquet(*own), open_model, MODEL_OUTPUT, tasks)
+            else:
+                numbered = spark.read.schema(f"{_ddl(schema)}, run int").option("basePath", f"{folder}/requests").parquet(*own)
+                answered = apply_model_by(numbered, "run", open_model, MODEL_OUTPUT, tasks)
+            answered.write.mode("overwrite").parquet(answers)
 
     runs = deal_runs(requests, n, folder)
+    size = max(1, -(-runs // MOST_JOBS))
     with ThreadPoolExecutor(RUNS_AT_ONCE) as pool:
-        list(pool.map(answer, range(runs)))
+        list(pool.map(answer, [range(i, min(i + size, runs)) for i in range(0, runs, size)]))
     if not is_complete(spark, f"{folder}/answers/run=0"):
         return expand_results(spark.createDataFrame([], MODEL_OUTPUT))
     return expand_results(spark.read.schema(MODEL_OUTPUT).parquet(f"{folder}/answers").drop("run"))
 
 
+def _ddl(schema: StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+
+
 def carry_over(clean: DataFrame, previous: DataFrame) -> DataFrame:
     """Answers of an earlier version of the table, so that only new reviews are pending."""
     columns = list(ENRICHMENT_COLUMNS)

@@ -276,3 +276,19 @@ def test_no_requests_are_no_runs(spark, tmp_path):
     folder = str(tmp_path / "runs")
     assert enrichment.run_batches(requests(spark, 0), model(str), 2, 10, "x", folder).count() == 0
     assert enrichment.deal_runs(requests(spark, 0), 10, folder) == 0
+
+
+def test_many_runs_are_answered_by_few_jobs_and_stay_apart(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(enrichment, "MOST_JOBS", 5)
+    log, folder = tmp_path / "log", str(tmp_path / "runs")
+    log.mkdir()
+    with pytest.raises(Exception, match="cut off"):
+        enrichment.run_batches(requests(spark, 70), counting_model(str(log), "069"), 2, 3, "x", folder)
+    out = enrichment.run_batches(requests(spark, 70), counting_model(str(log)), 2, 3, "x", folder)
+    assert rows(out, "custom_id", "content") == [(f"{i:03}", f"E{i:03}") for i in range(70)]
+    batches = [json.loads(f.read_text()) for f in log.iterdir()]
+    # 24 runs of 3, five to a job; only the last job is done again.
+    assert all(len({int(i) // 3 for i in b}) == 1 for b in batches) and max(map(len, batches)) == 3
+    seen = [i for b in batches for i in b]
+    assert all(seen.count(f"{i:03}") == 1 for i in range(60))
+    assert len(list((tmp_path / "runs" / "answers").iterdir())) == 5
