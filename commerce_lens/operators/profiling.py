@@ -18,18 +18,20 @@ FEW = 100_000
 QUANTILES = {"q05": 0.05, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q95": 0.95}
 
 
+# Of n numbers, and the sums m2, m3 and m4 of the powers of their distance from the mean.
 NUMERIC_MEASURES = {
-    "min": "min(number)",
-    "max": "max(number)",
-    "mean": "avg(number)",
-    "std": "stddev_samp(number)",
-    "zeros": "count_if(number = 0)",
-    "negatives": "count_if(number < 0)",
-    "skew": "IF(count(number) > 2, skewness(number) * sqrt(count(number) * (count(number) - 1D)) / (count(number) - 2D), NULL)",
-    "kurtosis": """IF(count(number) > 3, (count(number) - 1D) / ((count(number) - 2D) * (count(number) - 3D))
-                     * ((count(number) + 1D) * kurtosis(number) + 6D), NULL)""",
+    "min": "low",
+    "max": "high",
+    "mean": "total / n",
+    "std": "IF(n > 1, sqrt(m2 / (n - 1)), NULL)",
+    "zeros": "zeros",
+    "negatives": "negatives",
+    "skew": "IF(n > 2, try_divide(sqrt(n) * m3, m2 * sqrt(m2)) * sqrt(n * (n - 1)) / (n - 2), NULL)",
+    "kurtosis": "IF(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * (try_divide(n * m4, m2 * m2) - 3) + 6), NULL)",
 }
-TEXT_MEASURES = {"min_length": "min(size)", "max_length": "max(size)", "mean_length": "avg(size)"}
+TEXT_MEASURES = ("min_length", "max_length", "mean_length")
+# Counted as one type, so that a row has fewer keys.
+WHOLE = ("tinyint", "smallint", "int", "bigint")
 
 
 def _cells(df: DataFrame, make: Callable[[str, str], str]) -> DataFrame:
@@ -41,44 +43,66 @@ def profile_columns(df: DataFrame) -> DataFrame:
     """One row per column: type, counts, distinct values, moments, quantiles, text lengths.
 
     Skew and kurtosis carry the small-sample correction. Numeric measures are NULL for other
-    types, text lengths are NULL for anything but text. df is read twice: once for all that a running
-    sum can tell, once for how often each value stands in each column, from which quantiles are taken, too. Values
+    types, text lengths are NULL for anything but text. df is read twice: once for lengths and missing cells, once for how often
+    each value stands in each column, from which distinct values, moments and quantiles are taken. Values
     of fixed width are counted as they are, texts by a digest of 128 bits, so that no text leaves its task.
     """
     df = nan_as_null(df)
-    numeric = numeric_columns(df)
-    kinds = list(dict.fromkeys(t for _, t in df.dtypes if t not in WIDE))
-
-    def measured(c: str, t: str) -> str:
-        number = f"CAST(`{c}` AS DOUBLE)" if c in numeric else "CAST(NULL AS DOUBLE)"
-        size = f"length(`{c}`)" if t == "string" else "CAST(NULL AS INT)"
-        return f"struct('{c}' AS column, `{c}` IS NULL AS empty, {number} AS number, {size} AS size)"
+    numeric, place = numeric_columns(df), {c: i for i, c in enumerate(df.columns)}
+    kind = {c: "bigint" if t in WHOLE else t for c, t in df.dtypes if t not in WIDE}
+    kinds = list(dict.fromkeys(kind.values()))
+    wide = len(kind) < len(place)
 
     def typed(c: str, t: str) -> str:
-        values = [f"`{c}` AS v{i}" if k == t else f"CAST(NULL AS {k}) AS v{i}" for i, k in enumerate(kinds)]
-        digest = f"unhex(md5(CAST(`{c}` AS BINARY)))" if t in WIDE else "CAST(NULL AS BINARY)"
-        return f"struct('{c}' AS column, `{c}` IS NULL AS empty, {', '.join([*values, f'{digest} AS digest'])})"
+        values = [f"CAST(`{c}` AS {k}) AS v{i}" if kind.get(c) == k else f"CAST(NULL AS {k}) AS v{i}" for i, k in enumerate(kinds)]
+        if wide:
+            values.append(f"{f'unhex(md5(CAST(`{c}` AS BINARY)))' if t in WIDE else 'CAST(NULL AS BINARY)'} AS digest")
+        return f"struct({place[c]} AS at, `{c}` IS NULL AS empty, {', '.join(values)})"
+
+    def sized(c: str, t: str) -> str:
+        sizes = [f"{f}(length(`{c}`))" if t == "string" else f"CAST(NULL AS {k})" for f, k in (("min", "INT"), ("max", "INT"), ("avg", "DOUBLE"))]
+        named = ", ".join(f"{x} AS {n}" for x, n in zip(sizes, TEXT_MEASURES))
+        return f"struct({place[c]} AS at, '{c}' AS column, '{t}' AS type, count(1) AS rows, count(1) - count(`{c}`) AS missing, {named})"
 
-    measures = {"rows": "count(1)", "missing": "count_if(empty)", **NUMERIC_MEASURES, **TEXT_MEASURES}
-    out = _cells(df, measured).groupBy("column").agg(*[F.expr(sql).alias(name) for name, sql in measures.items()])
+    out = df.agg(F.expr(f"array({', '.join(sized(c, t) for c, t in df.dtypes)})").alias("columns")).select(F.inline("columns"))
     number = F.coalesce(*[F.col(f"v{i}").cast("double") for i, k in enumerate(kinds) if is_numeric(k)], F.lit(None).cast("double"))
-    keys = [*[f"v{i}" for i in range(len(kinds))], "digest"]
-    counts = _cells(df, typed).where("NOT empty").groupBy("column", *keys).agg(F.count(F.lit(1)).alias("w"))
-    counts = cut_lineage(counts.select("column", number.alias("value"), "w"), "values")
-    distinct = counts.groupBy("column").agg(F.count(F.lit(1)).alias("distinct"), F.count_if(F.col("w") == 1).alias("unique"))
-    quantiles = weighted_quantiles(counts.where("value IS NOT NULL"), ["column"], list(QUANTILES.values()))
-    named_types = df.sparkSession.createDataFrame(df.dtypes, "column string, type string")
-    out = named_types.join(F.broadcast(out), "column", "left")
-    for part in (distinct, in_columns(quantiles, ["column"], QUANTILES)):
+    keys = [*[f"v{i}" for i in range(len(kinds))], *["digest"] * wide]
+    counts = _cells(df, typed).where("NOT empty").groupBy("at", *keys).agg(F.count(F.lit(1)).alias("w"))
+    counts = cut_lineage(counts.select("at", number.alias("value"), "w"), "values")
+    numbers = counts.where("value IS NOT NULL")
+    sums = {
+        "distinct": "count(1)",
+        "unique": "count_if(w = 1)",
+        "n": "CAST(sum(IF(value IS NULL, 0, w)) AS DOUBLE)",
+        "total": "sum(value * w)",
+        "low": "min(value)",
+        "high": "max(value)",
+        "zeros": "sum(IF(value = 0, w, 0))",
+        "negatives": "sum(IF(value < 0, w, 0))",
+    }
+    sums = counts.groupBy("at").agg(*[F.expr(sql).alias(name) for name, sql in sums.items()])
+    # Equal numbers are at no distance, however their sum is rounded.
+    centre = sums.select("at", F.expr("IF(low = high, low, total / nullif(n, 0))").alias("centre"))
+    away = numbers.join(F.broadcast(centre), "at").select("at", "w", (F.col("value") - F.col("centre")).alias("d"))
+    powers = {"m2": "sum(w * (d * d))", "m3": "sum(w * (d * d * d))", "m4": "sum(w * (d * d) * (d * d))"}
+    moments = away.groupBy("at").agg(*[F.expr(sql).alias(name) for name, sql in powers.items()])
+    quantiles = weighted_quantiles(numbers, ["at"], list(QUANTILES.values()))
+    for part in (sums, moments, in_columns(quantiles, ["at"], QUANTILES)):
         # Every side has one row per column.
-        out = out.join(F.broadcast(part), "column", "left")
+        out = out.join(F.broadcast(part), "at", "left")
+    out = out.withColumn("n", F.expr("nullif(n, 0)"))
     is_number = F.col("column").isin(numeric)
     return out.withColumns(
         {
             **{c: F.coalesce(c, F.lit(0)).cast("long") for c in ("rows", "missing", "distinct", "unique")},
-            **{c: F.when(is_number, F.coalesce(c, F.lit(0))) for c in ("zeros", "negatives")},
+            **{c: F.when(is_number, F.coalesce(c, F.lit(0))).cast("long") for c in ("zeros", "negatives")},
         }
-    ).select("column", "type", "rows", "missing", "distinct", "unique", *NUMERIC_MEASURES, *QUANTILES, *TEXT_MEASURES)
+    ).select(
+        "column", "type", "rows", "missing", "distinct", "unique",
+        *[F.expr(sql).alias(name) for name, sql in NUMERIC_MEASURES.items()],
+        *QUANTILES,
+        *TEXT_MEASURES,
+    )
 
 
 def _digest(df: DataFrame) -> list[Column]:
