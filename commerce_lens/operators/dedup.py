@@ -79,11 +79,16 @@ def dedup_reviews(df: DataFrame) -> DataFrame:
     does not depend on row order in the source.
     """
     rest = [c for c in df.columns if c not in ("review_id", "order_id", *REVIEW_ORDER)]
-    by_review = first_per_key(df, "review_id", [*REVIEW_ORDER, "order_id", *rest])
+    ids = df.select("review_id", "order_id", *REVIEW_ORDER)
     # The row that wins its order is needed as an id pair only. A row and the winner of its
     # order with the same two ids precede each other in (creation, answer), so they agree.
-    by_order = first_per_key(
-        df.select("review_id", "order_id", *REVIEW_ORDER), "order_id", [*REVIEW_ORDER, "review_id"]
-    ).select(F.col("review_id").alias("_review"), F.col("order_id").alias("_order"))
+    by_order = first_per_key(ids, "order_id", [*REVIEW_ORDER, "review_id"])
+    by_order = by_order.select(F.col("review_id").alias("_review"), F.col("order_id").alias("_order"))
     same_ids = F.col("review_id").eqNullSafe(F.col("_review")) & F.col("order_id").eqNullSafe(F.col("_order"))
-    return by_review.join(by_order, same_ids, "left_semi")
+    if not any(df.schema[c].dataType.typeName() in ("string", "binary") for c in rest):
+        return first_per_key(df, "review_id", [*REVIEW_ORDER, "order_id", *rest]).join(by_order, same_ids, "left_semi")
+    # The rest doesn't change which order wins a review, so texts are shuffled once, by review, and meet one row per
+    # review. In a struct, NULL ids are equal.
+    winners = first_per_key(ids, "review_id", [*REVIEW_ORDER, "order_id"]).join(by_order, same_ids, "left_semi")
+    by_review = first_per_key(df.withColumn("_key", F.struct("review_id")), "_key", [*REVIEW_ORDER, "order_id", *rest])
+    return by_review.join(winners.select(F.struct("review_id").alias("_key")), "_key", "left_semi").drop("_key")

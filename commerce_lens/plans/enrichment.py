@@ -120,13 +120,17 @@ def enrich_with_rejects(
     kept = {phase: f"{folder}/{phase}" if folder else None for phase in ("translations", "aspects")}
     requests = translation_requests(pending_translation(base))
     answers = run_batches(requests, open_translator, tasks, n, "translations", kept["translations"])
-    translated = cut_lineage(merge_translations(base, parse_translations(answers, mode)), "translated")
-    scores = run_batches(aspect_requests(pending_scoring(translated)), open_scorer, tasks, n, "aspects", kept["aspects"])
+    # The translations alone are stored: scoring reads no message, and the reviews take both answers in one go.
+    translations = cut_lineage(parse_translations(answers, mode), "translated")
+    slim = base.select("review_id", "review_comment_message_en", "review_aspect_scores")
+    requests = aspect_requests(pending_scoring(merge_translations(slim, translations)))
+    scores = run_batches(requests, open_scorer, tasks, n, "aspects", kept["aspects"])
     rejects = [
         quarantined(results, json_content).select(F.lit(phase).alias("phase"), "*")
         for phase, results, json_content in (("translation", answers, False), ("aspects", scores, True))
     ]
-    return merge_aspects(translated, parse_aspects(scores, mode)), rejects[0].unionByName(rejects[1])
+    merged = merge_aspects(merge_translations(base, translations), parse_aspects(scores, mode))
+    return merged, rejects[0].unionByName(rejects[1])
 
 
 def enrich_reviews(

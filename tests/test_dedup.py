@@ -119,3 +119,24 @@ def test_a_hot_key_spreads_over_ranges(spark):
     wrong = ranked.withColumn("want", F.row_number().over(Window.partitionBy("k").orderBy("v"))).where("rank <> want")
     assert wrong.count() == 0
     ranked.unpersist()
+
+
+def test_texts_are_shuffled_once(spark):
+    """Rows with texts as without, NULL ids among them, and one exchange that carries a text."""
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    made = spark.range(4000).selectExpr(
+        "nullif(id * 7919 % 900, 5) AS review_id", "nullif(id * 104729 % 1100, 9) AS order_id", "cast(id % 5 AS int) AS review_score",
+        "concat('t', id % 3) AS review_comment_message", "timestamp_seconds(id * 31 % 40) AS review_creation_date",
+        "timestamp_seconds(id * 17 % 20) AS review_answer_timestamp",
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = dedup_reviews(made)
+        text = plan(out)
+        got = rows(out, "review_id", "order_id", "review_creation_date", "review_answer_timestamp")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    ids = rows(dedup_reviews(made.drop("review_comment_message", "review_score")))
+    assert sorted(map(str, got)) == sorted(str((r[0], r[1], r[2], r[3])) for r in ids) and got
+    # Where texts come from: one exchange on the key alone, none on both ids.
+    assert text.count("Exchange hashpartitioning(_key") == 2
