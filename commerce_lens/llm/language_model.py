@@ -128,17 +128,16 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
 # -- network ---------------------------------------------------------------------------------
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
-
-
 class Network:
-    """A gated recurrent unit with class-factored output; all weights are one flat vector."""
+    """A gated recurrent unit with class-factored output; all weights are one flat vector.
+
+    The last weights of `wc` and `ww` are biases, which a state of one meets.
+    """
 
     def __init__(self, size: int, flat: np.ndarray | None = None):
         self.size, self.classes = size, -(-size // CLASS)
         h, c = STATE, self.classes
-        shapes = {"x": (size, 3 * h), "u": (h, 2 * h), "un": (h, h), "wc": (h, c), "bc": (c,), "ww": (c, CLASS, h), "bw": (c, CLASS)}
+        shapes = {"x": (size, 3 * h), "u": (h, 2 * h), "un": (h, h), "wc": (h + 1, c), "ww": (c, CLASS, h + 1)}
         self.flat = np.zeros(sum(math.prod(s) for s in shapes.values()), dtype=np.float32) if flat is None else flat.astype(np.float32)
         at = 0
         self.views: dict[str, tuple[int, int, tuple]] = {}
@@ -164,49 +163,78 @@ class Network:
         share[:2] = v.ends + 1, v.outside + 1
         share[2 : v.size] = v.counts[: v.size - 2] + 1
         share = share.reshape(net.classes, CLASS)
-        net.bc[:] = np.log(share.sum(axis=1) / share.sum())
-        net.bw[:] = np.where(share > 0, np.log(np.maximum(share, 1) / share.sum(axis=1, keepdims=True)), -1e9)
+        net.wc[-1] = np.log(share.sum(axis=1) / share.sum())
+        net.ww[:, :, -1] = np.where(share > 0, np.log(np.maximum(share, 1) / share.sum(axis=1, keepdims=True)), -1e9)
         return net
 
     def step(self, ids: np.ndarray, h: np.ndarray) -> tuple:
-        x = self.x[ids]
-        gates = _sigmoid(x[:, : 2 * STATE] + h @ self.u)
-        z, r = gates[:, :STATE], gates[:, STATE:]
-        n = np.tanh(x[:, 2 * STATE :] + (r * h) @ self.un)
-        return h + z * (n - h), z, r, n
+        """The states (rows) after one token each, both gates and the candidates."""
+        gates, n, new = (np.empty((k * STATE, len(h)), dtype=np.float32) for k in (2, 1, 1))
+        self._move(self._turned(), self.x[ids].T, np.ascontiguousarray(h.T), gates, n, new)
+        return new.T, gates.T, n.T
+
+    def _turned(self) -> tuple[np.ndarray, np.ndarray]:
+        """What _move takes: the gates' weights turned and negated, as the logistic function wants them, and the candidate's turned."""
+        return np.ascontiguousarray(-self.u.T), np.ascontiguousarray(self.un.T)
+
+    @staticmethod
+    def _move(turned: tuple, x: np.ndarray, h: np.ndarray, gates: np.ndarray, n: np.ndarray, new: np.ndarray) -> None:
+        """Fills both gates, candidates and new states; here and in a window a stream is a column, so that every part is one block."""
+        np.matmul(turned[0], h, out=gates)
+        gates -= x[: 2 * STATE]
+        np.exp(gates, out=gates)
+        gates += 1
+        np.reciprocal(gates, out=gates)
+        np.matmul(turned[1], gates[STATE:] * h, out=n)
+        n += x[2 * STATE :]
+        np.tanh(n, out=n)
+        np.subtract(n, h, out=new)
+        new *= gates[:STATE]
+        new += h
 
     def output(self, states: np.ndarray, targets: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
-        """Natural log probabilities of the targets after the states; with grads, also the states' gradient."""
-        rows = np.arange(len(targets))
+        """Natural log probabilities of the targets after the states; with grads, also the states' gradient.
+
+        Targets are put in order of their class, so that a class is a slice and all but its products is done for all at once.
+        """
         cls, word = targets // CLASS, targets % CLASS
-        logits = states @ self.wc + self.bc
-        e = np.exp(logits)
+        states = np.concatenate([states, np.ones((len(states), 1), dtype=np.float32)], axis=1)
+        e = states @ self.wc
+        flat, hit = e.reshape(-1), np.arange(len(targets)) * self.classes + cls
+        logp = flat[hit]
+        np.exp(e, out=e)
         whole = e.sum(axis=1, keepdims=True)
-        logp = logits[rows, cls] - np.log(whole[:, 0])
+        logp -= np.log(whole[:, 0])
         back = None
         if grads is not None:
             e /= whole
-            e[rows, cls] -= 1
-            grads["wc"] += states.T @ e
-            grads["bc"] += e.sum(axis=0)
-            back = e @ self.wc.T
-        order = np.argsort(cls, kind="stable")
-        cuts = np.searchsorted(cls[order], np.arange(self.classes + 1))
-        for c in range(self.classes):
-            own = order[cuts[c] : cuts[c + 1]]
-            if not len(own):
-                continue
-            s, t, k = states[own], word[own], np.arange(len(own))
-            logits = s @ self.ww[c].T + self.bw[c]
-            e = np.exp(logits)
-            whole = e.sum(axis=1, keepdims=True)
-            logp[own] += logits[k, t] - np.log(whole[:, 0])
-            if grads is not None:
-                e /= whole
-                e[k, t] -= 1
-                grads["ww"][c] += e.T @ s
-                grads["bw"][c] += e.sum(axis=0)
-                back[own] += e @ self.ww[c]
+            flat[hit] -= 1
+            grads["wc"][:-1] = states[:, :-1].T @ e
+            grads["wc"][-1] = e.sum(axis=0)
+            back = e @ self.wc[:-1].T
+        order = np.argsort(cls.astype(np.int16), kind="stable")
+        placed = np.empty_like(order)
+        placed[order] = np.arange(len(order))
+        cuts = np.concatenate([[0], np.cumsum(np.bincount(cls, minlength=self.classes))]).tolist()
+        used = [(c, cuts[c], cuts[c + 1]) for c in range(self.classes) if cuts[c] < cuts[c + 1]]
+        s, e = states.take(order, axis=0), np.empty((len(order), CLASS), dtype=np.float32)
+        for c, low, high in used:
+            np.matmul(s[low:high], self.ww[c].T, out=e[low:high])
+        flat, hit = e.reshape(-1), np.arange(len(order)) * CLASS + word[order]
+        within = flat[hit]
+        np.exp(e, out=e)
+        whole = e.sum(axis=1, keepdims=True)
+        within -= np.log(whole[:, 0])
+        logp += within[placed]
+        if grads is not None:
+            e /= whole
+            flat[hit] -= 1
+            inner = np.empty_like(back)
+            for c, low, high in used:
+                own = e[low:high]
+                np.matmul(own.T, s[low:high], out=grads["ww"][c])
+                np.matmul(own, self.ww[c, :, :-1], out=inner[low:high])
+            back += inner.take(placed, axis=0)
         return logp, back
 
     def window(self, inputs: np.ndarray, targets: np.ndarray, fresh: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -214,38 +242,72 @@ class Network:
 
         A target of -1 is padding; where `fresh`, a stretch begins with the empty state.
         """
-        grads = {name: np.zeros(shape, dtype=np.float32) for name, (_, _, shape) in self.views.items()}
-        keep = (~fresh).astype(np.float32)[:, :, None]
-        kept, states = [], np.empty((*inputs.shape, STATE), dtype=np.float32)
-        for t in range(len(inputs)):
-            h = h * keep[t]
-            new, z, r, n = self.step(inputs[t], h)
-            kept.append((h, z, r, n))
-            states[t] = h = new
-        valid = np.flatnonzero(targets.reshape(-1) >= 0)
-        _, back = self.output(states.reshape(-1, STATE)[valid], targets.reshape(-1)[valid], grads)
-        dstates = np.zeros((inputs.size, STATE), dtype=np.float32)
-        dstates[valid] = back
-        dstates = dstates.reshape(states.shape)
-        dh = np.zeros_like(h)
-        dx = np.empty((*inputs.shape, 3 * STATE), dtype=np.float32)
-        for t in range(len(inputs) - 1, -1, -1):
-            before, z, r, n = kept[t]
-            d = dh + dstates[t]
-            dn = d * z * (1 - n * n)
-            drh = dn @ self.un.T
-            dx[t, :, :STATE] = d * (n - before) * z * (1 - z)
-            dx[t, :, STATE : 2 * STATE] = drh * before * r * (1 - r)
-            dx[t, :, 2 * STATE :] = dn
-            dg = dx[t, :, : 2 * STATE]
-            grads["u"] += before.T @ dg
-            grads["un"] += (r * before).T @ dn
-            dh = (d * (1 - z) + drh * r + dg @ self.u.T) * keep[t]
-        ids = inputs.reshape(-1)
-        order = np.argsort(ids, kind="stable")
-        firsts = np.flatnonzero(np.diff(ids[order], prepend=-1))
-        grads["x"][ids[order][firsts]] = np.add.reduceat(dx.reshape(-1, 3 * STATE)[order], firsts, axis=0)
-        return np.concatenate([grads[name].reshape(-1) for name in self.views]) / max(1, len(valid)), h
+        flat = np.zeros(len(self.flat), dtype=np.float32)
+        grads = {name: self.part(flat, name) for name in self.views}
+        # Steps whose streams all go on have nothing to empty.
+        keep = [~own if some else None for own, some in zip(fresh, fresh.any(axis=1).tolist())]
+        steps, streams = inputs.shape
+        x, turned = np.ascontiguousarray(self.x.take(inputs, axis=0).transpose(0, 2, 1)), self._turned()
+        before, states, candidates = np.empty((3, steps, STATE, streams), dtype=np.float32)
+        gates = np.empty((steps, 2 * STATE, streams), dtype=np.float32)
+        last = np.ascontiguousarray(h.T)
+        for t in range(steps):
+            before[t] = last if keep[t] is None else last * keep[t]
+            last = states[t]
+            self._move(turned, x[t], before[t], gates[t], candidates[t], last)
+        targets, dstates = targets.reshape(-1), states.transpose(0, 2, 1).reshape(-1, STATE)
+        valid = targets >= 0
+        if valid.all():
+            _, dstates = self.output(dstates, targets, grads)
+        else:
+            _, back = self.output(dstates[valid], targets[valid], grads)
+            dstates = np.zeros_like(dstates)
+            dstates[valid] = back
+        dstates = np.ascontiguousarray(dstates.reshape(steps, streams, STATE).transpose(0, 2, 1))
+        dh = np.zeros((STATE, streams), dtype=np.float32)
+        dx, rows = np.empty((3 * STATE, streams), dtype=np.float32), np.empty((steps, streams, 3 * STATE), dtype=np.float32)
+        dg, dn = dx[: 2 * STATE], dx[2 * STATE :]
+        gone, slope, drift = 1 - gates, 1 - candidates * candidates, candidates - before
+        z, r = gates[:, :STATE], gates[:, STATE:]
+        for t in range(steps - 1, -1, -1):
+            dh += dstates[t]
+            np.multiply(dh, z[t], out=dn)
+            dn *= slope[t]
+            drh = self.un @ dn
+            np.multiply(dh, drift[t], out=dg[:STATE])
+            np.multiply(drh, before[t], out=dg[STATE:])
+            dg *= gates[t]
+            dg *= gone[t]
+            dh *= gone[t, :STATE]
+            drh *= r[t]
+            dh += drh
+            rows[t] = dx.T
+            dh += (rows[t, :, : 2 * STATE] @ self.u.T).T
+            if keep[t] is not None:
+                dh *= keep[t]
+        # The last step comes first in both sums, as it does on the way back.
+        for name, met, own in (("u", before, rows[..., : 2 * STATE]), ("un", r * before, rows[..., 2 * STATE :])):
+            met = np.ascontiguousarray(met.transpose(0, 2, 1))
+            np.matmul(met[::-1].transpose(0, 2, 1), own[::-1]).sum(axis=0, out=grads[name])
+        self._add_rows(grads["x"], inputs.reshape(-1), rows.reshape(-1, 3 * STATE))
+        flat /= max(1, int(valid.sum()))
+        return flat, last.T
+
+    @staticmethod
+    def _add_rows(sums: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
+        """Sets sums[i] to the sum of the rows of each id i that occurs; most ids do once and need no sum."""
+        order = np.argsort(ids.astype(np.int16) if len(sums) < 1 << 15 else ids, kind="stable")
+        ids = ids[order]
+        starts = np.empty(len(ids), dtype=bool)
+        starts[0] = True
+        np.not_equal(ids[1:], ids[:-1], out=starts[1:])
+        once = starts.copy()
+        once[:-1] &= starts[1:]
+        sums[ids[once]] = rows[order[once]]
+        order, starts = order[~once], starts[~once]
+        if len(order):
+            firsts = np.flatnonzero(starts)
+            sums[ids[~once][firsts]] = np.add.reduceat(rows[order], firsts, axis=0)
 
     def train(self, docs: Iterator[np.ndarray]) -> int:
         """Truncated backpropagation through every document once, STREAMS side by side; returns the tokens seen.
@@ -256,61 +318,83 @@ class Network:
 
         def stretches() -> Iterator[np.ndarray]:
             for doc in docs:
-                rows = np.stack([np.append(END, doc[:-1]), doc, np.zeros(len(doc), dtype=np.int64)])
-                rows[2, ::STRETCH] = 1
+                rows = np.zeros((len(doc), 3), dtype=np.int64)
+                rows[0, 0], rows[1:, 0], rows[:, 1] = END, doc[:-1], doc
+                rows[::STRETCH, 2] = 1
                 for i in range(0, len(doc), STRETCH):
-                    yield rows[:, i : i + STRETCH]
+                    yield rows[i : i + STRETCH]
 
         dealt, seen, steps = stretches(), 0, 0
-        rest = [np.empty((3, 0), dtype=np.int64) for _ in range(STREAMS)]
+        # What each stream still has, from `at` to `upto`; less than a window and one more stretch.
+        rest = np.zeros((STREAMS, STEPS + STRETCH, 3), dtype=np.int64)
+        at, upto, more = np.zeros(STREAMS, dtype=np.int64), np.zeros(STREAMS, dtype=np.int64), True
         h = np.zeros((STREAMS, STATE), dtype=np.float32)
-        mean, square = np.zeros_like(self.flat), np.zeros_like(self.flat)
+        mean, square, part = np.zeros_like(self.flat), np.zeros_like(self.flat), np.empty_like(self.flat)
         while True:
-            for i in range(STREAMS):
-                while rest[i].shape[1] < STEPS and (more := next(dealt, None)) is not None:
-                    rest[i] = np.concatenate([rest[i], more], axis=1)
-            live = [i for i in range(STREAMS) if rest[i].shape[1]]
-            if not live:
+            for i in np.flatnonzero(upto - at < STEPS).tolist() if more else ():
+                held = upto[i] - at[i]
+                rest[i, :held] = rest[i, at[i] : upto[i]].copy()
+                while held < STEPS and (own := next(dealt, None)) is not None:
+                    rest[i, held : held + len(own)] = own
+                    held += len(own)
+                more = more and held >= STEPS
+                at[i], upto[i] = 0, held
+            live = np.flatnonzero(at < upto)
+            if not len(live):
                 return seen
-            rows = np.zeros((3, STEPS, len(live)), dtype=np.int64)
-            rows[1] = -1
-            for k, i in enumerate(live):
-                own = rest[i][:, :STEPS]
-                rows[:, : own.shape[1], k], rest[i] = own, rest[i][:, STEPS:]
-            grad, h[live] = self.window(rows[0], rows[1], rows[2] > 0, h[live])
-            seen += int((rows[1] >= 0).sum())
+            places = at[live] + np.arange(STEPS)[:, None]
+            held = places < upto[live]
+            rows = rest.reshape(-1, 3).take(np.minimum(places, rest.shape[1] - 1) + live * rest.shape[1], axis=0)
+            if not held.all():
+                rows[~held] = 0, -1, 0
+            at[live] = np.minimum(at[live] + STEPS, upto[live])
+            grad, h[live] = self.window(rows[..., 0], rows[..., 1], rows[..., 2] > 0, h[live])
+            seen += int(held.sum())
             steps += 1
-            mean += (1 - DECAY) * (grad - mean)
-            square += (1 - SLOW_DECAY) * (grad * grad - square)
+            np.subtract(grad, mean, out=part)
+            part *= 1 - DECAY
+            mean += part
+            grad *= grad
+            grad -= square
+            grad *= 1 - SLOW_DECAY
+            square += grad
             rate = RATE * math.sqrt(1 - SLOW_DECAY**steps) / (1 - DECAY**steps)
-            self.flat -= rate * mean / (np.sqrt(square) + CAUTION)
+            np.sqrt(square, out=part)
+            part += CAUTION
+            np.multiply(mean, rate, out=grad)
+            grad /= part
+            self.flat -= grad
 
     def log10(self, docs: list[np.ndarray]) -> np.ndarray:
         """The log10 probability of each whole document, the state carried from window to window."""
-        out = np.zeros(len(docs))
+        out, turned = np.zeros(len(docs)), self._turned()
         order = sorted(range(len(docs)), key=lambda i: -len(docs[i]))
         for low in range(0, len(order), SIDE_BY_SIDE):
             group = order[low : low + SIDE_BY_SIDE]
             lengths = np.array([len(docs[i]) for i in group])
-            h = np.zeros((len(group), STATE), dtype=np.float32)
+            firsts = np.cumsum(lengths) - lengths
+            flat = np.concatenate([docs[i] for i in group])
+            h = np.zeros((STATE, len(group)), dtype=np.float32)
             last = np.full(len(group), END)
-            for start in range(0, int(lengths[0]), STEPS):
+            start = 0
+            while start < lengths[0]:
                 live = int((lengths > start).sum())  # the longest come first
-                steps = min(STEPS, int(lengths[0]) - start)
-                targets = np.full((live, steps), -1)
-                for k in range(live):
-                    own = docs[group[k]][start : start + steps]
-                    targets[k, : len(own)] = own
-                valid = targets >= 0
-                h, states = h[:live], []
+                # The fewer are left, the longer the window.
+                steps = min(STEPS * max(1, SIDE_BY_SIDE // live), int(lengths[0]) - start)
+                places = np.arange(start, start + steps)[:, None]
+                valid = places < lengths[:live]
+                targets = flat[np.minimum(places, lengths[:live] - 1) + firsts[:live]].astype(np.int64)
+                inputs = np.concatenate([last[None, :live], np.where(valid, targets, END)])
+                last, x = inputs[-1], np.ascontiguousarray(self.x.take(inputs[:-1], axis=0).transpose(0, 2, 1))
+                h, states = np.ascontiguousarray(h[:, :live]), np.empty((steps, STATE, live), dtype=np.float32)
+                gates, n = (np.empty((k * STATE, live), dtype=np.float32) for k in (2, 1))
                 for t in range(steps):
-                    h = self.step(last[:live] if not t else np.where(valid[:, t - 1], targets[:, t - 1], END), h)[0]
-                    states.append(h)
-                last = np.where(valid, targets, END)[:, -1]
-                flat = valid.reshape(-1)
-                logp, _ = self.output(np.stack(states, axis=1).reshape(-1, STATE)[flat], targets.reshape(-1)[flat])
-                rows = np.repeat(np.arange(live), valid.sum(axis=1))
-                out[group[:live]] += np.bincount(rows, weights=logp, minlength=live)
+                    self._move(turned, x[t], h, gates, n, states[t])
+                    h = states[t]
+                at = np.flatnonzero(valid)
+                logp, _ = self.output(states.transpose(0, 2, 1).reshape(-1, STATE).take(at, axis=0), targets.reshape(-1)[at])
+                out[group[:live]] += np.bincount(at % live, weights=logp, minlength=live)
+                start += steps
         return out / math.log(10)
 
 

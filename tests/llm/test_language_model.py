@@ -122,3 +122,26 @@ def test_a_thousand_words_have_their_own_input_and_sixteen_states():
     assert (own[:1022] == np.arange(2, 1024)).all() and (own[1022:-1] == lm.OTHER).all()
     assert (own == v.model_ids(v.look_up(words))).all()
     assert lm.Network.first(v).un.shape == (16, 16)
+
+
+def test_a_long_document_beside_short_ones_takes_few_windows(monkeypatch):
+    net, calls, output = lm.Network.first(vocabulary()), [], lm.Network.output
+    net.flat += np.random.default_rng(4).normal(0, 0.2, net.flat.shape).astype(np.float32) * (net.flat > -1e8)
+    docs = [np.append(np.random.default_rng(n).integers(1, net.size, n), lm.END) for n in (20_000, 300, 20, 0)]
+    monkeypatch.setattr(lm.Network, "output", lambda *args: calls.append(len(args[2])) or output(*args))
+    got = net.log10(docs)
+    assert sum(calls) == sum(map(len, docs)) and len(calls) < 20
+    state, own = np.zeros((1, lm.STATE), dtype=np.float32), 0.0
+    for before, after in zip(np.append(lm.END, docs[1][:-1]), docs[1]):
+        state = net.step(np.array([before]), state)[0]
+        own += output(net, state, np.array([after]))[0][0]
+    assert math.isclose(got[1], own / math.log(10), rel_tol=1e-5)
+
+
+def test_classes_share_all_but_their_products(monkeypatch):
+    calls, exp = [], np.exp
+    monkeypatch.setattr(lm, "CLASS", 8)
+    net = lm.Network.first(vocabulary())
+    monkeypatch.setattr(lm.np, "exp", lambda *args, **kwargs: calls.append(args) or exp(*args, **kwargs))
+    net.output(np.zeros((64, lm.STATE), dtype=np.float32), np.arange(64) % net.size)
+    assert net.classes == 4 and len(calls) == 2
