@@ -14,8 +14,10 @@ shuffled. Only their names change at the end. Within a process, words are encode
 
 from __future__ import annotations
 
-import struct
+import string
+from array import array
 from collections.abc import Iterator
+from operator import attrgetter
 
 import numpy as np
 import pandas as pd
@@ -39,6 +41,9 @@ _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _ALPHABET = {b: 256 + n for n, b in enumerate(sorted(set(range(256)) - _PRINTABLE))}
 
 
+_ID = attrgetter("id")
+
+
 class _Memory(dict):
     """Remembers what `work` makes of a key, until it is full: frequent keys come early."""
 
@@ -83,18 +88,20 @@ class WordEncoder:
 
     def _packed(self, piece: str) -> bytes:
         """The ids of one piece, written in the byte alphabet."""
-        ids = [t.id for t in self._tokenize(piece)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return array("I", map(_ID, self._tokenize(piece))).tobytes()
 
     def _piece(self, piece: str) -> bytes:
         return self._packed(piece.encode().decode("latin-1").translate(_ALPHABET))
 
     def _word(self, word: str) -> bytes:
         """A word as it stands between spaces: a space goes before it, unless a newline begins it."""
-        if word.isalpha():
+        stem = word.rstrip(string.punctuation)
+        if stem.isalpha():
+            if stem != word:  # punctuation that ends a word is one piece
+                return self._words[stem] + self._pieces[word[len(stem) :]]
             return self._packed("\u0120" + word) if word.isascii() else self._piece(" " + word)  # U+0120: the space
-        if word[-1:] in ".,!" and word[:-1].isalpha():
-            return self._words[word[:-1]] + self._pieces[word[-1]]
+        if stem[:1] == "\n" and stem[1:].isalpha():
+            return self._pieces["\n"] + self._pieces[stem[1:]] + (self._pieces[word[len(stem) :]] if stem != word else b"")
         return b"".join(map(self._pieces.__getitem__, self._split(word if word[:1] == "\n" else " " + word)))
 
     def words(self, text: str) -> list[str] | None:
@@ -105,19 +112,18 @@ class WordEncoder:
             return None
         return text.replace("\n", " \n").split(" ")
 
+    def packed(self, text: str | None) -> bytes:
+        """The ids of a text as little-endian unsigned 32-bit integers; null and empty texts have none."""
+        words = self.words(text) if text else []
+        if words is None:
+            return self._whole(text)
+        if not words:
+            return b""
+        return self._whole(words[0]) + b"".join(map(self._words.__getitem__, words[1:]))
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """The ids of each text; null and empty texts have none."""
-        out = []
-        for text in texts:
-            words = self.words(text) if text else []
-            if words is None:
-                packed = self._whole(text)
-            elif words:
-                packed = self._whole(words[0]) + b"".join(map(self._words.__getitem__, words[1:]))
-            else:
-                packed = b""
-            out.append(np.frombuffer(packed, dtype="<u4"))
-        return out
+        """The ids of each text."""
+        return [np.frombuffer(self.packed(text), dtype="<u4") for text in texts]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -132,27 +138,58 @@ def encoder(name: str) -> WordEncoder:
 # -- coding ------------------------------------------------------------------------------
 
 # Bytes of each of the four ranks that a control byte describes.
-_SIZES = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) % 4 + 1
+_SIZES = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) % 4 + 1).astype(np.uint8)
 
 
-def pack(values: np.ndarray) -> tuple[bytes, bytes]:
-    """(control bytes, data) of unsigned 32-bit integers."""
+def _runs(lengths: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of documents that are coded together: one, or as many as have no more than BLOCK_IDS ids."""
+    start = held = 0
+    for i, n in enumerate(lengths.tolist()):
+        if i > start and held + n > BLOCK_IDS:
+            yield start, i
+            start, held = i, 0
+        held += n
+    if start < len(lengths):
+        yield start, len(lengths)
+
+
+def _places(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each id's code stands when every document begins a control byte; the control bytes before each document and in all."""
+    whole = np.concatenate([[0], np.cumsum(-(-lengths // 4))])
+    return np.arange(lengths.sum()) + np.repeat(4 * whole[:-1] - np.cumsum(lengths) + lengths, lengths), whole
+
+
+def pack_each(values: np.ndarray, lengths: np.ndarray) -> tuple[list[bytes], list[bytes]]:
+    """Control bytes and data of each document; `values` are the ids of all of them."""
     values = values.astype("<u4")
     code = (values > 0xFF).astype(np.uint8) + (values > 0xFFFF) + (values > 0xFFFFFF)
-    padded = np.zeros(-(-len(code) // 4) * 4, dtype=np.uint8)
-    padded[: len(code)] = code
-    control = (padded.reshape(-1, 4) << np.array([0, 2, 4, 6], dtype=np.uint8)).sum(axis=1, dtype=np.uint8)
-    used = np.arange(4) <= code[:, None]
-    return control.tobytes(), values.view(np.uint8).reshape(-1, 4)[used].tobytes()
+    places, whole = _places(lengths)
+    padded = np.zeros(4 * int(whole[-1]), dtype=np.uint8)
+    padded[places] = code
+    control = (padded[::4] | padded[1::4] << 2 | padded[2::4] << 4 | padded[3::4] << 6).tobytes()
+    data = values.view(np.uint8).reshape(-1, 4)[np.arange(4) <= code[:, None]].tobytes()
+    ends = np.concatenate([[0], np.cumsum(code + 1, dtype=np.int64)])[np.concatenate([[0], np.cumsum(lengths)])].tolist()
+    starts = whole.tolist()
+    return [control[i:j] for i, j in zip(starts, starts[1:])], [data[i:j] for i, j in zip(ends, ends[1:])]
+
+
+def unpack_each(controls: list[bytes], data: list[bytes], lengths: np.ndarray) -> np.ndarray:
+    """The ids of all documents, one after the other."""
+    sizes = _SIZES[np.frombuffer(b"".join(controls), dtype=np.uint8)].reshape(-1)[_places(lengths)[0]]
+    out = np.zeros((len(sizes), 4), dtype=np.uint8)
+    out[np.arange(4) < sizes[:, None]] = np.frombuffer(b"".join(data), dtype=np.uint8)
+    return out.reshape(-1).view("<u4")
+
+
+def pack(values: np.ndarray) -> tuple[bytes, bytes]:
+    """(control bytes, data) of unsigned 32-bit integers."""
+    control, data = pack_each(values, np.array([len(values)]))
+    return control[0], data[0]
 
 
 def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     """The n integers of a block."""
-    sizes = _SIZES[np.frombuffer(control, dtype=np.uint8)].reshape(-1)[:n]
-    used = np.arange(4) < sizes[:, None]
-    out = np.zeros((n, 4), dtype=np.uint8)
-    out[used] = np.frombuffer(data, dtype=np.uint8)
-    return out.reshape(-1).view("<u4")
+    return unpack_each([control], [data], np.array([n]))
 
 
 # -- writing -----------------------------------------------------------------------------
@@ -164,17 +201,18 @@ _ENCODED = "id long, n int, control binary, data binary"
 
 def _encode(name: str, end: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, stop = encoder(name), np.array([end], dtype="<u4")
+        own, stop = encoder(name), np.array([end], dtype="<u4").tobytes()
         sums = np.zeros(max(own.size, end + 1), dtype=np.int64)
         for batch in batches:
             for i in range(0, len(batch), _ROWS):
                 part = batch.iloc[i : i + _ROWS]
-                ids = [np.concatenate([x, stop]) for x in own.encode(part["text"].tolist())]
-                sums += np.bincount(np.concatenate(ids), minlength=len(sums))
-                packed = [pack(x) for x in ids]
-                yield pd.DataFrame(
-                    {"id": part["id"].astype("Int64").to_numpy(), "n": [len(x) for x in ids], "control": [c for c, _ in packed], "data": [d for _, d in packed]}
-                )
+                texts = [own.packed(text) + stop for text in part["text"]]
+                keys, lengths = part["id"].astype("Int64").to_numpy(), np.array([len(x) // 4 for x in texts])
+                for low, high in _runs(lengths):
+                    ids = np.frombuffer(b"".join(texts[low:high]), dtype="<u4")
+                    sums += np.bincount(ids, minlength=len(sums))
+                    control, data = pack_each(ids, lengths[low:high])
+                    yield pd.DataFrame({"id": keys[low:high], "n": lengths[low:high], "control": control, "data": data})
         used = np.flatnonzero(sums)
         yield pd.DataFrame({"id": pd.array([None], dtype="Int64"), "n": -1, "control": [used.tobytes()], "data": [sums[used].tobytes()]})
 
@@ -194,18 +232,22 @@ def _writer(rank_of):
         docs: list[int | None] = []
 
         def block() -> pd.DataFrame:
-            control, data = pack(rank_of.value[np.concatenate(ids)])
+            control, data = pack(np.concatenate(ids))
             row = {"part": part, "block": number, "n_ids": held, "docs": docs, "lengths": [len(x) for x in ids], "control": control, "data": data}
             return pd.DataFrame([row])
 
         for batch in batches:
-            for key, n, control, data in zip(batch["id"].astype("Int64"), batch["n"], batch["control"], batch["data"]):
-                ids.append(unpack(control, data, n))
-                docs.append(None if key is pd.NA else int(key))
-                held += int(n)
-                if held >= BLOCK_IDS:
-                    yield block()
-                    ids, docs, number, held = [], [], number + 1, 0
+            lengths = batch["n"].to_numpy()
+            for low, high in _runs(lengths):
+                rows, sizes = batch.iloc[low:high], lengths[low:high]
+                ranks = rank_of.value[unpack_each(rows["control"].tolist(), rows["data"].tolist(), sizes)]
+                for key, own in zip(rows["id"].astype("Int64"), np.split(ranks, np.cumsum(sizes)[:-1])):
+                    ids.append(own)
+                    docs.append(None if key is pd.NA else int(key))
+                    held += len(own)
+                    if held >= BLOCK_IDS:
+                        yield block()
+                        ids, docs, number, held = [], [], number + 1, 0
         if ids:
             yield block()
 

@@ -69,3 +69,24 @@ def test_an_empty_table(spark, tmp_path):
 def test_checksums_are_those_of_the_ids(spark):
     row = spark.createDataFrame([(bytearray(np.array([5, 70000], "<u4").tobytes()),)], "b binary").select(F.crc32("b")).first()
     assert row[0] == zlib.crc32(np.array([5, 70000], "<u4").tobytes())
+
+
+@given(st.lists(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 300), max_size=9), max_size=12))
+@settings(deadline=None)
+def test_documents_coded_together_are_coded_as_alone(docs):
+    lengths = np.array([len(d) for d in docs], dtype=np.int64)
+    control, data = tf.pack_each(np.array([x for d in docs for x in d], dtype="<u4"), lengths)
+    assert list(zip(control, data)) == [tf.pack(np.array(d, dtype="<u4")) for d in docs]
+    assert tf.unpack_each(control, data, lengths).tolist() == [x for d in docs for x in d]
+
+
+def test_documents_are_coded_together_up_to_a_block(monkeypatch):
+    monkeypatch.setattr(tf, "BLOCK_IDS", 10)
+    assert list(tf._runs(np.array([3, 7, 1, 25, 2, 8, 0, 1]))) == [(0, 2), (2, 3), (3, 4), (4, 7), (7, 8)]
+
+
+def test_words_that_end_in_punctuation_are_not_split_by_the_pattern():
+    own, text = tf.WordEncoder("byte_bpe_50k.json"), "One (two) thrée), 漢字*** five.\" six-'\nseven\neight!!_ it's 9, x2."
+    calls, split = [], own._split
+    own._split = lambda word: calls.append(word) or split(word)
+    assert own.encode([text])[0].tolist() == ids(text) and calls == [" (two)", " it's", " 9,", " x2."]
