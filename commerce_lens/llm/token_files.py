@@ -30,7 +30,7 @@ from commerce_lens.session import discard, scratch_path
 
 # Ids of a block, at least, unless the part ends; a document is never cut.
 BLOCK_IDS = 1 << 18
-_MEMO_SIZE = 800_000
+_MEMO_SIZE = 1_600_000
 _ROWS = 256
 # White space other than space and newline: pieces that end in it can't be told apart from what follows.
 _OTHER_SPACE = tuple(c for c in map(chr, (*range(9, 14), *range(28, 32), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)) if c != "\n")
@@ -95,11 +95,11 @@ class WordEncoder:
 
     def _word(self, word: str) -> bytes:
         """A word as it stands between spaces: a space goes before it, unless a newline begins it."""
-        stem = word.rstrip(string.punctuation)
-        if stem.isalpha():
-            if stem != word:  # punctuation that ends a word is one piece
-                return self._words[stem] + self._pieces[word[len(stem) :]]
+        if word.isalpha():
             return self._packed("\u0120" + word) if word.isascii() else self._piece(" " + word)  # U+0120: the space
+        stem = word.rstrip(string.punctuation)
+        if stem.isalpha():  # punctuation that ends a word is one piece
+            return self._words[stem] + self._pieces[word[len(stem) :]]
         if stem[:1] == "\n" and stem[1:].isalpha():
             return self._pieces["\n"] + self._pieces[stem[1:]] + (self._pieces[word[len(stem) :]] if stem != word else b"")
         return b"".join(map(self._pieces.__getitem__, self._split(word if word[:1] == "\n" else " " + word)))
@@ -137,8 +137,9 @@ def encoder(name: str) -> WordEncoder:
 
 # -- coding ------------------------------------------------------------------------------
 
-# Bytes of each of the four ranks that a control byte describes.
-_SIZES = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) % 4 + 1).astype(np.uint8)
+# Bytes, less one, of each of the four ranks that a control byte describes; and which of a rank's four bytes are kept for each.
+_CODES = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) % 4).astype(np.uint8).view("<u4")[:, 0]
+_KEPT = (np.arange(4) <= np.arange(4)[:, None]).view("<u4")[:, 0]
 
 
 def _runs(lengths: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -153,32 +154,37 @@ def _runs(lengths: np.ndarray) -> Iterator[tuple[int, int]]:
         yield start, len(lengths)
 
 
-def _places(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each id's code stands when every document begins a control byte; the control bytes before each document and in all."""
-    whole = np.concatenate([[0], np.cumsum(-(-lengths // 4))])
-    return np.arange(lengths.sum()) + np.repeat(4 * whole[:-1] - np.cumsum(lengths) + lengths, lengths), whole
+def _bounds(sizes: np.ndarray) -> list[tuple[int, int]]:
+    """Where each document begins and ends."""
+    ends = np.cumsum(sizes).tolist()
+    return list(zip([0, *ends], ends))
 
 
 def pack_each(values: np.ndarray, lengths: np.ndarray) -> tuple[list[bytes], list[bytes]]:
     """Control bytes and data of each document; `values` are the ids of all of them."""
-    values = values.astype("<u4")
-    code = (values > 0xFF).astype(np.uint8) + (values > 0xFFFF) + (values > 0xFFFFFF)
-    places, whole = _places(lengths)
-    padded = np.zeros(4 * int(whole[-1]), dtype=np.uint8)
-    padded[places] = code
-    control = (padded[::4] | padded[1::4] << 2 | padded[2::4] << 4 | padded[3::4] << 6).tobytes()
-    data = values.view(np.uint8).reshape(-1, 4)[np.arange(4) <= code[:, None]].tobytes()
-    ends = np.concatenate([[0], np.cumsum(code + 1, dtype=np.int64)])[np.concatenate([[0], np.cumsum(lengths)])].tolist()
-    starts = whole.tolist()
-    return [control[i:j] for i, j in zip(starts, starts[1:])], [data[i:j] for i, j in zip(ends, ends[1:])]
+    values = np.ascontiguousarray(values, dtype="<u4")
+    code = (values > 0xFF).view(np.uint8) + (values > 0xFFFF) + (values > 0xFFFFFF)
+    docs, controls = _bounds(lengths), _bounds(-(-lengths // 4))
+    padded = np.zeros(4 * int((-(-lengths // 4)).sum()), dtype=np.uint8)
+    for (i, j), (at, _) in zip(docs, controls):
+        padded[4 * at : 4 * at + j - i] = code[i:j]
+    fours = padded.view("<u4")
+    control = (fours | fours >> 6 | fours >> 12 | fours >> 18).astype(np.uint8).tobytes()
+    data = values.view(np.uint8)[_KEPT.take(code).view(bool)].tobytes()
+    whole = np.concatenate([[0], np.cumsum(code, dtype=np.int64)])
+    sizes = _bounds(np.array([whole[j] - whole[i] + j - i for i, j in docs], dtype=np.int64))
+    return [control[i:j] for i, j in controls], [data[i:j] for i, j in sizes]
 
 
 def unpack_each(controls: list[bytes], data: list[bytes], lengths: np.ndarray) -> np.ndarray:
     """The ids of all documents, one after the other."""
-    sizes = _SIZES[np.frombuffer(b"".join(controls), dtype=np.uint8)].reshape(-1)[_places(lengths)[0]]
-    out = np.zeros((len(sizes), 4), dtype=np.uint8)
-    out[np.arange(4) < sizes[:, None]] = np.frombuffer(b"".join(data), dtype=np.uint8)
-    return out.reshape(-1).view("<u4")
+    padded = _CODES.take(np.frombuffer(b"".join(controls), dtype=np.uint8)).view(np.uint8)
+    docs, code = _bounds(lengths), np.empty(int(lengths.sum()), dtype=np.uint8)
+    for (i, j), (at, _) in zip(docs, _bounds(np.array([len(c) for c in controls], dtype=np.int64))):
+        code[i:j] = padded[4 * at : 4 * at + j - i]
+    out = np.zeros(4 * len(code), dtype=np.uint8)
+    out[_KEPT.take(code).view(bool)] = np.frombuffer(b"".join(data), dtype=np.uint8)
+    return out.view("<u4")
 
 
 def pack(values: np.ndarray) -> tuple[bytes, bytes]:
