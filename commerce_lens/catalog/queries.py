@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +15,9 @@ from commerce_lens.operators import clean, dedup, density, enrich, joins, profil
 from commerce_lens.operators.reshape import CATEGORY, CITY, SCORE_COLUMNS, group_by
 from commerce_lens.plans import enrichment, marts
 from commerce_lens.plans.refresh import refresh
-from commerce_lens.session import cut_lineage, scratch_path
+from commerce_lens.session import cut_lineage, discard, scratch_path
 from commerce_lens.sources import csv_files, jsonl, tables
-from commerce_lens.sources.ingest import ingest, source_spec
+from commerce_lens.sources.ingest import SourceSpec, ingest, source_spec
 from commerce_lens.sources.schemas import ENRICHMENT_COLUMNS, REVIEW_COLUMNS, TRANSLATIONS
 
 Query = Callable[[Views], DataFrame]
@@ -75,15 +75,15 @@ def csv_declared_load(v: Views) -> DataFrame:
     return csv_files.read_table_csv(v.spark, path, TRANSLATIONS, required=["review_id"], quoted_newlines=True)
 
 
-def _write_sources(v: Views) -> list:
+def _write_sources(v: Views) -> Iterator[SourceSpec]:
+    """The sources one after the other: each is written when it is asked for, and goes when the next one is, being staged by then."""
     root = scratch_path(v.spark, "sources")
-    specs = []
     for name, df in v.sources().items():
         csv_files.write_table_csv(df, f"{root}/{name}")
         # The translation keeps its own declared schema.
         declared = {} if name == "product_category_name_translation" else {"schema": df.schema}
-        specs.append(source_spec(name, f"{root}/{name}", **declared))
-    return specs
+        yield source_spec(name, f"{root}/{name}", **declared)
+        discard(v.spark, [f"{root}/{name}"])
 
 
 # What a row of a source table is checked by, in SQL that both engines read alike.

@@ -79,9 +79,10 @@ def build_requests(
     max_tokens: int,
     user: tuple[str, str] = ("", ""),
     response_format: str | None = None,
+    unique: bool = False,
 ) -> DataFrame:
-    """One flat request row per distinct review id."""
-    distinct = first_per_key(df, "review_id", [text])
+    """One flat request row per distinct review id. Of ids that are known to be unique no text is shuffled."""
+    distinct = df if unique else first_per_key(df, "review_id", [text])
     return distinct.select(
         F.col("review_id").cast("string").alias("custom_id"),
         F.lit(METHOD).alias("method"),
@@ -94,13 +95,13 @@ def build_requests(
     )
 
 
-def translation_requests(df: DataFrame) -> DataFrame:
-    return build_requests(df, "review_comment_message", TRANSLATION_SYSTEM, TRANSLATION_MAX_TOKENS)
+def translation_requests(df: DataFrame, unique: bool = False) -> DataFrame:
+    return build_requests(df, "review_comment_message", TRANSLATION_SYSTEM, TRANSLATION_MAX_TOKENS, unique=unique)
 
 
-def aspect_requests(df: DataFrame) -> DataFrame:
+def aspect_requests(df: DataFrame, unique: bool = False) -> DataFrame:
     return build_requests(
-        df, "review_comment_message_en", ASPECT_SYSTEM, ASPECT_MAX_TOKENS, ASPECT_USER, ASPECT_RESPONSE_FORMAT
+        df, "review_comment_message_en", ASPECT_SYSTEM, ASPECT_MAX_TOKENS, ASPECT_USER, ASPECT_RESPONSE_FORMAT, unique
     )
 
 
@@ -126,12 +127,15 @@ def request_documents(requests: DataFrame) -> DataFrame:
     )
 
 
-def apply_model(df: DataFrame, open_model: Callable[[], Callable[[Any], Any]], schema: str, tasks: int | None = None) -> DataFrame:
+def apply_model(
+    df: DataFrame, open_model: Callable[[], Callable[[Any], Any]], schema: str, tasks: int | None = None, spread: bool = False
+) -> DataFrame:
     """Run a model over every row.
 
     open_model() is called once per task and returns a function from one pandas batch to
     another. Rows are spread by id first, since calls cost far more than rows; `tasks` caps how many
-    calls run at a time (by default Spark's shuffle partitions, so that the work is cut as finely as any other).
+    calls run at a time (by default Spark's shuffle partitions, so that the work is cut as finely as any other). Rows that are
+    `spread` already, over many files, stay where they are.
     """
 
     def run(batches):
@@ -139,8 +143,11 @@ def apply_model(df: DataFrame, open_model: Callable[[], Callable[[Any], Any]], s
         for batch in batches:
             yield model(batch)
 
-    spread = df.repartition(tasks, "custom_id") if tasks else df.repartition("custom_id")
-    return spread.mapInPandas(run, schema)
+    if tasks:
+        df = df.repartition(tasks, "custom_id")
+    elif not spread:
+        df = df.repartition("custom_id")
+    return df.mapInPandas(run, schema)
 
 
 def apply_model_by(
@@ -184,6 +191,21 @@ def parse_translations(results: DataFrame, mode: str = "quarantine") -> DataFram
     )
 
 
+def translations_for(reviews: DataFrame, results: DataFrame, mode: str = "quarantine") -> DataFrame:
+    """parse_translations() with ids of the type that the reviews' have, dealt by them: a merge shuffles no text again.
+
+    Ids of results that are written differently and are the same id of a review are an error, as they are to a merge.
+    """
+    ok = _like_target(_ok(results, mode).withColumn("review_id", F.col("custom_id")), reviews)
+    # In a struct, so that a result without a seq comes first and isn't left out.
+    last = ok.groupBy("review_id").agg(
+        F.max_by("content", F.struct("seq")).alias("content"), F.min("custom_id").alias("_low"), F.max("custom_id").alias("_high")
+    )
+    message = F.concat(F.lit("more than one update for review_id "), F.col("review_id").cast("string"))
+    checked = last.where((F.col("_low") == F.col("_high")) | F.raise_error(message).cast("boolean"))
+    return checked.select("review_id", clean_text("content").alias("review_comment_message_en"))
+
+
 def _swap(old: str, new: str) -> Callable[[Column, Column], Column]:
     return lambda key, _: F.when(key == old, F.lit(new)).otherwise(key)
 
@@ -251,12 +273,14 @@ def _like_target(parsed: DataFrame, reviews: DataFrame) -> DataFrame:
     )
 
 
-def merge_translations(reviews: DataFrame, parsed: DataFrame) -> DataFrame:
-    return update_from(reviews, _like_target(parsed, reviews), "review_id", ["review_comment_message_en"])
+def merge_translations(reviews: DataFrame, parsed: DataFrame, typed: bool = False) -> DataFrame:
+    """Translations by review id; `typed` are those of translations_for(), whose ids need no further look."""
+    source = parsed if typed else _like_target(parsed, reviews)
+    return update_from(reviews, source, "review_id", ["review_comment_message_en"])
 
 
 def merge_aspects(reviews: DataFrame, parsed: DataFrame) -> DataFrame:
-    """As merge_translations; the text must be well-formed JSON."""
+    """Scores by review id; the text must be well-formed JSON."""
     text = F.col("review_aspect_scores")
     checked = parsed.where(text.isNull() | json_checked(text).isNotNull())
     return update_from(reviews, _like_target(checked, reviews), "review_id", ["review_aspect_scores"])

@@ -43,7 +43,7 @@ def categorised_products(products: DataFrame, translation: DataFrame) -> DataFra
 def review_product(
     reviews: DataFrame, items: DataFrame, products: DataFrame, translation: DataFrame
 ) -> DataFrame:
-    """One row per review and item with the item's product and English category."""
+    """One row per review (or order) and item with the item's product and English category."""
     return reviews.join(items.select("order_id", "product_id"), "order_id").join(
         categorised_products(products, translation), "product_id"
     )
@@ -57,10 +57,14 @@ def review_aspect_geo(
     orders: DataFrame,
     customers: DataFrame,
     strict: bool = False,
+    stored: bool = False,
 ) -> DataFrame:
     """One row per scored review and item: month, English category, city and five scores.
 
     A score that isn't a number is NULL, or an error when strict; marts.rejected_scores() counts them.
+
+    Reviews that are `stored` may be read twice: their orders are looked up by ids alone, and texts are shuffled once, by order,
+    whatever the number of items. Merged in order of orders, the rows of a review lie side by side and are stored as little more than one.
     """
     scored = reviews.where(F.col("review_aspect_scores").isNotNull()).select(
         "review_id",
@@ -69,11 +73,23 @@ def review_aspect_geo(
         month_start("review_answer_timestamp").alias("review_month_date"),
         json_scores("review_aspect_scores", strict=strict).alias("s"),
     )
+    if stored:
+        asked = scored.select("order_id").distinct()
+        cities = inner_join_customer(
+            asked.join(orders.select("order_id", "customer_id"), "order_id"),
+            customers.select("customer_id", F.col("customer_city").alias("city")),
+        )
+        sold = review_product(asked, items, products, translation)
+        return _geo_columns(scored.join(cities.drop("customer_id"), "order_id").join(sold.drop("product_id"), "order_id"))
     # City is settled per review before items fan the rows out.
     located = scored.join(orders.select("order_id", "customer_id"), "order_id").join(
         customers.select("customer_id", F.col("customer_city").alias("city")), "customer_id"
     )
-    return review_product(located, items, products, translation).select(
+    return _geo_columns(review_product(located, items, products, translation))
+
+
+def _geo_columns(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "review_id",
         "review_comment_message_en",
         "review_month_date",

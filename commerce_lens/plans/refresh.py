@@ -11,6 +11,7 @@ from commerce_lens.operators.joins import review_aspect_geo
 from commerce_lens.operators.select import sorted_layout
 from commerce_lens.plans.enrichment import carry_over, enrich_with_rejects
 from commerce_lens.plans.marts import agg_aspect_score_by_product, agg_sales_by_city, agg_sales_daily, rejected_scores
+from commerce_lens.session import discard, shuffles_deleted
 from commerce_lens.sources.ingest import SourceSpec, ingest
 from commerce_lens.sources.tables import replace_table
 
@@ -37,33 +38,36 @@ def refresh(
     review table whose answers are kept; without it each run starts from none. `answers` is a folder for the model's
     answers: a refresh that was cut off goes on from the runs that are complete there.
     """
-    staging = ingest(spark, specs, root)
-    clean = {
-        name: replace_table(clean_pass_through(staging[name]), root, "clean", name) for name in PASS_THROUGH_TABLES
-    }
-    reviews = clean_order_reviews(staging["order_reviews"])
-    if previous is not None:
-        reviews = carry_over(reviews, previous)
-    reviews = replace_table(reviews, root, "clean", "order_reviews")
-    strict = mode == "failfast"
-    enriched, rejects = enrich_with_rejects(reviews, open_translator, open_scorer, n, tasks, mode, stored=True, folder=answers)
-    clean["rejected_answers"] = replace_table(rejects, root, "clean", "rejected_answers")
-    reviews = replace_table(enriched, root, "clean", "order_reviews")
-    clean["rejected_scores"] = replace_table(rejected_scores(reviews), root, "clean", "rejected_scores")
-    orders, items, customers = clean["orders"], clean["order_items"], clean["customers"]
-    products, translation = clean["products"], clean["product_category_name_translation"]
-    geo = review_aspect_geo(reviews, items, products, translation, orders, customers, strict)
-    clean["order_reviews"] = reviews
-    clean["order_reviews_aspect_geo"] = replace_table(geo, root, "clean", "order_reviews_aspect_geo")
-    marts = {
-        "agg_sales_daily": agg_sales_daily(orders, items, reviews),
-        "agg_sales_by_city": sorted_layout(
-            agg_sales_by_city(orders, customers, items, reviews), "order_month", "city", "state"
-        ),
-        "agg_aspect_score_by_product": sorted_layout(
-            agg_aspect_score_by_product(reviews, items, products, translation, strict), "review_month_date", "product_id"
-        ),
-    }
-    aggregated = {name: replace_table(df, root, "aggregated", name) for name, df in marts.items()}
-    layers = {"staging": staging, "clean": clean, "aggregated": aggregated}
-    return {f"{layer}.{name}": df for layer, tables in layers.items() for name, df in tables.items()}
+    with shuffles_deleted(spark):
+        staging = ingest(spark, specs, root)
+        clean = {
+            name: replace_table(clean_pass_through(staging[name]), root, "clean", name) for name in PASS_THROUGH_TABLES
+        }
+        reviews = clean_order_reviews(staging["order_reviews"])
+        if previous is not None:
+            reviews = carry_over(reviews, previous)
+        reviews = replace_table(reviews, root, "clean", "order_reviews")
+        strict = mode == "failfast"
+        copies: list[str] = []
+        enriched, rejects = enrich_with_rejects(reviews, open_translator, open_scorer, n, tasks, mode, stored=True, folder=answers, paths=copies)
+        clean["rejected_answers"] = replace_table(rejects, root, "clean", "rejected_answers")
+        reviews = replace_table(enriched, root, "clean", "order_reviews")
+        discard(spark, copies)
+        clean["rejected_scores"] = replace_table(rejected_scores(reviews), root, "clean", "rejected_scores")
+        orders, items, customers = clean["orders"], clean["order_items"], clean["customers"]
+        products, translation = clean["products"], clean["product_category_name_translation"]
+        geo = review_aspect_geo(reviews, items, products, translation, orders, customers, strict, stored=True)
+        clean["order_reviews"] = reviews
+        clean["order_reviews_aspect_geo"] = replace_table(geo, root, "clean", "order_reviews_aspect_geo")
+        marts = {
+            "agg_sales_daily": agg_sales_daily(orders, items, reviews),
+            "agg_sales_by_city": sorted_layout(
+                agg_sales_by_city(orders, customers, items, reviews), "order_month", "city", "state"
+            ),
+            "agg_aspect_score_by_product": sorted_layout(
+                agg_aspect_score_by_product(reviews, items, products, translation, strict), "review_month_date", "product_id"
+            ),
+        }
+        aggregated = {name: replace_table(df, root, "aggregated", name) for name, df in marts.items()}
+        layers = {"staging": staging, "clean": clean, "aggregated": aggregated}
+        return {f"{layer}.{name}": df for layer, tables in layers.items() for name, df in tables.items()}

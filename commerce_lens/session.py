@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +25,9 @@ SETTINGS = {
 }
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply SETTINGS to a session and return it."""
     for key, value in SETTINGS.items():
@@ -80,6 +85,23 @@ def discard(spark: SparkSession, paths: list[str]) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Jobs begun within delete their shuffle files as they end; else these stay until the driver happens to collect its garbage.
+
+    A result that is asked for again makes its shuffles anew, so this is for jobs that write what they make.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def cut_lineage(df: DataFrame, label: str = "cut", paths: list[str] | None = None) -> DataFrame:
     """Write df once to the shared folder and read it back; the path is added to `paths`, for discard().
 

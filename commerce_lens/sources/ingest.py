@@ -49,7 +49,7 @@ def source_spec(name: str, path: str | list[str], **options) -> SourceSpec:
 
 
 def ingest(spark: SparkSession, specs: Iterable[SourceSpec], root: str) -> dict[str, DataFrame]:
-    """Load each source as staging table `name`, replacing what was there."""
+    """Load each source as staging table `name`, replacing what was there; a source is stored before the next is asked for."""
     return {
         s.name: replace_table(
             read_table_csv(spark, s.path, s.schema, s.required, s.quoted_newlines), root, "staging", s.name
